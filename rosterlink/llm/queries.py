@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterlink.llm.common import table
+from rosterlink.llm.common import held_out, table
 from rosterlink.llm.ngram_join import ngram_jaccard_components
+from rosterlink.llm.quality import fit_quality, score_quality
+from rosterlink.llm.toxicity import fit_lexicon, score_toxicity
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -38,3 +40,24 @@ reach AS (
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS INTEGER) AS n_shingles, c.component_id
 FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id)
 """
+
+
+def _teaching(spark: SparkSession, sf_dir: str, modulus: int, remainder: int) -> DataFrame:
+    """Labelled documents that may teach."""
+    labels = table(spark, sf_dir, "labels").where(~held_out("doc_id", modulus, remainder))
+    return table(spark, sf_dir, "documents").select("doc_id", "text").join(labels, "doc_id")
+
+
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_quality(_teaching(spark, sf_dir, 5, 0))
+    return score_quality(docs, model).select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted")
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lexicon = fit_lexicon(_teaching(spark, sf_dir, 3, 1))
+    scored = score_toxicity(docs, lexicon)
+    return scored.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", "predicted", "toxic_weight")
