@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from rosterlink.llm.common import held_out, table
+from rosterlink.llm.fingerprint import fingerprints_with_edits
 from rosterlink.llm.ngram_join import ngram_jaccard_components
 from rosterlink.llm.quality import fit_quality, score_quality
 from rosterlink.llm.toxicity import fit_lexicon, score_toxicity
@@ -61,3 +62,8 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     lexicon = fit_lexicon(_teaching(spark, sf_dir, 3, 1))
     scored = score_toxicity(docs, lexicon)
     return scored.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", "predicted", "toxic_weight")
+
+
+@query
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints_with_edits(table(spark, sf_dir, "documents"))
