@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rosterlink.llm.common import held_out, table
 from rosterlink.llm.fingerprint import fingerprints_with_edits
 from rosterlink.llm.ngram_join import ngram_jaccard_components
+from rosterlink.llm.packing import pack, token_pieces
 from rosterlink.llm.quality import fit_quality, score_quality
 from rosterlink.llm.toxicity import fit_lexicon, score_toxicity
 
@@ -67,3 +68,15 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints_with_edits(table(spark, sf_dir, "documents"))
+
+
+def vocabulary() -> str:
+    """The vocabulary file of the packing query."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(token_pieces(table(spark, sf_dir, "documents"), vocabulary()))
