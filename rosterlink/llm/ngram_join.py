@@ -32,7 +32,7 @@ from rosterlink.llm.components import connected_components
 from rosterlink.llm.shingles import ngram_sets, word_hashes
 
 #: Counters of the n-gram sketch and of one stored slice of it; bins of the suffix histogram.
-SKETCH, SLICE, BINS = 1 << 20, 1 << 14, 64
+SKETCH, SLICE, BINS = 1 << 21, 1 << 14, 64
 #: Candidate sets are looked up by a broadcast of node ids up to this many (8 bytes each), else by a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -72,11 +72,12 @@ def _profile(size: int, seed: int):
             sketch += np.bincount((np.concatenate(waiting) & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
         if sketch.any():
             pack = zstandard.ZstdCompressor(level=1).compress
-            counts = [pack(sketch[k : k + SLICE].astype(np.int64).tobytes()) for k in range(0, SKETCH, SLICE)]
+            slots = [k for k in range(SKETCH // SLICE) if sketch[k * SLICE : (k + 1) * SLICE].any()]
+            counts = [pack(sketch[k * SLICE : (k + 1) * SLICE].tobytes()) for k in slots]
             k = len(counts)
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(k, ids.type), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.list_(pa.int32())),
-                 pa.array(range(k), pa.int32()), pa.array(counts, pa.binary())],
+                 pa.array(slots, pa.int32()), pa.array(counts, pa.binary())],
                 ["doc_id", "node", "chk", "n", "bins", "slot", "counts"])
 
     return run
@@ -147,19 +148,43 @@ def _possible(threshold: int) -> Column:
     )
 
 
-def _verify(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+class _Sets:
+    """The whole sets of nodes, worked out when a pair that passed all filters first needs them."""
+
+    def __init__(self, docs: DataFrame, nodes: DataFrame, size: int, seed: int):
+        self.docs, self.nodes, self.run, self.have = docs.where("text is not null"), nodes, _sets(size, seed), None
+
+    def of(self, need: DataFrame) -> DataFrame:
+        if self.have is not None:
+            need = need.join(self.have.select("node"), "node", "left_anti")
+        need = materialise(need.join(self.nodes.select("node", "doc_id"), "node"))
+        source, n = self.docs, need.count()
+        if n and need.where("doc_id is null").isEmpty():
+            ids = need.select("doc_id")
+            source = source.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, "doc_id", "left_semi")
+        if n:
+            got = source.select("text").mapInArrow(self.run, "node long, tokens array<long>").join(need.select("node"), "node", "left_semi")
+            got = materialise(got.dropDuplicates(["node"]))
+            self.have = got if self.have is None else self.have.unionByName(got)
+        return self.have
+
+
+def _verify(pairs: DataFrame, nodes: DataFrame, sets: _Sets, threshold: int) -> DataFrame | None:
     """Of distinct pairs (a, b) those that link: the suffix filter on histograms, then the whole sets, once a pair."""
     h = nodes.select("node", "n", "bins")
-    near = (
+    near = materialise(
         pairs.join(h.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bins").alias("ba")), "a")
         .join(h.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bins").alias("bb")), "b")
         .where(F.aggregate(F.zip_with("ba", "bb", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x) * (100 + threshold) >= (F.col("na") + F.col("nb")) * threshold)
         .select("a", "b", "na", "nb")
     )
+    if near.isEmpty():
+        return None
+    whole = sets.of(near.select(F.explode(F.array("a", "b")).alias("node")).distinct())
     common = F.size(F.array_intersect("ta", "tb"))
-    return (
-        near.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a")
-        .join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb")), "b")
+    return materialise(
+        near.join(whole.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a")
+        .join(whole.select(F.col("node").alias("b"), F.col("tokens").alias("tb")), "b")
         .where(common * (100 + threshold) >= (F.col("na") + F.col("nb")) * threshold)
         .select("a", "b")
     )
@@ -195,16 +220,7 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     shared = posted.groupBy("token").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select("token")
     posted = materialise(posted.join(shared, "token").distinct())
 
-    near = materialise(posted.select("node").distinct())
-    wanted = near.join(nodes, "node").select("doc_id").where("doc_id is not null")
-    no_id = near.join(nodes.where("doc_id is null"), "node").isEmpty()
-    source = docs.where("text is not null")
-    if no_id:
-        source = source.join(F.broadcast(wanted) if near.count() <= BROADCAST_IDS else wanted, "doc_id", "left_semi")
-    sets = source.select("text").mapInArrow(_sets(size, seed), "node long, tokens array<long>").join(near, "node", "left_semi")
-    sets = materialise(sets.dropDuplicates(["node"]))
-
-    links = _links(posted, nodes, sets, threshold)
+    links = _links(posted, nodes, _Sets(docs, nodes, size, seed), threshold)
     comp = connected_components(links, "a", "b") if links is not None else spark.createDataFrame([], "node long, component long")
     best = (
         nodes.select("node", "doc_id").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -214,38 +230,45 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     return rows.join(of_node, "node", "left").select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def _links(posted: DataFrame, nodes: DataFrame, sets: DataFrame, threshold: int) -> DataFrame | None:
+def _links(posted: DataFrame, nodes: DataFrame, sets: _Sets, threshold: int) -> DataFrame | None:
     """Links that connect all components: star rounds, then every pair left between different components."""
+    degree = posted.groupBy("node").agg(F.count("*").alias("degree"))
+    posted = materialise(posted.join(degree, "node"))
     total = posted.count()
-    if not total:
-        return None
-    links, labelled, last, turn = None, posted.withColumn("c", F.col("node")), None, 0
-    while True:
+    links, open_, last, turn = None, posted.withColumn("c", F.col("node")), None, 0
+    # the sizes a partner may have, from the row's own size and position and from the sizes that share its n-gram
+    low = F.greatest(F.col("n") * threshold / 100, F.col("least"))
+    high = F.least(F.col("n") * 100 / threshold, (F.col("n") - F.col("pos")) * (100 + threshold) / threshold - F.col("n"), F.col("most"))
+    while total:
         # rows of each n-gram outside its largest component, times all its rows: the pairs that are left to look at
-        by = labelled.groupBy("token", "c").agg(F.count("*").alias("k")).groupBy("token").agg(F.sum("k").alias("k"), F.max("k").alias("m"), F.max_by("c", "k").alias("main"))
-        by = materialise(by.where("k > m"))
-        left = by.agg(F.sum((F.col("k") - F.col("m")) * F.col("k"))).first()[0] or 0
-        open_ = labelled.join(by.select("token", "main"), "token")
+        sizes = open_.groupBy("token").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+        open_ = open_.join(sizes, "token").where(low <= high).drop("least", "most")
+        by = open_.groupBy("token", "c").agg(F.count("*").alias("k")).groupBy("token").agg(F.sum("k").alias("k"), F.max("k").alias("m"), F.max_by("c", "k").alias("main"))
+        open_ = materialise(open_.join(by.where("k > m"), "token"))
+        left = open_.agg(F.sum(F.when(F.col("c") != F.col("main"), F.col("k")))).first()[0] or 0
         if not left:
             break
-        full = left <= 2 * total or (last is not None and left > 0.7 * last)
+        full = left <= 2 * total or (last is not None and left > 0.9 * last)
         last, turn = left, turn + 1
+        one = open_.select("token", F.col("node").alias("x"), F.col("c").alias("cx"), F.col("pos").alias("i"), F.col("n").alias("ni"), "main")
         if full:
-            one = open_.where("c <> main").select("token", F.col("node").alias("x"), F.col("c").alias("cx"), F.col("pos").alias("i"), F.col("n").alias("ni"))
+            one = one.where("cx <> main")
             two = open_.select("token", F.col("node").alias("y"), F.col("c").alias("cy"), F.col("pos").alias("j"), F.col("n").alias("nj"), (F.col("c") == F.col("main")).alias("in_main"))
-            pairs = one.join(two, (one["token"] == two["token"]) & (F.col("cx") != F.col("cy")) & (F.col("in_main") | (F.col("x") < F.col("y"))) & _possible(threshold))
+            once = F.col("in_main") | (F.col("x") < F.col("y"))
         else:
-            order = F.struct(F.xxhash64("node", F.lit(turn)).alias("o"), F.col("node").alias("y"), F.col("c").alias("cy"), F.col("pos").alias("j"), F.col("n").alias("nj"))
-            lead = open_.groupBy("token").agg(F.min(order).alias("l")).select("token", "l.*")
-            one = open_.select("token", F.col("node").alias("x"), F.col("c").alias("cx"), F.col("pos").alias("i"), F.col("n").alias("ni"))
-            pairs = one.join(lead, (one["token"] == lead["token"]) & (F.col("cx") != F.col("cy")) & _possible(threshold))
+            # the node that shares most n-grams leads, in later rounds one in another order
+            order = [F.col("degree").alias("o")] if turn == 1 else [F.xxhash64("node", F.lit(turn)).alias("o")]
+            lead = F.struct(*order, F.col("node").alias("y"), F.col("c").alias("cy"), F.col("pos").alias("j"), F.col("n").alias("nj"))
+            two, once = open_.groupBy("token").agg(F.max(lead).alias("l")).select("token", "l.*"), F.lit(True)
+        pairs = one.join(two, (one["token"] == two["token"]) & (F.col("cx") != F.col("cy")) & once & _possible(threshold))
         pairs = materialise(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-        found = materialise(_verify(pairs, nodes, sets, threshold))
-        links = found if links is None else links.unionByName(found)
+        found = _verify(pairs, nodes, sets, threshold)
+        if found is not None:
+            links = found if links is None else links.unionByName(found)
         if full:
             break
-        comp = connected_components(links, "a", "b")
-        labelled = materialise(
-            posted.join(comp, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
-        )
+        open_ = open_.drop("k", "m", "main")
+        if links is not None:
+            comp = connected_components(links, "a", "b")
+            open_ = open_.drop("c").join(comp, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
     return links
