@@ -242,7 +242,7 @@ def _links(posted: DataFrame, nodes: DataFrame, sets: _Sets, threshold: int) ->
     while total:
         # rows of each n-gram outside its largest component, times all its rows: the pairs that are left to look at
         sizes = open_.groupBy("token").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-        open_ = open_.join(sizes, "token").where(low <= high).drop("least", "most")
+        open_ = open_.join(sizes, "token").where(low <= high + 1e-6).drop("least", "most")
         by = open_.groupBy("token", "c").agg(F.count("*").alias("k")).groupBy("token").agg(F.sum("k").alias("k"), F.max("k").alias("m"), F.max_by("c", "k").alias("main"))
         open_ = materialise(open_.join(by.where("k > m"), "token"))
         left = open_.agg(F.sum(F.when(F.col("c") != F.col("main"), F.col("k")))).first()[0] or 0

@@ -77,16 +77,14 @@ def _features(dictionaries):
     return run
 
 
-def fit_quality(labelled: DataFrame, text_col: str = "text", label_col: str = "quality", max_blocks: int = 4000, max_rows: int = 4000, dictionary_bytes: int = 65536) -> QualityModel:
-    """Train on ``labelled`` rows (label 0 or 1; others are ignored).
+def fit_quality(sample: DataFrame, max_blocks: int = 4000, dictionary_bytes: int = 65536) -> QualityModel:
+    """Train on a bounded ``sample`` (label 0 or 1, text, row), as ``labelled_sample`` draws it.
 
-    The fit uses a bounded sample: at most ``max_blocks`` blocks of each class for its dictionary, taken in hash order
-    from one half of the rows, and ``max_rows`` rows of the other half for the calibration. Without rows of both
-    classes the score is the smoothed rate of the label.
+    One half of the rows gives the dictionaries, at most ``max_blocks`` blocks of each class in hash order; the other
+    half gives the calibration. Without rows of both classes the score is the smoothed rate of the label.
     """
-    spark = labelled.sparkSession
-    rows = labelled.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label"), F.xxhash64(text_col).bitwiseAND(F.lit(2**63 - 1)).alias("o"))
-    rows = rows.where("label in (0, 1) and length(text) > 0")
+    spark = sample.sparkSession
+    rows = sample.select("text", "label", F.col("row").bitwiseAND(F.lit(2**63 - 1)).alias("o")).where("length(text) > 0")
     trained = []
     for y in (0, 1):
         part = rows.where((F.col("label") == y) & (F.col("o") % 2 == 0))
@@ -97,8 +95,7 @@ def fit_quality(labelled: DataFrame, text_col: str = "text", label_col: str = "q
         except zstandard.ZstdError:  # too few samples to train on: their bytes serve as a raw dictionary
             trained.append(b"".join(samples)[-dictionary_bytes:])
     shared = spark.sparkContext.broadcast(trained)
-    sample = rows.where("o % 2 = 1").orderBy("o", "label").limit(max_rows)
-    got = sample.select("label", "text").mapInArrow(_features(shared), "label int, x double").collect()
+    got = rows.where("o % 2 = 1").select("label", "text").mapInArrow(_features(shared), "label int, x double").collect()
     x, y = np.array([r[1] for r in got]).reshape(-1, 1), np.array([r[0] for r in got], float)
     return QualityModel(*trained, fit_logistic(x, y, ridge=1e-6))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterlink.llm.common import held_out, table
+from rosterlink.llm.common import held_out, labelled_sample, table
 from rosterlink.llm.fingerprint import fingerprints_with_edits
 from rosterlink.llm.ngram_join import ngram_jaccard_components
 from rosterlink.llm.packing import pack, token_pieces
@@ -44,23 +44,23 @@ FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(r) AS compo
 """
 
 
-def _teaching(spark: SparkSession, sf_dir: str, modulus: int, remainder: int) -> DataFrame:
-    """Labelled documents that may teach."""
+def _teaching(spark: SparkSession, sf_dir: str, label: str, modulus: int, remainder: int) -> DataFrame:
+    """A bounded sample of the labelled documents that may teach."""
     labels = table(spark, sf_dir, "labels").where(~held_out("doc_id", modulus, remainder))
-    return table(spark, sf_dir, "documents").select("doc_id", "text").join(labels, "doc_id")
+    return labelled_sample(table(spark, sf_dir, "documents"), labels, label_col=label)
 
 
 @query
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = fit_quality(_teaching(spark, sf_dir, 5, 0))
+    model = fit_quality(_teaching(spark, sf_dir, "quality", 5, 0))
     return score_quality(docs, model).select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted")
 
 
 @query
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    lexicon = fit_lexicon(_teaching(spark, sf_dir, 3, 1))
+    lexicon = fit_lexicon(_teaching(spark, sf_dir, "toxic", 3, 1))
     scored = score_toxicity(docs, lexicon)
     return scored.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", "predicted", "toxic_weight")
 

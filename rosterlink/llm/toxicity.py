@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterlink.llm.calibrate import fit_logistic
+from rosterlink.llm.common import materialise
 
 # Letters of other scripts that look like Latin ones, and what digits and signs inside words stand for.
 LOOK_ALIKE = {
@@ -126,53 +127,47 @@ def _words(batches):
         yield pa.RecordBatch.from_arrays([pa.array(row, pa.int64()), pa.array(label, pa.int32()), pa.array(word, pa.string())], ["row", "label", "word"])
 
 
-def fit_lexicon(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", exceptions: list[str] | None = None, max_rows: int = 8000, max_entries: int = 2000, support: int = 4) -> Lexicon:
-    """Learn entries, weights, exception phrases and the calibration from ``labelled`` rows (label 0 or 1; others are ignored).
+def fit_lexicon(sample: DataFrame, exceptions: list[str] | None = None, max_entries: int = 2000, support: int = 4) -> Lexicon:
+    """Learn entries, weights, exception phrases and the calibration from a bounded ``sample`` (label 0 or 1, text, row).
 
-    The fit uses a bounded sample: at most ``max_rows`` rows of each class in hash order of the text. Entries are whole
-    words and word beginnings in at least ``support`` toxic texts of the sample whose weight, the smoothed log odds, is
-    2 or more; the ``max_entries`` with the largest z-score stay. A word that is as common in clean texts as in toxic
-    ones, though toxic words begin with it, becomes an exception phrase. ``exceptions`` adds phrases of the caller.
+    Entries are whole words and word beginnings of 4 to 12 letters in at least ``support`` toxic texts whose weight, the
+    smoothed log odds, is 2 or more; the ``max_entries`` with the largest z-score stay. A word that is as common in
+    clean texts as in toxic ones becomes an exception phrase where an entry begins it. ``exceptions`` adds phrases of
+    the caller.
     """
-    spark = labelled.sparkSession
-    rows = labelled.select(F.col(label_col).cast("int").alias("label"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("row"))
-    rows = rows.where("label in (0, 1) and text is not null")
-    part = [rows.where(F.col("label") == y).orderBy("row", "text").limit(max_rows) for y in (0, 1)]
-    sample = part[0].unionByName(part[1])
-    words = sample.select("row", "label", "text").mapInArrow(_words, "row long, label int, word string").persist()
+    spark = sample.sparkSession
+    words = materialise(sample.select("row", "label", "text").mapInArrow(_words, "row long, label int, word string"))
     size = {y: n for y, n in sample.groupBy("label").count().collect()}
     pos, neg = size.get(1, 0), size.get(0, 0)
-    a, b = F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b")
     weight = F.log((F.col("a") + 0.5) / (pos + 1.0)) - F.log((F.col("b") + 0.5) / (neg + 1.0))
     z = weight / F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
-    counts = words.groupBy("word").agg(a, b).withColumn("w", weight)
-    common = counts.where((F.col("a") + F.col("b") >= 10) & (F.col("w") < 1.5)).select("word")
-    begins = words.join(common, "word", "left_anti").withColumn("k", F.explode(F.sequence(F.lit(4), F.least(F.length("word"), F.lit(12)))).alias("k")).where("k <= length(word)")
-    begins = begins.select("row", "label", F.concat(F.lit(" "), F.expr("left(word, k)")).alias("e")).distinct()
-    whole = words.select("row", "label", F.concat(F.lit(" "), "word", F.lit(" ")).alias("e"))
-    entries = begins.unionByName(whole).groupBy("e").agg(a, b).withColumn("w", weight).withColumn("z", z)
+    counts = words.groupBy("word").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
+    common = materialise(counts.where((F.col("a") + F.col("b") >= 10) & (weight < 1.5)).select("word"))
+    rare = words.join(common, "word", "left_anti")
+    head = F.explode(F.transform(F.sequence(F.lit(4), F.greatest(F.lit(4), F.least(F.length("word"), F.lit(12)))), lambda k: F.concat(F.lit(" "), F.substring("word", F.lit(1), k))))
+    begins = rare.where("label = 1 and length(word) >= 4").select("row", head.alias("e")).distinct().groupBy("e").agg(F.count("*").alias("a")).where(F.col("a") >= support)
+    begins = materialise(begins)
+    against = rare.where("label = 0 and length(word) >= 4").select("row", head.alias("e")).join(begins, "e", "left_semi").distinct().groupBy("e").agg(F.count("*").alias("b"))
+    begins = begins.join(against, "e", "left").select("e", "a", F.coalesce("b", F.lit(0)).alias("b"))
+    whole = counts.select(F.concat(F.lit(" "), "word", F.lit(" ")).alias("e"), "a", "b")
+    entries = begins.unionByName(whole).withColumn("w", weight).withColumn("z", z)
     entries = entries.where((F.col("a") >= support) & (F.col("w") >= 2.0)).orderBy(F.desc("z"), "e").limit(max_entries).collect()
     kept: dict[str, float] = {}
     for r in entries:  # best first; a longer form of an entry that is already there adds nothing unless it weighs more
         shorter = [kept[r.e[:k]] for k in range(2, len(r.e)) if r.e[:k] in kept]
         if not shorter or r.w > max(shorter) + 0.5:
             kept[r.e] = float(r.w)
-    safe = set(exceptions and map(fold, exceptions) or ())
-    if kept:
-        starts = spark.createDataFrame([(e,) for e in kept if not e.endswith(" ")] or [("",)], "e string")  # at most max_entries rows
-        padded = counts.join(common, "word").where(weight < 1.5).select(F.concat(F.lit(" "), "word", F.lit(" ")).alias("p"))
-        heads = padded.select("p", F.explode(F.transform(F.sequence(F.lit(3), F.length("p") - 1), lambda k: F.substring("p", F.lit(1), k))).alias("e"))
-        safe |= {r.p for r in heads.join(F.broadcast(starts), "e", "left_semi").select("p").distinct().limit(max_entries).collect()}
+    safe = set(map(fold, exceptions or ()))
+    starts = [(e,) for e in kept if not e.endswith(" ")]
+    if starts:
+        starts = spark.createDataFrame(starts, "e string")  # max_entries rows at most
+        padded = common.where("length(word) >= 4").select("word", head.alias("e"))
+        safe |= {f" {r.word} " for r in padded.join(F.broadcast(starts), "e", "left_semi").select("word").distinct().orderBy("word").limit(max_entries).collect()}
     lexicon = Lexicon(kept, sorted(safe))
     shared = spark.sparkContext.broadcast(lexicon)
     got = sample.select("label", "text").mapInArrow(_features(shared), "label int, x double, n long").collect()
-    words.unpersist()
     y, x, n = (np.array(c, float) for c in (zip(*got) if got else ((), (), ())))
     w = fit_logistic(np.column_stack([np.log1p(x), x / np.sqrt(n + 1)]), y, ridge=1e-4)
-    # the two classes were sampled at their own rates: back to the rate of the labelled rows
-    every = {k: v for k, v in rows.groupBy("label").count().collect()}
-    if pos and neg:
-        w[-1] += np.log(every[1] / pos) - np.log(every[0] / neg)
     lexicon.calibration = tuple(map(float, w))
     return lexicon
 
