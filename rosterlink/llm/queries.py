@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rosterlink.llm.common import held_out, labelled_sample, table
 from rosterlink.llm.fingerprint import fingerprints_with_edits
+from rosterlink.llm.license_scan import COPYRIGHT_LINE, KNOWN, SPELLINGS, license_hits
 from rosterlink.llm.ngram_join import ngram_jaccard_components
 from rosterlink.llm.packing import pack, token_pieces
+from rosterlink.llm.preferences import BEGIN, BREAK, END, format_preferences
 from rosterlink.llm.quality import fit_quality, score_quality
 from rosterlink.llm.toxicity import fit_lexicon, score_toxicity
+from rosterlink.llm.url_filter import RULES, judge_urls
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -80,3 +84,86 @@ def vocabulary() -> str:
 @query
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(token_pieces(table(spark, sf_dir, "documents"), vocabulary()))
+
+
+@query
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), RULES)
+
+
+_HOST = "translate(coalesce(regexp_extract({0}, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PATH = "coalesce(regexp_extract({0}, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '')"
+_QUERY = "coalesce(regexp_extract({0}, '(?s)^[^#]*?([?][^#]*)', 1), '')"
+_KEY = f"CASE WHEN {_HOST} <> '' THEN {_HOST} || {_PATH} || {_QUERY} END"
+_RULES_SQL = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in RULES)
+ORACLE["op6_url_filter"] = rf"""
+WITH RECURSIVE rules(verdict, h, p) AS (VALUES {_RULES_SQL}),
+pg AS MATERIALIZED (SELECT page_id, url, html, {_HOST.format('url')} AS host, {_PATH.format('url')} AS path, {_KEY.format('url')} AS k FROM pages),
+hit AS (SELECT page_id, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS verdict
+  FROM pg JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id),
+declared AS (SELECT url AS src, unnest(regexp_extract_all(html, '(?is)<link[^>]*rel\s*=\s*["'']?canonical[^>]*href\s*=\s*["'']?([^"''\s>]+)', 1)) AS dst FROM pages),
+e AS MATERIALIZED (SELECT {_KEY.format('src')} AS a, {_KEY.format('dst')} AS b FROM declared WHERE dst LIKE '%://%'),
+both_ways AS MATERIALIZED (SELECT a, b FROM e UNION SELECT b, a FROM e),
+reach AS (SELECT k, k AS r FROM (SELECT DISTINCT k FROM pg JOIN both_ways ON k = a) UNION SELECT reach.k, both_ways.b FROM reach JOIN both_ways ON reach.r = both_ways.a),
+bad AS (SELECT DISTINCT reach.k FROM reach JOIN pg ON pg.k = reach.r JOIN hit USING (page_id) WHERE hit.verdict = 'block')
+SELECT page_id, host, path, hit.rule AS rule, coalesce(hit.verdict, CASE WHEN bad.k IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict, bad.k IS NOT NULL AS component_blocked
+FROM pg LEFT JOIN hit USING (page_id) LEFT JOIN bad ON bad.k = pg.k
+"""
+
+
+@query
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_hits(table(spark, sf_dir, "documents"))
+
+
+def _canonical_sql(text: str) -> str:
+    out = f"lower(coalesce({text}, ''))"
+    for a, b in SPELLINGS:
+        out = f"replace({out}, '{a}', '{b}')"
+    return f"trim(regexp_replace(regexp_replace({out}, '{COPYRIGHT_LINE}', ' ', 'g'), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))".replace("\\\\", "\\")
+
+
+_KNOWN_SQL = ", ".join("('" + k + "', '" + t.replace("'", "''") + "')" for k, t in sorted(set(KNOWN)))
+ORACLE["op8_license_scan"] = f"""
+WITH known(license, t) AS (VALUES {_KNOWN_SQL}),
+digests AS (SELECT min(license) AS license, {_canonical_sql('t')} AS c FROM known GROUP BY 2),
+units AS (
+  SELECT doc_id, 'document' AS unit, 0 AS position, coalesce(text, '') AS part FROM documents
+  UNION ALL SELECT doc_id, 'paragraph', unnest(range(len(p))), unnest(p) FROM (SELECT doc_id, regexp_split_to_array(text, '\n[ \t\r]*\n') AS p FROM documents) WHERE len(p) > 1
+  UNION ALL SELECT doc_id, 'line', unnest(range(len(p))), unnest(p) FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents) WHERE len(p) > 1)
+SELECT doc_id, unit, CAST(position AS INTEGER) AS position, license
+FROM (SELECT doc_id, unit, position, {_canonical_sql('part')} AS c FROM units) JOIN digests USING (c) WHERE c <> ''
+"""
+
+
+@query
+def op10_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chosen: a conversation up to its last assistant turn. Rejected: the same with that turn of the next conversation."""
+    turns = table(spark, sf_dir, "conversations")
+    last = turns.where("role = 'assistant'").groupBy("conv_id").agg(F.max("turn").alias("last"), F.max_by("text", "turn").alias("said"))
+    shared = turns.join(last, "conv_id").where("turn <= last")
+    chosen = shared.select(F.col("conv_id").alias("pair_id"), "turn", "role", "text")
+    other = last.select((F.col("conv_id") - 1).alias("pair_id"), F.col("said").alias("other"))
+    ends = last.select(F.col("conv_id").alias("pair_id"), F.col("last").alias("turn")).join(other, "pair_id").select("pair_id", "turn", F.lit("assistant").alias("role"), F.col("other").alias("text"))
+    rejected = shared.where("turn < last").select(F.col("conv_id").alias("pair_id"), "turn", "role", "text").unionByName(ends)
+    return format_preferences(chosen, rejected)
+
+
+def _turn_sql(role: str, text: str) -> str:
+    q = lambda x: "'" + x.replace("\n", "' || chr(10) || '") + "'"
+    return f"({q(BEGIN)} || {role} || {q(BREAK)} || coalesce({text}, '') || {q(END)})"
+
+
+_HEAD = len(BEGIN) + len(BREAK)
+ORACLE["op10_preference_format"] = f"""
+WITH last AS (SELECT conv_id, max(turn) AS l, arg_max(text, turn) AS said FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
+p AS (SELECT a.conv_id, a.l, a.said, b.said AS other, b.conv_id IS NOT NULL AND coalesce(a.said, '') = coalesce(b.said, '') AS same, b.conv_id IS NOT NULL AS has
+  FROM last a LEFT JOIN last b ON b.conv_id = a.conv_id + 1),
+pre AS (SELECT p.conv_id, count(c.turn) AS n, coalesce(string_agg({_turn_sql('c.role', 'c.text')}, '' ORDER BY c.turn), '') AS t
+  FROM p LEFT JOIN conversations c ON c.conv_id = p.conv_id AND c.turn < p.l GROUP BY p.conv_id),
+x AS (SELECT p.conv_id, pre.n, pre.t, same, {_turn_sql("'assistant'", 'said')} AS c, CASE WHEN has THEN {_turn_sql("'assistant'", 'other')} ELSE '' END AS r FROM p JOIN pre USING (conv_id))
+SELECT conv_id AS pair_id, CAST(n + CASE WHEN same THEN 1 ELSE 0 END AS INTEGER) AS n_prompt_turns, t || CASE WHEN same THEN c ELSE '' END AS prompt,
+  CASE WHEN same THEN '' ELSE c END AS chosen, CASE WHEN same THEN '' ELSE '{_HEAD + 9}-' || length(c) END AS chosen_mask,
+  CASE WHEN same THEN '' ELSE r END AS rejected, CASE WHEN same OR r = '' THEN '' ELSE '{_HEAD + 9}-' || length(r) END AS rejected_mask
+FROM x
+"""
