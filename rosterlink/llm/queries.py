@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterlink.llm.common import held_out, labelled_sample, table
+from rosterlink.llm.decontamination import MASKS, contaminated
 from rosterlink.llm.fingerprint import fingerprints_with_edits
 from rosterlink.llm.license_scan import COPYRIGHT_LINE, KNOWN, SPELLINGS, license_hits
 from rosterlink.llm.ngram_join import ngram_jaccard_components
@@ -167,3 +168,25 @@ SELECT conv_id AS pair_id, CAST(n + CASE WHEN same THEN 1 ELSE 0 END AS INTEGER)
   CASE WHEN same THEN '' ELSE r END AS rejected, CASE WHEN same OR r = '' THEN '' ELSE '{_HEAD + 9}-' || length(r) END AS rejected_mask
 FROM x
 """
+
+
+@query
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_SEED_SQL = " UNION ALL ".join(
+    "SELECT {0}, " + f"unnest(range(1, len(w) - {len(m) - 1} + 1)) AS i, unnest([" + f"'{k} ' || " + " || ' ' || ".join(f"w[x + {at}]" for at, c in enumerate(m) if c == "1") + f" FOR x IN range(1, len(w) - {len(m) - 1} + 1)]) AS key FROM {{1}} WHERE len(w) >= {len(m)}"
+    for k, m in enumerate(MASKS)
+)
+ORACLE["op1_decontamination"] = rf"""
+WITH d AS MATERIALIZED (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{{L}}\p{{N}}]+') AS w FROM documents),
+b AS MATERIALIZED (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{{L}}\p{{N}}]+') AS w FROM benchmark),
+ds AS ({_SEED_SQL.format('doc_id', 'd')}),
+bs AS ({_SEED_SQL.format('item_id', 'b')}),
+hits AS (SELECT DISTINCT doc_id, item_id, ds.i - bs.i AS s FROM ds JOIN bs USING (key)),
+laid AS (SELECT doc_id, item_id, s, len(b.w) AS n_words,
+    len([k FOR k IN range(1, len(b.w) + 1) IF (s + k - 1 >= 1 AND d.w[greatest(s + k - 1, 1)] = b.w[k]) OR (s + k >= 1 AND d.w[greatest(s + k, 1)] = b.w[k]) OR (s + k + 1 >= 1 AND d.w[greatest(s + k + 1, 1)] = b.w[k])]) AS matched
+  FROM hits JOIN d USING (doc_id) JOIN b USING (item_id))
+SELECT doc_id, item_id, CAST(max(matched) AS INTEGER) AS matched, CAST(any_value(n_words) AS INTEGER) AS n_words FROM laid WHERE matched >= n_words * 0.7 OR matched >= 25 GROUP BY doc_id, item_id
+""".replace("\\\\", "\\")
