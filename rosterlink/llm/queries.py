@@ -13,6 +13,7 @@ from rosterlink.llm.ngram_join import ngram_jaccard_components
 from rosterlink.llm.packing import pack, token_pieces
 from rosterlink.llm.preferences import BEGIN, BREAK, END, format_preferences
 from rosterlink.llm.quality import fit_quality, score_quality
+from rosterlink.llm.secrets import scan_secrets
 from rosterlink.llm.toxicity import fit_lexicon, score_toxicity
 from rosterlink.llm.url_filter import RULES, judge_urls
 
@@ -190,3 +191,8 @@ laid AS (SELECT doc_id, item_id, s, len(b.w) AS n_words,
   FROM hits JOIN d USING (doc_id) JOIN b USING (item_id))
 SELECT doc_id, item_id, CAST(max(matched) AS INTEGER) AS matched, CAST(any_value(n_words) AS INTEGER) AS n_words FROM laid WHERE matched >= n_words * 0.7 OR matched >= 25 GROUP BY doc_id, item_id
 """.replace("\\\\", "\\")
+
+
+@query
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents"))
