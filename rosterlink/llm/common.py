@@ -59,6 +59,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     return materialise(texts.join(F.broadcast(drawn), "id").select("label", "text", F.xxhash64("id", "text").alias("row")))
 
 
+def without(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", broadcast_rows: int = 1_000_000) -> DataFrame:
+    """``docs`` without the rows whose id is in ``gone``: a broadcast of at most ``broadcast_rows`` ids, else a shuffle."""
+    gone = materialise(gone.select(id_col).distinct())
+    return docs.join(F.broadcast(gone) if gone.count() <= broadcast_rows else gone, id_col, "left_anti")
+
+
 def text_chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES):
     """Yield ``(first row, bytes, offsets)`` for runs of rows with about ``limit`` bytes of UTF-8 each; null is empty."""
     array = batch.column(batch.schema.get_field_index(column))

@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterlink.llm.calibrate import fit_logistic
@@ -97,8 +97,8 @@ def _matcher(lexicon: Lexicon):
     return total
 
 
-def _features(lexicon):
-    """(sum, length) of each text: the matcher's total and the number of folded words."""
+def _features(lexicon, keep_text: bool = False):
+    """(sum, length) of each text: the matcher's total and the number of folded words, beside the other columns."""
 
     def run(batches):
         total = _matcher(lexicon.value)
@@ -109,7 +109,7 @@ def _features(lexicon):
                 folded = fold(t.as_py() or "")
                 x.append(total(folded))
                 n.append(folded.count(" ") - 1)
-            keep = [c for c in names if c != "text"]
+            keep = [c for c in names if keep_text or c != "text"]
             yield pa.RecordBatch.from_arrays([*(batch.column(names.index(c)) for c in keep), pa.array(x, pa.float64()), pa.array(n, pa.int64())], [*keep, "x", "n"])
 
     return run
@@ -180,9 +180,23 @@ def score_toxicity(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", te
     read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
-    a, b, c = lexicon.calibration
     kind = docs.schema[id_col].dataType.simpleString()
     x = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_features(shared), f"id {kind}, x double, n long")
-    score = 1 / (1 + F.exp(-(F.log1p("x") * a + F.col("x") / F.sqrt(F.col("n") + 1) * b + c)))
-    out = x.select(F.col("id").alias(id_col), F.col("x").alias("toxic_weight"), F.greatest("n", F.lit(0)).alias("n_words"), score.alias("score"))
+    out = x.select(F.col("id").alias(id_col), F.col("x").alias("toxic_weight"), F.greatest("n", F.lit(0)).alias("n_words"), _score(lexicon).alias("score"))
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def _score(lexicon: Lexicon) -> Column:
+    a, b, c = lexicon.calibration
+    return 1 / (1 + F.exp(-(F.log1p("x") * a + F.col("x") / F.sqrt(F.col("n") + 1) * b + c)))
+
+
+def without_toxic(docs: DataFrame, lexicon: Lexicon, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is below ``threshold``; no join, so no text moves."""
+    shared = docs.sparkSession.sparkContext.broadcast(lexicon)
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    at = docs.columns.index(text_col)
+    flat = docs.toDF(*("text" if i == at else c for i, c in enumerate(names)))
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in flat.schema)
+    out = flat.mapInArrow(_features(shared, keep_text=True), f"{fields}, x double, n long").where(_score(lexicon) < threshold)
+    return out.drop("x", "n").toDF(*docs.columns)
