@@ -8,6 +8,7 @@ import json
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rosterlink.functions.ids import strip
 
@@ -98,7 +99,7 @@ def normalize_url(url: Column) -> Column:
     return F.when(F.size(grouped) > 0, F.concat(head, F.lit("?"), F.array_join(grouped, "&"))).otherwise(head)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def normalize_name(names: pd.Series) -> pd.Series:
     """Lower case, stripped, white space collapsed, NFKD, then only word characters and spaces."""
     s = names.str.lower().str.strip().str.replace(r"\s+", " ", regex=True).str.normalize("NFKD")
@@ -121,7 +122,7 @@ def name_parts(name: Column) -> Column:
     return F.struct(F.coalesce(F.get(t, F.lit(0)), F.lit("")).alias("first"), last.alias("last"), middle.alias("middle"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def canonical_json_sha256(texts: pd.Series) -> pd.Series:
     """SHA-256 of a JSON text written again with sorted keys and non-ASCII characters as they are; null for invalid JSON."""
     def one(t):

@@ -24,7 +24,7 @@ def discover_seeds(hits: DataFrame, page_revisions: DataFrame, pages: DataFrame,
     rejected with the reason; of several titles of one page the first valid one stays and later ones are passed over.
     The last seed of a key stays.
     """
-    r = F.broadcast(registry.select("landtag_pos", "landtag_key", "key_prefix", "state", "parliament"))
+    r = registry.select("landtag_pos", "landtag_key", "key_prefix", "state", "parliament")
     rows = numbered_hits(hits.join(r, "landtag_key"))
     info = page_revisions.select(underscored(F.col("page_title")).alias("t"), "page_id", "revision_id")
     rows = rows.withColumn("t", underscored(F.col("title"))).join(info, "t", "left")

@@ -82,7 +82,7 @@ def reconcile(wiki: DataFrame, dip: DataFrame, overrides: DataFrame | None = Non
     none = F.array().cast("array<string>")
     if overrides is None:
         overrides = wiki.sparkSession.createDataFrame([], "wikipedia_title string, dip_person_id bigint, status string, reason string")
-    o = F.broadcast(overrides.where("dip_person_id is not null").select("wikipedia_title", F.col("dip_person_id").alias("dip_person_id"), F.col("status").alias("o_status"), F.col("reason").alias("o_reason")))
+    o = overrides.where("dip_person_id is not null").select("wikipedia_title", F.col("dip_person_id").alias("dip_person_id"), F.col("status").alias("o_status"), F.col("reason").alias("o_reason"))
     whole = wiki.select(F.col("id").alias("wiki_id"), "wikipedia_title", "name", "page_id", F.col("evidence_ids").alias("we"))
     of_dip = dip.groupBy("dip_person_id").agg(F.min_by("evidence_ids", "dip_pos").alias("de"))
     forced = whole.join(o, "wikipedia_title").join(of_dip, "dip_person_id")

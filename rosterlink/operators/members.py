@@ -48,7 +48,11 @@ def header_roles(texts: Column) -> Column:
 
     roles = F.transform(texts, role)
     at = F.transform(roles, lambda r, i: F.struct(r.alias("r"), i.alias("i")))
-    return F.struct(*(F.array_max(F.transform(F.filter(at, lambda x, name=name: x["r"] == name), lambda x: x["i"])).alias(name) for name, _ in ROLES))
+
+    def last(name: str) -> Column:
+        return F.array_max(F.transform(F.filter(at, lambda x: x["r"] == name), lambda x: x["i"])).alias(name)
+
+    return F.struct(*(last(name) for name, _ in ROLES))
 
 
 def events_from_notes(notes: Column, evidence: Column) -> Column:
@@ -58,9 +62,9 @@ def events_from_notes(notes: Column, evidence: Column) -> Column:
 
 
 def member_pages(pages: DataFrame, seeds: DataFrame) -> DataFrame:
-    """Seeds (broadcast: configuration) with the chosen table of their page; ``error`` where there is none."""
+    """Seeds with the chosen table of their page; ``error`` where there is none."""
     pages = pages.withColumn("page_title", underscored(F.col("page_title")))
-    s = F.broadcast(seeds.select("seed_pos", F.col("key").alias("seed_key"), underscored(F.col("page_title")).alias("page_title"), "expected_start", "expected_end", "parliament", "state", "legislature_number", "section_keywords"))
+    s = seeds.select("seed_pos", F.col("key").alias("seed_key"), underscored(F.col("page_title")).alias("page_title"), "expected_start", "expected_end", "parliament", "state", "legislature_number", "section_keywords")
     rows = with_dom(pages.join(s, "page_title")).withColumn("table", choose_table(F.col("dom"), F.col("section_keywords"))).drop("dom")
     rows = rows.withColumn("roles", header_roles(header_texts(F.col("table"))))
     found = F.greatest(*(F.col(f"roles.{r}").isNotNull() for r, _ in ROLES))
