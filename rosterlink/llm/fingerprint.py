@@ -13,7 +13,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterlink.llm.common import materialise
@@ -99,26 +99,16 @@ def likeness(a: str, b: str) -> float:
     return sum(h in x and h in y for h in both) / len(both)
 
 
-def likeness_column(a: str | Column, b: str | Column) -> Column:
-    """``likeness`` as a DataFrame expression over two fingerprint columns."""
-    parts = lambda c: F.regexp_extract_all(c, F.lit("([0-9a-f]{8})"), F.lit(1))
-    x, y = parts(a), parts(b)
-    both = F.slice(F.array_sort(F.array_union(x, y)), 1, SKETCH)
-    shared = F.size(F.array_intersect(both, F.array_intersect(x, y)))
-    return F.when(F.size(both) == 0, F.lit(1.0)).otherwise(shared / F.size(both))
-
-
-def _row(doc_id, text: str, h: PrefixHash, following: str | None) -> tuple:
-    n = h.n
-    cut = n // 4
-    edited = text[: n - cut] + (following or "")[:cut]
+def _row(doc_id, text: str, h: PrefixHash, fp: str, following: str, next_fp: str) -> tuple:
+    cut = h.n // 4
+    edited = text[: h.n - cut] + following[:cut]
     e = PrefixHash(edited)
-    fp, efp = h.fingerprint(), e.fingerprint()
-    sha = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
-    return doc_id, n, sha, fp, efp, likeness(fp, efp), h.common_extension(0, 0, e)
+    efp = e.fingerprint()
+    sha = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).digest()
+    return doc_id, h.n, sha, bytes.fromhex(fp), bytes.fromhex(efp), likeness(fp, efp), likeness(fp, next_fp), h.common_extension(0, 0, e)
 
 
-_FIELDS = ["n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "common_prefix", "next_fingerprint", "part", "role", "text"]
+_FIELDS = "n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double, common_prefix long, part int, role string, text string"
 
 
 def _neighbours(id_type):
@@ -133,31 +123,32 @@ def _neighbours(id_type):
             for doc_id, text in zip(batch.column(0), batch.column(1)):
                 text = text.as_py() or ""
                 h = PrefixHash(text)
+                fp = h.fingerprint()
                 if before is None:
-                    rows.append((None, h.n, None, h.fingerprint(), None, None, None, None, part, "head", text))
+                    rows.append((None,) * 8 + (part, "head", text))
                 else:
-                    r = _row(*before, text)
-                    rows.append((*r, h.fingerprint(), part, "row", None))
-                before = (doc_id.as_py(), text, h)
+                    rows.append((*_row(*before, text, fp), part, "row", None))
+                before = (doc_id.as_py(), text, h, fp)
             yield _batch(rows, id_type)
         if before is not None:
-            yield _batch([(before[0], before[2].n, None, None, None, None, None, None, part, "tail", before[1])], id_type)
+            yield _batch([(before[0],) + (None,) * 7 + (part, "tail", before[1])], id_type)
 
     return run
 
 
 def _batch(rows, id_type):
-    types = [id_type, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.int64(), pa.string(), pa.int32(), pa.string(), pa.string()]
+    types = [id_type, pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64(), pa.int64(), pa.int32(), pa.string(), pa.string()]
     columns = list(zip(*rows)) if rows else [()] * len(types)
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["doc_id", *_FIELDS])
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["doc_id", *(f.split()[0] for f in _FIELDS.split(", "))])
 
 
 def _ends(id_type):
     def run(batches):
         for batch in batches:
             rows = []
-            for d, text, following, fp in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                rows.append((*_row(d, text or "", PrefixHash(text or ""), following), fp, None, "row", None))
+            for d, text, following in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                h, after = PrefixHash(text or ""), PrefixHash(following or "")
+                rows.append((*_row(d, text or "", h, h.fingerprint(), following or "", after.fingerprint()), None, "row", None))
             yield _batch(rows, id_type)
 
     return run
@@ -182,16 +173,16 @@ def fingerprints_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: s
     spark = docs.sparkSession
     id_kind = docs.schema[id_col].dataType
     id_type = to_arrow_type(id_kind)
-    schema = f"doc_id {id_kind.simpleString()}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, common_prefix long, next_fingerprint string, part int, role string, text string"
+    schema = f"doc_id {id_kind.simpleString()}, {_FIELDS}"
     cut = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    ordered = cut.repartitionByRange(F.col("doc_id").asc_nulls_first(), F.col("text")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    ordered = cut.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     done = materialise(ordered.mapInArrow(_neighbours(id_type), schema))
     rows = done.where("role = 'row'")
     full = sorted(r[0] for r in done.where("role = 'head'").select("part").collect())  # one number a partition
     if full:
         after = spark.createDataFrame(list(zip(full, full[1:] + full[:1])), "part int, next int")
-        head = done.where("role = 'head'").select(F.col("part").alias("next"), F.col("text").alias("following"), F.col("fingerprint").alias("fp"))
-        ends = done.where("role = 'tail'").join(F.broadcast(after), "part").join(head, "next").select("doc_id", "text", "following", "fp")
+        head = done.where("role = 'head'").select(F.col("part").alias("next"), F.col("text").alias("following"))
+        ends = done.where("role = 'tail'").join(F.broadcast(after), "part").join(head, "next").select("doc_id", "text", "following")
         rows = rows.unionByName(ends.mapInArrow(_ends(id_type), schema))
-    near_next = likeness_column("fingerprint", "next_fingerprint")
-    return rows.select(F.col("doc_id").alias(id_col), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", near_next.alias("near_next"), "common_prefix")
+    text = lambda c: F.lower(F.hex(c)).alias(c)
+    return rows.select(F.col("doc_id").alias(id_col), "n_chars", text("edited_sha256"), text("fingerprint"), text("edited_fingerprint"), "near_edited", "near_next", "common_prefix")
