@@ -47,7 +47,8 @@ def discover_seeds(hits: DataFrame, page_revisions: DataFrame, pages: DataFrame,
 
 def discovery_summary(hits: DataFrame, seeds: DataFrame, rejected: DataFrame) -> DataFrame:
     """One row of counts."""
-    parts = [numbered_hits(hits).agg(F.count("*").alias("n")), seeds.agg(F.count("*").alias("n")), rejected.agg(F.count("*").alias("n"))]
+    titles = hits.where(legislature_number(F.col("title"), F.col("snippet")).isNotNull()).select("title").distinct()
+    parts = [titles.agg(F.count("*").alias("n")), seeds.agg(F.count("*").alias("n")), rejected.agg(F.count("*").alias("n"))]
     rows = [p.select(F.lit(k).alias("what"), "n") for k, p in zip(("found", "validated", "rejected"), parts)]
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
 

@@ -1,4 +1,457 @@
-"""Queries over records."""
+"""Queries of the registry, linking, evidence and discovery jobs and of the scalar functions."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rosterlink.functions import ids, text
+from rosterlink.functions.dom import with_dom
+from rosterlink.operators import discovery, evidence, linking, members, persons, registry
+from rosterlink.queries import render as R
+from rosterlink.queries.render import u5_sql as u5
+from rosterlink.queries.roster import BASE, PEOPLE, _members, _parsed, _people, _sorted_text
+from rosterlink.sinks import graph, search
+from rosterlink.sources import readers
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
+
+
+def query(f):
+    QUERIES[f.__name__] = f
+    return f
+
+
+# registry
+
+
+def _registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readers.dip_persons(R.dip_pages(spark, sf_dir))
+
+
+_CAP = "upper(substr({0},1,1)) || substr({0},2)"
+REG = f"""p AS (SELECT p_partkey AS k, p_brand, CAST(p_partkey // 100 AS INTEGER) AS page, {_CAP.format("split_part(p_name,' ',1)")} AS vorname, {_CAP.format("split_part(p_name,' ',2)")} || (p_partkey % 50) AS nachname FROM part),
+reg AS (SELECT 1 AS wp, *, row_number() OVER (PARTITION BY page ORDER BY k) - 1 AS pos FROM p UNION ALL SELECT 2, *, row_number() OVER (PARTITION BY page ORDER BY k) - 1 FROM p WHERE k % 9 = 0)"""
+
+
+@query
+def dip_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = _registry(spark, sf_dir)
+    return r.select("dip_pos.wp", "dip_pos.page", "dip_pos.pos", "dip_person_id", "vorname", "nachname", "fraktion", F.array_join("wahlperiode", ",").alias("wahlperiode"))
+
+
+ORACLE["dip_flatten"] = f"WITH {REG} SELECT wp, page, CAST(pos AS INTEGER) AS pos, k AS dip_person_id, vorname, nachname, p_brand AS fraktion, (k % 20 + 1) || ',' || (k % 20 + 2) AS wahlperiode FROM reg"
+
+
+@query
+def dip_per_wp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return registry.count_per_wp(_registry(spark, sf_dir), 1, 20)
+
+
+ORACLE["dip_per_wp"] = f"WITH {REG}, t AS (SELECT k % 20 + 1 AS w FROM reg UNION ALL SELECT k % 20 + 2 FROM reg) SELECT CAST(w AS INTEGER) AS wp, count(*) AS persons FROM t WHERE w <= 20 GROUP BY 1"
+
+
+@query
+def dip_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return registry.dedup_dip(_registry(spark, sf_dir)).select("dip_person_id", "nachname", "dip_pos.wp", F.array_join("wahlperiode", ",").alias("wahlperiode"))
+
+
+ORACLE["dip_dedup"] = f"WITH {REG} SELECT k AS dip_person_id, nachname, 1 AS wp, (k % 20 + 1) || ',' || (k % 20 + 2) AS wahlperiode FROM p"
+
+
+@query
+def dip_record_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Record ids; the evidence ids over canonical JSON are held by unit tests."""
+    return registry.dip_records(registry.dedup_dip(_registry(spark, sf_dir))).select("id", "dip_person_id", F.size("evidence_ids").alias("n_evidence"))
+
+
+ORACLE["dip_record_ids"] = f"SELECT {u5(ids.PERSON, "'dip:' || p_partkey")} AS id, p_partkey AS dip_person_id, 1 AS n_evidence FROM part"
+
+
+# linking
+
+
+def _linked(spark: SparkSession, sf_dir: str, dedup: bool = True, with_overrides: bool = True):
+    wiki = R.wiki_persons(spark, sf_dir)
+    dip = _registry(spark, sf_dir)
+    dip = registry.dip_records(registry.dedup_dip(dip) if dedup else dip).withColumn("evidence_ids", F.array(F.concat(F.lit("d"), F.col("dip_person_id").cast("string"))))
+    return *linking.reconcile(wiki, dip, R.overrides(spark, sf_dir) if with_overrides else None), wiki, dip
+
+
+def _link_sql(dips: str) -> str:
+    return f"""{REG}, d AS ({dips}),
+w AS (SELECT 'w' || k AS id, 'Wiki_' || k AS title, k, CASE WHEN k % 10 = 3 THEN 'Zz' ELSE vorname END AS f, CASE WHEN k % 10 = 6 THEN 'Nobody' ELSE nachname END AS l,
+  CASE WHEN k % 10 = 3 THEN 'Zz ' || nachname WHEN k % 10 = 6 THEN vorname || ' Nobody' ELSE vorname || ' ' || nachname END AS name FROM p WHERE k % 3 <> 1),
+o AS (SELECT 'Wiki_' || p_partkey AS title, CASE WHEN p_partkey % 400 = 200 THEN -1 ELSE p_partkey END AS dip, CASE WHEN p_partkey % 800 = 100 THEN 'rejected' ELSE 'accepted' END AS status FROM part WHERE p_partkey % 100 = 0 AND p_partkey % 400 <> 300),
+forced AS (SELECT w.*, CAST(o.dip AS VARCHAR) AS ref, 'override' AS method, 1.0 AS score, o.status, 'Manual override' AS reason FROM w JOIN o USING (title) JOIN p ON p.k = o.dip),
+free AS (SELECT * FROM w WHERE title NOT IN (SELECT title FROM o)),
+cand AS (SELECT free.id, d.k AS dk, d.wp, d.page, d.pos, CAST(0.5 AS DOUBLE) + CASE WHEN lower(free.f) = lower(d.vorname) THEN CAST(0.45 AS DOUBLE) ELSE 0 END AS score FROM free JOIN d ON lower(free.l) = lower(d.nachname)),
+top AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, wp, page, pos) AS rn, max(score) OVER (PARTITION BY id) AS best FROM cand),
+two AS (SELECT *, coalesce(max(CASE WHEN rn = 2 THEN score END) OVER (PARTITION BY id), 0.0) AS second FROM top),
+ruled AS (SELECT free.*, coalesce(CAST(dk AS VARCHAR), 'none') AS ref, 'ruleset' AS method, coalesce(score, 0.0) AS score, CASE WHEN best >= 0.95 AND best - second >= 0.05 THEN 'accepted' ELSE 'pending' END AS status,
+  CASE WHEN rn IS NULL THEN 'No candidate found with score >= 0.5' WHEN best >= 0.95 AND best - second >= 0.05 THEN printf('Unique match with score %.2f', score) ELSE printf('Ambiguous match: best=%.2f, second=%.2f', best, second) END AS reason
+  FROM free LEFT JOIN two USING (id) WHERE rn IS NULL OR rn = 1 OR (rn <= 3 AND NOT (best >= 0.95 AND best - second >= 0.05))),
+a AS (SELECT * FROM forced UNION ALL SELECT * FROM ruled)"""
+
+
+ONE, ALL = "SELECT * FROM reg WHERE wp = 1", "SELECT * FROM reg"
+
+
+@query
+def link_assertions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _linked(spark, sf_dir)[0].select("id", "wikipedia_person_ref", "dip_person_ref", "method", "score", "status", "reason", F.array_join("evidence_ids", ",").alias("evidence_ids"))
+
+
+_ASSERTION = u5(ids.PERSON, "id || '|' || ref || '|ruleset_v1'")
+ORACLE["link_assertions"] = f"WITH {_link_sql(ONE)} SELECT {_ASSERTION} AS id, id AS wikipedia_person_ref, ref AS dip_person_ref, method, CAST(score AS DOUBLE) AS score, status, reason, 'e' || k || CASE WHEN ref <> 'none' THEN ',d' || ref ELSE '' END AS evidence_ids FROM a"
+
+
+@query
+def link_duplicates_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registry rows as given: persons listed twice block each other."""
+    return linking.assertions_by_status(_linked(spark, sf_dir, dedup=False)[0])
+
+
+ORACLE["link_duplicates_pending"] = f"WITH {_link_sql(ALL)} SELECT status, count(*) AS n FROM a GROUP BY 1"
+
+
+@query
+def canonical_persons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _linked(spark, sf_dir)[1].select("id", "display_name", "identifiers.wikipedia_title", "identifiers.wikipedia_page_id", "identifiers.dip_person_id")
+
+
+ORACLE["canonical_persons"] = f"WITH {_link_sql(ONE)} SELECT {u5(ids.PERSON, "'wikipedia:' || lower(title)")} AS id, name AS display_name, title AS wikipedia_title, CAST(k AS VARCHAR) AS wikipedia_page_id, ref AS dip_person_id FROM a WHERE status = 'accepted'"
+
+
+@query
+def link_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, c, _, _ = _linked(spark, sf_dir)
+    return linking.link_summary(a, c)
+
+
+ORACLE["link_summary"] = f"WITH {_link_sql(ONE)} SELECT count(*) FILTER (status = 'accepted') AS accepted, count(*) FILTER (status = 'pending') AS pending, count(*) FILTER (status = 'rejected') AS rejected, count(*) AS assertions, count(*) FILTER (status = 'accepted') AS canonical_persons FROM a"
+
+
+@query
+def link_overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _linked(spark, sf_dir)[0].where("method = 'override'").select("wikipedia_person_ref", "dip_person_ref", "status", "score", "reason")
+
+
+ORACLE["link_overrides"] = f"WITH {_link_sql(ONE)} SELECT id AS wikipedia_person_ref, ref AS dip_person_ref, status, CAST(score AS DOUBLE) AS score, reason FROM forced"
+
+
+@query
+def graph_link_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, c, wiki, dip = _linked(spark, sf_dir)
+    return graph.link_edges(a, c, wiki, dip).groupBy("src_label", "type", "dst_label").agg(F.count("*").alias("n"), F.countDistinct("dst").alias("targets"))
+
+
+ORACLE["graph_link_edges"] = f"""WITH {_link_sql(ONE)}, x AS (
+  SELECT 'CanonicalPerson' AS src_label, 'HAS_SOURCE' AS type, 'WikipediaPersonRecord' AS dst_label, id AS s, id AS t FROM a WHERE status = 'accepted' UNION ALL SELECT 'CanonicalPerson', 'HAS_SOURCE', 'DipPersonRecord', id, ref FROM a WHERE status = 'accepted'
+  UNION ALL SELECT 'PersonLinkAssertion', 'LINKS', 'WikipediaPersonRecord', id || ref, id FROM a UNION ALL SELECT 'PersonLinkAssertion', 'LINKS', 'DipPersonRecord', id || ref, ref FROM a WHERE ref <> 'none')
+SELECT src_label, type, dst_label, count(*) AS n, count(DISTINCT t) AS targets FROM x GROUP BY 1, 2, 3"""
+
+
+@query
+def search_canonical_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, c, wiki, _ = _linked(spark, sf_dir)
+    meta = wiki.where("page_id % 2 = 0").select(F.col("wikipedia_title").alias("page_title"), "page_id", (F.col("page_id") * 2).alias("revision_id"), F.lit("t").alias("retrieved_at"), F.lit("s").alias("sha256"), F.lit(None).cast("string").alias("url"))
+    docs = search.canonical_documents(c, readers.complete_metadata(meta))
+    return docs.select("_id", "display_name", "match_status", "provenance.revision_id", "provenance.source_url")
+
+
+ORACLE["search_canonical_documents"] = f"WITH {_link_sql(ONE)} SELECT {u5(ids.PERSON, "'wikipedia:' || lower(title)")} AS _id, name AS display_name, 'accepted' AS match_status, CASE WHEN k % 2 = 0 THEN k * 2 END AS revision_id, CASE WHEN k % 2 = 0 THEN 'https://de.wikipedia.org/wiki/' || title END AS source_url FROM a WHERE status = 'accepted'"
+
+
+# evidence
+
+
+def _index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = R.list_pages(spark, sf_dir).unionByName(R.person_pages(spark, sf_dir)).drop("html")
+    return evidence.rebuild_index(pages.withColumn("raw_json", F.lit(None).cast("string")))
+
+
+def _all_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.list_pages(spark, sf_dir).unionByName(R.person_pages(spark, sf_dir))
+
+
+@query
+def evidence_row_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every member's cited row, from its page; ids without an index entry drop out."""
+    r = _members(spark, sf_dir).select(F.get("evidence_refs", F.lit(0)).alias("r"))
+    refs = r.select("r.evidence_id", "r.snippet_ref.table_index", "r.snippet_ref.row_index", "r.purpose")
+    gone = refs.limit(1).withColumn("evidence_id", F.lit("unknown"))
+    out = evidence.resolve_evidence_refs(refs.unionByName(gone), _index(spark, sf_dir), R.list_pages(spark, sf_dir))
+    return out.select("evidence_id", "row_index", "snippet", "snippet_source", "canonical_url", "purpose")
+
+
+ORACLE["evidence_row_snippets"] = f"""WITH {BASE} SELECT evidence_id, row_index, CASE WHEN nk % 3 = 1 THEN party || ' | ' || c_name ELSE c_name || ' | ' || party END || ' | ' || n_name || ' ' || (k % 10) || CASE WHEN notes <> '' THEN ' | ' || notes ELSE '' END AS snippet,
+'table_row' AS snippet_source, 'https://de.wikipedia.org/wiki/' || page_title || '?oldid=' || ((CAST(nk AS BIGINT) * 100000 + block + 1) * 10) AS canonical_url, 'membership_row' AS purpose FROM m"""
+
+
+@query
+def evidence_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Person pages by bare evidence ids: their lead paragraphs."""
+    p = persons.parse_person_pages(R.person_pages(spark, sf_dir)).select("evidence_id")
+    out = evidence.resolve_evidence_ids(p.unionByName(p), _index(spark, sf_dir), R.person_pages(spark, sf_dir), 40)
+    return out.select("evidence_id", "page_title", "snippet", "snippet_source")
+
+
+ORACLE["evidence_leads"] = f"""WITH {PEOPLE}, t AS (SELECT pe, title, k, CASE WHEN k % 11 = 0 THEN 'Danach' ELSE 'Koordinaten: 1 2' END AS s FROM pp)
+SELECT pe AS evidence_id, title AS page_title, s AS snippet, 'lead_paragraph' AS snippet_source FROM t"""
+
+
+@query
+def evidence_from_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Persons found by name (a top-k report of 20) and the intros that they cite."""
+    out = evidence.resolve_from_search(_people(spark, sf_dir).where("size(evidence_refs) > 0"), "customer 0000001", _index(spark, sf_dir), _all_pages(spark, sf_dir), 20)
+    return out.select("evidence_id", "page_title", "purpose", "snippet_source")
+
+
+ORACLE["evidence_from_search"] = f"""WITH {BASE}, {PEOPLE}, f AS (SELECT m.person_id, pp.pe, pp.title FROM m JOIN pp ON pp.person_id = m.person_id WHERE intro IS NOT NULL AND contains(lower(m.c_name || ' ' || replace(m.title, '_', ' ')), '0000001') ORDER BY m.c_name, m.person_id LIMIT 20)
+SELECT pe AS evidence_id, title AS page_title, 'person_page_intro' AS purpose, 'lead_paragraph' AS snippet_source FROM f"""
+
+
+@query
+def evidence_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = persons.parse_person_pages(R.person_pages(spark, sf_dir)).select("evidence_id")
+    out = evidence.resolve_evidence_ids(p, _index(spark, sf_dir), R.person_pages(spark, sf_dir), 40)
+    return evidence.as_markdown(out).join(evidence.as_json(out).select("evidence_id", F.get_json_object("json", "$.purpose").alias("purpose"), F.get_json_object("json", "$.page_title").alias("page_title")), "evidence_id")
+
+
+ORACLE["evidence_formats"] = f"""WITH {PEOPLE} SELECT pe AS evidence_id, '- **' || title || '** (revision ' || (k + 20000000) || ')' || chr(10) || '  - URL: https://de.wikipedia.org/wiki/' || title || '?oldid=' || (k + 20000000) || chr(10) || '  - Snippet: ' || CASE WHEN k % 11 = 0 THEN 'Danach' ELSE 'Koordinaten: 1 2' END || chr(10) || '  - Retrieved: 2024-02-02T00:00:00Z' AS markdown, CAST(NULL AS VARCHAR) AS purpose, title AS page_title FROM pp"""
+
+
+@query
+def evidence_index_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as index updates: the user's last event stays, users without one keep their old entry."""
+    e = R.table(spark, sf_dir, "events")
+    old = R.table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("evidence_id"), F.lit("old").alias("source_kind"), F.lit(0).cast("bigint").alias("revision_id"))
+    new = e.select(F.col("user_id").cast("string").alias("evidence_id"), F.col("event_type").alias("source_kind"), F.col("event_id").alias("revision_id"), F.col("event_id").alias("batch_pos"))
+    return evidence.upsert_index(old, new)
+
+
+ORACLE["evidence_index_upsert"] = "WITH n AS (SELECT CAST(user_id AS VARCHAR) AS evidence_id, arg_max(event_type, event_id) AS source_kind, max(event_id) AS revision_id FROM events GROUP BY 1) SELECT * FROM n UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'old', 0 FROM customer WHERE CAST(c_custkey AS VARCHAR) NOT IN (SELECT evidence_id FROM n)"
+
+
+def _fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = R.table(spark, sf_dir, "events")
+    return e.select(F.concat(F.lit("U_"), F.col("user_id").cast("string")).alias("page_title"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("retrieved_at"), F.col("event_id").alias("revision_id"), F.col("props").alias("html"))
+
+
+@query
+def latest_revision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readers.latest_pages(_fetches(spark, sf_dir)).select("page_title", "revision_id", "html")
+
+
+ORACLE["latest_revision"] = "SELECT 'U_' || user_id AS page_title, event_id AS revision_id, props AS html FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1"
+
+
+@query
+def pages_to_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = _fetches(spark, sf_dir)
+    current = f.groupBy("page_title").agg(F.max("revision_id").alias("revision_id"))
+    stored = readers.latest_pages(f.where("revision_id % 3 <> 0"))
+    return readers.pages_to_refresh(current, stored)
+
+
+ORACLE["pages_to_refresh"] = """WITH cur AS (SELECT user_id, max(event_id) AS r FROM events GROUP BY 1), st AS (SELECT user_id, event_id AS s FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events WHERE event_id % 3 <> 0) WHERE rn = 1)
+SELECT 'U_' || user_id AS page_title, r AS revision_id, s AS stored_revision_id FROM cur LEFT JOIN st USING (user_id) WHERE s IS NULL OR s <> r"""
+
+
+@query
+def page_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Query responses, one an order; every tenth has no page."""
+    o = R.table(spark, sf_dir, "orders")
+    page = F.struct((F.col("o_custkey") + 1).alias("pageid"), F.concat(F.lit("T"), F.col("o_orderkey").cast("string")).alias("title"), F.array(F.struct(F.col("o_orderkey").alias("revid"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("timestamp"))).alias("revisions"))
+    empty = F.create_map().cast("map<string,struct<pageid:bigint,title:string,revisions:array<struct<revid:bigint,timestamp:string>>>>")
+    full = F.create_map(F.col("o_custkey").cast("string"), page)
+    return readers.page_revisions(o.select("o_orderkey", F.struct(F.when(F.col("o_orderkey") % 10 == 0, empty).otherwise(full).alias("pages")).alias("query")))
+
+
+ORACLE["page_revisions"] = """SELECT o_orderkey, CASE WHEN o_orderkey % 10 <> 0 THEN 'T' || o_orderkey END AS page_title, CASE WHEN o_orderkey % 10 <> 0 THEN o_custkey + 1 END AS page_id, CASE WHEN o_orderkey % 10 <> 0 THEN o_orderkey END AS revision_id,
+CASE WHEN o_orderkey % 10 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS revision_timestamp, CASE WHEN o_orderkey % 10 = 0 THEN 'No pages in response' END AS error FROM orders"""
+
+
+# discovery
+
+
+def _hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search responses: three parliaments, a hit for each customer's list page under many repeats."""
+    c = R.customers(spark, sf_dir)
+    n = F.col("n_nationkey") + 1
+    title = F.concat(F.replace("page_title", F.lit("_"), F.lit(" ")), F.when(n % 4 != 0, F.concat(F.lit(" ("), n.cast("string"), F.lit(". Wahlperiode)"))).otherwise(""))
+    snippet = F.when(n % 8 == 0, F.concat(F.lit("x ("), n.cast("string"), F.lit(".Wahlperiode) y"))).otherwise("")
+    return c.select(F.concat(F.lit("L"), (F.col("c_custkey") % 3).cast("string")).alias("landtag_key"), F.lit(0).alias("query_pos"), F.col("c_custkey").cast("int").alias("result_pos"), title.alias("title"), snippet.alias("snippet"), "page_title", "n_nationkey", "block")
+
+
+def _discovered(spark: SparkSession, sf_dir: str):
+    hits = _hits(spark, sf_dir)
+    reg = R.table(spark, sf_dir, "nation").where("n_nationkey < 3").select(F.col("n_nationkey").alias("landtag_pos"), F.concat(F.lit("L"), F.col("n_nationkey").cast("string")).alias("landtag_key"), F.concat(F.lit("p"), F.col("n_nationkey").cast("string"), F.lit("_")).alias("key_prefix"), F.lit("S").alias("state"), F.lit("P").alias("parliament"))
+    lists = R.list_pages(spark, sf_dir)
+    named = hits.select("title", "page_title", "n_nationkey").distinct()
+    info = named.where("n_nationkey <> 5").join(lists.drop("html"), "page_title").select(F.col("title").alias("page_title"), F.when(F.col("n_nationkey").isin(9, 10), F.lit(777)).otherwise(F.col("page_id")).alias("page_id"), "revision_id")
+    pages = named.join(lists.select("page_title", "html"), "page_title").select(F.col("title").alias("page_title"), "html")
+    return hits, *discovery.discover_seeds(hits.drop("page_title", "n_nationkey", "block"), info, pages, reg)
+
+
+DISC = f"""{BASE}, h0 AS (SELECT c.*, nk + 1 AS num, k % 3 AS l, replace(page_title, '_', ' ') || CASE WHEN (nk + 1) % 4 <> 0 THEN ' (' || (nk + 1) || '. Wahlperiode)' ELSE '' END AS ti FROM c WHERE (nk + 1) % 4 <> 0 OR (nk + 1) % 8 = 0),
+h AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ti ORDER BY l, k) AS rn FROM h0) WHERE rn = 1),
+r AS (SELECT *, CASE WHEN nk = 5 THEN NULL WHEN nk IN (9, 10) THEN 777 ELSE CAST(nk AS BIGINT) * 100000 + block + 1 END AS pid, CASE WHEN nk = 5 THEN 'Page not found' WHEN nk % 3 = 2 THEN 'No valid member list table found (need name and party or wahlkreis, and rows)' END AS reason,
+  row_number() OVER (ORDER BY l, num, ti) AS ord FROM h),
+s AS (SELECT *, CASE WHEN pid IS NOT NULL THEN min(CASE WHEN reason IS NULL THEN ord END) OVER (PARTITION BY pid) END AS fv FROM r),
+sd AS (SELECT * FROM (SELECT *, 'p' || l || '_' || num AS key, row_number() OVER (PARTITION BY l, num ORDER BY ord DESC) AS kr FROM s WHERE reason IS NULL AND ord = fv) WHERE kr = 1),
+rj AS (SELECT * FROM s WHERE reason IS NOT NULL AND (fv IS NULL OR ord < fv))"""
+
+
+@query
+def seed_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _discovered(spark, sf_dir)[1].select("key", "page_title", "title_key", "expected_start", "legislature_number")
+
+
+ORACLE["seed_discovery"] = f"WITH {DISC} SELECT key, ti AS page_title, replace(ti, ' ', '_') AS title_key, '' AS expected_start, num AS legislature_number FROM sd"
+
+
+@query
+def seed_rejections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _discovered(spark, sf_dir)[2]
+
+
+ORACLE["seed_rejections"] = f"WITH {DISC} SELECT 'L' || l AS landtag_key, ti AS title, num AS number, pid AS page_id, reason FROM rj"
+
+
+@query
+def discovery_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return discovery.discovery_summary(*_discovered(spark, sf_dir))
+
+
+ORACLE["discovery_summary"] = f"WITH {DISC} SELECT 'found' AS what, count(*) AS n FROM h UNION ALL SELECT 'validated', count(*) FROM sd UNION ALL SELECT 'rejected', count(*) FROM rj"
+
+
+@query
+def seed_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = R.table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    return discovery.validate_seeds(c.select(
+        k.cast("int").alias("seed_pos"), F.when(k % 50 == 7, "").otherwise(F.concat(F.lit("k"), F.floor(k / F.when(k % 100 < 4, 2).otherwise(1)).cast("string"))).alias("key"), F.concat(F.lit("k"), k.cast("string")).alias("map_key"),
+        F.when(k % 40 == 1, F.lit(None)).otherwise(F.col("c_name")).alias("page_title"), F.when(k % 30 != 2, "2001").alias("expected_start"), F.when(k % 60 != 2, "2005").alias("expected_end"),
+    ))
+
+
+ORACLE["seed_validation"] = """WITH s AS (SELECT CAST(c_custkey AS INTEGER) AS seed_pos, CASE WHEN c_custkey % 50 = 7 THEN '' ELSE 'k' || (c_custkey // CASE WHEN c_custkey % 100 < 4 THEN 2 ELSE 1 END) END AS key, 'k' || c_custkey AS map_key,
+  CASE WHEN c_custkey % 40 <> 1 THEN c_name END AS t, CASE WHEN c_custkey % 30 <> 2 THEN '2001' END AS a, CASE WHEN c_custkey % 60 <> 2 THEN '2005' END AS b FROM customer), n AS (SELECT *, count(*) OVER (PARTITION BY key) AS n FROM s)
+SELECT seed_pos, key, 'Missing field: key' AS problem FROM n WHERE key = '' UNION ALL SELECT seed_pos, key, 'Missing field: page_title' FROM n WHERE coalesce(t, '') = ''
+UNION ALL SELECT seed_pos, key, 'Missing field: expected_time_range' FROM n WHERE a IS NULL AND b IS NULL UNION ALL SELECT seed_pos, key, 'Key mismatch' FROM n WHERE key <> map_key
+UNION ALL SELECT seed_pos, key, 'Duplicate seed key' FROM n WHERE n > 1 AND key <> '' UNION ALL SELECT seed_pos, key, 'Time range needs start and end' FROM n WHERE (a IS NULL) <> (b IS NULL)"""
+
+
+@query
+def search_hit_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search responses, one an order with a hit for each line."""
+    li = R.table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("h"))
+    q = F.struct(F.transform("h", lambda x: F.struct(F.concat(F.lit("T"), x["l_partkey"].cast("string")).alias("title"), F.lit("").alias("snippet"))).alias("search"))
+    return readers.search_hits(li.select(F.col("l_orderkey").alias("query_pos"), q.alias("query")))
+
+
+ORACLE["search_hit_flatten"] = "SELECT l_orderkey AS query_pos, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) - 1 AS INTEGER) AS result_pos, 'T' || l_partkey AS title, '' AS snippet FROM lineitem"
+
+
+# scalar functions
+
+
+@query
+def snippet_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = F.concat(F.lit(" [1] "), F.replace("text", F.lit(" the "), F.lit(" [12]\t the ")))
+    clean = text.clean_snippet(t)
+    cut = text.truncate(clean, 100)
+    return R.table(spark, sf_dir, "documents").select("doc_id", F.sha2(clean, 256).alias("clean_sha256"), cut.alias("cut"))
+
+
+ORACLE["snippet_clean"] = r"""SELECT doc_id, sha256(t) AS clean_sha256, CASE WHEN length(t) > 100 THEN regexp_replace(substr(t, 1, 100), '(?s) [^ ]*$', '') || '...' ELSE t END AS cut
+FROM (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(' [1] ' || replace(text, ' the ', ' [12]' || chr(9) || ' the '), '\[\d+\]', '', 'g'), '\s+', ' ', 'g'), '^\s+|\s+$', '', 'g') AS t FROM documents)"""
+
+
+@query
+def lead_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page for each document: its lines as paragraphs."""
+    d = R.table(spark, sf_dir, "documents")
+    p = F.array_join(F.transform(F.split("text", "\n"), lambda x: F.concat(F.lit("<p>"), R.escaped(x), F.lit("</p>"))), "")
+    pages = d.select("doc_id", F.concat(F.lit('<div class="mw-parser-output">'), p, F.lit("</div>")).alias("html"))
+    return with_dom(pages).select("doc_id", evidence.lead_paragraph(F.col("dom"), 200).alias("lead"))
+
+
+ORACLE["lead_paragraphs"] = r"""WITH l AS (SELECT doc_id, unnest(range(len(p))) AS i, regexp_replace(regexp_replace(regexp_replace(unnest(p), '\[\d+\]', '', 'g'), '\s+', ' ', 'g'), '^\s+|\s+$', '', 'g') AS t FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents)),
+b AS (SELECT doc_id, coalesce(arg_min(t, i) FILTER (length(t) >= 80), arg_min(t, i) FILTER (length(t) > 0)) AS t FROM l GROUP BY doc_id)
+SELECT doc_id, CASE WHEN length(t) > 200 THEN regexp_replace(substr(t, 1, 200), '(?s) [^ ]*$', '') || '...' ELSE t END AS lead FROM b"""
+
+
+@query
+def parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o, k, d = R.table(spark, sf_dir, "orders"), F.col("o_orderkey") % 5, F.col("o_orderdate")
+    months = F.array(*(F.lit(m.capitalize()) for m in text.MONTHS))
+    spelled = F.concat_ws(" ", F.concat(F.dayofmonth(d).cast("string"), F.lit(".")), F.element_at(months, F.month(d)), F.year(d).cast("string"))
+    t = F.when(k == 0, F.date_format(d, "yyyy-MM-dd")).when(k == 1, F.date_format(d, "d.M.yyyy")).when(k == 2, spelled).when(k == 3, F.date_format(d, "yyyy")).otherwise("kein Datum")
+    return o.select("o_orderkey", text.parse_date(t).alias("parsed"))
+
+
+ORACLE["parse_dates"] = "SELECT o_orderkey, CASE WHEN o_orderkey % 5 < 3 THEN strftime(o_orderdate, '%Y-%m-%d') END AS parsed FROM orders"
+
+
+@query
+def legislature_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    title = F.concat(F.lit("Liste ("), (k % 20).cast("string"), F.when(k % 3 == 0, F.lit(".Wahlperiode)")).when(k % 3 == 1, F.lit(".  Wahlperiode)")).otherwise(F.lit(")")))
+    return R.table(spark, sf_dir, "orders").select("o_orderkey", text.legislature_number(title, F.concat(F.lit("(7. Wahlperiode) "), F.col("o_orderstatus"))).alias("number"), text.safe_title(title).alias("safe"), text.key_title(F.concat(title, F.lit("/x y"))).alias("key"))
+
+
+ORACLE["legislature_numbers"] = r"""WITH t AS (SELECT o_orderkey, 'Liste (' || (o_orderkey % 20) || CASE o_orderkey % 3 WHEN 0 THEN '.Wahlperiode)' WHEN 1 THEN '.  Wahlperiode)' ELSE ')' END AS t FROM orders)
+SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 3 < 2 AND o_orderkey % 20 <> 0 THEN o_orderkey % 20 ELSE 7 END AS INTEGER) AS number, trim(regexp_replace(t, '[^A-Za-z0-9_-]', '_', 'g'), '_') AS safe, replace(t, ' ', '_') || '_x_y' AS key FROM t"""
+
+
+@query
+def canonical_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = R.table(spark, sf_dir, "documents")
+    return d.select("doc_id", text.page_url(F.substring("text", 1, 60), F.when(F.col("doc_id") % 3 != 0, F.col("doc_id"))).alias("url"))
+
+
+ORACLE["canonical_urls"] = "SELECT doc_id, 'https://de.wikipedia.org/wiki/' || url_encode(replace(substr(text, 1, 60), ' ', '_')) || CASE WHEN doc_id % 3 <> 0 THEN '?oldid=' || doc_id ELSE '' END AS url FROM documents"
+
+
+@query
+def registry_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = R.table(spark, sf_dir, "part")
+    params = F.map_from_arrays(F.array(F.lit("wp"), F.lit("brand")), F.array(F.array(F.col("p_size").cast("string"), F.lit("a b")), F.array("p_brand")))
+    return p.select("p_partkey", text.registry_url(F.lit("https://api.example.org/"), F.lit("/person"), params).alias("url"))
+
+
+ORACLE["registry_urls"] = "SELECT p_partkey, 'https://api.example.org/person?brand=' || url_encode(p_brand) || '&wp=' || p_size || '&wp=a%20b' AS url FROM part"
+
+
+@query
+def url_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    u = F.concat(F.regexp_replace("url", "#.*$", ""), F.when(F.instr("url", "?") > 0, "&").otherwise("?"), F.lit("b=&z=1&ref=2&z=3#f"))
+    return R.table(spark, sf_dir, "pages").select("page_id", text.normalize_url(u).alias("url"))
+
+
+ORACLE["url_normalize"] = r"""WITH u AS (SELECT page_id, regexp_replace(url, '#.*$', '') AS b FROM pages)
+SELECT page_id, CASE WHEN contains(b, '?') THEN b || CASE WHEN contains(b, 'ref=') THEN '&ref=2&z=1&z=3' ELSE '&z=1&z=3&ref=2' END ELSE b || '?z=1&z=3&ref=2' END AS url FROM u"""
+
+
+@query
+def name_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = R.table(spark, sf_dir, "part").withColumn("n", text.normalize_name(F.concat(F.lit("  Dr. "), F.upper("p_name"), F.lit("-Ö'"), "p_brand")))
+    return p.select("p_partkey", F.col("n").alias("normalized"), text.name_parts(F.col("n"))["last"].alias("last"), text.fold_umlauts(F.lit("Größe Ü")).alias("folded"))
+
+
+ORACLE["name_normalize"] = r"SELECT p_partkey, 'dr ' || lower(p_name) || 'o' || regexp_replace(lower(p_brand), '[^\w\s]', '', 'g') AS normalized, split_part(lower(p_name), ' ', -1) || 'o' || regexp_replace(lower(p_brand), '[^\w\s]', '', 'g') AS last, 'Groesse Ue' AS folded FROM part"
+
+
+@query
+def json_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical JSON hashes of event properties."""
+    e = R.table(spark, sf_dir, "events").withColumn("j", F.replace(F.replace("props", F.lit("}"), F.lit(',"a":[1,2]}')), F.lit(" "), F.lit("")))
+    return e.select("event_id", text.canonical_json_sha256("j").alias("sha256"), text.params_hash(F.col("j")).alias("params_hash"))
+
+
+ORACLE["json_hashes"] = """SELECT event_id, sha256(j) AS sha256, substr(sha256(j), 1, 16) AS params_hash FROM (SELECT event_id, '{"a": [1, 2], "k": ' || trim(split_part(replace(props, '}', ''), ':', 2)) || '}' AS j FROM events)"""

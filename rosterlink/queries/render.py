@@ -91,7 +91,7 @@ def dip_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     once = p.select(F.lit(1).alias("wp"), F.floor(F.col("p_partkey") / 100).cast("int").alias("page"), doc.alias("d"))
     again = p.where("p_partkey % 9 = 0").select(F.lit(2).alias("wp"), F.floor(F.col("p_partkey") / 100).cast("int").alias("page"), doc.alias("d"))
-    pages = once.unionByName(again).groupBy("wp", "page").agg(F.array_sort(F.collect_list("d")).alias("documents"))
+    pages = once.unionByName(again).groupBy("wp", "page").agg(F.array_sort(F.collect_list("d"), lambda a, b: (a["id"] - b["id"]).cast("int")).alias("documents"))
     return pages
 
 
