@@ -12,10 +12,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rosterlink.llm.common import materialise
+
 #: The masks, ones are the words that count.
 MASKS = ("1110111", "110100111", "1100101011")
 #: Seeds of one block of test items, the bound of what is broadcast at once.
 BLOCK_SEEDS = 1_000_000
+#: Positions of one window of a text; hit documents are looked up by a broadcast up to so many ids, else by a shuffle.
+WINDOW, BROADCAST_IDS = 256, 1_000_000
 
 
 def word_hashes(text: Column) -> Column:
@@ -24,19 +28,25 @@ def word_hashes(text: Column) -> Column:
     return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def _keys(h: Column, n: Column, i: Column) -> Column:
+def _keys(h: Column, i: Column) -> Column:
     """One hash a mask for position i (from 0), null where the mask would reach past the end."""
     return F.array(*(
-        F.when(i + len(mask) <= n, F.xxhash64(F.lit(k), *(F.get(h, i + at) for at, c in enumerate(mask) if c == "1")))
+        F.when(i + len(mask) <= F.size(h), F.xxhash64(F.lit(k), *(F.get(h, i + at) for at, c in enumerate(mask) if c == "1")))
         for k, mask in enumerate(MASKS)
     ))
 
 
 def _seeds(df: DataFrame, *keep: str) -> DataFrame:
-    """A row for each position and mask of array ``h``: the kept columns, position ``i`` and ``key``."""
+    """A row for each position and mask of array ``h``: the kept columns, position ``i`` and ``key``.
+
+    The array is first cut into overlapping windows, so that no row carries a whole long text along.
+    """
     # explode_outer, so that the optimiser does not work the arrays out a second time for a filter
-    at = df.withColumn("n", F.size("h")).select(*keep, "h", "n", F.explode_outer(F.sequence(F.lit(0), F.greatest(F.col("n") - min(map(len, MASKS)), F.lit(0)))).alias("i"))
-    return at.select(*keep, "h", "n", "i", F.explode_outer(_keys(F.col("h"), F.col("n"), F.col("i"))).alias("key"))
+    starts = F.sequence(F.lit(0), F.greatest(F.size("h") - 1, F.lit(0)), F.lit(WINDOW))
+    windows = F.transform(starts, lambda s: F.struct(s.alias("at"), F.slice("h", s + 1, WINDOW + max(map(len, MASKS)) - 1).alias("w")))
+    cut = df.select(*keep, F.explode_outer(windows).alias("x")).select(*keep, "x.at", "x.w")
+    each = cut.select(*keep, "at", "w", F.explode_outer(F.sequence(F.lit(0), F.lit(WINDOW - 1))).alias("j"))
+    return each.select(*keep, (F.col("at") + F.col("j")).alias("i"), F.explode_outer(_keys(F.col("w"), F.col("j"))).alias("key"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", share: float = 0.7, words: int = 25) -> DataFrame:
@@ -45,26 +55,32 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     A document holds an item if, somewhere, ``share`` of the item's words or ``words`` of them agree in place with the
     document's; ``matched`` is the most that agree. Items shorter than the shortest mask are too short to be evidence
     and are never reported; null and empty texts hold nothing. Rows of one id count as one document. Other columns are
-    not read. Null ids are kept and count as one document.
+    not read. Null ids are kept and count as one document; items without an id are left out.
     """
     items = benchmark.select(F.col(item_col).alias("item"), word_hashes(F.col(item_text_col)).alias("h"))
-    items = items.where(F.size("h") >= min(map(len, MASKS))).distinct()
+    items = items.where(F.col("item").isNotNull() & (F.size("h") >= min(map(len, MASKS)))).distinct()
     total = items.agg(F.sum(F.size("h"))).first()[0] or 0
     blocks = 1 + total * len(MASKS) // BLOCK_SEEDS
-    text = docs.select(F.col(id_col).alias("id"), word_hashes(F.col(text_col)).alias("h"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    text = rows.select("id", word_hashes(F.col("text")).alias("h"))
     found = None
     for b in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item", "h"), F.lit(blocks)) == b)
-        seeds = _seeds(part, "item").where("key is not null").select(F.col("item"), F.col("h").alias("ih"), F.col("i").alias("j"), "key")
-        hits = _seeds(text, "id").join(F.broadcast(seeds), "key")
-        shift = F.col("i") - F.col("j")
+        seeds = _seeds(part, "item").where("key is not null").select(F.col("item"), F.col("i").alias("at"), "key")
+        hits = _seeds(text, "id").join(F.broadcast(seeds), "key").select("id", "item", (F.col("i") - F.col("at")).alias("shift"))
+        hits = materialise(hits.distinct())
+        ids = materialise(hits.select("id").distinct())
+        small = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+        held = rows.join(small, rows["id"].eqNullSafe(ids["id"]), "left_semi").select("id", word_hashes(F.col("text")).alias("h"))
+        laid = hits.join(F.broadcast(part.select("item", F.col("h").alias("ih"))), "item")
+        laid = laid.withColumnRenamed("id", "hit_id").join(held, F.col("hit_id").eqNullSafe(F.col("id")))
 
-        def same(word: Column, k: Column, shift: Column = shift) -> Column:
-            at = shift + k
+        def same(word: Column, k: Column) -> Column:
+            at = F.col("shift") + k
             return F.exists(F.array(at - 1, at, at + 1), lambda p: (p >= 0) & (F.get("h", F.when(p >= 0, p).otherwise(0)) == word))
 
         matched = F.size(F.filter("ih", lambda w, k: F.coalesce(same(w, k), F.lit(False))))
-        got = hits.select("id", "item", F.size("ih").alias("n_words"), matched.alias("matched"))
+        got = laid.select("id", "item", F.size("ih").alias("n_words"), matched.alias("matched"))
         got = got.where((F.col("matched") >= F.col("n_words") * share) | (F.col("matched") >= words))
         found = got if found is None else found.unionByName(got)
     best = found.groupBy("id", "item").agg(F.max("matched").alias("matched"), F.max_by("n_words", "matched").alias("n_words"))
