@@ -232,8 +232,6 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
 
 def _links(posted: DataFrame, nodes: DataFrame, sets: _Sets, threshold: int) -> DataFrame | None:
     """Links that connect all components: star rounds, then every pair left between different components."""
-    degree = posted.groupBy("node").agg(F.count("*").alias("degree"))
-    posted = materialise(posted.join(degree, "node"))
     total = posted.count()
     links, open_, last, turn = None, posted.withColumn("c", F.col("node")), None, 0
     # the sizes a partner may have, from the row's own size and position and from the sizes that share its n-gram
@@ -248,7 +246,7 @@ def _links(posted: DataFrame, nodes: DataFrame, sets: _Sets, threshold: int) ->
         left = open_.agg(F.sum(F.when(F.col("c") != F.col("main"), F.col("k")))).first()[0] or 0
         if not left:
             break
-        full = left <= 2 * total or (last is not None and left > 0.9 * last)
+        full = last is not None and (left <= 2 * total or left > 0.9 * last)
         last, turn = left, turn + 1
         one = open_.select("token", F.col("node").alias("x"), F.col("c").alias("cx"), F.col("pos").alias("i"), F.col("n").alias("ni"), "main")
         if full:
@@ -256,9 +254,9 @@ def _links(posted: DataFrame, nodes: DataFrame, sets: _Sets, threshold: int) ->
             two = open_.select("token", F.col("node").alias("y"), F.col("c").alias("cy"), F.col("pos").alias("j"), F.col("n").alias("nj"), (F.col("c") == F.col("main")).alias("in_main"))
             once = F.col("in_main") | (F.col("x") < F.col("y"))
         else:
-            # the node that shares most n-grams leads, in later rounds one in another order
-            order = [F.col("degree").alias("o")] if turn == 1 else [F.xxhash64("node", F.lit(turn)).alias("o")]
-            lead = F.struct(*order, F.col("node").alias("y"), F.col("c").alias("cy"), F.col("pos").alias("j"), F.col("n").alias("nj"))
+            # the node with the fewest rarer n-grams leads, as it has least of its own; in later rounds one in another order
+            order = F.when(F.lit(turn == 1), -F.col("pos")).otherwise(0)
+            lead = F.struct(order.alias("o"), F.xxhash64("node", F.lit(turn)).alias("q"), F.col("node").alias("y"), F.col("c").alias("cy"), F.col("pos").alias("j"), F.col("n").alias("nj"))
             two, once = open_.groupBy("token").agg(F.max(lead).alias("l")).select("token", "l.*"), F.lit(True)
         pairs = one.join(two, (one["token"] == two["token"]) & (F.col("cx") != F.col("cy")) & once & _possible(threshold))
         pairs = materialise(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
