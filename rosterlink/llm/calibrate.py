@@ -8,7 +8,8 @@ import numpy as np
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50) -> np.ndarray:
     """Weights, the intercept last, by damped Newton steps. ``x``: (rows, features); one class alone gives its smoothed rate."""
     y = np.asarray(y, float)
-    x = np.column_stack([np.asarray(x, float).reshape(len(y), -1), np.ones(len(y))])
+    x = np.asarray(x, float)
+    x = np.column_stack([x.reshape(len(y), x.shape[1] if x.ndim > 1 else 1), np.ones(len(y))])
     w = np.zeros(x.shape[1])
     w[-1] = np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))
     if not len(y) or y.min() == y.max():
@@ -31,7 +32,3 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int =
             break
     return w
 
-
-def logistic(x: np.ndarray, w: np.ndarray) -> np.ndarray:
-    x = np.asarray(x, float)
-    return 1 / (1 + np.exp(-np.clip(x.reshape(len(x), -1) @ w[:-1] + w[-1], -30, 30)))

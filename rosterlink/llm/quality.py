@@ -80,24 +80,31 @@ def _features(dictionaries):
 def fit_quality(sample: DataFrame, max_blocks: int = 4000, dictionary_bytes: int = 65536) -> QualityModel:
     """Train on a bounded ``sample`` (label 0 or 1, text, row), as ``labelled_sample`` draws it.
 
-    One half of the rows gives the dictionaries, at most ``max_blocks`` blocks of each class in hash order; the other
-    half gives the calibration. Without rows of both classes the score is the smoothed rate of the label.
+    The dictionaries are trained on at most ``max_blocks`` blocks of each class in hash order. The calibration is
+    cross-fitted: each half of the rows is scored with dictionaries of the other half, so no row is scored by a
+    dictionary that holds it. Without rows of both classes the score is the smoothed rate of the label.
     """
     spark = sample.sparkSession
     rows = sample.select("text", "label", F.col("row").bitwiseAND(F.lit(2**63 - 1)).alias("o")).where("length(text) > 0")
-    trained = []
-    for y in (0, 1):
-        part = rows.where((F.col("label") == y) & (F.col("o") % 2 == 0))
-        got = part.mapInArrow(_training_blocks, "block binary, label int, o long").orderBy("o", "block").limit(max_blocks).select("block").collect()
-        samples = [bytes(r[0]) for r in got]
+
+    def blocks(y: int, half: int) -> list[bytes]:
+        part = rows.where((F.col("label") == y) & (F.col("o") % 2 == half))
+        got = part.mapInArrow(_training_blocks, "block binary, label int, o long").orderBy("o", "block").limit(max_blocks // 2).select("block").collect()
+        return [bytes(r[0]) for r in got]
+
+    def dictionary(samples: list[bytes]) -> bytes:
         try:
-            trained.append(zstandard.train_dictionary(dictionary_bytes, samples, level=3).as_bytes())
+            return zstandard.train_dictionary(dictionary_bytes, samples, level=3).as_bytes()
         except zstandard.ZstdError:  # too few samples to train on: their bytes serve as a raw dictionary
-            trained.append(b"".join(samples)[-dictionary_bytes:])
-    shared = spark.sparkContext.broadcast(trained)
-    got = rows.where("o % 2 = 1").select("label", "text").mapInArrow(_features(shared), "label int, x double").collect()
-    x, y = np.array([r[1] for r in got]).reshape(-1, 1), np.array([r[0] for r in got], float)
-    return QualityModel(*trained, fit_logistic(x, y, ridge=1e-6))
+            return b"".join(samples)[-dictionary_bytes:]
+
+    parts = [[blocks(y, half) for y in (0, 1)] for half in (0, 1)]
+    found = []
+    for half in (0, 1):
+        shared = spark.sparkContext.broadcast([dictionary(p) for p in parts[1 - half]])
+        found += rows.where(F.col("o") % 2 == half).select("label", "text").mapInArrow(_features(shared), "label int, x double").collect()
+    x, y = np.array([r[1] for r in found]).reshape(-1, 1), np.array([r[0] for r in found], float)
+    return QualityModel(*(dictionary(parts[0][y] + parts[1][y]) for y in (0, 1)), fit_logistic(x, y, ridge=1e-6))
 
 
 def score_quality(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3) -> DataFrame:

@@ -61,8 +61,9 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, seed: int = 0) -> tuple[n
 def ngram_sets(words: np.ndarray, first: np.ndarray, size: int):
     """Yield for each text the sorted distinct hashes of its word n-grams; fewer words make one n-gram, none no set."""
     h = words.copy()
-    for k in range(1, size):
-        h[: len(h) - k] = (h[: len(h) - k] ^ (h[: len(h) - k] >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93) + words[k:] if len(h) > k else h[:0]
+    for k in range(1, min(size, len(h))):
+        rest = h[: len(h) - k]
+        h[: len(h) - k] = (rest ^ (rest >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93) + words[k:]
     h = mix(h)
     for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
         if b - a >= size:
