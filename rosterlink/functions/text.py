@@ -82,21 +82,41 @@ def page_url(title: Column, revision: Column) -> Column:
     return F.when(revision > 0, F.concat(url, F.lit("?oldid="), revision.cast("string"))).otherwise(url)
 
 
+def form_encode(text: Column) -> Column:
+    """Percent-encoding of a form value: like ``quote``, a space is ``+``."""
+    return F.replace(F.replace(F.url_encode(text), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+
+
 def registry_url(base: Column, endpoint: Column, params: Column) -> Column:
-    """base/endpoint?k=v for a ``map<string, array<string>>`` of parameters in key order, lists repeated."""
-    each = F.flatten(F.transform(F.array_sort(F.map_entries(params)), lambda e: F.transform(e["value"], lambda v: F.concat(e["key"], F.lit("="), quote(v)))))
+    """base/endpoint?k=v for a ``map<string, array<string>>`` of parameters in the map's order, lists repeated."""
+    each = F.flatten(F.transform(F.map_entries(params), lambda e: F.transform(e["value"], lambda v: F.concat(form_encode(e["key"]), F.lit("="), form_encode(v)))))
     url = F.concat(F.regexp_replace(base, "/+$", ""), F.lit("/"), F.regexp_replace(endpoint, "^/+", ""))
     return F.when(F.size(each) > 0, F.concat(url, F.lit("?"), F.array_join(each, "&"))).otherwise(url)
 
 
 def normalize_url(url: Column) -> Column:
-    """Scheme and host as they are, query without blank values, repeated keys grouped in order of first appearance, no fragment."""
-    bare = F.regexp_replace(url, "#.*$", "")
-    head, query = F.regexp_extract(bare, r"^([^?]*)", 1), F.regexp_extract(bare, r"\?(.*)$", 1)
-    pairs = F.filter(F.split(query, "&"), lambda p: p.rlike("^[^=]+=.+"))
-    keys = F.array_distinct(F.transform(pairs, lambda p: F.substring_index(p, "=", 1)))
-    grouped = F.flatten(F.transform(keys, lambda k: F.filter(pairs, lambda p: F.substring_index(p, "=", 1) == k)))
-    return F.when(F.size(grouped) > 0, F.concat(head, F.lit("?"), F.array_join(grouped, "&"))).otherwise(head)
+    """A URL with its path and query encoded again.
+
+    In the query, blank values go and the values of a repeated key stand together where the key first appears. A ``%`` in
+    the path is encoded again. What does not begin with ``http`` is only encoded where it must be; null is empty.
+    """
+    url = F.coalesce(url, F.lit(""))
+    part = lambda pattern: F.regexp_extract(url, r"(?s)^([^:/?#]+://[^/?#]*)([^?#]*)\??([^#]*)(#.*)?$", pattern)
+    params = F.regexp_extract(part(2), r"(?s)(;[^/]*)$", 1)
+    path = F.replace(quote(F.regexp_replace(part(2), r"(?s);[^/]*$", "")), F.lit("%2F"), F.lit("/"))
+    decoded = lambda c: F.coalesce(F.try_url_decode(c), c)
+    pairs = F.transform(
+        F.filter(F.split(part(3), "&"), lambda p: p.rlike("(?s)^[^=]*=.+")),
+        lambda p: F.struct(decoded(F.substring_index(p, "=", 1)).alias("k"), decoded(F.regexp_replace(p, "(?s)^[^=]*=", "")).alias("v")),
+    )
+    keys = F.array_distinct(F.transform(pairs, lambda p: p["k"]))
+    grouped = F.flatten(F.transform(keys, lambda k: F.filter(pairs, lambda p: p["k"] == k)))
+    query = F.array_join(F.transform(grouped, lambda p: F.concat(form_encode(p["k"]), F.lit("="), form_encode(p["v"]))), "&")
+    full = F.concat(part(1), path, params, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""), F.when(F.length(part(4)) > 1, part(4)).otherwise(""))
+    other = quote(url)
+    for c in "/:?#[]@!$&'()*+,;=":
+        other = F.replace(other, F.lit(f"%{ord(c):02X}"), F.lit(c))
+    return F.when(url.startswith("http") & url.contains("://"), full).otherwise(other)
 
 
 @F.pandas_udf(T.StringType())

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from rosterlink.functions.dom import with_dom
 from rosterlink.functions.ids import evidence_id
 from rosterlink.functions.text import canonical_json_sha256, clean_snippet, page_url, truncate, underscored
-from rosterlink.operators.members import EVIDENCE_REF
 from rosterlink.sources.readers import latest
 
 
@@ -98,10 +97,16 @@ def find_persons(docs: DataFrame, query: str, limit: int = 5) -> DataFrame:
 
 
 def refs_of_documents(docs: DataFrame) -> DataFrame:
-    """References of search documents: ``evidence_refs``, else their bare ids, those only where no document has references."""
-    one = docs.select("person_id", "evidence_refs", "evidence_ids")
+    """References of search documents: ``evidence_refs``, else the older map ``evidence_snippet_refs`` from id to reference
+    where documents have one, else their bare ids, those only where no document has references."""
+    one = docs.select("person_id", "evidence_refs", "evidence_ids", *(["evidence_snippet_refs"] if "evidence_snippet_refs" in docs.columns else []))
     refs = one.select("person_id", F.explode("evidence_refs").alias("r")).select("person_id", F.col("r.evidence_id").alias("evidence_id"), F.col("r.snippet_ref.table_index").alias("table_index"), F.col("r.snippet_ref.row_index").alias("row_index"), F.col("r.purpose").alias("purpose"))
-    any_refs = F.broadcast(one.agg(F.coalesce(F.max(F.size("evidence_refs") > 0), F.lit(False)).alias("any_refs")))  # one row
+    has = F.coalesce(F.size("evidence_refs"), F.lit(0)) > 0
+    if "evidence_snippet_refs" in docs.columns:
+        older = one.where(~has).select("person_id", F.explode(F.map_entries("evidence_snippet_refs")).alias("e")).where("e.value is not null")
+        refs = refs.unionByName(older.select("person_id", F.col("e.key").alias("evidence_id"), F.col("e.value.table_index").alias("table_index"), F.col("e.value.row_index").alias("row_index"), F.when(F.col("e.value.type") == "table_row", "membership_row").alias("purpose")))
+        has = has | (F.coalesce(F.size("evidence_snippet_refs"), F.lit(0)) > 0)
+    any_refs = F.broadcast(one.agg(F.coalesce(F.max(has), F.lit(False)).alias("any_refs")))  # one row
     bare = one.select("person_id", F.explode("evidence_ids").alias("evidence_id")).withColumn("k", F.lit(1)).join(any_refs.withColumn("k", F.lit(1)), "k").where("not any_refs")
     bare = bare.select("person_id", "evidence_id", F.lit(None).cast("int").alias("table_index"), F.lit(None).cast("int").alias("row_index"), F.lit(None).cast("string").alias("purpose"))
     return refs.unionByName(bare)
@@ -122,6 +127,3 @@ def as_markdown(resolved: DataFrame) -> DataFrame:
     head = F.concat(F.lit("- **"), "page_title", F.lit("** (revision "), F.col("revision_id").cast("string"), F.lit(")"))
     return resolved.select("evidence_id", F.concat_ws("\n", head, line("URL", "canonical_url"), line("Snippet", "snippet"), line("Purpose", "purpose"), line("Retrieved", "retrieved_at_utc")).alias("markdown"))
 
-
-def refs_type() -> str:
-    return f"array<{EVIDENCE_REF}>"

@@ -425,7 +425,7 @@ def registry_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("p_partkey", text.registry_url(F.lit("https://api.example.org/"), F.lit("/person"), params).alias("url"))
 
 
-ORACLE["registry_urls"] = "SELECT p_partkey, 'https://api.example.org/person?brand=' || url_encode(p_brand) || '&wp=' || p_size || '&wp=a%20b' AS url FROM part"
+ORACLE["registry_urls"] = "SELECT p_partkey, 'https://api.example.org/person?wp=' || p_size || '&wp=a+b&brand=' || url_encode(p_brand) AS url FROM part"
 
 
 @query
@@ -435,7 +435,7 @@ def url_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["url_normalize"] = r"""WITH u AS (SELECT page_id, regexp_replace(url, '#.*$', '') AS b FROM pages)
-SELECT page_id, CASE WHEN contains(b, '?') THEN b || CASE WHEN contains(b, 'ref=') THEN '&ref=2&z=1&z=3' ELSE '&z=1&z=3&ref=2' END ELSE b || '?z=1&z=3&ref=2' END AS url FROM u"""
+SELECT page_id, CASE WHEN contains(b, '?') THEN b || CASE WHEN contains(b, 'ref=') THEN '&ref=2&z=1&z=3' ELSE '&z=1&z=3&ref=2' END ELSE b || '?z=1&z=3&ref=2' END || '#f' AS url FROM u"""
 
 
 @query

@@ -138,3 +138,21 @@ def test_whole_job(spark, tmp_path):
     assert {r.type for r in out["edges"].select("type").distinct().collect()} == {"SUPPORTED_BY", "HELD", "IN", "AFFILIATED_WITH", "HAS_SOURCE", "LINKS"}
     m = export({"persons": out["persons"].select("person_id", "name"), "none": out["errors"]}, str(tmp_path / "out"), "r", "now")
     assert {(r.entity, r.n) for r in m.collect()} == {("persons", 2), ("none", 0)} and not (tmp_path / "out" / "none").exists()
+
+
+@pytest.mark.parametrize("url", ["http://a.B/p q/ü;x=1?b=2&a=&b=%C3%A4+c&c#f", "https://h", "https://h/%41?x=~*", "", "a b/ü?x=1"])
+def test_normalize_url(spark, url):
+    from urllib.parse import parse_qs, quote, urlencode, urlparse, urlunparse
+
+    want = quote(url, safe="/:?#[]@!$&'()*+,;=")
+    if url.startswith("http"):
+        p = urlparse(url)
+        want = urlunparse((p.scheme, p.netloc, quote(p.path, safe="/"), p.params, urlencode(parse_qs(p.query), doseq=True), p.fragment))
+    assert spark.createDataFrame([(url,)], "u string").select(text.normalize_url(F.col("u"))).first()[0] == want
+
+
+def test_references_of_search_documents(spark):
+    ref = "struct<version:int,type:string,table_index:int,row_index:int>"
+    docs = spark.createDataFrame([("p", None, {"e1": (1, "table_row", 0, 4), "e2": None}, ["e1"]), ("q", None, None, ["e3"])], f"person_id string, evidence_refs array<{members.EVIDENCE_REF}>, evidence_snippet_refs map<string,{ref}>, evidence_ids array<string>")
+    assert [tuple(r) for r in evidence.refs_of_documents(docs).collect()] == [("p", "e1", 0, 4, "membership_row")]
+    assert [r.evidence_id for r in evidence.refs_of_documents(docs.where("person_id = 'q'")).collect()] == ["e3"]
