@@ -25,6 +25,8 @@ from rosterlink.llm.common import materialise
 
 #: Words and word parts whose ids a task keeps.
 CACHE = 500_000
+#: Runs of the plan that are broadcast (48 bytes each); a longer plan, of longer sequences, is joined by a shuffle.
+BROADCAST_RUNS = 200_000
 _SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 _PLAIN = regex.compile(r"[\x21-\x7e\xa1-įı-ɏ]*")
 
@@ -176,6 +178,6 @@ def pack(pieces: DataFrame, max_tokens: int = 2048, keys: tuple[str, ...] = ("do
     rows = np.array(plan, np.int64)
     runs = spark.createDataFrame(pa.table({c: rows[:, i] for i, c in enumerate(("length", "first", "ranks", "copies", "seq", "start_at"))}))
     inside_run = (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("first") + F.col("ranks"))
-    placed = ranked.join(F.broadcast(runs), (ranked["length"] == runs["length"]) & inside_run).drop(runs["length"])
+    placed = ranked.join(F.broadcast(runs) if len(plan) <= BROADCAST_RUNS else runs, (ranked["length"] == runs["length"]) & inside_run).drop(runs["length"])
     i = F.col("rank") - F.col("first")
     return placed.select(*pieces.columns, (F.col("seq") + F.floor(i / F.col("copies"))).cast("long").alias("sequence_id"), (F.col("start_at") + i % F.col("copies") * F.col("length")).cast("long").alias("offset"))
