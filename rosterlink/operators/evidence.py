@@ -36,20 +36,31 @@ def lead_paragraph(dom: Column, size: int = 500) -> Column:
     return truncate(best, size)
 
 
-def page_leads(doms: DataFrame, size: int = 500) -> DataFrame:
-    return doms.select("evidence_id", lead_paragraph(F.col("dom"), size).alias("lead"))
+def _citable_rows(dom: Column, size: int) -> Column:
+    wiki = F.filter(dom["tables"], lambda t: t["is_wikitable"])
+    tables = F.when(F.size(wiki) > 0, wiki).otherwise(dom["tables"])
+
+    def row(cells: Column, t: Column, r: Column) -> Column:
+        texts = F.filter(F.transform(cells, lambda c: clean_snippet(c["text"])), lambda x: x != "")
+        return F.struct(t.alias("table_index"), r.alias("row_index"), F.when(F.size(texts) > 0, truncate(clean_snippet(F.array_join(texts, " | ")), size)).alias("row_text"))
+
+    def rows(table: Column, t: Column) -> Column:
+        body = F.when(F.size(table["rows"]) > 1, F.slice(table["rows"], F.lit(2), F.greatest(F.size(table["rows"]) - 1, F.lit(0)))).otherwise(table["rows"])
+        return F.transform(body, lambda cells, r: row(cells, t, r))
+
+    return F.flatten(F.transform(tables, rows))
 
 
 def page_rows(doms: DataFrame, size: int = 500) -> DataFrame:
     """``(evidence_id, table_index, row_index, row_text)``: data rows of every citable table, a table's only row is its row 0."""
-    wiki = F.filter("dom.tables", lambda t: t["is_wikitable"])
-    tables = F.when(F.size(wiki) > 0, wiki).otherwise(F.col("dom.tables"))
-    rows = doms.select("evidence_id", F.posexplode(tables).alias("table_index", "t"))
-    body = F.when(F.size("t.rows") > 1, F.slice("t.rows", F.lit(2), F.greatest(F.size("t.rows") - 1, F.lit(0)))).otherwise(F.col("t.rows"))
-    rows = rows.select("evidence_id", "table_index", F.posexplode(body).alias("row_index", "cells"))
-    texts = F.filter(F.transform("cells", lambda c: clean_snippet(c["text"])), lambda t: t != "")
-    text = F.array_join(texts, " | ")
-    return rows.select("evidence_id", "table_index", "row_index", F.when(F.size(texts) > 0, truncate(clean_snippet(text), size)).alias("row_text"))
+    return doms.select("evidence_id", F.explode(_citable_rows(F.col("dom"), size)).alias("r")).select("evidence_id", "r.*")
+
+
+def page_snippets(doms: DataFrame, size: int = 500) -> DataFrame:
+    """``page_rows``, and each page's lead paragraph as its row -1 of table -1, from one pass over the pages."""
+    lead = F.struct(F.lit(-1).alias("table_index"), F.lit(-1).alias("row_index"), lead_paragraph(F.col("dom"), size).alias("row_text"))
+    every = F.concat(_citable_rows(F.col("dom"), size), F.array(lead))
+    return doms.select("evidence_id", F.explode(every).alias("r")).select("evidence_id", "r.*")
 
 
 def legacy_ref(text: Column) -> Column:
@@ -69,12 +80,16 @@ def resolve_evidence_refs(refs: DataFrame, index: DataFrame, pages: DataFrame, p
     found = entries.join(p, ["page_title", "revision_id"], "left")
     doms = with_dom(found.where("html is not null").select("evidence_id", "html"))
     doms = doms.select("evidence_id", F.struct("dom.tables", "dom.paragraphs").alias("dom"))
-    keyed = refs.join(page_rows(doms, size), ["evidence_id", "table_index", "row_index"], "left")
-    keyed = keyed.join(page_leads(doms, size), "evidence_id", "left")
-    no_ref = F.col("table_index").isNull()
-    lead = F.when(F.lit(prefer == "lead_paragraph") | no_ref, F.col("lead"))
-    rows = keyed.join(found.drop("html"), "evidence_id").withColumn("snippet", F.coalesce("row_text", lead))
-    source = F.when(F.col("row_text").isNotNull(), "table_row").when(F.col("snippet").isNotNull(), "lead_paragraph")
+    # a reference without a place is one to the lead, row -1 of table -1: one join gives both
+    place = {"_t": F.coalesce("table_index", F.lit(-1)), "_r": F.coalesce("row_index", F.lit(-1))}
+    snippets = page_snippets(doms, size).select("evidence_id", F.col("table_index").alias("_t"), F.col("row_index").alias("_r"), "row_text")
+    keyed = refs.withColumns(place).join(snippets, ["evidence_id", "_t", "_r"], "left").drop("_t", "_r")
+    text = F.col("row_text")
+    if prefer == "lead_paragraph":
+        keyed = keyed.join(snippets.where("_t = -1").select("evidence_id", F.col("row_text").alias("lead")), "evidence_id", "left")
+        text = F.coalesce("row_text", "lead")
+    rows = keyed.join(found.drop("html"), "evidence_id").withColumn("snippet", text)
+    source = F.when(F.col("row_text").isNotNull() & F.col("table_index").isNotNull(), "table_row").when(F.col("snippet").isNotNull(), "lead_paragraph")
     return rows.select(
         "evidence_id", "source_kind", "page_title", "page_id", "revision_id", F.col("retrieved_at").alias("retrieved_at_utc"), "sha256", F.col("url").alias("source_url"),
         page_url(F.col("page_title"), F.col("revision_id")).alias("canonical_url"), "snippet", source.alias("snippet_source"), "table_index", "row_index", "purpose",

@@ -181,8 +181,8 @@ def evidence_row_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every member's cited row, from its page; ids without an index entry drop out."""
     r = _members(spark, sf_dir).select(F.get("evidence_refs", F.lit(0)).alias("r"))
     refs = r.select("r.evidence_id", "r.snippet_ref.table_index", "r.snippet_ref.row_index", "r.purpose")
-    gone = refs.limit(1).withColumn("evidence_id", F.lit("unknown"))
-    out = evidence.resolve_evidence_refs(refs.unionByName(gone), _index(spark, sf_dir), R.list_pages(spark, sf_dir))
+    refs = refs.select(F.explode(F.when(F.col("row_index") == 0, F.array("evidence_id", F.lit("unknown"))).otherwise(F.array("evidence_id"))).alias("evidence_id"), "table_index", "row_index", "purpose")
+    out = evidence.resolve_evidence_refs(refs, _index(spark, sf_dir), R.list_pages(spark, sf_dir))
     return out.select("evidence_id", "row_index", "snippet", "snippet_source", "canonical_url", "purpose")
 
 
