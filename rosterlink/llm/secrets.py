@@ -1,6 +1,8 @@
 """Secret scans: candidate strings, and a random forest that removes false positives.
 
-A candidate is a run of at least 12 characters that tokens are made of, one a digit. What the forest sees of it: its
+A candidate is a value in a known format, a value that an announcing name and an assignment precede (of any length, with
+or without digits; without quotes it ends at white space, commas, brackets or '&'), the value of ``user:value@host``, or
+a run of at least 12 characters that tokens are made of, one a digit. What the forest sees of it: its
 length, its character classes and transitions, how much of it dictionary words cover, its path, and the neighbouring
 words. It is trained from labelled findings. Everything is DataFrame expressions and the JVM's forest.
 """
@@ -15,21 +17,35 @@ from pyspark.sql import functions as F
 
 from rosterlink.llm.common import materialise
 
-_SET = r"A-Za-z0-9+/_\-.@="
-#: A whole run of token characters, 12 or more, with a digit in it; each run is looked at once.
-CANDIDATE = rf"(?<![{_SET}])(?=[A-Za-z+/_\-.@=]*+[0-9])[{_SET}]{{12,}}+"
-MARK = "\u0001"
+#: Characters of a token run; '=' belongs to it only as trailing padding, '.' only inside.
+_SET = r"A-Za-z0-9+/_\-.@"
+_QUOTE = "\"'`"
+_NAMES = r"token|secret|passw(?:or)?d|pwd|api[_-]?key|aws[_-]?key|access[_-]?key|private[_-]?key|auth(?:orization)?|bearer|credentials?"
+#: The end of an announcing name and its assignment: NAME=value, "name": "value", name: Bearer value.
+_ASSIGN = rf"(?:[_-]?[0-9]{{1,4}})?[{_QUOTE}]?\s{{0,9}}(?:=>|:=|=|:)\s{{0,9}}(?:(?i:bearer|basic|token)[ \t]++)?+[{_QUOTE}]?+"
+_ASSIGNED_VALUE = rf"(?<=[{_QUOTE}])[^{_QUOTE}\n]++(?=[{_QUOTE}])|[^\s{_QUOTE},;&<>(){{}}\[\]]*[^\s{_QUOTE},;&<>(){{}}\[\].:!?]"
+#: user:value@host; after a name that announces a mail address only behind '://', and there the value may be anything.
+_CREDENTIAL = rf"(://[^\s/?#:@{_QUOTE}]*+:)([^\s/?#@{_QUOTE}]++)(?=@)|((?<![A-Za-z0-9_.+\-])(?!(?i:mailto|e-?mail|mail|contact|from|to|cc|bcc|reply-to|sips?|xmpp|acct):)[A-Za-z0-9_.+\-]{{1,64}}+:)((?=[^\s/@:0-9]*+[0-9])[^\s/@:{_QUOTE}]++)(?=@[A-Za-z0-9])"
+#: A whole run of token characters, 12 or more, with a digit in it, that is no announcing name before its assignment.
+_RUN = rf"(?:\G|(?<![{_SET}]))(?=[A-Za-z+/_\-.@]*+[0-9])(?![{_SET}]*+(?<=(?i:{_NAMES})(?:[_-]?[0-9]{{1,4}})?)[{_QUOTE}]?\s{{0,9}}[=:])[{_SET}]{{11,}}[A-Za-z0-9+/_\-@](?:={{1,2}}(?![{_SET}=]))?+"
+MARK, KEEP = "\u0001", "\u0002"
 # Well-known public formats of credentials, words that announce one, words that announce a dummy.
 FORMATS = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\..*|sk-[A-Za-z0-9]{20,})$"
-ANNOUNCE = r"(?i)\b(token|secret|passw(or)?d|pwd|api[_-]?key|access[_-]?key|private[_-]?key|auth(orization)?|bearer|credentials?)\b"
+#: The same formats wherever they stand in a run, at its end or before a full stop.
+_FORMAT_WITHIN = r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}(?![A-Za-z0-9])|gh[pousr]_[A-Za-z0-9]{36,}+|xox[abprs]-[A-Za-z0-9-]{10,}+|eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++\.[A-Za-z0-9_.-]*+(?<!\.)|sk-[A-Za-z0-9]{20,}+)"
+_NAME = rf"(?i)(?:(?<![A-Za-z])|(?-i:(?<=[a-z])(?=[A-Z])))(?:{_NAMES})(?![A-Za-z])"
+ANNOUNCE = _NAME
+CANDIDATE = rf"(?:((?:{_NAME}){_ASSIGN})({_ASSIGNED_VALUE})|{_CREDENTIAL}|({KEEP}[^{KEEP}]*+{KEEP}|{_RUN}))"
 DUMMY = r"(?i)\b(example|sample|dummy|fake|test|placeholder|mock|xxx+)\b"
 FEATURES = ["length", "digits", "upper", "lower", "signs", "hex", "transitions", "vowel_pairs", "covered", "path_test", "path_data", "announced", "assigned", "quoted", "dummy", "format", "at_sign", "dots"]
 
 
 def _parts(text: Column) -> Column:
     """The text cut around its candidates: candidates are the elements with odd positions (from 0)."""
-    clean = F.replace(F.coalesce(text, F.lit("")), F.lit(MARK), F.lit(" "))
-    return F.split(F.regexp_replace(clean, CANDIDATE, f"{MARK}$0{MARK}"), MARK)
+    clean = F.translate(F.coalesce(text, F.lit("")), MARK + KEEP, "  ")
+    formats = F.regexp_replace(clean, _FORMAT_WITHIN, f"{KEEP}$0{KEEP}")
+    marked = F.regexp_replace(formats, CANDIDATE, f"$1$3$5{MARK}$2$4$6$7{MARK}")
+    return F.split(F.replace(marked, F.lit(KEEP), F.lit("")), MARK)
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source", context: int = 40) -> DataFrame:
@@ -38,8 +54,8 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``position`` is the candidate's first character, from 0. Null and empty texts have no candidates.
     """
     path = F.col(path_col).cast("string") if path_col else F.lit(None).cast("string")
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(path, F.lit("")).alias("path"), F.col(text_col).alias("text")).where(F.col("text").rlike(CANDIDATE))
-    rows = rows.select("id", "path", _parts(F.col("text")).alias("parts"))
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(path, F.lit("")).alias("path"), F.col(text_col).alias("text"))
+    rows = rows.select("id", "path", _parts(F.col("text")).alias("parts")).where(F.size("parts") > 1)
     found = rows.select("id", "path", F.col("parts"), F.explode(F.sequence(F.lit(1), F.size("parts") - 2, F.lit(2))).alias("i"))
     part = lambda k: F.get("parts", F.col("i") + k)
     position = F.length(F.array_join(F.slice("parts", F.lit(1), F.col("i")), ""))
@@ -70,11 +86,16 @@ def with_features(found: DataFrame, dictionary: list[str]) -> DataFrame:
 
 
 def labelled_by_rule(found: DataFrame) -> DataFrame:
-    """Findings with certain labels, for data without any: formats and announced, assigned, quoted values are secrets;
-    mail addresses, network addresses, plain numbers and dummies are not. All others are left out."""
-    value = F.col("value")
-    no = value.rlike(r"^[^@]+@[^@]+\.[^@]+$|^[0-9.\-/+=_]+$") | F.concat_ws(" ", "before", "after").rlike(DUMMY)
-    yes = value.rlike(FORMATS) | (F.col("before").rlike(ANNOUNCE + r"\s*[=:]\s*[\"'`]$") & F.col("after").rlike(r"^[\"'`]"))
+    """Findings with certain labels, for data without any: formats, credentials of URLs and announced, assigned values
+    with a digit (quoted, or right after '=') are secrets; other mail addresses, network addresses and plain numbers are
+    not, nor are dummies. All others are left out."""
+    value, before, after = F.col("value"), F.col("before"), F.col("after")
+    assigned = before.rlike(ANNOUNCE + _ASSIGN + "$")
+    credential = before.rlike(rf"://[^\s/?#:@{_QUOTE}]*:$") & after.startswith("@")
+    quoted = before.rlike(rf"[{_QUOTE}]$") & after.rlike(rf"^[{_QUOTE}]")
+    plain = value.rlike(r"^[^@]+@[^@]+\.[^@]+$|^[0-9.\-/+=_]+$")
+    no = (plain & ~(assigned & quoted) & ~credential) | F.concat_ws(" ", "before", "after").rlike(DUMMY)
+    yes = value.rlike(FORMATS) | credential | (assigned & value.rlike("[0-9]") & (quoted | before.endswith("=")))
     return found.withColumn("label", F.when(no, 0.0).when(yes, 1.0)).where("label is not null")
 
 

@@ -128,6 +128,27 @@ def test_secrets(spark, odd, empty):
     assert labelled_by_rule(candidates(odd)).count() == 1
 
 
+def test_secrets_are_cut_out_of_their_surroundings(spark):
+    gh, aws = "ghp_" + "a1B2c3D4e5" * 4, "AKIA" + "ABCD1234EFGH5678"
+    texts = {
+        f"GITHUB_TOKEN={gh}": [gh], f"AWS_KEY={aws}": [aws], f"GET /x?token={gh}&page=2": [gh], f"The key is {aws}. It": [aws], f"see https://host.org/files/{aws}": [aws],
+        "postgres://user:pass1234word@db.host.com/x": ["pass1234word"], "redis://:geheim@cache": ["geheim"], "user:pass1234word@db.host.com": ["pass1234word"],
+        "password: hunter2": ["hunter2"], '{"password": "open sesame"}': ["open sesame"], "DB2_MASTER_PASSWORD=hunter2\n": ["hunter2"], "Authorization: Bearer abc123": ["abc123"],
+        "mailto:john12345678@host.com": ["john12345678@host.com"], "YWJjZGVmZ2hpamtsbW5vcA12== end": ["YWJjZGVmZ2hpamtsbW5vcA12=="], "no secret here": [],
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = candidates(docs, path_col=None)
+    got, rows = collections.defaultdict(list), found.collect()
+    for r in rows:
+        got[list(texts)[r.id]].append(r.value)
+        assert list(texts)[r.id][r.position : r.position + len(r.value)] == r.value
+    assert {t: [v for v in got[t] if v in want or not want] for t, want in texts.items()} == texts and all("=" not in v.rstrip("=") for vs in got.values() for v in vs)
+    label = {(r.id, r.value): r.label for r in labelled_by_rule(found).collect()}
+    assert [label.get((k, w[0])) for k, (t, w) in enumerate(texts.items()) if w] == [1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, None, None, None, 1.0, None, 0.0, None]
+    long = "token=" + "." * 30_000 + " 1" + "." * 30_000 + " " + "a1." * 20_000 + " x:" + "a" * 30_000 + " " + "eyJ-" * 2_000
+    assert candidates(spark.createDataFrame([(1, long)], "doc_id long, text string"), path_col=None).count() >= 1
+
+
 def auc(score, label):
     pos, neg = np.sort(score[label == 1]), np.sort(score[label == 0])
     return np.mean((np.searchsorted(neg, pos) + np.searchsorted(neg, pos, "right")) / 2) / len(neg)
