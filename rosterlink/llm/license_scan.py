@@ -1,13 +1,17 @@
-"""Licence scans by canonical digests of entire texts.
+"""Licence scans by canonical forms of entire texts.
 
-A text is made canonical: lower case, copyright lines dropped, equivalent spellings made one, every run of other
-characters than letters and digits one space. The digest of the whole canonical text is joined with those of known
+A text is made canonical: lower case, copyright lines dropped, white space collapsed, equivalent spellings made one,
+every run of other characters than letters and digits one space. The whole canonical text is joined with those of known
 licence texts and notices. Every unit of a document is such a text: the document itself, each paragraph (between blank
-lines) and each line.
+lines), each run of consecutive paragraphs and each line.
 """
 
 from __future__ import annotations
 
+import functools
+import operator
+import pathlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +24,7 @@ COPYRIGHT_LINE = r"(?m)^[ \t#*/;%-]*(copyright\b|\(c\))[^\n]*$"
 _AS_IS = 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.'
 _ISC = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
 _ISC_END = 'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.'
-#: Known licences as (identifier, entire text); full texts, usual headers and one-line notices.
+#: Fixed values, also of the SQL: known licences as (identifier, entire text); full texts, usual headers and one-line notices.
 KNOWN = [
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. " + _AS_IS),
     ("MIT", "Released under the MIT License."),
@@ -44,37 +48,81 @@ KNOWN = [
 ]
 
 
+_MIT, _APACHE_HEADER = KNOWN[0][1], KNOWN[7][1]
+_BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+_BSD_1 = "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+_BSD_2 = "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. "
+_BSD_3 = "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. "
+_BSD_END = 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.'
+_TEXTS = [
+    ("MIT", _MIT, ["MIT License", "The MIT License", "The MIT License (MIT)"]),
+    ("ISC", KNOWN[4][1], ["ISC License", "The ISC License"]),
+    ("0BSD", KNOWN[5][1], ["BSD Zero Clause License", "Zero-Clause BSD"]),
+    ("Apache-2.0", _APACHE_HEADER, []),
+    ("BSD-2-Clause", _BSD + _BSD_1 + _BSD_2 + _BSD_END, ["BSD 2-Clause License", "The 2-Clause BSD License"]),
+    ("BSD-2-Clause", f"{_BSD}1. {_BSD_1}2. {_BSD_2}{_BSD_END}", ["BSD 2-Clause License", "The 2-Clause BSD License"]),
+    ("BSD-3-Clause", _BSD + _BSD_1 + _BSD_2 + _BSD_3 + _BSD_END, ["BSD 3-Clause License", "The 3-Clause BSD License"]),
+    ("BSD-3-Clause", f"{_BSD}1. {_BSD_1}2. {_BSD_2}3. {_BSD_3}{_BSD_END}", ["BSD 3-Clause License", "The 3-Clause BSD License"]),
+]
+_FILES = [("Apache-2.0", "Apache-2.0"), ("GPL-2.0", "GPL-2"), ("GPL-3.0", "GPL-3"), ("MPL-2.0", "MPL-2.0"), ("CC0-1.0", "CC0-1.0")]
+#: KNOWN, further full texts, and full texts under a title.
+ALL_KNOWN = KNOWN + [(k, (pathlib.Path(__file__).parent / "license_texts" / f"{name}.txt").read_text()) for k, name in _FILES] + [(k, f"{title} {t}".strip()) for k, t, titles in _TEXTS for title in ["", *titles]]
+#: A copyright line: with a year, a '(c)', or a holder, but not one that goes on with the words of a licence text.
+COPYRIGHT_NOTICE = r"(?m)^[ \t#*/;%-]*(\(c\)|copyright\b(?=[^\n]*(\b[12][0-9]{3}\b|\(c\)))|copyright[ \t]+(?!(notices?|holders?|owners?|laws?|licen[sc]es?|statements?|and|or|in|is|of|to|the above|on|for)\b)(?=\w))[^\n]*$"
+
+
 def canonical(text: Column) -> Column:
     """The canonical form of an entire text; null is empty."""
-    out = F.lower(F.coalesce(text, F.lit("")))
+    out = F.replace(F.lower(F.coalesce(text, F.lit(""))), F.lit("©"), F.lit("(c)"))
+    out = F.regexp_replace(F.regexp_replace(out, COPYRIGHT_NOTICE, " "), r"\n[ \t#*/;%-]*|\s+", " ")
+    out = F.regexp_replace(out, "  +", " ")
     for a, b in SPELLINGS:
         out = F.replace(out, F.lit(a), F.lit(b))
-    return F.trim(F.regexp_replace(F.regexp_replace(out, COPYRIGHT_LINE, " "), r"[^\p{L}\p{N}]+", " "))
+    return F.trim(F.regexp_replace(out, r"[^\p{L}\p{N}]+", " "))
 
 
 def license_hits(docs: DataFrame, known: list[tuple[str, str]] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows ``(id_col, unit, position, license)`` for each unit of a document that is a known licence text as a whole.
 
-    ``unit`` is ``document``, ``paragraph`` or ``line`` and ``position`` counts units from 0. A document of one
-    paragraph or line gives that unit once, as the larger kind. Null, empty and wordless texts match nothing; repeated
-    rows give repeated hits; other columns are not read. ``known`` is a policy of a few texts and is broadcast.
+    ``unit`` is ``document``, ``paragraph``, ``paragraphs`` (a run of several, at its first one's position) or ``line``
+    and ``position`` counts units from 0. A document of one paragraph or line, or a run that is all of its text, gives
+    that unit once, as the larger kind. Null, empty and wordless texts match nothing; repeated rows give repeated hits;
+    other columns are not read. ``known`` is a policy of a few texts and is broadcast. Units are only made of documents
+    whose canonical text holds a known one.
     """
     spark = docs.sparkSession
-    table = spark.createDataFrame(sorted({(k, t) for k, t in known or KNOWN}), "license string, known string")
-    table = table.select(F.sha2(canonical(F.col("known")), 256).alias("digest"), "license").dropDuplicates(["digest"])
+    table = spark.createDataFrame(sorted({(k, t) for k, t in known or ALL_KNOWN}), "license string, known string")
+    table = table.select(canonical(F.col("known")).alias("known"), "license").where("known <> ''").groupBy("known").agg(F.min("license").alias("license"))
+    table = spark.createDataFrame(sorted((r.known, r.license) for r in table.collect()), "known string, license string")
+    texts = [r.known for r in table.collect()]
+    # without the first word, which a spelling may join with the line before; texts that hold another's key are found by it
+    keys = sorted({t.partition(" ")[2] or t for t in texts}, key=len)
+    keys = [k for i, k in enumerate(keys) if not any(o in k for o in keys[:i])]
     text = F.coalesce(F.col(text_col), F.lit(""))
-    lines, paragraphs = F.split(text, "\n"), F.split(text, "\n[ \t\r]*\n")
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"))
+    rows = rows.where(F.exists(F.array(canonical(F.col("text"))), lambda c: functools.reduce(operator.or_, [F.contains(c, F.lit(k)) for k in keys] or [F.lit(False)])))
+    lines, paragraphs = F.split("text", "\n"), F.split("text", "\n[ \t\r]*\n")
 
     def units(kind: str, parts: Column) -> Column:
-        return F.transform(parts, lambda t, i: F.struct(F.lit(kind).alias("unit"), i.alias("position"), t.alias("part")))
+        return F.transform(parts, lambda t, i: F.struct(F.lit(kind).alias("unit"), i.alias("position"), canonical(t).alias("canon")))
 
-    none = F.array().cast("array<struct<unit:string,position:int,part:string>>")
+    none = F.array().cast("array<struct<unit:string,position:int,canon:string>>")
     every = F.concat(
-        units("document", F.array(text)),
+        units("document", F.array("text")),
         F.when(F.size(paragraphs) > 1, units("paragraph", paragraphs)).otherwise(none),
         F.when(F.size(lines) > 1, units("line", lines)).otherwise(none),
     )
-    rows = docs.select(F.col(id_col).alias("id"), F.explode(every).alias("u")).select("id", "u.*")
-    rows = rows.withColumn("canon", canonical(F.col("part"))).where("canon <> ''")
-    hits = rows.select("id", "unit", "position", F.sha2("canon", 256).alias("digest")).join(F.broadcast(table), "digest")
-    return hits.select(F.col("id").alias(id_col), "unit", "position", "license")
+    whole = rows.select("id", F.explode(every).alias("u")).select("id", "u.*").where("canon <> ''")
+    hits = whole.join(F.broadcast(table), F.col("canon") == F.col("known")).select("id", "unit", "position", "license")
+
+    # runs: a known text that begins with a paragraph and is spelled out by it and those that follow
+    runs = rows.select("id", canonical(F.col("text")).alias("all"), F.transform(paragraphs, canonical).alias("parts")).where(F.size("parts") > 1)
+    runs = runs.select("id", "all", "parts", F.posexplode("parts").alias("position", "canon")).where("canon <> ''")
+    runs = runs.join(F.broadcast(table), F.expr("startswith(known, concat(canon, ' ')) AND known <> all"))
+
+    def follow(s: Column, c: Column) -> Column:
+        return F.when((F.length(s) >= F.length("known")) | (c == ""), s).when(s == "", c).otherwise(F.concat(s, F.lit(" "), c))
+
+    said = F.aggregate(F.slice("parts", F.col("position") + 1, F.size("parts")), F.lit(""), follow)
+    runs = runs.where(said == F.col("known")).select("id", F.lit("paragraphs").alias("unit"), "position", "license")
+    return hits.unionByName(runs).select(F.col("id").alias(id_col), "unit", "position", "license")

@@ -274,6 +274,22 @@ def test_licenses(spark, odd, empty):
     assert license_hits(odd).count() == 0 and license_hits(empty).count() == 0
 
 
+def test_licenses_wrapped_and_within_documents(spark):
+    import textwrap
+
+    from rosterlink.llm.license_scan import ALL_KNOWN, KNOWN
+
+    gpl = max((t for k, t in ALL_KNOWN if k == "GPL-3.0"), key=len)
+    text = {k: t for k, t in reversed(KNOWN) if len(t) > 400}
+    mit = "\n\n".join(textwrap.fill(p, 60) for p in re.split(r"(?<=conditions:) |(?<=Portions of the Software\.) ", text["MIT"]))
+    isc = text["ISC"].replace("copyright notice and this permission", "\ncopyright notice and this permission").replace("copies. THE", "copies.\n\nTHE")
+    holders = text["MIT"].replace("COPYRIGHT HOLDERS", "\n * COPYRIGHT\n * HOLDERS")
+    docs = [(1, isc), (2, text["MIT"].replace("OR COPYRIGHT", "OR\nCOPYRIGHT")), (3, holders), (4, f"My tool\n\nMIT License\n\nCopyright (c) 2020 A\n\n{mit}\n\nThanks"), (5, f"MIT License\n{text['MIT']}"), (6, mit[:-10]), (7, f"Copyright The Authors\n{mit}"), (8, f"{mit}\n\n{mit}"), (9, gpl)]
+    got = sorted((r.doc_id, r.unit, r.position, r.license) for r in license_hits(spark.createDataFrame(docs, "doc_id long, text string")).collect() if r.unit != "line")
+    n = len(mit.split("\n\n"))
+    assert got == [(1, "document", 0, "ISC"), (2, "document", 0, "MIT"), (3, "document", 0, "MIT"), (4, "paragraphs", 1, "MIT"), (4, "paragraphs", 3, "MIT"), (5, "document", 0, "MIT"), (7, "document", 0, "MIT"), (8, "paragraphs", 0, "MIT"), (8, "paragraphs", n, "MIT"), (9, "document", 0, "GPL-3.0"), (9, "paragraph", 113, "GPL-3.0")]
+
+
 def test_preferences(spark):
     t = "pair_id long, turn long, role string, text string, side string"
     c = [(1, 0, "user", "hi"), (1, 1, "assistant", "A"), (1, 2, "user", "u"), (2, 0, "user", "q"), (2, 1, "assistant", None), (3, 0, "user", "only"), (None, 0, "user", "x"), (4, 1, "assistant", "b"), (4, 0, "user", "a"), (5, 0, "user", "p")]
