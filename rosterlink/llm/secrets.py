@@ -85,10 +85,8 @@ def with_features(found: DataFrame, dictionary: list[str]) -> DataFrame:
     })
 
 
-def labelled_by_rule(found: DataFrame) -> DataFrame:
-    """Findings with certain labels, for data without any: formats, credentials of URLs and announced, assigned values
-    with a digit (quoted, or right after '=') are secrets; other mail addresses, network addresses and plain numbers are
-    not, nor are dummies. All others are left out."""
+def _rule() -> tuple[Column, Column, Column]:
+    """Conditions on a candidate: certainly no secret, certainly one, and one announced and assigned in any way."""
     value, before, after = F.col("value"), F.col("before"), F.col("after")
     assigned = before.rlike(ANNOUNCE + _ASSIGN + "$")
     credential = before.rlike(rf"://[^\s/?#:@{_QUOTE}]*:$") & after.startswith("@")
@@ -96,11 +94,19 @@ def labelled_by_rule(found: DataFrame) -> DataFrame:
     plain = value.rlike(r"^[^@]+@[^@]+\.[^@]+$|^[0-9.\-/+=_]+$")
     no = (plain & ~(assigned & quoted) & ~credential) | F.concat_ws(" ", "before", "after").rlike(DUMMY)
     yes = value.rlike(FORMATS) | credential | (assigned & value.rlike("[0-9]") & (quoted | before.endswith("=")))
+    return no, yes, assigned
+
+
+def labelled_by_rule(found: DataFrame) -> DataFrame:
+    """Findings with certain labels, for data without any: formats, credentials of URLs and announced, assigned values
+    with a digit (quoted, or right after '=') are secrets; other mail addresses, network addresses and plain numbers are
+    not, nor are dummies. All others are left out."""
+    no, yes, _ = _rule()
     return found.withColumn("label", F.when(no, 0.0).when(yes, 1.0)).where("label is not null")
 
 
 class SecretModel:
-    """A forest (None where the labels had one class: then nothing is removed) and its dictionary."""
+    """A forest (None where the labels had one class or none: then the rule of ``labelled_by_rule`` decides) and its dictionary."""
 
     def __init__(self, forest: RandomForestClassificationModel | None, dictionary: list[str]):
         self.forest, self.dictionary = forest, dictionary
@@ -108,7 +114,8 @@ class SecretModel:
     def score(self, found: DataFrame, threshold: float = 0.5) -> DataFrame:
         """``found`` plus ``score`` and ``secret`` (score at least ``threshold``)."""
         if self.forest is None:
-            return found.withColumn("score", F.lit(1.0)).withColumn("secret", F.lit(True))
+            no, yes, assigned = _rule()
+            return found.withColumn("score", F.when(no, 0.0).when(yes | assigned, 1.0).otherwise(0.0)).withColumn("secret", F.col("score") >= threshold)
         vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(with_features(found, self.dictionary))
         out = self.forest.transform(vectors).select(*found.columns, F.round(vector_to_array("probability")[1], 6).alias("score"))
         return out.withColumn("secret", F.col("score") >= threshold)
@@ -138,7 +145,8 @@ def scan_secrets(docs: DataFrame, model: SecretModel | None = None, labelled: Da
 
     Without a ``model`` one is trained from ``labelled`` findings, without those from the candidates that
     ``labelled_by_rule`` can label. Null and empty texts have no candidates, repeated rows repeat theirs, null ids are
-    kept, other columns are not read. Without labels of both classes every candidate counts as a secret.
+    kept, other columns are not read. Without labels of both classes the rule decides: certain and
+    announced, assigned values are secrets, all others are not.
     """
     found = materialise(candidates(docs, id_col, text_col, path_col))
     if model is None:

@@ -149,6 +149,15 @@ def test_secrets_are_cut_out_of_their_surroundings(spark):
     assert candidates(spark.createDataFrame([(1, long)], "doc_id long, text string"), path_col=None).count() >= 1
 
 
+def test_secrets_with_labels_of_one_class(spark):
+    frame = lambda *texts: spark.createDataFrame([(k, t, None) for k, t in enumerate(texts)], "doc_id long, text string, source string")
+    clean = frame("write to john12345678@host.com", "on 2024-01-01/2024-12-31", "see https://host.org/a/page1234567")
+    assert clean.count() == 3 and scan_secrets(clean).where("secret").isEmpty() and scan_secrets(clean).count() >= 3
+    assert [r.text for r in redact(clean, scan_secrets(clean)).orderBy("doc_id").collect()] == [r.text for r in clean.orderBy("doc_id").collect()]
+    only = frame('token = "ab12cd34ef56ab12cd34"', "see page/chapter1234567", "password: swordfish")
+    assert sorted(r.value for r in scan_secrets(only).where("secret").collect()) == ["ab12cd34ef56ab12cd34", "swordfish"]
+
+
 def auc(score, label):
     pos, neg = np.sort(score[label == 1]), np.sort(score[label == 0])
     return np.mean((np.searchsorted(neg, pos) + np.searchsorted(neg, pos, "right")) / 2) / len(neg)
