@@ -1,7 +1,7 @@
 """The training-data pipeline: five stages from documents to packed sequences, each over all that its predecessor kept.
 
 A stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; between stages it is written as Parquet and read
-again. All but the last return the columns of ``documents``. Rows of one id are one document.
+again. All but the last return the columns of ``documents``. Stages that drop rows decide on each row, whatever its id.
 """
 
 from __future__ import annotations
@@ -23,15 +23,28 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return without_toxic(docs, fit_lexicon(labelled_sample(docs, table(spark, sf_dir, "labels"), label_col="toxic")))
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` plus ``__row``, a key of the row itself, written once so that it stays the same."""
+    return materialise(docs.withColumn("__row", F.monotonically_increasing_id()))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked by five-word shingles at 0.8 or more, the one with the smallest id stays."""
-    groups = ngram_jaccard_components(docs)
-    return without(docs, groups.where("doc_id <> component_id"))
+    """Of each group of rows linked by five-word shingles at 0.8 or more, the one with the smallest id stays.
+
+    Rows without an id come after those with one; of rows with one id the first stays. Rows without words stay.
+    """
+    rows = keyed(docs)
+    groups = ngram_jaccard_components(rows, id_col="__row").where("n_shingles > 0")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "__row")
+    of = materialise(groups.join(rows.select("__row", "doc_id"), "__row").select("__row", "component_id", order.alias("place")))
+    first = of.groupBy("component_id").agg(F.min("place").alias("first"))
+    return without(rows, of.join(first, "component_id").where("place <> first"), "__row").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
-    return without(docs, contaminated(docs, table(spark, sf_dir, "benchmark")))
+    """Rows that hold a benchmark item go, with or without an id."""
+    rows = keyed(docs)
+    return without(rows, contaminated(rows, table(spark, sf_dir, "benchmark"), id_col="__row"), "__row").select(*docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -340,3 +340,17 @@ def test_pipeline(spark):
     assert masked.count() == docs.count() and masked.where(F.col("text").rlike('token = "[0-9a-f]{40}"')).isEmpty() and masked.where("n_chars <> length(text)").isEmpty()
     check_packing(P.run(spark, sf).collect(), 2048)
     assert without(docs, docs.select("doc_id").limit(0)).count() == docs.count()
+
+
+def test_pipeline_drops_rows_not_ids(spark, tmp_path):
+    import corpus_pipeline as P
+
+    item, a, b = (" ".join(f"{w}{k}" for k in range(30)) for w in ("frage", "alpha", "beta"))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    frame = lambda rows: spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, source string")
+    kept = lambda df: sorted((r.doc_id or 0, (r.text or "")[:4]) for r in df.collect())
+    docs = frame([(None, f"x {item} y"), (None, a), (5, item), (5, b), (6, None)])
+    assert kept(P.decontamination(spark, docs, str(tmp_path))) == [(0, "alph"), (5, "beta"), (6, "")]
+    docs = frame([(None, a), (None, a), (3, a), (4, b), (4, b), (7, a), (7, item), (8, None), (None, None)])
+    out = P.near_duplicates(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns and kept(out) == [(0, ""), (3, "alph"), (4, "beta"), (7, "frag"), (8, "")]
