@@ -6,9 +6,11 @@ follows is each branch's completion; its mask says which characters are trained
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rosterlink.llm.common import materialise
+
 #: The frame around a rendered turn.
 BEGIN, BREAK, END = "<|im_start|>", "\n", "<|im_end|>\n"
 
@@ -60,3 +62,27 @@ def format_preferences(chosen: DataFrame, rejected: DataFrame, pair_col: str = "
         F.col("pair").alias(pair_col), F.col("n").alias("n_prompt_turns"), _text(F.col("p")).alias("prompt"),
         _text(F.col("c")).alias("chosen"), _mask(F.col("c")).alias("chosen_mask"), _text(F.col("r")).alias("rejected"), _mask(F.col("r")).alias("rejected_mask"),
     )
+
+
+def next_answer_preferences(turns: DataFrame) -> DataFrame:
+    """``format_preferences`` of conversations (conv_id, turn, role, text), each rejected one with another's answer.
+
+    Chosen: a conversation up to its last assistant turn. Rejected: the same with the last answer of the next
+    conversation in ascending ``conv_id`` that has one, the last one's next being the first; a single answer is its own
+    next. A conversation without an answer is all prompt. Turns after the last answer are left out, as nothing follows
+    them. Answers move to range partitions once; only the partitions' first and last ids meet on the driver.
+    """
+    turns = turns.where("conv_id is not null")
+    last = turns.where("role = 'assistant'").groupBy("conv_id").agg(F.max("turn").alias("last"), F.max_by("text", "turn").alias("said"))
+    ranged = materialise(last.repartitionByRange("conv_id").withColumn("part", F.spark_partition_id()))
+    ends = sorted((r.part, r.a, r.z) for r in ranged.groupBy("part").agg(F.min("conv_id").alias("a"), F.max("conv_id").alias("z")).collect())
+    over = [(z, ends[(k + 1) % len(ends)][1]) for k, (_, _, z) in enumerate(ends)]
+    kind = ranged.schema["conv_id"].dataType.simpleString()
+    over = ranged.sparkSession.createDataFrame(over, f"conv_id {kind}, first {kind}")
+    within = ranged.select("conv_id", "last", F.lead("conv_id").over(Window.partitionBy("part").orderBy("conv_id")).alias("after"))
+    after = within.join(F.broadcast(over), "conv_id", "left").select("conv_id", "last", F.coalesce("after", "first").alias("after"))
+    other = ranged.select(F.col("conv_id").alias("after"), F.col("said").alias("text"))
+    answers = after.join(other, "after").select(F.col("conv_id").alias("pair_id"), F.col("last").alias("turn"), F.lit("assistant").alias("role"), "text")
+    shared = turns.join(ranged.select("conv_id", "last"), "conv_id", "left").where("last is null or turn <= last")
+    side = lambda df: df.select(F.col("conv_id").alias("pair_id"), "turn", "role", "text")
+    return format_preferences(side(shared), side(shared.where("last is null or turn < last")).unionByName(answers))

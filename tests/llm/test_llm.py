@@ -18,7 +18,7 @@ from rosterlink.llm.fingerprint import PrefixHash, fingerprints_with_edits, like
 from rosterlink.llm.license_scan import license_hits
 from rosterlink.llm.ngram_join import ngram_jaccard_components
 from rosterlink.llm.packing import WordIds, pack, plan_rounds, token_pieces
-from rosterlink.llm.preferences import format_preferences
+from rosterlink.llm.preferences import format_preferences, next_answer_preferences
 from rosterlink.llm.quality import fit_quality, score_quality
 from rosterlink.llm.secrets import candidates, fit_secrets, labelled_by_rule, redact, scan_secrets
 from rosterlink.llm.toxicity import Lexicon, fit_lexicon, fold, score_toxicity, without_toxic
@@ -354,3 +354,12 @@ def test_pipeline_drops_rows_not_ids(spark, tmp_path):
     docs = frame([(None, a), (None, a), (3, a), (4, b), (4, b), (7, a), (7, item), (8, None), (None, None)])
     out = P.near_duplicates(spark, docs, str(tmp_path))
     assert out.columns == docs.columns and kept(out) == [(0, ""), (3, "alph"), (4, "beta"), (7, "frag"), (8, "")]
+
+
+def test_next_answer_preferences(spark):
+    rows = [(1, 0, "user", "q1"), (1, 1, "assistant", "a1"), (2, 0, "user", "q2"), (5, 0, "user", "q5"), (5, 1, "assistant", "a5"), (5, 2, "user", "u"), (90, 0, "user", "q90"), (90, 1, "assistant", "a90")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.pair_id: r for r in next_answer_preferences(turns).collect()}
+    said = lambda t: f"<|im_start|>assistant\n{t}<|im_end|>\n" if t else ""
+    assert {k: (r.chosen, r.rejected) for k, r in got.items()} == {k: (said(c), said(x)) for k, c, x in [(1, "a1", "a5"), (2, "", ""), (5, "a5", "a90"), (90, "a90", "a1")]}
+    assert got[2].n_prompt_turns == 1 and "q2" in got[2].prompt and next_answer_preferences(turns.limit(0)).count() == 0
