@@ -1,6 +1,7 @@
 """What the jobs need of a page: its tables, headings with tables, paragraphs and intro, as one nested column.
 
-A page is parsed once, in Arrow batches; everything after is relational. Tags nest as they come: an end tag closes the
+A page is parsed once, in Arrow batches, and ``parsed_pages`` writes the result; everything after is relational and reads
+only the fields it needs. A table's ``header`` holds the normalised texts of its first row. Tags nest as they come: an end tag closes the
 nearest open tag of its name (and is ignored if there is none), void tags close at once, and text leaves out comments
 and what scripts, styles and templates hold.
 """
@@ -13,12 +14,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from rosterlink.sources.written import materialise
+
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset("script style template".split())
 
 _CELL = "struct<tag:string,text:string,link_title:string,link_text:string,has_link:boolean,bday:string,time_datetime:string,time_text:string>"
 DOM = (
-    f"struct<tables:array<struct<pos:int,is_wikitable:boolean,cls:string,index:int,rows:array<array<{_CELL}>>>>,"
+    f"struct<tables:array<struct<pos:int,is_wikitable:boolean,cls:string,index:int,header:array<string>,rows:array<array<{_CELL}>>>>,"
     "heading_tables:array<struct<heading_text:string,table_pos:int>>,"
     "paragraphs:array<struct<pos:int,text:string,is_direct_child:boolean>>,intro_parts:array<string>>"
 )
@@ -118,7 +121,8 @@ def parse(html: str | None, content: tuple[str, str | None] = ("div", "mw-parser
     for k, t in enumerate(tables):
         key = t.key()
         rows = [[_cell(c) for c in r.all("td", "th")] for r in t.all("tr")]
-        out.append({"pos": k, "is_wikitable": "wikitable" in t.classes(), "cls": " ".join(t.classes()), "index": keys.index(key) if key in keys else 0, "rows": rows})
+        header = [" ".join(c["text"].lower().split()) for c in rows[0]] if rows else []
+        out.append({"pos": k, "is_wikitable": "wikitable" in t.classes(), "cls": " ".join(t.classes()), "index": keys.index(key) if key in keys else 0, "header": header, "rows": rows})
     headings = []
     for h in root.all("h2", "h3", "h4"):
         after = h.parent.children[next(i for i, c in enumerate(h.parent.children) if c is h) + 1 :]
@@ -156,3 +160,8 @@ def with_dom(pages: DataFrame, html_col: str = "html", content: tuple[str, str |
 
     schema = T.StructType([*keep, T.StructField("dom", T._parse_datatype_string(DOM))])
     return pages.mapInArrow(run, schema)
+
+
+def parsed_pages(pages: DataFrame, html_col: str = "html", content: tuple[str, str | None] = ("div", "mw-parser-output")) -> DataFrame:
+    """``with_dom``, written once: no later job parses a page again."""
+    return materialise(with_dom(pages, html_col, content))

@@ -14,9 +14,14 @@ EVIDENCE = "6ba7b814-9dad-11d1-80b4-00c04fd430c8"
 
 
 def uuid5(namespace: str, key: Column) -> Column:
-    h = F.sha1(F.concat(F.unhex(F.lit(namespace.replace("-", ""))), F.encode(key, "UTF-8")))
-    variant = F.translate(F.substring(h, 17, 1), "0123456789abcdef", "89ab" * 4)
-    return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)), F.concat(variant, F.substring(h, 18, 3)), F.substring(h, 21, 12))
+    digest = F.sha1(F.concat(F.unhex(F.lit(namespace.replace("-", ""))), F.encode(key, "UTF-8")))
+
+    def shaped(h: Column) -> Column:
+        variant = F.translate(F.substring(h, 17, 1), "0123456789abcdef", "89ab" * 4)
+        return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)), F.concat(variant, F.substring(h, 18, 3)), F.substring(h, 21, 12))
+
+    # bound by a lambda, so that the plan holds the digest once
+    return F.get(F.transform(F.array(digest), shaped), F.lit(0))
 
 
 def strip(text: Column) -> Column:

@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rosterlink.functions.dom import with_dom
+from rosterlink.functions.dom import parsed_pages
 from rosterlink.functions.text import key_title, legislature_number, underscored
 from rosterlink.operators.members import validate_member_list
+from rosterlink.sources.readers import latest, latest_pages
+from rosterlink.sources.written import materialise
+
+UNREADABLE = "Page could not be read"
 
 
 def numbered_hits(hits: DataFrame) -> DataFrame:
@@ -17,40 +21,63 @@ def numbered_hits(hits: DataFrame) -> DataFrame:
     return rows.withColumn("rn", F.row_number().over(first)).where("rn = 1").drop("rn")
 
 
-def discover_seeds(hits: DataFrame, page_revisions: DataFrame, pages: DataFrame, registry: DataFrame, pin: bool = False) -> tuple[DataFrame, DataFrame]:
-    """``(seeds, rejected)`` from search hits (``landtag_key, query_pos, result_pos, title, snippet``).
+def check_titles(hits: DataFrame, page_revisions: DataFrame, pages: DataFrame, registry: DataFrame) -> DataFrame:
+    """Every numbered title of the search hits (``landtag_key, query_pos, result_pos, title, snippet``), checked once and written.
 
-    Titles are taken by parliament, number and title. A title without a page, or with a page that has no member list, is
-    rejected with the reason; of several titles of one page the first valid one stays and later ones are passed over.
-    The last seed of a key stays.
+    Titles are taken by parliament, number and title (``ord``). A title without a page, or with a page that has no member
+    list, has a ``reason``; ``first_valid`` is the place of its page's first valid title. Of several revisions of a title
+    the latest counts.
     """
     r = registry.select("landtag_pos", "landtag_key", "key_prefix", "state", "parliament")
-    rows = numbered_hits(hits.join(r, "landtag_key"))
-    info = page_revisions.select(underscored(F.col("page_title")).alias("t"), "page_id", "revision_id")
-    rows = rows.withColumn("t", underscored(F.col("title"))).join(info, "t", "left")
-    wanted = rows.where("page_id is not null").select("t").distinct()
-    checked = with_dom(pages.select(underscored(F.col("page_title")).alias("t"), "html").join(wanted, "t", "left_semi"))
+    rows = materialise(numbered_hits(hits.join(r, "landtag_key")).withColumn("t", underscored(F.col("title"))))
+    info = page_revisions.select(underscored(F.col("page_title")).alias("t"), "page_id", "revision_id").where("page_id is not null")
+    rows = rows.join(latest(info, ["t"], ["revision_id", "page_id"]), "t", "left")
+    wanted = rows.where("page_id is not null").select(F.col("t").alias("page_title")).distinct()
+    stored = pages.withColumn("page_title", underscored(F.col("page_title"))).join(wanted, "page_title", "left_semi")
+    if {"retrieved_at", "revision_id"} & set(stored.columns):
+        stored = latest_pages(stored)
+    checked = parsed_pages(stored.select(F.col("page_title").alias("t"), "html"))
     checked = checked.select("t", validate_member_list(F.col("dom")).alias("check")).dropDuplicates(["t"])
     rows = rows.join(checked, "t", "left")
-    reason = F.when(F.col("page_id").isNull(), "Page not found").when(F.col("check").isNull(), "Page could not be read").otherwise(F.col("check.reason"))
+    reason = F.when(F.col("page_id").isNull(), "Page not found").when(F.col("check").isNull(), UNREADABLE).otherwise(F.col("check.reason"))
     rows = rows.withColumn("reason", reason).withColumn("valid", F.col("reason").isNull()).withColumn("ord", F.struct("landtag_pos", "number", "title"))
     first_valid = F.min(F.when(F.col("valid"), F.col("ord"))).over(Window.partitionBy("page_id"))
-    rows = rows.withColumn("first_valid", F.when(F.col("page_id").isNotNull(), first_valid))
-    seeds = rows.where(F.col("valid") & (F.col("ord") == F.col("first_valid"))).withColumn("key", F.concat("key_prefix", F.col("number").cast("string")))
+    return materialise(rows.withColumn("first_valid", F.when(F.col("page_id").isNotNull(), first_valid)).drop("check", "t"))
+
+
+_CHOSEN = "valid and ord = first_valid"
+_REJECTED = "not valid and (first_valid is null or ord < first_valid)"
+
+
+def seeds_of(checked: DataFrame, pin: bool = False) -> DataFrame:
+    """Seeds of checked titles: of several titles of one page the first valid one, and the last title of a key."""
+    seeds = checked.where(_CHOSEN).withColumn("key", F.concat("key_prefix", F.col("number").cast("string")))
     last = Window.partitionBy("key").orderBy(F.col("ord").desc())
     seeds = seeds.withColumn("rn", F.row_number().over(last)).where("rn = 1")
     ids = ["page_id", "revision_id"] if pin else []
-    seeds = seeds.select("key", F.col("title").alias("page_title"), key_title(F.col("title")).alias("title_key"), F.lit("").alias("expected_start"), F.lit("").alias("expected_end"), "parliament", "state", F.col("number").alias("legislature_number"), *ids)
-    rejected = rows.where(~F.col("valid") & (F.col("first_valid").isNull() | (F.col("ord") < F.col("first_valid")))).select("landtag_key", "title", "number", "page_id", "reason")
-    return seeds, rejected
+    return seeds.select("key", F.col("title").alias("page_title"), key_title(F.col("title")).alias("title_key"), F.lit("").alias("expected_start"), F.lit("").alias("expected_end"), "parliament", "state", F.col("number").alias("legislature_number"), *ids)
+
+
+def rejected_of(checked: DataFrame) -> DataFrame:
+    """Titles that are no seed and the reason; titles after the first valid one of their page are passed over."""
+    return checked.where(_REJECTED).select("landtag_key", "title", "number", "page_id", "reason")
+
+
+def discover_seeds(hits: DataFrame, page_revisions: DataFrame, pages: DataFrame, registry: DataFrame, pin: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``(seeds, rejected)`` of ``check_titles``."""
+    checked = check_titles(hits, page_revisions, pages, registry)
+    return seeds_of(checked, pin), rejected_of(checked)
 
 
-def discovery_summary(hits: DataFrame, seeds: DataFrame, rejected: DataFrame) -> DataFrame:
-    """One row of counts."""
-    titles = hits.where(legislature_number(F.col("title"), F.col("snippet")).isNotNull()).select("title").distinct()
-    parts = [titles.agg(F.count("*").alias("n")), seeds.agg(F.count("*").alias("n")), rejected.agg(F.count("*").alias("n"))]
-    rows = [p.select(F.lit(k).alias("what"), "n") for k, p in zip(("found", "validated", "rejected"), parts)]
-    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+def discovery_summary(checked: DataFrame) -> DataFrame:
+    """``(what, n)``, from one pass over the checked titles: found, validated, rejected, errors (unreadable pages), seed_count."""
+    key = F.when(F.expr(_CHOSEN), F.concat("key_prefix", F.col("number").cast("string")))
+    n = checked.agg(
+        F.count("*").alias("found"), F.count_if(F.expr(_CHOSEN)).alias("validated"), F.count_if(F.expr(_REJECTED)).alias("rejected"),
+        F.count_if(F.expr(_REJECTED) & (F.col("reason") == UNREADABLE)).alias("errors"), F.countDistinct(key).alias("seed_count"),
+    )
+    what = ["found", "validated", "rejected", "errors", "seed_count"]
+    return n.select(F.inline(F.array(*(F.struct(F.lit(w).alias("what"), F.col(w).alias("n")) for w in what))))
 
 
 def validate_seeds(seeds: DataFrame) -> DataFrame:

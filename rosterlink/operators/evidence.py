@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterlink.functions.dom import with_dom
+from rosterlink.functions.dom import parsed_pages
 from rosterlink.functions.ids import evidence_id
-from rosterlink.functions.text import canonical_json_sha256, clean_snippet, page_url, truncate, underscored
+from rosterlink.functions.text import canonical_json_sha256, clean_snippet, page_url, registry_url, truncate, underscored
 from rosterlink.sources.readers import latest
+from rosterlink.sources.written import materialise
+
+#: Fixed value: where the registry's documents are served.
+REGISTRY_URL = "https://search.dip.bundestag.de/api/v1"
 
 
 def upsert_index(existing: DataFrame, updates: DataFrame) -> DataFrame:
@@ -51,48 +55,115 @@ def _citable_rows(dom: Column, size: int) -> Column:
     return F.flatten(F.transform(tables, rows))
 
 
-def page_rows(doms: DataFrame, size: int = 500) -> DataFrame:
-    """``(evidence_id, table_index, row_index, row_text)``: data rows of every citable table, a table's only row is its row 0."""
-    return doms.select("evidence_id", F.explode(_citable_rows(F.col("dom"), size)).alias("r")).select("evidence_id", "r.*")
-
-
 def page_snippets(doms: DataFrame, size: int = 500) -> DataFrame:
-    """``page_rows``, and each page's lead paragraph as its row -1 of table -1, from one pass over the pages."""
+    """``(evidence_id, table_index, row_index, row_text)``: data rows of every citable table (a table's only row is its row 0),
+    and each page's lead paragraph as row -1 of table -1, from one pass over the pages."""
     lead = F.struct(F.lit(-1).alias("table_index"), F.lit(-1).alias("row_index"), lead_paragraph(F.col("dom"), size).alias("row_text"))
     every = F.concat(_citable_rows(F.col("dom"), size), F.array(lead))
     return doms.select("evidence_id", F.explode(every).alias("r")).select("evidence_id", "r.*")
 
 
 def legacy_ref(text: Column) -> Column:
-    """``table_row:t:r`` as ``struct(table_index, row_index)``, null for anything else."""
+    """``table_row:t:r`` as ``struct(table_index, row_index)``, a missing row is 0; null for anything else."""
     parts = F.split(text, ":")
-    t, r = (F.get(parts, F.lit(k)).try_cast("int") for k in (1, 2))
+    t = F.get(parts, F.lit(1)).try_cast("int")
+    r = F.when(F.size(parts) > 2, F.get(parts, F.lit(2)).try_cast("int")).otherwise(0)
     return F.when((F.get(parts, F.lit(0)) == "table_row") & t.isNotNull() & r.isNotNull(), F.struct(t.alias("table_index"), r.alias("row_index")))
 
 
-def resolve_evidence_refs(refs: DataFrame, index: DataFrame, pages: DataFrame, prefer: str = "table_row", size: int = 500) -> DataFrame:
-    """References (``evidence_id, table_index, row_index, purpose``; null places: no reference) to revisions and snippets.
+def _json(value: Column) -> Column:
+    """A scalar as JSON."""
+    text = F.to_json(F.struct(value.alias("v")))
+    return F.substring(text, F.lit(6), F.length(text) - 6)
+
+
+def _ref_text(ref: Column) -> Column:
+    """A structured reference as indented JSON, without what is missing."""
+    def body(part: Column, names: list[str], indent: str, more: Column | None = None) -> Column:
+        fields = [F.when(part[n].isNotNull(), F.concat(F.lit(f'{indent}"{n}": '), _json(part[n]))) for n in names]
+        return F.array_join(F.array_compact(F.array(*fields, *([more] if more is not None else []))), ",\n")
+
+    match = F.concat(F.lit('    "match": {\n'), body(ref["match"], ["person_title", "name_cell"], " " * 8), F.lit("\n    }"))
+    text = body(ref, ["version", "type", "table_index", "row_index", "row_kind", "title_hint"], " " * 4, F.when(ref["match"].isNotNull(), match))
+    return F.when(ref.isNotNull(), F.concat(F.lit("{\n"), text, F.lit("\n}")))
+
+
+def _placed(refs: DataFrame) -> DataFrame:
+    """``(evidence_id, table_index, row_index, purpose, ref_text)`` of references in any of their forms."""
+    purpose = F.col("purpose") if "purpose" in refs.columns else F.lit(None).cast("string")
+    if "snippet_ref" not in refs.columns:
+        return refs.select("evidence_id", "table_index", "row_index", purpose.alias("purpose"), F.lit(None).cast("string").alias("ref_text"))
+    ref = F.col("snippet_ref")
+    if refs.schema["snippet_ref"].dataType.typeName() == "string":
+        at, text = legacy_ref(ref), ref
+    else:
+        at, text = F.when(ref["type"] == "table_row", F.struct(ref["table_index"].alias("table_index"), ref["row_index"].alias("row_index"))), _ref_text(ref)
+    return refs.select("evidence_id", at["table_index"].alias("table_index"), at["row_index"].alias("row_index"), purpose.alias("purpose"), text.alias("ref_text"))
+
 
-    Only wanted pages are parsed, each once; rows and leads are joined back by key. Ids without an index entry are dropped.
+def _lists(params: Column) -> Column:
+    """Request parameters ``map<string,string>``, lists as JSON, as ``map<string,array<string>>``."""
+    one = lambda v: F.when(v.startswith("["), F.from_json(v, "array<string>")).otherwise(F.array(F.coalesce(v, F.lit("None"))))
+    return F.transform_values(params, lambda _, v: one(v))
+
+
+def resolve_evidence_refs(refs: DataFrame, index: DataFrame, pages: DataFrame, prefer: str = "table_row", size: int = 500, registry: str = REGISTRY_URL) -> DataFrame:
+    """References to revisions and snippets.
+
+    A reference is ``(evidence_id, table_index, row_index, purpose)`` (null places: none), or ``(evidence_id, snippet_ref,
+    purpose)`` with a structured or an older textual reference; an index entry's own older ``snippet_ref`` serves where
+    the reference has none. ``pages`` are stored responses with their metadata; entries name theirs by
+    ``cache_metadata_path`` (pages: ``metadata_path``) where both have it, else by title and revision. Ids without an
+    entry, and entries without a stored response, are dropped. The entry's fields count first, the metadata's where it
+    lacks them. The URL is that of the page revision, of the registry's request, or the stored one, by source.
+
+    Only wanted pages are parsed, each once; rows and leads are joined back by key.
     """
-    entries = index.join(refs.select("evidence_id").distinct(), "evidence_id", "left_semi")
-    p = pages.select(underscored(F.col("page_title")).alias("page_title"), "revision_id", "html", "retrieved_at", "url").dropDuplicates(["page_title", "revision_id"])
-    found = entries.join(p, ["page_title", "revision_id"], "left")
-    doms = with_dom(found.where("html is not null").select("evidence_id", "html"))
-    doms = doms.select("evidence_id", F.struct("dom.tables", "dom.paragraphs").alias("dom"))
+    has = lambda df, c, kind: F.col(c) if c in df.columns else F.lit(None).cast(kind)
+    refs = _placed(refs)
+    e = index.join(refs.select("evidence_id").distinct(), "evidence_id", "left_semi")
+    params = "map<string,string>"
+    e = e.select(
+        "evidence_id", "source_kind", has(e, "page_title", "string").alias("page_title"), has(e, "page_id", "bigint").alias("page_id"), has(e, "revision_id", "bigint").alias("revision_id"), has(e, "sha256", "string").alias("sha256"),
+        has(e, "endpoint", "string").alias("endpoint"), has(e, "params", params).alias("params"), has(e, "cache_metadata_path", "string").alias("at"), legacy_ref(has(e, "snippet_ref", "string")).alias("own"), has(e, "snippet_ref", "string").alias("own_text"),
+    )
+    stored = pages.select(
+        underscored(F.col("page_title")).alias("m_title"), has(pages, "page_id", "bigint").alias("m_page"), "revision_id", "html", "retrieved_at", "url", has(pages, "sha256", "string").alias("m_sha"),
+        has(pages, "endpoint", "string").alias("m_endpoint"), has(pages, "request_params", params).alias("m_params"), has(pages, "metadata_path", "string").alias("m_at"),
+    ).withColumnRenamed("revision_id", "m_revision")
+    by_path = "cache_metadata_path" in index.columns and "metadata_path" in pages.columns
+    key = ["m_at"] if by_path else ["m_title", "m_revision"]
+    met = e.join(stored.dropDuplicates(key), F.col("at") == F.col("m_at") if by_path else (F.col("page_title") == F.col("m_title")) & (F.col("revision_id") == F.col("m_revision")))
+    first = lambda a, b, empty: F.coalesce(F.nullif(F.col(a), F.lit(empty)), F.col(b))
+    found = met.select(
+        "evidence_id", "source_kind", first("page_title", "m_title", "").alias("page_title"), first("page_id", "m_page", 0).alias("page_id"), first("revision_id", "m_revision", 0).alias("revision_id"),
+        first("sha256", "m_sha", "").alias("sha256"), first("endpoint", "m_endpoint", "").alias("endpoint"), F.when(F.size("params") > 0, F.col("params")).otherwise(F.col("m_params")).alias("params"),
+        F.col("retrieved_at").alias("retrieved_at_utc"), F.col("url").alias("source_url"), "own", "own_text", "html",
+    )
+    doms = parsed_pages(found.where("source_kind = 'mediawiki' and html is not null").select("evidence_id", "html"))
+    snippets = materialise(page_snippets(doms, size))
+    found = found.drop("html")
     # a reference without a place is one to the lead, row -1 of table -1: one join gives both
+    keyed = refs.join(found, "evidence_id").withColumns({
+        "table_index": F.coalesce("table_index", "own.table_index"), "row_index": F.coalesce("row_index", "own.row_index"), "ref_text": F.coalesce("ref_text", "own_text"),
+    })
     place = {"_t": F.coalesce("table_index", F.lit(-1)), "_r": F.coalesce("row_index", F.lit(-1))}
-    snippets = page_snippets(doms, size).select("evidence_id", F.col("table_index").alias("_t"), F.col("row_index").alias("_r"), "row_text")
-    keyed = refs.withColumns(place).join(snippets, ["evidence_id", "_t", "_r"], "left").drop("_t", "_r")
+    snippets = snippets.select("evidence_id", F.col("table_index").alias("_t"), F.col("row_index").alias("_r"), "row_text")
+    rows = keyed.withColumns(place).join(snippets, ["evidence_id", "_t", "_r"], "left").drop("_t", "_r")
     text = F.col("row_text")
     if prefer == "lead_paragraph":
-        keyed = keyed.join(snippets.where("_t = -1").select("evidence_id", F.col("row_text").alias("lead")), "evidence_id", "left")
+        rows = rows.join(snippets.where("_t = -1").select("evidence_id", F.col("row_text").alias("lead")), "evidence_id", "left")
         text = F.coalesce("row_text", "lead")
-    rows = keyed.join(found.drop("html"), "evidence_id").withColumn("snippet", text)
+    rows = rows.withColumn("snippet", text)
     source = F.when(F.col("row_text").isNotNull() & F.col("table_index").isNotNull(), "table_row").when(F.col("snippet").isNotNull(), "lead_paragraph")
+    url = (
+        F.when(F.col("source_kind") == "mediawiki", page_url(F.coalesce("page_title", F.lit("")), F.col("revision_id")))
+        .when(F.col("source_kind") == "dip", registry_url(F.lit(registry), F.coalesce("endpoint", F.lit("")), _lists(F.coalesce("params", F.create_map().cast("map<string,string>")))))
+        .otherwise(F.coalesce("source_url", F.lit("")))
+    )
     return rows.select(
-        "evidence_id", "source_kind", "page_title", "page_id", "revision_id", F.col("retrieved_at").alias("retrieved_at_utc"), "sha256", F.col("url").alias("source_url"),
-        page_url(F.col("page_title"), F.col("revision_id")).alias("canonical_url"), "snippet", source.alias("snippet_source"), "table_index", "row_index", "purpose",
+        "evidence_id", "source_kind", "page_title", "page_id", "revision_id", "retrieved_at_utc", "sha256", "source_url", url.alias("canonical_url"), "snippet", source.alias("snippet_source"),
+        "table_index", "row_index", "purpose", F.col("ref_text").alias("snippet_ref"),
     )
 
 
@@ -115,7 +186,7 @@ def refs_of_documents(docs: DataFrame) -> DataFrame:
     """References of search documents: ``evidence_refs``, else the older map ``evidence_snippet_refs`` from id to reference
     where documents have one, else their bare ids, those only where no document has references."""
     one = docs.select("person_id", "evidence_refs", "evidence_ids", *(["evidence_snippet_refs"] if "evidence_snippet_refs" in docs.columns else []))
-    refs = one.select("person_id", F.explode("evidence_refs").alias("r")).select("person_id", F.col("r.evidence_id").alias("evidence_id"), F.col("r.snippet_ref.table_index").alias("table_index"), F.col("r.snippet_ref.row_index").alias("row_index"), F.col("r.purpose").alias("purpose"))
+    refs = one.select("person_id", F.explode("evidence_refs").alias("r")).select("person_id", F.col("r.evidence_id").alias("evidence_id"), F.when(F.col("r.snippet_ref.type") == "table_row", F.col("r.snippet_ref.table_index")).alias("table_index"), F.when(F.col("r.snippet_ref.type") == "table_row", F.col("r.snippet_ref.row_index")).alias("row_index"), F.col("r.purpose").alias("purpose"))
     has = F.coalesce(F.size("evidence_refs"), F.lit(0)) > 0
     if "evidence_snippet_refs" in docs.columns:
         older = one.where(~has).select("person_id", F.explode(F.map_entries("evidence_snippet_refs")).alias("e")).where("e.value is not null")
@@ -128,7 +199,8 @@ def refs_of_documents(docs: DataFrame) -> DataFrame:
 
 
 def resolve_from_search(docs: DataFrame, query: str, index: DataFrame, pages: DataFrame, limit: int = 5) -> DataFrame:
-    refs = refs_of_documents(find_persons(docs, query, limit)).drop("person_id").distinct()
+    """The evidence that the persons found cite, their list rows too."""
+    refs = materialise(refs_of_documents(materialise(find_persons(docs, query, limit))).drop("person_id").distinct())
     return resolve_evidence_refs(refs, index, pages)
 
 
@@ -138,7 +210,14 @@ def as_json(resolved: DataFrame) -> DataFrame:
 
 
 def as_markdown(resolved: DataFrame) -> DataFrame:
-    line = lambda label, c: F.when(F.col(c).isNotNull(), F.concat(F.lit(f"  - {label}: "), F.col(c).cast("string")))
-    head = F.concat(F.lit("- **"), "page_title", F.lit("** (revision "), F.col("revision_id").cast("string"), F.lit(")"))
-    return resolved.select("evidence_id", F.concat_ws("\n", head, line("URL", "canonical_url"), line("Snippet", "snippet"), line("Purpose", "purpose"), line("Retrieved", "retrieved_at_utc")).alias("markdown"))
-
+    """A list entry for each row; what is missing, or a revision of 0, has no line. Entries are parted by an empty line."""
+    def line(label: str, c: str, text: Column | None = None) -> Column:
+        return F.when(F.col(c).isNotNull() & (F.col(c).cast("string") != ""), F.concat(F.lit(f"  - **{label}**: "), F.col(c).cast("string") if text is None else text))
+
+    quoted = lambda c, mark, end: F.concat(F.lit(mark), c, F.lit(end))
+    rows = resolved.withColumn("revision_id", F.nullif("revision_id", F.lit(0)))
+    return rows.select("evidence_id", F.concat_ws(
+        "\n", F.concat(F.lit("- Evidence `"), "evidence_id", F.lit("`")), line("Source", "source_kind"), line("Page", "page_title"), line("Revision", "revision_id"), line("URL", "canonical_url"), line("Retrieved", "retrieved_at_utc"),
+        line("SHA256", "sha256", quoted(F.substring("sha256", 1, 16), "`", "...`")), line("Snippet", "snippet", quoted(F.col("snippet"), '"', '"')), line("Snippet Source", "snippet_source"), line("Purpose", "purpose"),
+        line("Snippet Ref", "snippet_ref", quoted(F.col("snippet_ref"), "```json\n", "\n```")),
+    ).alias("markdown"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rosterlink.functions.ids import canonical_id, link_assertion_id
 from rosterlink.functions.text import fold_umlauts, name_parts, normalize_name
+from rosterlink.sources.written import materialise
 
 RULESET = "ruleset_v1"
 
@@ -42,9 +43,8 @@ def candidates(wiki: DataFrame, dip: DataFrame) -> DataFrame:
 
     0.5 needs equal folded surnames, or equal first names and equal middle parts: 0.45 + 0.05.
     """
-    w, d = wiki_keys(wiki), dip_keys(dip)
-    w = w.withColumn("wk", fold_umlauts(F.col("wl")))
-    d = d.withColumn("dk", fold_umlauts(F.col("dl")))
+    w = materialise(wiki_keys(wiki).withColumn("wk", fold_umlauts(F.col("wl"))))  # each name is normalised once
+    d = materialise(dip_keys(dip).withColumn("dk", fold_umlauts(F.col("dl"))))
     by_last = w.where("wk <> ''").join(d.where("dk <> ''"), F.col("wk") == F.col("dk"))
     by_rest = w.where("wf <> '' and wm <> ''").join(d, (F.col("wf") == F.col("df")) & (F.col("wm") == F.col("dm")) & ((F.col("wk") != F.col("dk")) | (F.col("wk") == "")))
     pairs = by_last.unionByName(by_rest).withColumn("score", score()).where("score >= 0.5")
@@ -67,7 +67,7 @@ def best_candidates(pairs: DataFrame) -> DataFrame:
 
 
 def reconcile(wiki: DataFrame, dip: DataFrame, overrides: DataFrame | None = None, run_ts: str = "") -> tuple[DataFrame, DataFrame]:
-    """``(assertions, canonical persons)``.
+    """``(assertions, canonical persons)``, from pairs that are scored once; assertions are written.
 
     A manual override decides for its title, if it names a person of the registry; one that names nobody of the
     registry gives no assertion at all. Others are accepted with a best score of 0.95 that leads by 0.05, else their
@@ -100,7 +100,7 @@ def reconcile(wiki: DataFrame, dip: DataFrame, overrides: DataFrame | None = Non
         "*", F.coalesce(F.col("dip_person_id").cast("string"), F.lit("none")).alias("dip_person_ref"), F.lit("ruleset").alias("method"), F.when(F.coalesce(accepted, F.lit(False)), "accepted").otherwise("pending").alias("status"),
         reason.alias("reason"), F.concat("we", F.coalesce("de", none)).alias("evidence_ids"),
     ).withColumn("score", F.coalesce("score", F.lit(0.0)))
-    every = assertion(forced).unionByName(assertion(ruled))
+    every = materialise(assertion(forced).unionByName(assertion(ruled)))
     canonical = every.where("status = 'accepted'").select(
         canonical_id(F.col("wikipedia_title"), F.col("dip_person_id")).alias("id"), F.col("name").alias("display_name"),
         F.struct("wikipedia_title", F.col("page_id").cast("string").alias("wikipedia_page_id"), F.col("dip_person_id").cast("string").alias("dip_person_id")).alias("identifiers"),

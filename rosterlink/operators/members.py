@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterlink.functions.dom import with_dom
+from rosterlink.functions.dom import parsed_pages
 from rosterlink.functions.ids import evidence_id, legislature_id, mandate_id, person_id, strip
 from rosterlink.functions.text import BASE_URL, normalize_header, parse_date, underscored
+from rosterlink.sources.written import materialise
 
 #: Words of a heading above a members table; events that notes can name.
 HEADING_WORDS = ["mitglieder", "abgeordnete", "fraktionen", "fraktion", "partei", "wahlkreis", "anmerkungen"]
@@ -22,17 +23,13 @@ def _any(texts: Column, *words: str) -> Column:
     return F.exists(texts, lambda t: F.greatest(*(t.contains(w) for w in words), F.lit(False)))
 
 
-def header_texts(table: Column) -> Column:
-    return F.transform(F.coalesce(F.get(table["rows"], F.lit(0)), F.array()), lambda c: normalize_header(c["text"]))
-
-
 def is_members_header(texts: Column) -> Column:
     return _any(texts, "name") & (_any(texts, "partei", "fraktion") | _any(texts, "wahlkreis"))
 
 
 def choose_table(dom: Column, section_keywords: Column) -> Column:
     """The first table with a members header, else the first table after a heading that has one of the words."""
-    by_header = F.get(F.filter(dom["tables"], lambda t: is_members_header(header_texts(t))), F.lit(0))
+    by_header = F.get(F.filter(dom["tables"], lambda t: is_members_header(t["header"])), F.lit(0))
     words = F.concat(F.array(*map(F.lit, HEADING_WORDS)), F.coalesce(section_keywords, F.array().cast("array<string>")))
     named = F.filter(dom["heading_tables"], lambda h: F.exists(words, lambda w: normalize_header(h["heading_text"]).contains(w)))
     return F.coalesce(by_header, F.get(dom["tables"], F.get(named, F.lit(0))["table_pos"]))
@@ -46,13 +43,11 @@ def header_roles(texts: Column) -> Column:
             out = F.when(F.greatest(*(t.contains(w) for w in words), F.lit(False)), name).otherwise(out)
         return out
 
-    roles = F.transform(texts, role)
-    at = F.transform(roles, lambda r, i: F.struct(r.alias("r"), i.alias("i")))
-
-    def last(name: str) -> Column:
+    def last(at: Column, name: str) -> Column:
         return F.array_max(F.transform(F.filter(at, lambda x: x["r"] == name), lambda x: x["i"])).alias(name)
 
-    return F.struct(*(last(name) for name, _ in ROLES))
+    roles = F.transform(texts, lambda t, i: F.struct(role(t).alias("r"), i.alias("i")))
+    return F.get(F.transform(F.array(roles), lambda at: F.struct(*(last(at, name) for name, _ in ROLES))), F.lit(0))
 
 
 def events_from_notes(notes: Column, evidence: Column) -> Column:
@@ -62,15 +57,19 @@ def events_from_notes(notes: Column, evidence: Column) -> Column:
 
 
 def member_pages(pages: DataFrame, seeds: DataFrame) -> DataFrame:
-    """Seeds with the chosen table of their page; ``error`` where there is none."""
-    pages = pages.withColumn("page_title", underscored(F.col("page_title")))
+    """Seeds with the chosen table of their page; ``error`` where there is none.
+
+    Each page that a seed names is parsed once, whatever the number of its seeds; the result is written, so every job
+    that starts from it reads narrow rows.
+    """
     s = seeds.select("seed_pos", F.col("key").alias("seed_key"), underscored(F.col("page_title")).alias("page_title"), "expected_start", "expected_end", "parliament", "state", "legislature_number", "section_keywords")
-    rows = with_dom(pages.join(s, "page_title")).withColumn("table", choose_table(F.col("dom"), F.col("section_keywords"))).drop("dom")
-    rows = rows.withColumn("roles", header_roles(header_texts(F.col("table"))))
+    pages = pages.withColumn("page_title", underscored(F.col("page_title")))
+    doms = parsed_pages(pages.select("page_title", "page_id", "revision_id", "sha256", "html").join(s.select("page_title").distinct(), "page_title", "left_semi"))
+    ids = doms.select("page_title", "page_id", "revision_id", "sha256", evidence_id(F.col("page_id"), F.col("revision_id"), F.lit("parse"), F.col("sha256")).alias("evidence_id"), "dom")
+    chosen = F.transform(F.array(choose_table(F.col("dom"), F.col("section_keywords"))), lambda t: F.struct(t.alias("table"), header_roles(t["header"]).alias("roles")))
+    rows = materialise(ids.join(s, "page_title").withColumn("chosen", F.get(chosen, F.lit(0))).select("*", "chosen.table", "chosen.roles").drop("dom", "chosen"))
     found = F.greatest(*(F.col(f"roles.{r}").isNotNull() for r, _ in ROLES))
-    return rows.withColumn("error", F.when(F.col("table").isNull(), "No members table found").when(~found, "No headers found")).withColumn(
-        "evidence_id", evidence_id(F.col("page_id"), F.col("revision_id"), F.lit("parse"), F.col("sha256"))
-    )
+    return rows.withColumn("error", F.when(F.col("table").isNull(), "No members table found").when(~found, "No headers found"))
 
 
 def parse_errors(parsed: DataFrame) -> DataFrame:
@@ -78,7 +77,7 @@ def parse_errors(parsed: DataFrame) -> DataFrame:
 
 
 def parse_member_lists(parsed: DataFrame, run_ts: str = "") -> DataFrame:
-    """One row a member from ``member_pages``: person, mandate and the row-level reference.
+    """One row a member from ``member_pages``: person, mandate and the row-level reference; written once.
 
     Rows that are too short, or without a linked name, give nothing but count in ``row_index``.
     """
@@ -89,16 +88,23 @@ def parse_member_lists(parsed: DataFrame, run_ts: str = "") -> DataFrame:
     cell = lambda r: strip(F.get("cells", F.col(f"roles.{r}"))["text"])
     name = F.get("cells", F.col("roles.name"))
     rows = rows.where((F.size("cells") > widest) & F.col("roles.name").isNotNull() & name["has_link"])
-    rows = rows.withColumn("wikipedia_title", underscored(F.coalesce(F.nullif(name["link_title"], F.lit("")), strip(name["text"]))))
-    rows = rows.withColumn("name", F.coalesce(F.nullif(strip(name["link_text"]), F.lit("")), strip(name["text"]))).where("name <> ''")
-    start = F.coalesce(parse_date(cell("start")), parse_date(F.col("expected_start")), F.col("expected_start"))
-    end = F.coalesce(parse_date(cell("end")), parse_date(F.col("expected_end")), F.col("expected_end"))
+    # the cells of a row as plain columns; written, as what follows uses each of them many times
+    rows = materialise(rows.select(
+        "seed_pos", "seed_key", "page_title", "parliament", "state", "legislature_number", "evidence_id", "table_index", "row_index",
+        underscored(F.coalesce(F.nullif(name["link_title"], F.lit("")), strip(name["text"]))).alias("wikipedia_title"),
+        F.coalesce(F.nullif(strip(name["link_text"]), F.lit("")), strip(name["text"])).alias("name"),
+        cell("party").alias("party_name"), cell("wahlkreis").alias("wahlkreis"), cell("notes").alias("notes"),
+        cell("start").alias("from"), cell("end").alias("to"), "expected_start", "expected_end",
+    )).where("name <> ''")
+    start = F.coalesce(parse_date(F.col("from")), parse_date(F.col("expected_start")), F.col("expected_start"))
+    end = F.coalesce(parse_date(F.col("to")), parse_date(F.col("expected_end")), F.col("expected_end"))
     known = (F.length("parliament") > 0) & (F.length("state") > 0) & (F.col("legislature_number") != 0)
     rows = rows.withColumns({
         "person_id": person_id(F.col("wikipedia_title")), "wikipedia_url": F.concat(F.lit(BASE_URL), "wikipedia_title"),
         "legislature_id": F.when(known, legislature_id(F.col("parliament"), F.col("state"), F.col("legislature_number"))),
-        "party_name": cell("party"), "wahlkreis": cell("wahlkreis"), "notes": cell("notes"), "start_date": start, "end_date": end, "role": F.lit("member"),
+        "start_date": start, "end_date": end, "role": F.lit("member"),
     })
+    rows = rows.drop("from", "to", "expected_start", "expected_end")
     ref = F.struct(
         F.lit(1).alias("version"), F.lit("table_row").alias("type"), F.col("table_index"), F.col("row_index"), F.lit("data").alias("row_kind"), F.col("page_title").alias("title_hint"),
         F.struct(F.col("wikipedia_title").alias("person_title"), F.col("name").alias("name_cell")).alias("match"),
@@ -108,12 +114,12 @@ def parse_member_lists(parsed: DataFrame, run_ts: str = "") -> DataFrame:
         "mandate_id": mandate_id(F.col("person_id"), F.col("legislature_id"), F.col("start_date"), F.col("end_date"), F.col("role")),
         "events": F.coalesce(events_from_notes(F.col("notes"), F.col("evidence_id")), F.array().cast("array<struct<event_type:string,description:string,evidence_ids:array<string>,date:string>>")),
         "evidence_refs": F.array(evidence), "evidence_ids": F.array("evidence_id"),
-    }).drop("cells", "roles", "expected_start", "expected_end")
+    })
 
 
 def validate_member_list(dom: Column) -> Column:
     """``struct(valid, reason)``: some table has a members header and a data row."""
-    ok = F.exists(dom["tables"], lambda t: is_members_header(header_texts(t)) & (F.size(t["rows"]) > 1))
+    ok = F.exists(dom["tables"], lambda t: is_members_header(t["header"]) & (F.size(t["rows"]) > 1))
     reason = F.when(F.size(dom["tables"]) == 0, "No tables found").when(~ok, "No valid member list table found (need name and party or wahlkreis, and rows)")
     return F.struct(ok.alias("valid"), reason.alias("reason"))
 

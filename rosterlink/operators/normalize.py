@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterlink.functions.ids import legislature_id, party_id, strip
 from rosterlink.functions.text import page_url
 from rosterlink.operators.members import EVIDENCE_REF
 from rosterlink.sources.readers import latest
+from rosterlink.sources.written import materialise
 
 REFS = f"array<{EVIDENCE_REF}>"
 
@@ -18,25 +19,37 @@ def _last(*cols: str):
     return F.max_by(F.struct(*cols), F.struct("seed_pos", "row_index")).alias("v")
 
 
+def distinct_refs(refs: Column) -> Column:
+    """The references of an array, distinct but for their time; the first of each stays."""
+    key = lambda r: F.struct(r["evidence_id"], r["purpose"], r["snippet_ref"])
+    one = lambda all_: F.filter(all_, lambda r, i: F.array_position(F.transform(all_, key), key(r)) == i + 1)
+    return F.get(F.transform(F.array(refs), one), F.lit(0))
+
+
 def merge_persons(members: DataFrame) -> DataFrame:
-    """One row a person: values of the last row, the evidence ids of all rows."""
-    rows = members.groupBy("person_id").agg(_last("name", "wikipedia_title", "wikipedia_url"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("evidence_ids")))).alias("evidence_ids"))
-    return rows.select("person_id", "v.*", "evidence_ids")
+    """One row a person: values of the last row, the evidence ids and row references of all rows."""
+    rows = members.groupBy("person_id").agg(
+        _last("name", "wikipedia_title", "wikipedia_url"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("evidence_ids")))).alias("evidence_ids"),
+        F.array_sort(F.flatten(F.collect_set("evidence_refs"))).alias("refs"),
+    )
+    return rows.select("person_id", "v.*", "evidence_ids", distinct_refs(F.col("refs")).alias("evidence_refs"))
 
 
 def enrich_persons(persons: DataFrame, person_pages: DataFrame) -> DataFrame:
-    """Persons with what their page says; a missing page keeps the bare person. References are distinct without their time."""
-    p = person_pages.select(F.col("wikipedia_title").alias("t"), F.col("evidence_id").alias("page_evidence_id"), "birth_date", "birth_date_status", "death_date", "intro", "evidence_refs", "unstructured_evidence", "data_quality_flags")
-    rows = persons.join(p, persons["wikipedia_title"] == p["t"], "left").drop("t")
-    none = F.array().cast("array<string>")
-    refs = F.coalesce("evidence_refs", F.array().cast(REFS))
-    keyed = F.array_distinct(F.transform(refs, lambda r: F.struct(r["evidence_id"], r["purpose"], r["snippet_ref"])))
-    kept = F.transform(keyed, lambda k: F.get(F.filter(refs, lambda r: F.struct(r["evidence_id"], r["purpose"], r["snippet_ref"]) == k), F.lit(0)))
-    return rows.withColumns({
-        "enriched": F.col("page_evidence_id").isNotNull(), "birth_date_status": F.coalesce("birth_date_status", F.lit("unknown")), "evidence_refs": F.coalesce(kept, F.array().cast(REFS)),
-        "evidence_ids": F.array_sort(F.array_union("evidence_ids", F.coalesce(F.transform("evidence_refs", lambda r: r["evidence_id"]), none))),
+    """Persons with what their page says, written once; a missing page keeps the person and the references of its rows.
+
+    References are those of the page, then those of the list rows that name the person.
+    """
+    p = person_pages.select(F.col("wikipedia_title").alias("t"), F.col("evidence_id").alias("page_evidence_id"), "birth_date", "birth_date_status", "death_date", "intro", F.col("evidence_refs").alias("page_refs"), "unstructured_evidence", "data_quality_flags")
+    rows = persons.withColumnRenamed("evidence_refs", "row_refs")
+    rows = rows.join(p, rows["wikipedia_title"] == p["t"], "left").drop("t")
+    none, no_refs = F.array().cast("array<string>"), F.array().cast(REFS)
+    rows = rows.withColumn("evidence_refs", distinct_refs(F.concat(F.coalesce("page_refs", no_refs), F.coalesce("row_refs", no_refs))))
+    return materialise(rows.withColumns({
+        "enriched": F.col("page_evidence_id").isNotNull(), "birth_date_status": F.coalesce("birth_date_status", F.lit("unknown")),
+        "evidence_ids": F.array_sort(F.array_union("evidence_ids", F.transform("evidence_refs", lambda r: r["evidence_id"]))),
         "data_quality_flags": F.array_sort(F.array_distinct(F.coalesce("data_quality_flags", none))),
-    }).drop("page_evidence_id")
+    }).drop("page_evidence_id", "page_refs", "row_refs"))
 
 
 def parties(members: DataFrame) -> DataFrame:
@@ -56,12 +69,12 @@ def legislatures(seeds: DataFrame) -> DataFrame:
 def mandates(members: DataFrame) -> DataFrame:
     """One row a mandate: values of the last row, the references of all rows."""
     cols = ["person_id", "legislature_id", "party_name", "wahlkreis", "start_date", "end_date", "role", "notes", "events"]
-    rows = members.groupBy("mandate_id").agg(_last(*cols), F.array_distinct(F.flatten(F.collect_list("evidence_refs"))).alias("evidence_refs"))
+    rows = members.groupBy("mandate_id").agg(_last(*cols), F.array_sort(F.array_distinct(F.flatten(F.collect_set("evidence_refs")))).alias("evidence_refs"))
     return rows.select("mandate_id", "v.*", "evidence_refs", F.array_sort(F.array_distinct(F.transform("evidence_refs", lambda r: r["evidence_id"]))).alias("evidence_ids"))
 
 
 def evidence(parsed: DataFrame, retrieved_at: str = "") -> DataFrame:
-    """Page-level evidence of the parsed list pages; row references never go here."""
+    """Page-level evidence of the parsed list pages (one row an id: all of an id's values are equal); row references never go here."""
     rows = parsed.where("error is null").select("evidence_id", F.lit("mediawiki").alias("source_kind"), "page_title", "page_id", "revision_id", "sha256", page_url(F.col("page_title"), F.col("revision_id")).alias("source_url"), F.lit(retrieved_at).alias("retrieved_at"))
     return rows.dropDuplicates(["evidence_id"])
 

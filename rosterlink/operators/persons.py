@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterlink.functions.dom import with_dom
+from rosterlink.functions.dom import parsed_pages
 from rosterlink.functions.ids import evidence_id, person_id, strip
 from rosterlink.functions.text import BASE_URL, parse_date, underscored
 from rosterlink.operators.members import EVIDENCE_REF
+from rosterlink.sources.written import materialise
 
 
 def intro(dom: Column) -> Column:
@@ -31,9 +32,9 @@ def key_facts(dom: Column) -> Column:
 
 
 def parse_person_pages(pages: DataFrame, run_ts: str = "") -> DataFrame:
-    """One person record a page (``page_title, page_id, revision_id, sha256, html``)."""
-    rows = with_dom(pages.select(underscored(F.col("page_title")).alias("wikipedia_title"), "page_id", "revision_id", "sha256", "html"))
-    rows = rows.select("wikipedia_title", evidence_id(F.col("page_id"), F.col("revision_id"), F.lit("parse"), F.col("sha256")).alias("evidence_id"), intro(F.col("dom")).alias("intro"), key_facts(F.col("dom")).alias("facts"))
+    """One person record a page (``page_title, page_id, revision_id, sha256, html``), parsed and written once."""
+    doms = parsed_pages(pages.select(underscored(F.col("page_title")).alias("wikipedia_title"), "page_id", "revision_id", "sha256", "html"))
+    rows = materialise(doms.select("wikipedia_title", evidence_id(F.col("page_id"), F.col("revision_id"), F.lit("parse"), F.col("sha256")).alias("evidence_id"), intro(F.col("dom")).alias("intro"), key_facts(F.col("dom")).alias("facts")))
     has = F.col("intro") != ""
     note = F.struct(F.lit("intro").alias("type"), F.substring("intro", 1, 500).alias("text"), F.col("evidence_id"))
     ref = F.struct(F.col("evidence_id"), F.lit(None).alias("snippet_ref"), F.lit("person_page_intro").alias("purpose"), F.lit(None).alias("confidence"), F.lit(run_ts).alias("created_at")).cast(EVIDENCE_REF)

@@ -2,34 +2,61 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterlink.operators import linking, members, normalize, persons, registry
-from rosterlink.sinks import graph, search
+from rosterlink.sinks import export, graph, search
+from rosterlink.sources import readers
 from rosterlink.sources.readers import complete_metadata, latest_pages
+from rosterlink.sources.written import materialise
 
 
-def run_pipeline(raw_pages: DataFrame, seeds: DataFrame, dip_persons: DataFrame, overrides: DataFrame | None = None, run_ts: str = "") -> dict[str, DataFrame]:
+def run_pipeline(raw_pages: DataFrame, seeds: DataFrame, dip_persons: DataFrame, overrides: DataFrame | None = None, run_ts: str = "", run_id: str = "run") -> dict[str, DataFrame]:
     """All entity tables from stored pages (lists and person pages), seeds and registry persons.
 
-    Registry rows are deduplicated, so that a person of several terms does not count as ambiguous.
+    Each page is parsed once, each name normalised once and each pair scored once: what several tables read is written
+    in between. Registry rows are deduplicated, so that a person of several terms does not count as ambiguous.
     """
     pages = latest_pages(raw_pages)
     parsed = members.member_pages(pages, seeds)
     rows = members.parse_member_lists(parsed, run_ts)
-    merged = normalize.merge_persons(rows)
+    merged = materialise(normalize.merge_persons(rows))
     wanted = pages.join(merged.select(F.col("wikipedia_title").alias("page_title")), "page_title", "left_semi")
     people = normalize.enrich_persons(merged, persons.parse_person_pages(wanted, run_ts))
     metadata = complete_metadata(pages.select("page_title", "page_id", "revision_id", "retrieved_at", "sha256", "url"))
-    wiki = normalize.wiki_records(people, metadata)
-    dip = registry.dip_records(registry.dedup_dip(dip_persons))
+    wiki = materialise(normalize.wiki_records(people, metadata))
+    dip = materialise(registry.dip_records(registry.dedup_dip(dip_persons)))
     assertions, canonical = linking.reconcile(wiki, dip, overrides, run_ts)
     out = {
-        "persons": people, "parties": normalize.parties(rows), "legislatures": normalize.legislatures(seeds), "mandates": normalize.mandates(rows), "evidence": normalize.evidence(parsed, run_ts),
+        "persons": people, "parties": normalize.parties(rows), "legislatures": normalize.legislatures(seeds), "mandates": materialise(normalize.mandates(rows)), "evidence": normalize.evidence(parsed, run_ts),
         "wiki_records": wiki, "dip_records": dip, "assertions": assertions, "canonical_persons": canonical, "errors": members.parse_errors(parsed), "quality_warnings": normalize.quality_warnings(people),
     }
     edges = graph.supported_by(out["persons"], "person_id", "Person").unionByName(graph.supported_by(out["mandates"], "mandate_id", "Mandate"))
     out["edges"] = edges.unionByName(graph.mandate_edges(out["mandates"], out["persons"], out["parties"], out["legislatures"])).unionByName(graph.link_edges(assertions, canonical, wiki, dip))
+    out["evidence_stubs"] = graph.evidence_stubs(edges, out["evidence"])
+    out["nodes"] = graph.all_nodes(out, out["evidence_stubs"])
     out["person_documents"], out["mandate_documents"], out["canonical_documents"] = search.person_documents(people), search.mandate_documents(out["mandates"]), search.canonical_documents(canonical, metadata)
+    out["run_manifest"] = run_manifest(out, run_id, run_ts)
     return out
+
+
+def run_manifest(tables: dict[str, DataFrame], run_id: str, run_ts: str) -> DataFrame:
+    """One row a run: its counts of links, enriched persons and errors, and the rows of every entity."""
+    links = linking.link_summary(tables["assertions"], tables["canonical_persons"])
+    enriched = normalize.enrichment_stats(tables["persons"]).select(F.struct("*").alias("enrichment"))
+    errors = tables["errors"].agg(F.array_sort(F.collect_list("seed_key")).alias("errors"))
+    names = ("persons", "parties", "legislatures", "mandates", "evidence")
+    counts = export.manifest({n: tables[n] for n in names}, run_id, run_ts).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("entity", "n")))).alias("entities"))
+    row = links.select(F.struct("*").alias("links"))
+    for part in (enriched, errors, counts):  # tables of one row each
+        row = row.withColumn("k", F.lit(1)).join(part.withColumn("k", F.lit(1)), "k").drop("k")
+    status = F.when(F.size("errors") > 0, "error").otherwise("success")
+    return row.select(F.lit(run_id).alias("run_id"), F.lit(run_ts).alias("completed_at"), status.alias("status"), "errors", "enrichment", "links", "entities")
+
+
+def run_from_files(spark: SparkSession, cache: str, registry_pages: str, seeds_file: str, overrides_file: str | None = None, run_ts: str = "", run_id: str = "run") -> dict[str, DataFrame]:
+    """``run_pipeline`` on stored files: page responses with metadata, registry pages, seeds and overrides."""
+    overrides = readers.load_overrides(spark, overrides_file) if overrides_file else None
+    dip = readers.dip_persons(readers.read_dip_pages(spark, registry_pages))
+    return run_pipeline(readers.read_raw_pages(spark, cache), readers.load_seeds(spark, seeds_file), dip, overrides, run_ts, run_id)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rosterlink.functions import ids, text
 from rosterlink.functions.dom import with_dom
-from rosterlink.operators import discovery, evidence, linking, members, persons, registry
+from rosterlink.operators import discovery, evidence, linking, members, normalize, persons, registry
 from rosterlink.queries import render as R
 from rosterlink.queries.render import u5_sql as u5
 from rosterlink.queries.roster import BASE, PEOPLE, _members, _parsed, _people, _sorted_text
@@ -62,11 +62,12 @@ ORACLE["dip_dedup"] = f"WITH {REG} SELECT k AS dip_person_id, nachname, 1 AS wp,
 
 @query
 def dip_record_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Record ids; the evidence ids over canonical JSON are held by unit tests."""
-    return registry.dip_records(registry.dedup_dip(_registry(spark, sf_dir))).select("id", "dip_person_id", F.size("evidence_ids").alias("n_evidence"))
+    """Record ids, and evidence ids over the canonical JSON of each record."""
+    return registry.dip_records(registry.dedup_dip(_registry(spark, sf_dir))).select("id", "dip_person_id", F.array_join("evidence_ids", ",").alias("evidence_ids"))
 
 
-ORACLE["dip_record_ids"] = f"SELECT {u5(ids.PERSON, "'dip:' || p_partkey")} AS id, p_partkey AS dip_person_id, 1 AS n_evidence FROM part"
+_RECORD = """'{"fraktion": "' || p_brand || '", "id": ' || k || ', "nachname": "' || nachname || '", "namenszusatz": null, "person_roles": [], "titel": null, "vorname": "' || vorname || '", "wahlperiode": [' || (k % 20 + 1) || ', ' || (k % 20 + 2) || ']}'"""
+ORACLE["dip_record_ids"] = f"""WITH {REG} SELECT {u5(ids.PERSON, "'dip:' || k")} AS id, k AS dip_person_id, {u5(ids.EVIDENCE, f"k || '|0|dip_person|' || sha256({_RECORD})")} AS evidence_ids FROM p"""
 
 
 # linking
@@ -82,7 +83,7 @@ def _linked(spark: SparkSession, sf_dir: str, dedup: bool = True, with_overrides
 def _link_sql(dips: str) -> str:
     return f"""{REG}, d AS ({dips}),
 w AS (SELECT 'w' || k AS id, 'Wiki_' || k AS title, k, CASE WHEN k % 10 = 3 THEN 'Zz' ELSE vorname END AS f, CASE WHEN k % 10 = 6 THEN 'Nobody' ELSE nachname END AS l,
-  CASE WHEN k % 10 = 3 THEN 'Zz ' || nachname WHEN k % 10 = 6 THEN vorname || ' Nobody' ELSE vorname || ' ' || nachname END AS name FROM p WHERE k % 3 <> 1),
+  CASE WHEN k % 10 = 3 THEN 'Zz ' || nachname WHEN k % 10 = 6 THEN vorname || ' Nobody' ELSE vorname || ' ' || nachname END AS name FROM p),
 o AS (SELECT 'Wiki_' || p_partkey AS title, CASE WHEN p_partkey % 400 = 200 THEN -1 ELSE p_partkey END AS dip, CASE WHEN p_partkey % 800 = 100 THEN 'rejected' ELSE 'accepted' END AS status FROM part WHERE p_partkey % 100 = 0 AND p_partkey % 400 <> 300),
 forced AS (SELECT w.*, CAST(o.dip AS VARCHAR) AS ref, 'override' AS method, 1.0 AS score, o.status, 'Manual override' AS reason FROM w JOIN o USING (title) JOIN p ON p.k = o.dip),
 free AS (SELECT * FROM w WHERE title NOT IN (SELECT title FROM o)),
@@ -118,10 +119,10 @@ ORACLE["link_duplicates_pending"] = f"WITH {_link_sql(ALL)} SELECT status, count
 
 @query
 def canonical_persons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _linked(spark, sf_dir)[1].select("id", "display_name", "identifiers.wikipedia_title", "identifiers.wikipedia_page_id", "identifiers.dip_person_id")
+    return _linked(spark, sf_dir)[1].select("id", "display_name", "identifiers.wikipedia_title", "identifiers.wikipedia_page_id", "identifiers.dip_person_id", F.array_join("evidence_ids", ",").alias("evidence_ids"))
 
 
-ORACLE["canonical_persons"] = f"WITH {_link_sql(ONE)} SELECT {u5(ids.PERSON, "'wikipedia:' || lower(title)")} AS id, name AS display_name, title AS wikipedia_title, CAST(k AS VARCHAR) AS wikipedia_page_id, ref AS dip_person_id FROM a WHERE status = 'accepted'"
+ORACLE["canonical_persons"] = f"WITH {_link_sql(ONE)} SELECT {u5(ids.PERSON, "'wikipedia:' || lower(title)")} AS id, name AS display_name, title AS wikipedia_title, CAST(k AS VARCHAR) AS wikipedia_page_id, ref AS dip_person_id, 'e' || k || ',d' || ref AS evidence_ids FROM a WHERE status = 'accepted'"
 
 
 @query
@@ -164,6 +165,26 @@ def search_canonical_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["search_canonical_documents"] = f"WITH {_link_sql(ONE)} SELECT {u5(ids.PERSON, "'wikipedia:' || lower(title)")} AS _id, name AS display_name, 'accepted' AS match_status, CASE WHEN k % 2 = 0 THEN k * 2 END AS revision_id, CASE WHEN k % 2 = 0 THEN 'https://de.wikipedia.org/wiki/' || title END AS source_url FROM a WHERE status = 'accepted'"
 
 
+@query
+def graph_node_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of all nine labels, counted."""
+    a, c, wiki, dip = _linked(spark, sf_dir)
+    parsed = _parsed(spark, sf_dir)
+    rows = members.parse_member_lists(parsed)
+    people = normalize.enrich_persons(normalize.merge_persons(rows), persons.parse_person_pages(R.person_pages(spark, sf_dir)))
+    tables = {"persons": people, "parties": normalize.parties(rows), "legislatures": normalize.legislatures(R.seeds(spark, sf_dir)), "mandates": normalize.mandates(rows), "evidence": normalize.evidence(parsed)}
+    tables |= {"wiki_records": wiki, "dip_records": dip, "canonical_persons": c, "assertions": a}
+    stubs = graph.evidence_stubs(graph.supported_by(people, "person_id", "Person"), tables["evidence"])
+    return graph.node_counts(graph.all_nodes(tables, stubs))
+
+
+ORACLE["graph_node_counts"] = f"""WITH {BASE}, {PEOPLE}, {_link_sql(ONE)}, n AS (
+  SELECT 'Person' AS label, count(*) AS n FROM m UNION ALL SELECT 'Mandate', count(*) FROM m UNION ALL SELECT 'Party', count(DISTINCT party) FROM m UNION ALL SELECT 'Legislature', count(DISTINCT legislature_id) FROM pages
+  UNION ALL SELECT 'Evidence', (SELECT count(*) FROM ev) + count(*) FROM pp WHERE intro IS NOT NULL AND k % 7 <> 0 AND NOT starts_with(title, 'Andere_') UNION ALL SELECT 'WikipediaPersonRecord', count(*) FROM w UNION ALL SELECT 'DipPersonRecord', count(*) FROM d
+  UNION ALL SELECT 'CanonicalPerson', count(*) FROM a WHERE status = 'accepted' UNION ALL SELECT 'PersonLinkAssertion', count(DISTINCT id || '|' || ref) FROM a)
+SELECT label, n FROM n"""
+
+
 # evidence
 
 
@@ -179,9 +200,8 @@ def _all_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def evidence_row_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every member's cited row, from its page; ids without an index entry drop out."""
-    r = _members(spark, sf_dir).select(F.get("evidence_refs", F.lit(0)).alias("r"))
-    refs = r.select("r.evidence_id", "r.snippet_ref.table_index", "r.snippet_ref.row_index", "r.purpose")
-    refs = refs.select(F.explode(F.when(F.col("row_index") == 0, F.array("evidence_id", F.lit("unknown"))).otherwise(F.array("evidence_id"))).alias("evidence_id"), "table_index", "row_index", "purpose")
+    r = _members(spark, sf_dir).select(F.get("evidence_refs", F.lit(0)).alias("r")).select("r.evidence_id", "r.snippet_ref", "r.purpose")
+    refs = r.select(F.explode(F.when(F.col("snippet_ref.row_index") == 0, F.array("evidence_id", F.lit("unknown"))).otherwise(F.array("evidence_id"))).alias("evidence_id"), "snippet_ref", "purpose")
     out = evidence.resolve_evidence_refs(refs, _index(spark, sf_dir), R.list_pages(spark, sf_dir))
     return out.select("evidence_id", "row_index", "snippet", "snippet_source", "canonical_url", "purpose")
 
@@ -204,13 +224,57 @@ SELECT pe AS evidence_id, title AS page_title, s AS snippet, 'lead_paragraph' AS
 
 @query
 def evidence_from_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Persons found by name (a top-k report of 20) and the intros that they cite."""
-    out = evidence.resolve_from_search(_people(spark, sf_dir).where("size(evidence_refs) > 0"), "customer 0000001", _index(spark, sf_dir), _all_pages(spark, sf_dir), 20)
-    return out.select("evidence_id", "page_title", "purpose", "snippet_source")
+    """Persons found by name (a top-k report of 20), the list rows and the intros that they cite."""
+    out = evidence.resolve_from_search(_people(spark, sf_dir), "customer 0000001", _index(spark, sf_dir), _all_pages(spark, sf_dir), 20)
+    return out.select("evidence_id", "page_title", "purpose", "snippet_source", "row_index", "snippet")
+
+
+_ROW = "CASE WHEN nk % 3 = 1 THEN party || ' | ' || c_name ELSE c_name || ' | ' || party END || ' | ' || n_name || ' ' || (k % 10) || CASE WHEN notes <> '' THEN ' | ' || notes ELSE '' END"
+ORACLE["evidence_from_search"] = f"""WITH {BASE}, {PEOPLE}, f AS (SELECT * FROM m WHERE contains(lower(c_name || ' ' || replace(title, '_', ' ')), '0000001') ORDER BY c_name, person_id LIMIT 20)
+SELECT evidence_id, page_title, 'membership_row' AS purpose, 'table_row' AS snippet_source, row_index, {_ROW} AS snippet FROM f
+UNION ALL SELECT pe, pp.title, 'person_page_intro', 'lead_paragraph', NULL, 'Koordinaten: 1 2' FROM f JOIN pp ON pp.person_id = f.person_id WHERE intro IS NOT NULL"""
+
+
+@query
+def evidence_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Older textual references to list rows, held by the index or by the reference; where there is none, or no number, the lead."""
+    lists = R.list_pages(spark, sf_dir)
+    ref = lambda k: F.concat(F.lit(f"table_row:{k}:"), F.col("k").cast("string"))
+    index = evidence.rebuild_index(lists.drop("html").withColumn("raw_json", F.lit(None).cast("string"))).withColumn("snippet_ref", F.lit("table_row:0"))
+    ids = index.select("evidence_id", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("k"))
+    refs = ids.select("evidence_id", F.when(F.col("k") == 2, F.lit(None)).otherwise(ref(0)).alias("snippet_ref"), F.lit("older").alias("purpose"))
+    out = evidence.resolve_evidence_refs(refs, index, lists)
+    return out.select("evidence_id", "row_index", F.coalesce("snippet", F.lit("")).alias("snippet"), "snippet_ref")
+
+
+_FIRST = "CASE nk % 3 WHEN 0 THEN {0} WHEN 1 THEN CASE WHEN r = 0 THEN '1 | 2' ELSE '' END ELSE CASE WHEN r = 0 THEN 'Jahr' ELSE '' END END"
+ORACLE["evidence_legacy"] = f"""WITH {BASE}, all_rows AS (SELECT c.*, ev.evidence_id FROM c JOIN ev USING (page_title)),
+q AS (SELECT evidence_id, nk, u.r, u.t FROM ev, (VALUES (0, 'table_row:0:0'), (1, 'table_row:0:1'), (0, 'table_row:0')) u(r, t))
+SELECT q.evidence_id, CAST(q.r AS INTEGER) AS row_index, CASE q.nk % 3 WHEN 0 THEN (SELECT {_ROW} FROM all_rows x WHERE x.evidence_id = q.evidence_id AND x.row_index = q.r) WHEN 1 THEN CASE WHEN q.r = 0 THEN '1 | 2' ELSE '' END ELSE CASE WHEN q.r = 0 THEN 'Jahr' ELSE '' END END AS snippet, q.t AS snippet_ref FROM q"""
+
+
+@query
+def evidence_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evidence of registry pages: the request's URL; the entry's fields count first, the stored metadata's where it lacks them."""
+    pages = R.dip_pages(spark, sf_dir)
+    path = F.concat_ws("/", F.lit("cache"), F.col("wp").cast("string"), F.col("page").cast("string"))
+    params = F.create_map(F.lit("f.wahlperiode"), F.concat(F.lit("["), F.col("wp").cast("string"), F.lit(", 99]")), F.lit("limit"), F.lit("100"))
+    stored = pages.select(
+        F.lit("").alias("page_title"), F.lit(0).cast("bigint").alias("page_id"), F.lit(0).cast("bigint").alias("revision_id"), F.lit(None).cast("string").alias("html"), F.lit("2024-03-03").alias("retrieved_at"),
+        F.lit("https://registry.example/stored").alias("url"), F.lit("stored").alias("sha256"), F.lit("/person").alias("endpoint"), params.alias("request_params"), path.alias("metadata_path"),
+    )
+    own = F.when(F.col("page") % 2 == 0, F.create_map(F.lit("q"), F.concat(F.lit("a b"), F.col("page").cast("string"))))
+    index = pages.select(path.alias("evidence_id"), F.when(F.col("wp") == 1, "dip").otherwise("other").alias("source_kind"), F.when(F.col("page") % 2 == 0, "own").alias("sha256"), F.lit(None).cast("string").alias("endpoint"), own.alias("params"), path.alias("cache_metadata_path"))
+    lost = index.select(F.concat(F.lit("lost"), "evidence_id").alias("evidence_id"), "source_kind", "sha256", "endpoint", "params", F.lit("nowhere").alias("cache_metadata_path"))
+    index = index.unionByName(lost)
+    out = evidence.resolve_evidence_ids(index.select("evidence_id"), index, stored)
+    return out.select("evidence_id", "source_kind", "sha256", "canonical_url", "source_url", "retrieved_at_utc", "snippet")
 
 
-ORACLE["evidence_from_search"] = f"""WITH {BASE}, {PEOPLE}, f AS (SELECT m.person_id, pp.pe, pp.title FROM m JOIN pp ON pp.person_id = m.person_id WHERE intro IS NOT NULL AND contains(lower(m.c_name || ' ' || replace(m.title, '_', ' ')), '0000001') ORDER BY m.c_name, m.person_id LIMIT 20)
-SELECT pe AS evidence_id, title AS page_title, 'person_page_intro' AS purpose, 'lead_paragraph' AS snippet_source FROM f"""
+ORACLE["evidence_registry"] = f"""WITH {REG}, g AS (SELECT DISTINCT wp, page FROM reg)
+SELECT 'cache/' || wp || '/' || page AS evidence_id, CASE WHEN wp = 1 THEN 'dip' ELSE 'other' END AS source_kind, CASE WHEN page % 2 = 0 THEN 'own' ELSE 'stored' END AS sha256,
+CASE WHEN wp <> 1 THEN 'https://registry.example/stored' WHEN page % 2 = 0 THEN '{evidence.REGISTRY_URL}/person?q=a+b' || page ELSE '{evidence.REGISTRY_URL}/person?f.wahlperiode=' || wp || '&f.wahlperiode=99&limit=100' END AS canonical_url,
+'https://registry.example/stored' AS source_url, '2024-03-03' AS retrieved_at_utc, CAST(NULL AS VARCHAR) AS snippet FROM g"""
 
 
 @query
@@ -220,7 +284,8 @@ def evidence_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evidence.as_markdown(out).join(evidence.as_json(out).select("evidence_id", F.get_json_object("json", "$.purpose").alias("purpose"), F.get_json_object("json", "$.page_title").alias("page_title")), "evidence_id")
 
 
-ORACLE["evidence_formats"] = f"""WITH {PEOPLE} SELECT pe AS evidence_id, '- **' || title || '** (revision ' || (k + 20000000) || ')' || chr(10) || '  - URL: https://de.wikipedia.org/wiki/' || title || '?oldid=' || (k + 20000000) || chr(10) || '  - Snippet: ' || CASE WHEN k % 11 = 0 THEN 'Danach' ELSE 'Koordinaten: 1 2' END || chr(10) || '  - Retrieved: 2024-02-02T00:00:00Z' AS markdown, CAST(NULL AS VARCHAR) AS purpose, title AS page_title FROM pp"""
+ORACLE["evidence_formats"] = f"""WITH {PEOPLE} SELECT pe AS evidence_id, concat_ws(chr(10), '- Evidence `' || pe || '`', '  - **Source**: mediawiki', '  - **Page**: ' || title, '  - **Revision**: ' || (k + 20000000), '  - **URL**: https://de.wikipedia.org/wiki/' || title || '?oldid=' || (k + 20000000), '  - **Retrieved**: 2024-02-02T00:00:00Z',
+  '  - **SHA256**: `' || substr(sha256(c_name), 1, 16) || '...`', '  - **Snippet**: "' || CASE WHEN k % 11 = 0 THEN 'Danach' ELSE 'Koordinaten: 1 2' END || '"', '  - **Snippet Source**: lead_paragraph') AS markdown, CAST(NULL AS VARCHAR) AS purpose, title AS page_title FROM pp"""
 
 
 @query
@@ -237,7 +302,7 @@ ORACLE["evidence_index_upsert"] = "WITH n AS (SELECT CAST(user_id AS VARCHAR) AS
 
 def _fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = R.table(spark, sf_dir, "events")
-    return e.select(F.concat(F.lit("U_"), F.col("user_id").cast("string")).alias("page_title"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("retrieved_at"), F.col("event_id").alias("revision_id"), F.col("props").alias("html"))
+    return e.select(F.concat(F.lit("U_"), F.col("user_id").cast("string")).alias("page_title"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("retrieved_at"), F.col("event_id").alias("revision_id"), F.col("props").alias("html"), F.col("event_type").alias("kind"))
 
 
 @query
@@ -252,11 +317,11 @@ ORACLE["latest_revision"] = "SELECT 'U_' || user_id AS page_title, event_id AS r
 def pages_to_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = _fetches(spark, sf_dir)
     current = f.groupBy("page_title").agg(F.max("revision_id").alias("revision_id"))
-    stored = readers.latest_pages(f.where("revision_id % 3 <> 0"))
+    stored = readers.latest_pages(f.where("kind <> 'click'")).drop("kind")
     return readers.pages_to_refresh(current, stored)
 
 
-ORACLE["pages_to_refresh"] = """WITH cur AS (SELECT user_id, max(event_id) AS r FROM events GROUP BY 1), st AS (SELECT user_id, event_id AS s FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events WHERE event_id % 3 <> 0) WHERE rn = 1)
+ORACLE["pages_to_refresh"] = """WITH cur AS (SELECT user_id, max(event_id) AS r FROM events GROUP BY 1), st AS (SELECT user_id, event_id AS s FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events WHERE event_type <> 'click') WHERE rn = 1)
 SELECT 'U_' || user_id AS page_title, r AS revision_id, s AS stored_revision_id FROM cur LEFT JOIN st USING (user_id) WHERE s IS NULL OR s <> r"""
 
 
@@ -293,7 +358,7 @@ def _discovered(spark: SparkSession, sf_dir: str):
     named = hits.select("title", "page_title", "n_nationkey").distinct()
     info = named.where("n_nationkey <> 5").join(lists.drop("html"), "page_title").select(F.col("title").alias("page_title"), F.when(F.col("n_nationkey").isin(9, 10), F.lit(777)).otherwise(F.col("page_id")).alias("page_id"), "revision_id")
     pages = named.join(lists.select("page_title", "html"), "page_title").select(F.col("title").alias("page_title"), "html")
-    return hits, *discovery.discover_seeds(hits.drop("page_title", "n_nationkey", "block"), info, pages, reg)
+    return discovery.check_titles(hits.drop("page_title", "n_nationkey", "block"), info, pages, reg)
 
 
 DISC = f"""{BASE}, h0 AS (SELECT c.*, nk + 1 AS num, k % 3 AS l, replace(page_title, '_', ' ') || CASE WHEN (nk + 1) % 4 <> 0 THEN ' (' || (nk + 1) || '. Wahlperiode)' ELSE '' END AS ti FROM c WHERE (nk + 1) % 4 <> 0 OR (nk + 1) % 8 = 0),
@@ -307,7 +372,7 @@ rj AS (SELECT * FROM s WHERE reason IS NOT NULL AND (fv IS NULL OR ord < fv))"""
 
 @query
 def seed_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _discovered(spark, sf_dir)[1].select("key", "page_title", "title_key", "expected_start", "legislature_number")
+    return discovery.seeds_of(_discovered(spark, sf_dir)).select("key", "page_title", "title_key", "expected_start", "legislature_number")
 
 
 ORACLE["seed_discovery"] = f"WITH {DISC} SELECT key, ti AS page_title, replace(ti, ' ', '_') AS title_key, '' AS expected_start, num AS legislature_number FROM sd"
@@ -315,7 +380,7 @@ ORACLE["seed_discovery"] = f"WITH {DISC} SELECT key, ti AS page_title, replace(t
 
 @query
 def seed_rejections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _discovered(spark, sf_dir)[2]
+    return discovery.rejected_of(_discovered(spark, sf_dir))
 
 
 ORACLE["seed_rejections"] = f"WITH {DISC} SELECT 'L' || l AS landtag_key, ti AS title, num AS number, pid AS page_id, reason FROM rj"
@@ -323,10 +388,10 @@ ORACLE["seed_rejections"] = f"WITH {DISC} SELECT 'L' || l AS landtag_key, ti AS
 
 @query
 def discovery_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return discovery.discovery_summary(*_discovered(spark, sf_dir))
+    return discovery.discovery_summary(_discovered(spark, sf_dir))
 
 
-ORACLE["discovery_summary"] = f"WITH {DISC} SELECT 'found' AS what, count(*) AS n FROM h UNION ALL SELECT 'validated', count(*) FROM sd UNION ALL SELECT 'rejected', count(*) FROM rj"
+ORACLE["discovery_summary"] = f"WITH {DISC} SELECT 'found' AS what, count(*) AS n FROM h UNION ALL SELECT 'validated', count(*) FROM s WHERE reason IS NULL AND ord = fv UNION ALL SELECT 'rejected', count(*) FROM rj UNION ALL SELECT 'errors', 0 UNION ALL SELECT 'seed_count', count(*) FROM sd"
 
 
 @query
@@ -412,10 +477,10 @@ SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 3 < 2 AND o_orderkey % 20 <> 0 TH
 @query
 def canonical_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = R.table(spark, sf_dir, "documents")
-    return d.select("doc_id", text.page_url(F.substring("text", 1, 60), F.when(F.col("doc_id") % 3 != 0, F.col("doc_id"))).alias("url"))
+    return d.select("doc_id", text.page_url(F.col("text"), F.when(F.col("doc_id") % 3 != 0, F.col("doc_id"))).alias("url"))
 
 
-ORACLE["canonical_urls"] = "SELECT doc_id, 'https://de.wikipedia.org/wiki/' || url_encode(replace(substr(text, 1, 60), ' ', '_')) || CASE WHEN doc_id % 3 <> 0 THEN '?oldid=' || doc_id ELSE '' END AS url FROM documents"
+ORACLE["canonical_urls"] = "SELECT doc_id, 'https://de.wikipedia.org/wiki/' || url_encode(replace(text, ' ', '_')) || CASE WHEN doc_id % 3 <> 0 THEN '?oldid=' || doc_id ELSE '' END AS url FROM documents"
 
 
 @query

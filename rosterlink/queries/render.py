@@ -12,6 +12,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(pages: DataFrame) -> DataFrame:
+    """Pages over all cores, as files of stored pages would be: they are small here and their parsing is the work."""
+    return pages.repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def u5_sql(namespace: str, key: str) -> str:
     """A name-based UUID in DuckDB SQL."""
     h = f"sha1(from_hex('{namespace.replace('-', '')}') || encode({key}))"
@@ -59,7 +64,7 @@ def list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = F.when(kind == 1, '<table class="wikitable"><tr><th>Jahr</th><th>Wert</th></tr><tr><td>1</td><td>2</td></tr></table>').when(kind == 2, '<table class="wikitable"><tr><th>Jahr</th></tr></table><h2>Die Mitglieder</h2>').otherwise("<p>Koordinaten: 1<p>Text")
     html = F.concat(F.lit('<div class="mw-parser-output">'), before, F.lit('<table class="wikitable sortable">'), head, "rows", F.lit("</table></div><script>var t='<table></table>';</script>"))
     page_id = F.col("n_nationkey").cast("bigint") * 100000 + F.col("block") + 1
-    return pages.select("page_title", page_id.alias("page_id"), (page_id * 10).alias("revision_id"), html.alias("html"), F.sha2("page_title", 256).alias("sha256"), F.lit("2024-01-01T00:00:00Z").alias("retrieved_at"), F.concat(F.lit("https://de.wikipedia.org/wiki/"), "page_title").alias("url"))
+    return spread(pages).select("page_title", page_id.alias("page_id"), (page_id * 10).alias("revision_id"), html.alias("html"), F.sha2("page_title", 256).alias("sha256"), F.lit("2024-01-01T00:00:00Z").alias("retrieved_at"), F.concat(F.lit("https://de.wikipedia.org/wiki/"), "page_title").alias("url"))
 
 
 def birth(k: Column) -> Column:
@@ -67,8 +72,8 @@ def birth(k: Column) -> Column:
 
 
 def person_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A page for two of three customers; dates as ``time``, as ``bday`` or not at all."""
-    c = table(spark, sf_dir, "customer").where("c_custkey % 3 <> 2")
+    """A page for each customer, under another title where the balance is negative; dates as ``time``, as ``bday`` or not at all."""
+    c = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
     date = birth(k)
     cell = F.when(k % 4 == 0, F.concat(F.lit('<time datetime="'), date, F.lit('">am</time>'))).when(k % 4 == 1, F.concat(F.lit('<span class="x bday">'), date, F.lit("</span>"))).otherwise(F.lit("unbekannt"))
@@ -76,8 +81,8 @@ def person_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     box = F.concat(F.lit('<table class="infobox vcard"><tr><th>Geboren</th><td>'), cell, F.lit("</td></tr>"), death, F.lit("</table>"))
     intro = F.concat(F.lit("<p>Koordinaten: 1 2</p><p>"), "c_name", F.lit(" gehört zu <b>"), escaped(F.col("c_mktsegment")), F.lit("</b>.[1]</p><p> Zweiter Absatz. </p>"))
     html = F.concat(F.lit('<div class="mw-parser-output">'), F.when(k % 11 == 0, "").otherwise(intro), box, F.lit("<p>Danach</p></div>"))
-    title = F.replace("c_name", F.lit("#"), F.lit("_"))
-    return c.select(title.alias("page_title"), (k + 10_000_000).alias("page_id"), (k + 20_000_000).alias("revision_id"), html.alias("html"), F.sha2("c_name", 256).alias("sha256"), F.lit("2024-02-02T00:00:00Z").alias("retrieved_at"), F.concat(F.lit("https://de.wikipedia.org/wiki/"), title).alias("url"))
+    title = F.concat(F.when(F.col("c_acctbal") < 0, "Andere_").otherwise(""), F.replace("c_name", F.lit("#"), F.lit("_")))
+    return spread(c).select(title.alias("page_title"), (k + 10_000_000).alias("page_id"), (k + 20_000_000).alias("revision_id"), html.alias("html"), F.sha2("c_name", 256).alias("sha256"), F.lit("2024-02-02T00:00:00Z").alias("retrieved_at"), F.concat(F.lit("https://de.wikipedia.org/wiki/"), title).alias("url"))
 
 
 def dip_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,8 +101,8 @@ def dip_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wiki_persons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records to link, from ``part``: two of three persons of the registry, some under another spelling."""
-    p = table(spark, sf_dir, "part").where("p_partkey % 3 <> 1")
+    """Records to link, from ``part``: the persons of the registry, some under another spelling."""
+    p = table(spark, sf_dir, "part")
     words = F.split("p_name", " ")
     first = F.initcap(F.get(words, F.lit(0)))
     last = F.initcap(F.concat(F.get(words, F.lit(1)), (F.col("p_partkey") % 50).cast("string")))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterlink.functions import ids
-from rosterlink.functions.dom import with_dom
+from rosterlink.functions.dom import parsed_pages, with_dom
 from rosterlink.operators import members, normalize, persons
 from rosterlink.queries import render as R
 from rosterlink.queries.render import u5_sql as u5
@@ -121,7 +121,7 @@ ORACLE["party_counts"] = f"WITH {BASE} SELECT r_name AS parliament, party AS par
 
 @query
 def table_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dom = with_dom(R.list_pages(spark, sf_dir).select("page_title", "html"))
+    dom = parsed_pages(R.list_pages(spark, sf_dir).select("page_title", "html"))
     chosen = members.choose_table(F.col("dom"), F.array(F.lit("liste")))
     check = members.validate_member_list(F.col("dom"))
     return dom.select("page_title", F.size("dom.tables").alias("n_tables"), chosen["pos"].alias("chosen_pos"), chosen["index"].alias("wikitable_index"), check["valid"].alias("valid"), check["reason"].alias("reason"))
@@ -168,10 +168,10 @@ def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.enrich_persons(normalize.merge_persons(_members(spark, sf_dir)), persons.parse_person_pages(R.person_pages(spark, sf_dir)))
 
 
-PEOPLE = f"""pp AS (SELECT c_custkey AS k, replace(c_name, '#', '_') AS title, c_name, {u5(ids.PERSON, "lower(replace(c_name, '#', '_'))")} AS person_id,
+PEOPLE = f"""pp AS (SELECT c_custkey AS k, title, c_name, {u5(ids.PERSON, "lower(title)")} AS person_id,
     printf('%04d-%02d-%02d', 1950 + c_custkey % 50, c_custkey % 12 + 1, c_custkey % 28 + 1) AS d, c_custkey % 4 < 2 AS dated, CASE WHEN c_custkey % 5 = 0 THEN printf('2010-03-%02d', c_custkey % 28 + 1) END AS death_date,
     CASE WHEN c_custkey % 11 <> 0 THEN c_name || ' gehört zu ' || c_mktsegment || '.[1]' || chr(10) || chr(10) || 'Zweiter Absatz.' END AS intro,
-    {u5(ids.EVIDENCE, "(c_custkey + 10000000) || '|' || (c_custkey + 20000000) || '|parse|' || sha256(c_name)")} AS pe FROM customer WHERE c_custkey % 3 <> 2)"""
+    {u5(ids.EVIDENCE, "(c_custkey + 10000000) || '|' || (c_custkey + 20000000) || '|parse|' || sha256(c_name)")} AS pe FROM (SELECT *, CASE WHEN c_acctbal < 0 THEN 'Andere_' ELSE '' END || replace(c_name, '#', '_') AS title FROM customer))"""
 
 
 @query
@@ -198,7 +198,7 @@ def enrichment_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.enrichment_stats(_people(spark, sf_dir))
 
 
-ORACLE["enrichment_stats"] = "SELECT count(*) AS total, count(*) FILTER (c_custkey % 3 <> 2) AS enriched, count(*) FILTER (c_custkey % 3 = 2) AS failed FROM customer WHERE c_custkey % 7 <> 0"
+ORACLE["enrichment_stats"] = "SELECT count(*) AS total, count(*) FILTER (c_acctbal >= 0) AS enriched, count(*) FILTER (c_acctbal < 0) AS failed FROM customer WHERE c_custkey % 7 <> 0"
 
 
 @query
@@ -218,11 +218,12 @@ def persons_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = o.select(
         ids.person_id(F.col("o_custkey").cast("string")).alias("person_id"), F.concat(F.lit("N"), F.col("o_orderkey").cast("string")).alias("name"), F.col("o_custkey").cast("string").alias("wikipedia_title"), F.lit("").alias("wikipedia_url"),
         (F.col("o_orderkey") % 7).cast("int").alias("seed_pos"), F.col("o_orderkey").alias("row_index"), F.array("o_orderpriority").alias("evidence_ids"),
+        F.array(F.struct(F.col("o_orderpriority").alias("evidence_id"), F.lit(None).alias("snippet_ref"), F.lit("membership_row").alias("purpose"), F.lit(None).alias("confidence"), F.col("o_orderkey").cast("string").alias("created_at")).cast(members.EVIDENCE_REF)).alias("evidence_refs"),
     )
-    return normalize.merge_persons(rows).select("person_id", "name", "wikipedia_title", _sorted_text(F.col("evidence_ids")).alias("evidence_ids"))
+    return normalize.merge_persons(rows).select("person_id", "name", "wikipedia_title", _sorted_text(F.col("evidence_ids")).alias("evidence_ids"), F.size("evidence_refs").alias("n_refs"))
 
 
-ORACLE["persons_merged"] = f"SELECT {u5(ids.PERSON, 'CAST(o_custkey AS VARCHAR)')} AS person_id, 'N' || last AS name, CAST(o_custkey AS VARCHAR) AS wikipedia_title, e AS evidence_ids FROM (SELECT o_custkey, arg_max(o_orderkey, (o_orderkey % 7) * 1000000000 + o_orderkey) AS last, string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority) AS e FROM orders GROUP BY o_custkey)"
+ORACLE["persons_merged"] = f"SELECT {u5(ids.PERSON, 'CAST(o_custkey AS VARCHAR)')} AS person_id, 'N' || last AS name, CAST(o_custkey AS VARCHAR) AS wikipedia_title, e AS evidence_ids, CAST(length(e) - length(replace(e, ',', '')) + 1 AS INTEGER) AS n_refs FROM (SELECT o_custkey, arg_max(o_orderkey, (o_orderkey % 7) * 1000000000 + o_orderkey) AS last, string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority) AS e FROM orders GROUP BY o_custkey)"
 
 
 @query
@@ -251,23 +252,38 @@ UNION ALL SELECT 'Mandate', mandate_id, 'IN', 'Legislature', legislature_id FROM
 UNION ALL SELECT 'Mandate', mandate_id, 'AFFILIATED_WITH', 'Party', {u5(ids.PARTY, 'lower(party)')} FROM m"""
 
 
+@query
+def person_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each person cites: the list row that names them and the intro of their page."""
+    refs = _people(spark, sf_dir).select("person_id", F.explode("evidence_refs").alias("r"))
+    return refs.select("person_id", "r.evidence_id", "r.purpose", F.col("r.snippet_ref.row_index").alias("row_index"), F.col("r.snippet_ref.match.person_title").alias("ref_title"))
+
+
+_REFS = "SELECT person_id, evidence_id, 'membership_row' AS purpose, row_index, title AS ref_title FROM m UNION ALL SELECT m.person_id, pe, 'person_page_intro', NULL, NULL FROM m JOIN pp ON pp.person_id = m.person_id WHERE intro IS NOT NULL"
+ORACLE["person_refs"] = f"WITH {BASE}, {PEOPLE} {_REFS}"
+
+
 @query
 def graph_supported_by(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = graph.supported_by(normalize.mandates(_members(spark, sf_dir)), "mandate_id", "Mandate")
-    return e.select("src", "dst", "purpose", F.get_json_object("snippet_ref_json", "$.row_index").cast("int").alias("row_index"))
+    """Edges from persons and mandates to what they cite."""
+    rows = _members(spark, sf_dir)
+    people = normalize.enrich_persons(normalize.merge_persons(rows), persons.parse_person_pages(R.person_pages(spark, sf_dir)))
+    e = graph.supported_by(normalize.mandates(rows), "mandate_id", "Mandate").unionByName(graph.supported_by(people, "person_id", "Person"))
+    return e.select("src_label", "src", "dst", "purpose", F.get_json_object("snippet_ref_json", "$.row_index").cast("int").alias("row_index"))
 
 
-ORACLE["graph_supported_by"] = f"WITH {BASE} SELECT mandate_id AS src, evidence_id AS dst, 'membership_row' AS purpose, row_index FROM m"
+ORACLE["graph_supported_by"] = f"WITH {BASE}, {PEOPLE} SELECT 'Mandate' AS src_label, mandate_id AS src, evidence_id AS dst, 'membership_row' AS purpose, row_index FROM m UNION ALL SELECT 'Person', person_id, evidence_id, purpose, row_index FROM ({_REFS})"
 
 
 @query
 def graph_evidence_stubs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Evidence that persons cite from their own pages is not in the list pages' evidence: stub nodes."""
-    edges = graph.supported_by(_people(spark, sf_dir), "person_id", "Person")
-    return graph.evidence_stubs(edges, normalize.evidence(_parsed(spark, sf_dir)))
+    parsed = _parsed(spark, sf_dir)
+    people = normalize.enrich_persons(normalize.merge_persons(members.parse_member_lists(parsed)), persons.parse_person_pages(R.person_pages(spark, sf_dir)))
+    return graph.evidence_stubs(graph.supported_by(people, "person_id", "Person"), normalize.evidence(parsed))
 
 
-ORACLE["graph_evidence_stubs"] = f"WITH {PEOPLE} SELECT DISTINCT pe AS evidence_id FROM pp WHERE intro IS NOT NULL AND k % 7 <> 0"
+ORACLE["graph_evidence_stubs"] = f"WITH {PEOPLE} SELECT DISTINCT pe AS evidence_id FROM pp WHERE intro IS NOT NULL AND k % 7 <> 0 AND NOT starts_with(title, 'Andere_')"
 
 
 @query
@@ -291,6 +307,15 @@ def search_person_facets(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["search_person_facets"] = f"WITH {BASE} SELECT person_id AS _id, c_name AS name, title AS wikipedia_title FROM m WHERE party = 'BUILDING'"
 
 
+@query
+def search_mandate_facets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = search.facet_mandates(search.mandate_documents(normalize.mandates(_members(spark, sf_dir))), party_name="MACHINERY", role="member", start_date="2001-05-01")
+    return docs.select("_id", "person_id", "wahlkreis")
+
+
+ORACLE["search_mandate_facets"] = f"WITH {BASE} SELECT mandate_id AS _id, person_id, n_name || ' ' || (k % 10) AS wahlkreis FROM m WHERE party = 'MACHINERY'"
+
+
 @query
 def search_mandate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.mandate_documents(normalize.mandates(_members(spark, sf_dir))).select("_id", "party_name", "wahlkreis", "notes", _sorted_text(F.col("evidence_ids")).alias("evidence_ids"))

@@ -6,20 +6,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterlink.functions.ids import party_id
-from rosterlink.sources.readers import latest
 
 
-def nodes(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
-    """``(label, id, properties)`` of all tables (label to frame and id column); the last row of an id stays."""
+def nodes(tables: dict[str, tuple]) -> DataFrame:
+    """``(label, id, properties)`` of all tables: label to frame, id column and, optionally, columns that order its rows.
+
+    The last row of an id stays: by the order given, else by ``updated_at`` or ``created_at``, and then, as where there is
+    none of these, by the properties themselves. Rows without an id are no nodes.
+    """
     out = None
-    for label, (df, key) in tables.items():
-        order = [c for c in ("updated_at", "created_at") if c in df.columns]
-        kept = latest(df, [key], order) if order else df.dropDuplicates([key])
-        rows = kept.where(F.col(key).isNotNull()).select(F.lit(label).alias("label"), F.col(key).cast("string").alias("id"), F.to_json(F.struct(*[c for c in df.columns])).alias("properties"))
+    for label, (df, key, *given) in tables.items():
+        order = list(given[0]) if given else [c for c in ("updated_at", "created_at") if c in df.columns]
+        properties = F.to_json(F.struct(*[c for c in df.columns if c not in (given[0] if given else ())]))
+        last = F.max(F.struct(*order, properties.alias("properties"))).alias("m")
+        rows = df.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("string").alias("id")).agg(last)
+        rows = rows.select(F.lit(label).alias("label"), "id", "m.properties")
         out = rows if out is None else out.unionByName(rows)
     return out
 
 
+def all_nodes(tables: dict[str, DataFrame], stubs: DataFrame | None = None) -> DataFrame:
+    """Nodes of all nine labels from the entity tables of a run; evidence that is only cited is a stub with its id alone."""
+    named = {
+        "Person": ("persons", "person_id"), "Party": ("parties", "party_id"), "Legislature": ("legislatures", "legislature_id"), "Mandate": ("mandates", "mandate_id"), "Evidence": ("evidence", "evidence_id"),
+        "WikipediaPersonRecord": ("wiki_records", "id"), "DipPersonRecord": ("dip_records", "id"), "CanonicalPerson": ("canonical_persons", "id"), "PersonLinkAssertion": ("assertions", "id"),
+    }
+    out = nodes({label: (tables[name], key) for label, (name, key) in named.items()})
+    return out if stubs is None else out.unionByName(nodes({"Evidence": (stubs, "evidence_id")}))
+
+
+def node_counts(nodes: DataFrame) -> DataFrame:
+    return nodes.groupBy("label").agg(F.count("*").alias("n"))
+
+
 def supported_by(df: DataFrame, key: str, label: str) -> DataFrame:
     """Edges from persons or mandates to evidence, distinct by (source, evidence, purpose, reference)."""
     rows = df.select(F.col(key).alias("src"), F.explode("evidence_refs").alias("r"))

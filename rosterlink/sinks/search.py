@@ -24,9 +24,24 @@ def canonical_documents(canonical: DataFrame, metadata: DataFrame) -> DataFrame:
     return rows.select("*", F.col("identifiers").alias("sources"), F.lit("accepted").alias("match_status"), F.col("id").alias("_id"))
 
 
+#: What mandate documents are filtered by.
+MANDATE_FACETS = ("person_id", "legislature_id", "party_name", "wahlkreis", "start_date", "end_date", "role")
+
+
+def _where(rows: DataFrame, facets: dict) -> DataFrame:
+    for name, value in facets.items():
+        rows = rows.where(F.col(name) == value)
+    return rows
+
+
+def facet_mandates(mandates: DataFrame, **facets: str) -> DataFrame:
+    """Mandate documents by ``MANDATE_FACETS``."""
+    if unknown := set(facets) - set(MANDATE_FACETS):
+        raise ValueError(f"no facets of mandates: {sorted(unknown)}")
+    return _where(mandates, facets)
+
+
 def facet_persons(persons: DataFrame, mandates: DataFrame, legislatures: DataFrame, **facets: str | int) -> DataFrame:
     """Persons by facets of their mandates and legislatures (party_name, parliament, state, number, start_date, end_date, role, wahlkreis)."""
     rows = mandates.join(legislatures.select("legislature_id", "parliament", "state", "number"), "legislature_id", "left")
-    for name, value in facets.items():
-        rows = rows.where(F.col(name) == value)
-    return persons.join(rows.select("person_id").distinct(), "person_id", "left_semi")
+    return persons.join(_where(rows, facets).select("person_id").distinct(), "person_id", "left_semi")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rosterlink.functions.text import BASE_URL, quote, underscored
+from rosterlink.sources.written import materialise
 
 PARSE = "parse struct<title:string,pageid:bigint,revid:bigint,displaytitle:string,text:struct<`*`:string>>"
 QUERY = "query struct<pages:map<string,struct<pageid:bigint,title:string,revisions:array<struct<revid:bigint,timestamp:string>>>>>"
@@ -32,13 +33,43 @@ def read_parse_responses(spark: SparkSession, path: str) -> DataFrame:
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     """Response metadata; a missing url is made from the title."""
     raw = spark.read.schema(METADATA).json(path, multiLine=True, recursiveFileLookup=True, pathGlobFilter="metadata.json")
-    return complete_metadata(raw.withColumn("directory", F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")))
+    path_of = F.col("_metadata.file_path")
+    return complete_metadata(raw.withColumn("directory", F.regexp_replace(path_of, "/[^/]*$", "")).withColumn("metadata_path", path_of))
 
 
 def complete_metadata(meta: DataFrame) -> DataFrame:
     return meta.withColumn("url", F.coalesce(F.nullif("url", F.lit("")), F.concat(F.lit(BASE_URL), quote(underscored(F.col("page_title"))))))
 
 
+def read_raw_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Stored pages from files: every parse response under ``path`` with the metadata of its directory.
+
+    Values of the response come first, those of its metadata where the response lacks them; a response without metadata
+    keeps its row with null provenance. Both sides are one file a row, and only the metadata's few columns are joined.
+    """
+    m = read_metadata(spark, path)
+    m = m.select("directory", F.col("page_title").alias("m_title"), F.col("page_id").alias("m_page"), F.col("revision_id").alias("m_revision"), "sha256", "retrieved_at", "url", F.col("metadata_path"), "endpoint_kind", "request_params")
+    rows = read_parse_responses(spark, path).join(m, "directory", "left")
+    known = lambda c, other, empty: F.coalesce(F.nullif(c, F.lit(empty)), other, F.lit(empty))
+    title = known("page_title", underscored(F.col("m_title")), "")
+    return rows.withColumns({"page_title": title, "page_id": known("page_id", F.col("m_page"), 0), "revision_id": known("revision_id", F.col("m_revision"), 0)}).drop("m_title", "m_page", "m_revision")
+
+
+def _json_files(spark: SparkSession, path: str, schema: str, name: str) -> DataFrame:
+    raw = spark.read.schema(schema).json(path, multiLine=True, recursiveFileLookup=True, pathGlobFilter=name)
+    return raw.withColumn("directory", F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", ""))
+
+
+def read_query_responses(spark: SparkSession, path: str, name: str = "*.json") -> DataFrame:
+    """``page_revisions`` of stored query responses, one a file, with their ``directory``."""
+    return page_revisions(_json_files(spark, path, QUERY, name))
+
+
+def read_search_responses(spark: SparkSession, path: str, name: str = "*.json") -> DataFrame:
+    """``search_hits`` of stored search responses, one a file, with their ``directory``."""
+    return search_hits(_json_files(spark, path, SEARCH, name))
+
+
 def page_revisions(responses: DataFrame) -> DataFrame:
     """First page and first revision of each query response (column ``query``); ``error`` where there is no page."""
     page = F.get(F.map_values("query.pages"), F.lit(0))
@@ -61,10 +92,22 @@ def dip_persons(pages: DataFrame) -> DataFrame:
 
 
 def read_dip_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Registry pages; ``fraktion`` may be a text or a list in the files and is a list here."""
-    text = spark.read.text(path, wholetext=True)
+    """Registry pages ``(path, wp, page, numFound, cursor, documents)`` from files.
+
+    ``fraktion`` may be a text or a list in the files and is a list here. Term and page are those of a directory named
+    ``..._wp19_page2`` or, for other names, of ``metadata.json`` beside the page (the first ``f.wahlperiode`` of its
+    request, and its ``page``); a page without either is page 1 of term 0.
+    """
+    text = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json")
+    files = text.select("value", F.col("_metadata.file_path").alias("path"), F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("directory"))
+    meta = files.where("path like '%/metadata.json'").select(
+        "directory", F.get_json_object("value", r"$.page").try_cast("int").alias("m_page"),
+        F.regexp_extract(F.get_json_object("value", "$.request_params"), r'"f\.wahlperiode"\s*:\s*\[?\s*"?(\d+)', 1).try_cast("int").alias("m_wp"),
+    )
     listed = F.regexp_replace("value", r'"fraktion"\s*:\s*("(?:[^"\\]|\\.)*")', r'"fraktion": [$1]')
-    return text.select(F.from_json(listed, DIP_PAGE).alias("p"), F.col("_metadata.file_path").alias("path")).select("path", "p.*")
+    rows = files.where("path not like '%/metadata.json'").select("path", "directory", F.from_json(listed, DIP_PAGE).alias("p")).join(meta, "directory", "left")
+    named = lambda what: F.regexp_extract("path", rf"{what}(\d+)[^/]*/[^/]*$", 1).try_cast("int")
+    return rows.select("path", F.coalesce(named("_wp"), "m_wp", F.lit(0)).alias("wp"), F.coalesce(named("_page"), "m_page", F.lit(1)).alias("page"), "p.*")
 
 
 def per_wp(persons: DataFrame, first: int, last: int) -> DataFrame:
@@ -86,12 +129,19 @@ def latest(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def latest_pages(raw_pages: DataFrame) -> DataFrame:
-    """The last fetched response of each title; the order is found on keys alone and the pages are joined back."""
-    keys = raw_pages.select("page_title", "retrieved_at", "revision_id")
-    best = keys.groupBy("page_title").agg(F.max(F.struct(F.col("retrieved_at").alias("a"), F.col("revision_id").alias("b"))).alias("m"))
-    best = best.select(F.col("page_title").alias("t"), F.col("m.a").alias("a"), F.col("m.b").alias("b"))
-    same = (F.col("page_title") == F.col("t")) & F.col("retrieved_at").eqNullSafe(F.col("a")) & F.col("revision_id").eqNullSafe(F.col("b"))
-    return raw_pages.join(best, same).drop("t", "a", "b").dropDuplicates(["page_title"])
+    """The last fetched response of each title: by time, then revision, then hash where pages have one.
+
+    The order is found on keys alone and only the pages that win are read whole; they are never shuffled. Only where a
+    winner is stored several times (equal in all of these) its copies meet in one more shuffle, and one stays.
+    """
+    order = [c for c in ("retrieved_at", "revision_id", "sha256") if c in raw_pages.columns]
+    counted = raw_pages.select("page_title", F.struct(*order).alias("o")).groupBy("page_title", "o").agg(F.count("*").alias("n"))
+    best = materialise(counted.groupBy("page_title").agg(F.max(F.struct("o", "n")).alias("m")).select(F.col("page_title").alias("_t"), F.col("m.o").alias("_o"), F.col("m.n").alias("_n")))
+    rows = raw_pages.join(best, (F.col("page_title") == F.col("_t")) & F.struct(*order).eqNullSafe(F.col("_o")))
+    cols = raw_pages.columns
+    if best.where("_n > 1").isEmpty():
+        return rows.select(*cols)
+    return rows.where("_n = 1").select(*cols).unionByName(rows.where("_n > 1").select(*cols).dropDuplicates(["page_title"]))
 
 
 def pages_to_refresh(current: DataFrame, stored: DataFrame, force: bool = False) -> DataFrame:
@@ -101,16 +151,19 @@ def pages_to_refresh(current: DataFrame, stored: DataFrame, force: bool = False)
     return out if force else out.where("stored_revision_id is null or stored_revision_id <> revision_id")
 
 
-def small_table(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
-    """A table of configuration rows."""
-    return spark.createDataFrame(rows, schema)
-
-
 SEED = "seed_pos int, key string, page_title string, expected_start string, expected_end string, parliament string, state string, legislature_number int, section_keywords array<string>, page_id bigint, revision_id bigint"
 REGISTRY = "landtag_pos int, landtag_key string, key_prefix string, state string, parliament string, wikipedia_index_title string, member_list_search array<string>"
 OVERRIDE = "wikipedia_title string, dip_person_id bigint, status string, reason string"
 
 
+def expected_keywords(spark: SparkSession, path: str) -> DataFrame:
+    """``(landtag_key, keyword)``: the table keywords that a parliament's lists are expected to have, its own or the file's defaults."""
+    doc = _yaml(path)
+    default = doc.get("defaults", {}).get("expected_table_keywords", [])
+    rows = [(key, k) for key, r in doc.get("landtage", {}).items() for k in r.get("expected_table_keywords", default)]
+    return spark.createDataFrame(rows, "landtag_key string, keyword string")
+
+
 def load_seeds(spark: SparkSession, path: str) -> DataFrame:
     """The seeds of a YAML file, in its order."""
     rows = []

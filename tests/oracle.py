@@ -1,6 +1,8 @@
 """Compare a registered query with its SQL."""
 
 import duckdb
+import numpy as np
+import pandas as pd
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -9,9 +11,13 @@ def rows(df):
     df = df[sorted(df.columns)]
 
     def plain(v):
-        if v is None or v != v:
+        if isinstance(v, (list, np.ndarray)):
+            return [plain(x) for x in v]
+        if v is None or (pd.api.types.is_scalar(v) and pd.isna(v)):
             return None
-        return round(v, 9) if isinstance(v, float) else v.item() if hasattr(v, "item") else v
+        v = v.item() if hasattr(v, "item") else v
+        # a column of whole numbers with nulls is one of floats in pandas
+        return (int(v) if v.is_integer() else round(v, 9)) if isinstance(v, float) else v
 
     return sorted(repr([plain(v) for v in r]) for r in df.itertuples(index=False, name=None))
 

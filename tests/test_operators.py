@@ -1,3 +1,4 @@
+import glob
 import hashlib
 import json
 import uuid
@@ -8,13 +9,14 @@ from pyspark.sql import functions as F
 from rosterlink.functions import ids, text
 from rosterlink.functions.dom import parse
 from rosterlink.operators import evidence, linking, members, persons
-from rosterlink.plans.jobs import run_pipeline
+from rosterlink.plans.jobs import run_from_files, run_pipeline
+from rosterlink.sinks import graph
 from rosterlink.sinks.export import export
-from rosterlink.sources import readers
+from rosterlink.sources import readers, written
 
 SEED = "seed_pos int, key string, page_title string, expected_start string, expected_end string, parliament string, state string, legislature_number int, section_keywords array<string>"
 PAGE = "page_title string, page_id long, revision_id long, html string, sha256 string, retrieved_at string, url string"
-LIST = '<div class="mw-parser-output"><table class="wikitable sortable"><tr><th>Name</th><th>Partei</th><th>Wahlkreis</th></tr><tr><td><a href="/wiki/T" title="Test Person">Test Person</a></td><td>SPD</td><td>Hannover[2]</td></tr><tr><td>Ohne Link</td><td>CDU</td><td>X</td></tr><tr><td><a>Zweite</a></td><td>CDU</td><td>Y</td></tr></table></div>'
+LIST = '<div class="mw-parser-output"><table class="wikitable sortable"><tr><th>Name</th><th>Partei</th><th>Wahlkreis</th></tr><tr><td><a href="/wiki/T" title="Ada Beispiel">Ada Beispiel</a></td><td>Blaue Liste</td><td>Musterau[2]</td></tr><tr><td>Ohne Link</td><td>Grüne Mitte</td><td>X</td></tr><tr><td><a>Zweite</a></td><td>Grüne Mitte</td><td>Y</td></tr></table></div>'
 
 
 def test_uuid5_is_the_standard_one(spark):
@@ -39,7 +41,7 @@ def _seed(spark):
 def test_member_list(spark):
     pages = spark.createDataFrame([("Liste", 1, 2, LIST, "s", "t", "u")], PAGE)
     rows = members.parse_member_lists(members.member_pages(pages, _seed(spark))).orderBy("row_index").collect()
-    assert [(r.name, r.wikipedia_title, r.party_name, r.row_index, r.table_index, r.start_date) for r in rows] == [("Test Person", "Test_Person", "SPD", 0, 0, "2001-05-01"), ("Zweite", "Zweite", "CDU", 2, 0, "2001-05-01")]
+    assert [(r.name, r.wikipedia_title, r.party_name, r.row_index, r.table_index, r.start_date) for r in rows] == [("Ada Beispiel", "Ada_Beispiel", "Blaue Liste", 0, 0, "2001-05-01"), ("Zweite", "Zweite", "Grüne Mitte", 2, 0, "2001-05-01")]
     again = members.parse_member_lists(members.member_pages(pages, _seed(spark))).orderBy("row_index").collect()
     assert rows == again and rows[0].evidence_refs[0].purpose == "membership_row"
     bad = spark.createDataFrame([("Liste", 1, 2, "<p>nothing", "s", "t", "u")], PAGE)
@@ -48,9 +50,9 @@ def test_member_list(spark):
 
 
 def test_person_page(spark):
-    html = '<div class="mw-parser-output"><p>Eins.</p><p>Zwei.</p><table class="infobox"><tr><th>Geboren</th><td><time datetime="1980-01-01">1</time></td></tr><tr><th>Gestorben</th><td><time datetime="2020-12-31">x</time></td></tr></table></div>'
+    html = '<div class="mw-parser-output"><p>Eins.</p><p>Zwei.</p><table class="infobox"><tr><th>Geboren</th><td><time datetime="1971-03-04">1</time></td></tr><tr><th>Gestorben</th><td><time datetime="2019-08-07">x</time></td></tr></table></div>'
     p = persons.parse_person_pages(spark.createDataFrame([("T", 1, 2, html, "s", "t", "u")], PAGE)).first()
-    assert (p.birth_date, p.birth_date_status, p.death_date, p.intro) == ("1980-01-01", "extracted", "2020-12-31", "Eins.\n\nZwei.")
+    assert (p.birth_date, p.birth_date_status, p.death_date, p.intro) == ("1971-03-04", "extracted", "2019-08-07", "Eins.\n\nZwei.")
 
 
 @pytest.mark.parametrize("given, want", [("2001-05-01", "2001-05-01"), ("1.5.2001", "2001-05-01"), ("1. März 2010", "2010-03-01"), ("1. Sept. 2010", "2010-09-01"), ("2001", None), ("kein", None), (None, None), ("31.2.2001", None)])
@@ -108,31 +110,114 @@ def test_index_upsert_twice_is_once(spark):
 
 
 def test_legacy_references(spark):
-    r = spark.createDataFrame([("table_row:1:2",), ("table_row:x:2",), ("lead",), (None,)], "t string").select(evidence.legacy_ref(F.col("t")).alias("r")).collect()
-    assert [tuple(x.r) if x.r else None for x in r] == [(1, 2), None, None, None]
+    r = spark.createDataFrame([("table_row:1:2",), ("table_row:x:2",), ("table_row:1:x",), ("table_row:3",), ("lead",), (None,)], "t string").select(evidence.legacy_ref(F.col("t")).alias("r")).collect()
+    assert [tuple(x.r) if x.r else None for x in r] == [(1, 2), None, None, (3, 0), None, None]
 
 
 def test_readers(spark, tmp_path):
     d = tmp_path / "cache" / "p1"
     d.mkdir(parents=True)
-    (d / "raw.json").write_text(json.dumps({"parse": {"title": "Test Person", "pageid": 5, "text": {"*": "<p>x</p>"}}}))
-    (d / "metadata.json").write_text(json.dumps({"page_title": "Test Person", "sha256": "s"}))
+    (d / "raw.json").write_text(json.dumps({"parse": {"title": "Ada Beispiel", "pageid": 5, "text": {"*": "<p>x</p>"}}}))
+    (d / "metadata.json").write_text(json.dumps({"page_title": "Ada Beispiel", "sha256": "s"}))
     r = readers.read_parse_responses(spark, str(tmp_path / "cache")).first()
-    assert (r.page_title, r.page_id, r.revision_id, r.html) == ("Test_Person", 5, 0, "<p>x</p>")
-    assert readers.read_metadata(spark, str(tmp_path / "cache")).first().url == "https://de.wikipedia.org/wiki/Test_Person"
+    assert (r.page_title, r.page_id, r.revision_id, r.html) == ("Ada_Beispiel", 5, 0, "<p>x</p>")
+    assert readers.read_metadata(spark, str(tmp_path / "cache")).first().url == "https://de.wikipedia.org/wiki/Ada_Beispiel"
     (tmp_path / "i.jsonl").write_text('{"evidence_id": "a", "endpoint": "1"}\n\n{bad\n{"evidence_id": "a", "endpoint": "2"}\n')
     assert [(x.evidence_id, x.endpoint) for x in readers.read_evidence_index(spark, str(tmp_path / "i.jsonl")).collect()] == [("a", "2")]
     (tmp_path / "d1.json").write_text(json.dumps({"numFound": 2, "cursor": None, "documents": [{"id": 1, "fraktion": "X"}, {"id": 2, "fraktion": ["Y", "Z"]}]}))
-    p = readers.read_dip_pages(spark, str(tmp_path / "d1.json")).select(F.lit(1).alias("wp"), F.lit(1).alias("page"), "documents")
+    p = readers.read_dip_pages(spark, str(tmp_path / "d1.json"))
     assert [(x.dip_person_id, x.fraktion) for x in readers.dip_persons(p).orderBy("dip_pos").collect()] == [(1, "X"), (2, "Y")]
+    _registry_files(tmp_path / "registry")
+    got = readers.dip_persons(readers.read_dip_pages(spark, str(tmp_path / "registry"))).orderBy("dip_pos").collect()
+    assert [(x.dip_pos.wp, x.dip_pos.page, x.nachname) for x in got] == [(4, 1, "Beispiel"), (4, 2, "Jemand"), (5, 3, "Niemand")]
+    (tmp_path / "q").mkdir()
+    (tmp_path / "q" / "a.json").write_text(json.dumps({"query": {"pages": {"9": {"pageid": 9, "title": "L", "revisions": [{"revid": 3, "timestamp": "t"}]}}}}))
+    (tmp_path / "q" / "b.json").write_text(json.dumps({"query": {"pages": {}}}))
+    assert sorted((x.page_id or 0, x.revision_id, x.error) for x in readers.read_query_responses(spark, str(tmp_path / "q")).collect()) == [(0, None, "No pages in response"), (9, 3, None)]
+    (tmp_path / "h.json").write_text(json.dumps({"query": {"search": [{"title": "A", "snippet": "s"}, {"title": "B", "snippet": ""}]}}))
+    assert [(x.result_pos, x.title) for x in readers.read_search_responses(spark, str(tmp_path), "h.json").orderBy("result_pos").collect()] == [(0, "A"), (1, "B")]
+    (tmp_path / "r.yaml").write_text("defaults:\n  expected_table_keywords: [Name, Partei]\nlandtage:\n  xx: {key_prefix: xx_, state: X, parliament: P, wikipedia_index_title: T, member_list_search: [a]}\n  yy: {expected_table_keywords: [Liste]}\n")
+    assert [r.landtag_key for r in readers.load_registry(spark, str(tmp_path / "r.yaml")).orderBy("landtag_pos").collect()] == ["xx", "yy"]
+    assert {tuple(r) for r in readers.expected_keywords(spark, str(tmp_path / "r.yaml")).collect()} == {("xx", "Name"), ("xx", "Partei"), ("yy", "Liste")}
     (tmp_path / "s.yaml").write_text("seeds:\n  k1:\n    key: k1\n    page_title: Liste\n    expected_time_range: {start: '2001', end: '2005'}\n    hints: {parliament: P, state: S, legislature_number: 3}\n")
     assert readers.load_seeds(spark, str(tmp_path / "s.yaml")).first().legislature_number == 3
 
 
+def _registry_files(root):
+    for k, (name, last, meta) in enumerate([("list_wp4_page1", "Beispiel", {}), ("list_wp4_page2", "Jemand", {}), ("other", "Niemand", {"page": 3, "request_params": {"f.wahlperiode": [5], "limit": 100}})]):
+        d = root / name
+        d.mkdir(parents=True)
+        (d / "raw.json").write_text(json.dumps({"numFound": 3, "cursor": None, "documents": [{"id": 10 + k, "vorname": "Ada", "nachname": last, "fraktion": ["X"], "wahlperiode": [4]}]}))
+        (d / "metadata.json").write_text(json.dumps(meta))
+
+
+def test_whole_job_from_files(spark, tmp_path):
+    """From stored JSON files to graph tables."""
+    pages = {"Liste": (1, 2, LIST), "Ada Beispiel": (3, 4, '<div class="mw-parser-output"><p>Ada Beispiel ist da.</p></div>')}
+    for k, (title, (page, revision, html)) in enumerate(pages.items()):
+        d = tmp_path / "cache" / str(k)
+        d.mkdir(parents=True)
+        (d / "raw.json").write_text(json.dumps({"parse": {"title": title, "pageid": page, "revid": revision if k else None, "text": {"*": html}}}))
+        (d / "metadata.json").write_text(json.dumps({"page_title": title, "page_id": page, "revision_id": revision, "sha256": f"s{k}", "retrieved_at": "2024"}))
+    _registry_files(tmp_path / "registry")
+    (tmp_path / "seeds.yaml").write_text("seeds:\n  k:\n    key: k\n    page_title: Liste\n    expected_time_range: {start: '2001', end: '2005'}\n    hints: {parliament: P, state: S, legislature_number: 3}\n")
+    (tmp_path / "o.yaml").write_text("overrides:\n  Zweite: {dip_person_id: 11, reason: known}\n")
+    raw = {r.page_title: r for r in readers.read_raw_pages(spark, str(tmp_path / "cache")).collect()}
+    assert (raw["Liste"].revision_id, raw["Liste"].sha256, raw["Ada_Beispiel"].revision_id, raw["Ada_Beispiel"].retrieved_at) == (2, "s0", 4, "2024")
+    out = run_from_files(spark, str(tmp_path / "cache"), str(tmp_path / "registry"), str(tmp_path / "seeds.yaml"), str(tmp_path / "o.yaml"), "now", "run7")
+    status = {(r.method, r.dip_person_ref): r.status for r in out["assertions"].collect()}
+    assert status == {("ruleset", "10"): "accepted", ("override", "11"): "accepted"}
+    labels = {r.label: r.n for r in graph.node_counts(out["nodes"]).collect()}
+    assert labels == {"Person": 2, "Party": 2, "Legislature": 1, "Mandate": 2, "Evidence": 2, "WikipediaPersonRecord": 2, "DipPersonRecord": 3, "CanonicalPerson": 2, "PersonLinkAssertion": 2}
+    cited = {r.name: sorted(x.purpose for x in r.evidence_refs) for r in out["persons"].collect()}
+    assert cited == {"Ada Beispiel": ["membership_row", "person_page_intro"], "Zweite": ["membership_row"]}
+    m = out["run_manifest"].first()
+    assert (m.run_id, m.status, m.links.accepted, m.enrichment.enriched, m.entities["persons"]) == ("run7", "success", 2, 1, 2) and out["evidence_stubs"].count() == 1
+
+
+def test_latest_pages_and_nodes(spark):
+    pages = spark.createDataFrame([("A", 1, 1, "old", "s", "1", "u"), ("A", 1, 2, "new", "s", "2", "u"), ("A", 1, 2, "new", "s", "2", "u"), ("B", 2, 1, "b", "s", None, "u")], PAGE)
+    assert sorted((r.page_title, r.html) for r in readers.latest_pages(pages).collect()) == [("A", "new"), ("B", "b")]
+    rows = spark.createDataFrame([("p", "first", 1), ("p", "last", 2), (None, "none", 3)], "id string, name string, pos int")
+    assert [(r.label, r.id, json.loads(r.properties)) for r in graph.nodes({"L": (rows, "id", ["pos"])}).collect()] == [("L", "p", {"id": "p", "name": "last"})]
+
+
+def test_shared_folder(spark):
+    class Conf(dict):
+        def set(self, k, v):
+            self[k] = v
+
+    class Session:
+        conf = Conf({"spark.master": "spark://host:7077"})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        written.shared_dir(Session)
+    Session.conf["spark.checkpoint.dir"] = "hdfs://x/y/"
+    assert written.shared_dir(Session) == "hdfs://x/y"
+    df = written.materialise(spark.range(3))
+    written.discard(df, None, spark.range(1))
+    assert not glob.glob(f"{df._written_to.removeprefix('file:')}/*")
+
+
+def test_markdown(spark):
+    ref = (1, "table_row", 0, 4, "data", "Liste", ("Ada_B", 'A "B"'))
+    docs = [("e1", ref, "membership_row"), ("e2", None, None)]
+    refs = spark.createDataFrame(docs, f"evidence_id string, snippet_ref {members.SNIPPET_REF}, purpose string")
+    index = spark.createDataFrame([("e1", "mediawiki", "Liste", 1, 2, "a" * 64), ("e2", "other", "X", 0, 0, None)], "evidence_id string, source_kind string, page_title string, page_id long, revision_id long, sha256 string")
+    pages = spark.createDataFrame([("Liste", 1, 2, LIST, "s", "t", "u"), ("X", 0, 0, None, None, None, "http://x")], PAGE)
+    out = evidence.resolve_evidence_refs(refs, index, pages)
+    got = {r.evidence_id: r.markdown for r in evidence.as_markdown(out).collect()}
+    assert got["e2"] == "- Evidence `e2`\n  - **Source**: other\n  - **Page**: X\n  - **URL**: http://x"
+    lines = got["e1"].split("\n")
+    assert lines[3:7] == ["  - **Revision**: 2", "  - **URL**: https://de.wikipedia.org/wiki/Liste?oldid=2", "  - **Retrieved**: t", "  - **SHA256**: `aaaaaaaaaaaaaaaa...`"] and lines[7] == "  - **Purpose**: membership_row"
+    want = dict(zip(("version", "type", "table_index", "row_index", "row_kind", "title_hint"), ref)) | {"match": {"person_title": "Ada_B", "name_cell": 'A "B"'}}
+    assert got["e1"].split("  - **Snippet Ref**: ")[1] == "```json\n" + json.dumps(want, ensure_ascii=False, indent=4) + "\n```"
+
+
 def test_whole_job(spark, tmp_path):
-    person = '<div class="mw-parser-output"><p>Test Person ist da.</p></div>'
-    pages = spark.createDataFrame([("Liste", 1, 2, LIST, "s", "t", "u"), ("Test_Person", 3, 4, person, "s", "t", "u"), ("Liste", 1, 1, "<p>", "s", "s", "u")], PAGE)
-    dip = spark.createDataFrame([(7, "Test", "Person", None, None, "X", [17], [], 0)], "dip_person_id long, vorname string, nachname string, namenszusatz string, titel string, fraktion string, wahlperiode array<int>, person_roles array<map<string,string>>, dip_pos int")
+    person = '<div class="mw-parser-output"><p>Ada Beispiel ist da.</p></div>'
+    pages = spark.createDataFrame([("Liste", 1, 2, LIST, "s", "t", "u"), ("Ada_Beispiel", 3, 4, person, "s", "t", "u"), ("Liste", 1, 1, "<p>", "s", "s", "u")], PAGE)
+    dip = spark.createDataFrame([(7, "Ada", "Beispiel", None, None, "X", [17], [], 0)], "dip_person_id long, vorname string, nachname string, namenszusatz string, titel string, fraktion string, wahlperiode array<int>, person_roles array<map<string,string>>, dip_pos int")
     out = run_pipeline(pages, _seed(spark), dip, None, "now")
     assert out["persons"].count() == 2 and out["assertions"].where("status = 'accepted'").count() == 1 and out["errors"].count() == 0
     assert {r.type for r in out["edges"].select("type").distinct().collect()} == {"SUPPORTED_BY", "HELD", "IN", "AFFILIATED_WITH", "HAS_SOURCE", "LINKS"}
