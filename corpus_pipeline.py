@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlink.llm.common import labelled_sample, materialise, table, without
+from rosterlink.llm.common import held_out, labelled_sample, materialise, table, without
 from rosterlink.llm.decontamination import contaminated
 from rosterlink.llm.ngram_join import ngram_jaccard_components
 from rosterlink.llm.packing import pack, token_pieces
@@ -19,8 +19,13 @@ from rosterlink.llm.toxicity import fit_lexicon, without_toxic
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score is 0.7 or more go."""
-    return without_toxic(docs, fit_lexicon(labelled_sample(docs, table(spark, sf_dir, "labels"), label_col="toxic")))
+    """Documents whose toxicity score is 0.7 or more go.
+
+    The lexicon is learned from the labelled rows that ``op3_toxicity`` may learn from. Null, empty and wordless texts
+    stay; repeated rows, rows without an id and extra columns don't matter; a very long text is scored as a whole.
+    """
+    labels = table(spark, sf_dir, "labels").where(~held_out("doc_id", 3, 1))
+    return without_toxic(docs, fit_lexicon(labelled_sample(docs, labels, label_col="toxic")))
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -31,7 +36,8 @@ def keyed(docs: DataFrame) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of rows linked by five-word shingles at 0.8 or more, the one with the smallest id stays.
 
-    Rows without an id come after those with one; of rows with one id the first stays. Rows without words stay.
+    Rows without an id come after those with one; of rows with one id the first stays. Rows without words (null and empty
+    texts) stay, each of them. A row counts by itself, so different texts under one id are judged by themselves.
     """
     rows = keyed(docs)
     groups = ngram_jaccard_components(rows, id_col="__row").where("n_shingles > 0")
@@ -42,19 +48,28 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that hold a benchmark item go, with or without an id."""
+    """Rows that hold a benchmark item or a passage of one go, with or without an id.
+
+    Null and empty texts stay. Rows that share an id are judged by themselves. An empty benchmark lets all rows stay.
+    """
     rows = keyed(docs)
     return without(rows, contaminated(rows, table(spark, sf_dir, "benchmark"), id_col="__row"), "__row").select(*docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are masked in the texts; every document stays."""
+    """Secrets are masked in the texts and ``n_chars`` counts what is left (null for a null text); every row stays.
+
+    Repeated rows and rows without an id are masked like any other.
+    """
     out = redact(docs, scan_secrets(docs))
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are tokenised and packed into sequences of at most 2048 tokens."""
+    """Documents are tokenised and packed into sequences of at most 2048 tokens; a null or empty text is its end alone.
+
+    Repeated rows and rows without an id have their own pieces; a very long text is cut into several.
+    """
     return pack(token_pieces(docs, vocabulary()))
 
 
