@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rosterlink.sources.written import discard, materialise, shared_dir  # noqa: F401
+
+#: Bytes of an Arrow batch of texts; a longer single text is a batch of its own.
+BATCH_BYTES = 2 << 20
 #: Bytes of text handled at once by the vectorised code; a longer single text is handled alone.
 CHUNK_BYTES = 1 << 20
 
@@ -21,24 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; only where that is unset (tests) a temporary one."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="rosterlink-shared-")
-        atexit.register(shutil.rmtree, path, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path
-
+def text_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches that texts go to Python in: ``BATCH_BYTES`` each, unless the session has its own bound.
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it again.
-
-    This cuts lineage: what follows survives the loss of any executor without running what came before again.
+    The default bounds, 10,000 rows and 64 MB, let every task hold several such batches of long texts at once.
     """
-    path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, "64m").lower() in ("64m", "64mb", "67108864b", "67108864"):
+        spark.conf.set(key, str(BATCH_BYTES))
 
 
 def held_out(doc_id: str | Column, modulus: int, remainder: int) -> Column:
@@ -60,9 +49,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
 
 def without(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", broadcast_rows: int = 1_000_000) -> DataFrame:
-    """``docs`` without the rows whose id is in ``gone``: a broadcast of at most ``broadcast_rows`` ids, else a shuffle."""
-    gone = materialise(gone.select(id_col).distinct())
-    return docs.join(F.broadcast(gone) if gone.count() <= broadcast_rows else gone, id_col, "left_anti")
+    """``docs`` without the rows whose id is in ``gone``: a broadcast of at most ``broadcast_rows`` ids, else a shuffle.
+
+    A null id counts as an id: if ``gone`` has one, rows without an id go.
+    """
+    gone = materialise(gone.select(F.col(id_col).alias("__gone")).distinct())
+    return docs.join(F.broadcast(gone) if gone.count() <= broadcast_rows else gone, docs[id_col].eqNullSafe(gone["__gone"]), "left_anti")
 
 
 def text_chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterlink.llm.common import materialise
+from rosterlink.llm.common import discard, materialise
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -31,7 +31,8 @@ def connected_components(edges: DataFrame, src: str, dst: str) -> DataFrame:
         large = materialise(large)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = materialise(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        before, e = e, materialise(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        discard(large, before)
         last, mark = mark, _mark(e)
         if mark == last:
             break

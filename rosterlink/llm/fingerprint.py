@@ -16,11 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterlink.llm.common import materialise
+from rosterlink.llm.common import materialise, text_batches
 
 #: Two primes below 2**31 and a base for each.
 PRIMES, BASES = (2147483647, 2147483629), (911382323, 972663749)
 WINDOW, SKETCH = 12, 64
+#: Powers that a worker keeps for each base; those of a longer text are made for it alone.
+KEPT = 1 << 18
 _tables: dict[tuple[int, int], np.ndarray] = {}
 
 
@@ -30,7 +32,7 @@ def _powers(base: int, prime: int, n: int) -> np.ndarray:
         have = np.array([1], np.uint64)
     while len(have) < n:
         have = np.concatenate([have, have * np.uint64(pow(base, len(have), prime)) % np.uint64(prime)])
-    _tables[base, prime] = have
+    _tables[base, prime] = have if len(have) <= KEPT else have[:KEPT].copy()
     return have[:n]
 
 
@@ -165,12 +167,14 @@ def fingerprints_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: s
     Rows: ``(id_col, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, common_prefix)``,
     the last the code points that text and edited text share from the start, by binary search on the prefix hashes.
 
-    The texts move once, to range partitions; each partition's first and last row meet their neighbours in a join of
+    A worker holds one text, its edited text and about ten arrays of 8 bytes for each of their code points. The texts move
+    once, to range partitions, as many as the session's ``spark.sql.shuffle.partitions``; each partition's first and last row meet their neighbours in a join of
     one row a partition.
     """
     from pyspark.sql.pandas.types import to_arrow_type
 
     spark = docs.sparkSession
+    text_batches(spark)
     id_kind = docs.schema[id_col].dataType
     id_type = to_arrow_type(id_kind)
     schema = f"doc_id {id_kind.simpleString()}, {_FIELDS}"

@@ -1,24 +1,28 @@
-"""Licence scans by canonical forms of entire texts.
+"""Licence scans by digests of canonical entire texts.
 
-A text is made canonical: lower case, copyright lines dropped, white space collapsed, equivalent spellings made one,
-every run of other characters than letters and digits one space. The whole canonical text is joined with those of known
-licence texts and notices. Every unit of a document is such a text: the document itself, each paragraph (between blank
-lines), each run of consecutive paragraphs and each line.
+A text is made canonical line by line: lower case, copyright statements dropped, equivalent spellings made one, every
+run of other characters than letters and digits one space; lines that are left empty don't count. The digest of an
+entire canonical text is joined with those of known licence texts and notices. Every run of lines of a document is such
+a text; it is looked up from its first line, whose digest must be that of a known text's first words, and its last, which
+ends where the known text does.
 """
 
 from __future__ import annotations
 
 import functools
+import hashlib
 import operator
 import pathlib
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rosterlink.llm.common import materialise
+
 #: Spellings that mean the same, applied in this order to lower-case text.
 SPELLINGS = [
-    ("licence", "license"), ("licenced", "licensed"), ("sub-license", "sublicense"), ("non-commercial", "noncommercial"), ("organisation", "organization"),
-    ("copyright holder", "copyright owner"), ("https://", "http://"), ("©", "(c)"), ("ver. ", "version "), ("v. ", "version "), ("&", "and"),
+    ("licence", "license"), ("sub-license", "sublicense"), ("non-commercial", "noncommercial"), ("organisation", "organization"), ("holder", "owner"),
+    ("https://", "http://"), ("©", "(c)"), ("ver. ", "version "), ("v. ", "version "), ("&", "and"),
 ]
 COPYRIGHT_LINE = r"(?m)^[ \t#*/;%-]*(copyright\b|\(c\))[^\n]*$"
 _AS_IS = 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.'
@@ -67,62 +71,103 @@ _TEXTS = [
 _FILES = [("Apache-2.0", "Apache-2.0"), ("GPL-2.0", "GPL-2"), ("GPL-3.0", "GPL-3"), ("MPL-2.0", "MPL-2.0"), ("CC0-1.0", "CC0-1.0")]
 #: KNOWN, further full texts, and full texts under a title.
 ALL_KNOWN = KNOWN + [(k, (pathlib.Path(__file__).parent / "license_texts" / f"{name}.txt").read_text()) for k, name in _FILES] + [(k, f"{title} {t}".strip()) for k, t, titles in _TEXTS for title in ["", *titles]]
-#: A copyright line: with a year, a '(c)', or a holder, but not one that goes on with the words of a licence text.
-COPYRIGHT_NOTICE = r"(?m)^[ \t#*/;%-]*(\(c\)|copyright\b(?=[^\n]*(\b[12][0-9]{3}\b|\(c\)))|copyright[ \t]+(?!(notices?|holders?|owners?|laws?|licen[sc]es?|statements?|and|or|in|is|of|to|the above|on|for)\b)(?=\w))[^\n]*$"
-
-
-def canonical(text: Column) -> Column:
-    """The canonical form of an entire text; null is empty."""
-    out = F.replace(F.lower(F.coalesce(text, F.lit(""))), F.lit("©"), F.lit("(c)"))
-    out = F.regexp_replace(F.regexp_replace(out, COPYRIGHT_NOTICE, " "), r"\n[ \t#*/;%-]*|\s+", " ")
-    out = F.regexp_replace(out, "  +", " ")
+#: Words that a notice after a copyright statement on the same line begins with.
+_NOTICE = r"released|licensed|permission|redistribution|spdx|this (?:work|program|software|source|file)"
+#: A copyright statement at the start of a line: with a year, a '(c)' or a holder, but not one that goes on with the words
+#: of a licence text. It ends with the line, or before a notice.
+COPYRIGHT_NOTICE = (
+    r"^[ \t#*/;%-]*(?:\(c\)|copyright\b(?=.*(?:\b[12][0-9]{3}\b|\(c\)))|copyright[ \t]+(?!(?:notices?|holders?|owners?|laws?|licen[sc]es?|statements?|and|or|in|is|of|to|the above|on|for)\b)(?=\w))"
+    rf".*?(?:[.;,!)][ \t]+(?=(?:{_NOTICE})\b)|$)"
+)
+
+
+def canonical(line: Column) -> Column:
+    """The canonical form of one line; null is empty."""
+    out = F.replace(F.lower(F.coalesce(line, F.lit(""))), F.lit("©"), F.lit("(c)"))
+    out = F.concat(F.regexp_replace(out, COPYRIGHT_NOTICE, " "), F.lit(" "))
     for a, b in SPELLINGS:
         out = F.replace(out, F.lit(a), F.lit(b))
     return F.trim(F.regexp_replace(out, r"[^\p{L}\p{N}]+", " "))
 
 
+def canonical_text(text: Column) -> Column:
+    """The canonical form of an entire text."""
+    return F.array_join(F.filter(F.transform(F.split(text, "\n"), canonical), lambda c: c != ""), " ")
+
+
+def _anchor(known: str) -> str:
+    """Letters that any spelling of a known canonical text has, in lower case; empty if there are none for sure."""
+    if "license" in known:
+        return "licen"
+    made = ("sublicense", "noncommercial", "organization", "owner", "http", "version", "and")
+    return max((w for w in known.split() if w != "c" and not any(m in w for m in made)), key=len, default="")
+
+
 def license_hits(docs: DataFrame, known: list[tuple[str, str]] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows ``(id_col, unit, position, license)`` for each unit of a document that is a known licence text as a whole.
 
-    ``unit`` is ``document``, ``paragraph``, ``paragraphs`` (a run of several, at its first one's position) or ``line``
-    and ``position`` counts units from 0. A document of one paragraph or line, or a run that is all of its text, gives
-    that unit once, as the larger kind. Null, empty and wordless texts match nothing; repeated rows give repeated hits;
-    other columns are not read. ``known`` is a policy of a few texts and is broadcast. Units are only made of documents
-    whose canonical text holds a known one.
+    ``unit`` is ``document``, ``paragraph`` (between blank lines), ``paragraphs`` (a run of several, at its first one's
+    position), ``line`` or ``lines`` (a run of several that is neither); ``position`` counts paragraphs or lines from 0. A
+    text of one paragraph or line has no such unit, and a run that is all of its text is only the document. Null, empty
+    and wordless texts match nothing; repeated rows give repeated hits; null ids stay; other columns are not read. A very
+    long text is taken apart into its lines. ``known`` is a policy: its digests, one for each of its words, are broadcast.
+
+    Only documents with a word that every known text has are made canonical, each line once. Their lines are narrow rows
+    from then on, so a document, however long, is never held whole.
     """
     spark = docs.sparkSession
     table = spark.createDataFrame(sorted({(k, t) for k, t in known or ALL_KNOWN}), "license string, known string")
-    table = table.select(canonical(F.col("known")).alias("known"), "license").where("known <> ''").groupBy("known").agg(F.min("license").alias("license"))
-    table = spark.createDataFrame(sorted((r.known, r.license) for r in table.collect()), "known string, license string")
-    texts = [r.known for r in table.collect()]
-    # without the first word, which a spelling may join with the line before; texts that hold another's key are found by it
-    keys = sorted({t.partition(" ")[2] or t for t in texts}, key=len)
-    keys = [k for i, k in enumerate(keys) if not any(o in k for o in keys[:i])]
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"))
-    rows = rows.where(F.exists(F.array(canonical(F.col("text"))), lambda c: functools.reduce(operator.or_, [F.contains(c, F.lit(k)) for k in keys] or [F.lit(False)])))
-    lines, paragraphs = F.split("text", "\n"), F.split("text", "\n[ \t\r]*\n")
-
-    def units(kind: str, parts: Column) -> Column:
-        return F.transform(parts, lambda t, i: F.struct(F.lit(kind).alias("unit"), i.alias("position"), canonical(t).alias("canon")))
-
-    none = F.array().cast("array<struct<unit:string,position:int,canon:string>>")
-    every = F.concat(
-        units("document", F.array("text")),
-        F.when(F.size(paragraphs) > 1, units("paragraph", paragraphs)).otherwise(none),
-        F.when(F.size(lines) > 1, units("line", lines)).otherwise(none),
-    )
-    whole = rows.select("id", F.explode(every).alias("u")).select("id", "u.*").where("canon <> ''")
-    hits = whole.join(F.broadcast(table), F.col("canon") == F.col("known")).select("id", "unit", "position", "license")
-
-    # runs: a known text that begins with a paragraph and is spelled out by it and those that follow
-    runs = rows.select("id", canonical(F.col("text")).alias("all"), F.transform(paragraphs, canonical).alias("parts")).where(F.size("parts") > 1)
-    runs = runs.select("id", "all", "parts", F.posexplode("parts").alias("position", "canon")).where("canon <> ''")
-    runs = runs.join(F.broadcast(table), F.expr("startswith(known, concat(canon, ' ')) AND known <> all"))
-
-    def follow(s: Column, c: Column) -> Column:
-        return F.when((F.length(s) >= F.length("known")) | (c == ""), s).when(s == "", c).otherwise(F.concat(s, F.lit(" "), c))
-
-    said = F.aggregate(F.slice("parts", F.col("position") + 1, F.size("parts")), F.lit(""), follow)
-    runs = runs.where(said == F.col("known")).select("id", F.lit("paragraphs").alias("unit"), "position", "license")
-    return hits.unionByName(runs).select(F.col("id").alias(id_col), "unit", "position", "license")
+    table = table.select(canonical_text(F.col("known")).alias("known"), "license").where("known <> ''").groupBy("known").agg(F.min("license").alias("license"))
+    policy = sorted((r.known, r.license) for r in table.collect())
+    beginnings = []  # every known text's first words: their digest, the text's number of words, digest and licence
+    for text, name in policy:
+        words, said, whole = text.split(" "), hashlib.sha1(), hashlib.sha1(text.encode()).hexdigest()
+        for k, w in enumerate(words):
+            said.update((" " * bool(k) + w).encode())
+            beginnings.append((said.hexdigest(), len(words), whole, name))
+    begins = spark.createDataFrame(beginnings, "begin string, length int, whole string, license string")
+
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    anchors = sorted({_anchor(text) for text, _ in policy}, key=len)
+    anchors = [a for i, a in enumerate(anchors) if not any(o in a for o in anchors[:i])]
+    text = F.lower(F.col("text"))
+    rows = rows.where(functools.reduce(operator.or_, [text.contains(a) for a in anchors] or [F.lit(False)]))
+    parts = F.transform(F.split("text", "\n"), lambda t: F.struct(t.rlike(r"\A[ \t\r]*\z").alias("blank"), canonical(t).alias("canon")))
+    rows = rows.select("id", F.monotonically_increasing_id().alias("row"), parts.alias("parts"))
+    lines = rows.select("id", "row", F.posexplode_outer("parts").alias("line", "l")).select("id", "row", "line", "l.blank", "l.canon")
+    lines = materialise(lines.withColumn("n", F.when(F.col("canon") == "", 0).otherwise(F.size(F.split("canon", " ")))))
+
+    # paragraphs are numbered as by a split at every two line ends with at most blanks between
+    so_far, every = Window.partitionBy("row").orderBy("line"), Window.partitionBy("row")
+    said = F.when(~F.col("blank"), F.col("line"))
+    before = F.last(said, ignorenulls=True).over(so_far.rowsBetween(Window.unboundedPreceding, -1))
+    ends = F.col("line") - F.coalesce(before, F.lit(0))  # line ends since the last line that is not blank
+    lines = lines.withColumns({
+        "cuts": F.when(F.col("blank"), 0).otherwise(F.floor(ends / 2)), "end": F.sum("n").over(so_far), "total": F.sum("n").over(every), "n_lines": F.count("*").over(every),
+        "after": F.count("*").over(every) - 1 - F.max(said).over(every),
+    })
+    lines = lines.withColumns({"par": F.sum("cuts").over(so_far), "n_pars": F.sum("cuts").over(every) + F.floor(F.col("after") / 2) + 1, "start": F.col("end") - F.col("n")}).where("n > 0")
+    paragraph = Window.partitionBy("row", "par")
+    lines = lines.withColumns({"par_start": F.min("start").over(paragraph), "par_end": F.max("end").over(paragraph)})
+    lines = materialise(lines.select("id", "row", "line", "canon", "start", "end", "total", "n_lines", "par", "n_pars", "par_start", "par_end"))
+
+    found = lines.join(F.broadcast(begins), F.sha1("canon") == F.col("begin"))
+    found = found.withColumn("stop", F.col("start") + F.col("length")).select("id", "row", "line", "start", "end", "stop", "total", "n_lines", "par", "n_pars", "par_start", "whole", "license")
+    last = lines.select("row", F.col("end").alias("stop"), F.col("line").alias("to"), F.col("par").alias("to_par"), F.col("par_end").alias("to_end"))
+    found = materialise(found.join(last, ["row", "stop"]))
+    longer = found.where("to > line")
+    inside = longer.select("row", "line", "to", "whole", F.explode(F.sequence("line", "to")).alias("at")).join(lines.select("row", F.col("line").alias("at"), "canon"), ["row", "at"])
+    same = inside.groupBy("row", "line", "to", "whole").agg(F.array_sort(F.collect_list(F.struct("at", "canon"))).alias("said"))
+    same = same.where(F.sha1(F.array_join(F.transform("said", lambda x: x["canon"]), " ")) == F.col("whole")).select("row", "line", "to", "whole")
+    hits = found.where("to = line").unionByName(longer.join(same, ["row", "line", "to", "whole"]).select(*found.columns))
+
+    document = (F.col("start") == 0) & (F.col("stop") == F.col("total"))
+    aligned = (F.col("start") == F.col("par_start")) & (F.col("stop") == F.col("to_end"))
+    several, one_line = F.col("par") != F.col("to_par"), F.col("line") == F.col("to")
+    unit = lambda name, at: F.struct(F.lit(name).alias("unit"), at.cast("int").alias("position"))
+    units = F.array_compact(F.array(
+        F.when(document, unit("document", F.lit(0))), F.when((F.col("n_pars") > 1) & aligned & ~several, unit("paragraph", F.col("par"))),
+        F.when(aligned & several & ~document, unit("paragraphs", F.col("par"))), F.when((F.col("n_lines") > 1) & one_line, unit("line", F.col("line"))),
+        F.when(~one_line & ~document & ~aligned, unit("lines", F.col("line"))),
+    ))
+    return hits.select(F.col("id").alias(id_col), "license", F.inline(units)).select(id_col, "unit", "position", "license")

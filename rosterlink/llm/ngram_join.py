@@ -13,8 +13,9 @@ when ``100 * |intersection| >= threshold * |union|``. The steps:
 
 Large groups of near copies do not give all their pairs: in each *star round* every prefix n-gram offers only the
 pairs with one leader, linked nodes become one component, and n-grams whose nodes are all in one component are done.
-When the pairs left between different components are few, or no longer shrink, all of them are verified. So the
-components are those of all links, and nothing is capped, sampled or dropped.
+When the pairs left between different components are few, or no longer shrink, all of them are verified: in blocks by
+their smaller node, each of about twice as many pairs as there are prefix n-grams, so that n-grams of many texts that
+never link take time but no space. So the components are those of all links, and nothing is capped, sampled or dropped.
 """
 
 from __future__ import annotations
@@ -27,12 +28,14 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterlink.llm.common import materialise, text_chunks
+from rosterlink.llm.common import discard, materialise, text_batches, text_chunks
 from rosterlink.llm.components import connected_components
 from rosterlink.llm.shingles import ngram_sets, word_hashes
 
 #: Counters of the n-gram sketch and of one stored slice of it; bins of the suffix histogram.
 SKETCH, SLICE, BINS = 1 << 21, 1 << 14, 64
+#: N-grams that a task gathers before it counts them: 8 bytes each, a few times over.
+FLUSH = 1 << 18
 #: Candidate sets are looked up by a broadcast of node ids up to this many (8 bytes each), else by a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -43,10 +46,15 @@ def _node(words: np.ndarray) -> tuple[int, int]:
 
 
 def _profile(size: int, seed: int):
-    """Step 1: a row for each text, then slices of this task's sketch."""
+    """Step 1: a row for each text, then slices of this task's sketch (32 bits a counter: a task counts fewer n-grams)."""
 
     def run(batches):
-        sketch, waiting, held = np.zeros(SKETCH, np.int64), [], 0
+        sketch, waiting, held = np.zeros(SKETCH, np.uint32), [], 0
+
+        def count():
+            slot, times = np.unique(np.concatenate(waiting) & np.uint64(SKETCH - 1), return_counts=True)
+            sketch[slot] += times.astype(np.uint32)
+
         for batch in batches:
             ids = batch.column(0)
             for row, data, offsets in text_chunks(batch, "text"):
@@ -60,20 +68,21 @@ def _profile(size: int, seed: int):
                     bins.append(np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=BINS).tolist() if len(s) else None)
                     waiting.append(s)
                     held += len(s)
-                if held > SKETCH:
-                    sketch += np.bincount((np.concatenate(waiting) & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
-                    waiting, held = [], 0
+                if held > FLUSH:
+                    count()
+                    waiting.clear()
+                    held = 0
                 k = len(node)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(row, k), pa.array(node, pa.int64()), pa.array(check, pa.int64()), pa.array(sizes, pa.int32()),
                      pa.array(bins, pa.list_(pa.int32())), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())],
                     ["doc_id", "node", "chk", "n", "bins", "slot", "counts"])
         if waiting:
-            sketch += np.bincount((np.concatenate(waiting) & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
+            count()
         if sketch.any():
             pack = zstandard.ZstdCompressor(level=1).compress
             slots = [k for k in range(SKETCH // SLICE) if sketch[k * SLICE : (k + 1) * SLICE].any()]
-            counts = [pack(sketch[k * SLICE : (k + 1) * SLICE].tobytes()) for k in slots]
+            counts = [pack(sketch[k * SLICE : (k + 1) * SLICE].astype(np.int64).tobytes()) for k in slots]
             k = len(counts)
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(k, ids.type), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.list_(pa.int32())),
@@ -172,22 +181,26 @@ class _Sets:
 def _verify(pairs: DataFrame, nodes: DataFrame, sets: _Sets, threshold: int) -> DataFrame | None:
     """Of distinct pairs (a, b) those that link: the suffix filter on histograms, then the whole sets, once a pair."""
     h = nodes.select("node", "n", "bins")
+    need = (F.col("na") + F.col("nb")) * threshold
     near = materialise(
         pairs.join(h.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bins").alias("ba")), "a")
         .join(h.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bins").alias("bb")), "b")
-        .where(F.aggregate(F.zip_with("ba", "bb", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x) * (100 + threshold) >= (F.col("na") + F.col("nb")) * threshold)
+        .where(F.aggregate(F.zip_with("ba", "bb", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x) * (100 + threshold) >= need)
         .select("a", "b", "na", "nb")
     )
     if near.isEmpty():
+        discard(near)
         return None
     whole = sets.of(near.select(F.explode(F.array("a", "b")).alias("node")).distinct())
     common = F.size(F.array_intersect("ta", "tb"))
-    return materialise(
+    found = materialise(
         near.join(whole.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a")
         .join(whole.select(F.col("node").alias("b"), F.col("tokens").alias("tb")), "b")
-        .where(common * (100 + threshold) >= (F.col("na") + F.col("nb")) * threshold)
+        .where(common * (100 + threshold) >= need)
         .select("a", "b")
     )
+    discard(near)
+    return found
 
 
 def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, threshold: int = 80) -> DataFrame:
@@ -196,11 +209,12 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     ``n_shingles`` is the size of the row's n-gram set and ``component_id`` the smallest id that is reachable over
     links, the row itself included. A null or empty text, or one without words, has no set and links with nothing: its
     component is itself. Equal texts are one node, so repeated rows and copies link without being expanded into pairs.
-    A text with fewer than ``size`` words has one n-gram, the whole sequence. Null ids keep their row; a null is never
+    Very long texts are hashed whole: a worker holds one such text and about 20 bytes for each of its characters. A text with fewer than ``size`` words has one n-gram, the whole sequence. Null ids keep their row; a null is never
     a component's smallest id unless all ids of it are null. Other columns of ``docs`` are not read. An empty table
     gives no rows.
     """
     spark, seed = docs.sparkSession, 0
+    text_batches(spark)
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     while True:
@@ -217,8 +231,10 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     levels = spark.sparkContext.broadcast(_levels(out.where("slot is not null").select("slot", "lane", "counts")))
     text = docs.where("text is not null").select("text")
     posted = materialise(text.mapInArrow(_prefixes(size, threshold, seed, levels), "token long, node long, pos int, n int"))
+    levels.unpersist()
     shared = posted.groupBy("token").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select("token")
-    posted = materialise(posted.join(shared, "token").distinct())
+    every, posted = posted, materialise(posted.join(shared, "token").distinct())
+    discard(every)
 
     links = _links(posted, nodes, _Sets(docs, nodes, size, seed), threshold)
     comp = connected_components(links, "a", "b") if links is not None else spark.createDataFrame([], "node long, component long")
@@ -240,33 +256,45 @@ def _links(posted: DataFrame, nodes: DataFrame, sets: _Sets, threshold: int) ->
     while total:
         # rows of each n-gram outside its largest component, times all its rows: the pairs that are left to look at
         sizes = open_.groupBy("token").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-        open_ = open_.join(sizes, "token").where(low <= high + 1e-6).drop("least", "most")
-        by = open_.groupBy("token", "c").agg(F.count("*").alias("k")).groupBy("token").agg(F.sum("k").alias("k"), F.max("k").alias("m"), F.max_by("c", "k").alias("main"))
-        open_ = materialise(open_.join(by.where("k > m"), "token"))
+        some = open_.join(sizes, "token").where(low <= high + 1e-6).drop("least", "most")
+        by = some.groupBy("token", "c").agg(F.count("*").alias("k")).groupBy("token").agg(F.sum("k").alias("k"), F.max("k").alias("m"), F.max_by("c", "k").alias("main"))
+        before, open_ = open_, materialise(some.join(by.where("k > m"), "token"))
+        discard(before)
         left = open_.agg(F.sum(F.when(F.col("c") != F.col("main"), F.col("k")))).first()[0] or 0
         if not left:
             break
         full = last is not None and (left <= 2 * total or left > 0.9 * last)
         last, turn = left, turn + 1
-        one = open_.select("token", F.col("node").alias("x"), F.col("c").alias("cx"), F.col("pos").alias("i"), F.col("n").alias("ni"), "main")
-        if full:
-            one = one.where("cx <> main")
-            two = open_.select("token", F.col("node").alias("y"), F.col("c").alias("cy"), F.col("pos").alias("j"), F.col("n").alias("nj"), (F.col("c") == F.col("main")).alias("in_main"))
-            once = F.col("in_main") | (F.col("x") < F.col("y"))
-        else:
-            # the node with the fewest rarer n-grams leads, as it has least of its own; in later rounds one in another order
-            order = F.when(F.lit(turn == 1), -F.col("pos")).otherwise(0)
-            lead = F.struct(order.alias("o"), F.xxhash64("node", F.lit(turn)).alias("q"), F.col("node").alias("y"), F.col("c").alias("cy"), F.col("pos").alias("j"), F.col("n").alias("nj"))
-            two, once = open_.groupBy("token").agg(F.max(lead).alias("l")).select("token", "l.*"), F.lit(True)
-        pairs = one.join(two, (one["token"] == two["token"]) & (F.col("cx") != F.col("cy")) & once & _possible(threshold))
-        pairs = materialise(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-        found = _verify(pairs, nodes, sets, threshold)
-        if found is not None:
-            links = found if links is None else links.unionByName(found)
+        one = open_.select("token", F.col("node").alias("x"), F.col("c").alias("cx"), F.col("pos").alias("i"), F.col("n").alias("ni"), (F.col("c") == F.col("main")).alias("in_main"))
+        two = open_.select("token", F.col("node").alias("y"), F.col("c").alias("cy"), F.col("pos").alias("j"), F.col("n").alias("nj"), (F.col("c") == F.col("main")).alias("main_too"))
+
+        def pairs_of(one: DataFrame, two: DataFrame, once: Column) -> DataFrame:
+            met = one.join(two, (one["token"] == two["token"]) & (F.col("cx") != F.col("cy")) & once & _possible(threshold))
+            return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
+        def verified(pairs: DataFrame) -> None:
+            nonlocal links
+            pairs = materialise(pairs.distinct())
+            found = _verify(pairs, nodes, sets, threshold)
+            discard(pairs)
+            if found is not None:
+                links = found if links is None else links.unionByName(found)
+
         if full:
+            # every pair is looked at from its smaller node, in the block of that node; two of the main component never meet
+            blocks = 1 + left // (2 * total)
+            for b in range(blocks):
+                mine = one.where(F.pmod(F.xxhash64("x"), F.lit(blocks)) == b) if blocks > 1 else one
+                outside = pairs_of(mine.where(~F.col("in_main")), two, F.col("x") < F.col("y"))
+                verified(outside.unionByName(pairs_of(mine.where("in_main"), two.where(~F.col("main_too")), F.col("x") < F.col("y"))))
             break
-        open_ = open_.drop("k", "m", "main")
+        # the node with the fewest rarer n-grams leads, as it has least of its own; in later rounds one in another order
+        order = F.when(F.lit(turn == 1), -F.col("j")).otherwise(0)
+        lead = F.struct(order.alias("o"), F.xxhash64("y", F.lit(turn)).alias("q"), "y", "cy", "j", "nj")
+        verified(pairs_of(one, two.groupBy("token").agg(F.max(lead).alias("l")).select("token", "l.*"), F.lit(True)))
+        before, open_ = open_, open_.drop("k", "m", "main")
         if links is not None:
             comp = connected_components(links, "a", "b")
-            open_ = open_.drop("c").join(comp, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
+            open_ = materialise(open_.drop("c").join(comp, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component"))
+            discard(before)
     return links

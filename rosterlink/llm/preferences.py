@@ -35,54 +35,72 @@ def _mask(turns: Column) -> Column:
     return F.array_join(F.aggregate(turns, start, add, lambda s: s["spans"]), ",")
 
 
+def _formatted(both: DataFrame) -> DataFrame:
+    """``both``: one row a pair, its sides ``c`` and ``r`` arrays of turns in order."""
+    same = F.zip_with("c", "r", lambda x, y: F.coalesce((x["role"] == y["role"]) & (x["text"] == y["text"]), F.lit(False)))
+    first_difference = F.array_position(same, F.lit(False)).cast("int")
+    n = F.when(first_difference > 0, first_difference - 1).otherwise(F.size(same))
+    cut = both.withColumn("n", n).select(
+        "pair", "n", F.slice("c", F.lit(1), F.col("n")).alias("p"),
+        F.slice("c", F.col("n") + 1, F.size("c")).alias("c"), F.slice("r", F.col("n") + 1, F.size("r")).alias("r"),
+    )
+    return cut.select(
+        "pair", F.col("n").alias("n_prompt_turns"), _text(F.col("p")).alias("prompt"),
+        _text(F.col("c")).alias("chosen"), _mask(F.col("c")).alias("chosen_mask"), _text(F.col("r")).alias("rejected"), _mask(F.col("r")).alias("rejected_mask"),
+    )
+
+
+def _turn(turn: str, role: str, text: str) -> Column:
+    return F.struct(F.col(turn).alias("turn"), F.coalesce(role, F.lit("")).alias("role"), F.coalesce(text, F.lit("")).alias("text"))
+
+
 def format_preferences(chosen: DataFrame, rejected: DataFrame, pair_col: str = "pair_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """Rows ``(pair_col, n_prompt_turns, prompt, chosen, chosen_mask, rejected, rejected_mask)``, one a pair.
 
     ``chosen`` and ``rejected`` hold one row a turn. Turns are put in order of ``turn_col``, ties by role and text; null
-    roles and texts are empty; rows with a null pair are dropped, as they belong to no pair. A pair that only one side
-    has gets an empty other completion. Equal conversations are all prompt with empty completions; no common first turn
-    gives an empty prompt. Other columns are not read. A conversation becomes one training example and so one row.
+    roles and texts are empty; rows with a null pair are dropped, as they belong to no pair; repeated rows are repeated
+    turns. A pair that only one side has gets an empty other completion. Equal conversations are all prompt with empty
+    completions; no common first turn gives an empty prompt. Other columns are not read. A conversation becomes one
+    training example and so one row, however long its texts. Empty tables give no rows.
     """
     def side(df: DataFrame, name: str) -> DataFrame:
-        turn = F.struct(F.col(turn_col).alias("turn"), F.coalesce(role_col, F.lit("")).alias("role"), F.coalesce(text_col, F.lit("")).alias("text"))
-        return df.where(F.col(pair_col).isNotNull()).select(F.col(pair_col).alias("pair"), F.lit(name).alias("side"), turn.alias("t"))
+        return df.where(F.col(pair_col).isNotNull()).select(F.col(pair_col).alias("pair"), F.lit(name).alias("side"), _turn(turn_col, role_col, text_col).alias("t"))
 
     both = side(chosen, "c").unionByName(side(rejected, "r")).groupBy("pair").agg(
         F.array_sort(F.collect_list(F.when(F.col("side") == "c", F.col("t")))).alias("c"),
         F.array_sort(F.collect_list(F.when(F.col("side") == "r", F.col("t")))).alias("r"),
     )
-    same = F.zip_with("c", "r", lambda x, y: F.coalesce((x["role"] == y["role"]) & (x["text"] == y["text"]), F.lit(False)))
-    first_difference = F.array_position(same, F.lit(False)).cast("int")
-    n = F.when(first_difference > 0, first_difference - 1).otherwise(F.size(same))
-    cut = both.withColumn("n", n).select(
-        "pair", "n", F.slice("c", F.lit(1), F.col("n")).alias("p"),
-        F.slice("c", F.col("n") + 1, F.size("c")).alias("c"), F.slice("r", F.col("n") + 1, F.size("r")).alias("r"),
-    )
-    return cut.select(
-        F.col("pair").alias(pair_col), F.col("n").alias("n_prompt_turns"), _text(F.col("p")).alias("prompt"),
-        _text(F.col("c")).alias("chosen"), _mask(F.col("c")).alias("chosen_mask"), _text(F.col("r")).alias("rejected"), _mask(F.col("r")).alias("rejected_mask"),
-    )
+    return _formatted(both).withColumnRenamed("pair", pair_col)
+
 
+def other_answer_preferences(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
+    """Preference pairs from conversations alone: rows of ``format_preferences`` and ``paired``, one a conversation.
 
-def next_answer_preferences(turns: DataFrame) -> DataFrame:
-    """``format_preferences`` of conversations (conv_id, turn, role, text), each rejected one with another's answer.
+    Chosen is the whole conversation. Rejected is the same up to one of its answers (assistant turns), in whose place
+    stands an answer of another conversation, and ends there. Of k answers, that with number ``id mod k`` branches off.
+    The distinct texts of all branching answers stand in one ring, in order of their SHA-256, and each is rejected in
+    favour of the one before: so a rejected answer always differs from the chosen one, if there are two. A conversation
+    without an answer is all prompt and not ``paired``.
 
-    Chosen: a conversation up to its last assistant turn. Rejected: the same with the last answer of the next
-    conversation in ascending ``conv_id`` that has one, the last one's next being the first; a single answer is its own
-    next. A conversation without an answer is all prompt. Turns after the last answer are left out, as nothing follows
-    them. Answers move to range partitions once; only the partitions' first and last ids meet on the driver.
+    Turns are put in order of ``turn_col``, ties by role and text, and none is left out. Rows without a conversation id
+    are dropped. Ids are whole numbers. Repeated rows are repeated turns; other columns are not read; an empty table
+    gives no rows. Conversations move once; then only digests do, in range partitions, of which the driver sees the first
+    and last digest each. A text that many conversations share is one row of the ring.
     """
-    turns = turns.where("conv_id is not null")
-    last = turns.where("role = 'assistant'").groupBy("conv_id").agg(F.max("turn").alias("last"), F.max_by("text", "turn").alias("said"))
-    ranged = materialise(last.repartitionByRange("conv_id").withColumn("part", F.spark_partition_id()))
-    ends = sorted((r.part, r.a, r.z) for r in ranged.groupBy("part").agg(F.min("conv_id").alias("a"), F.max("conv_id").alias("z")).collect())
-    over = [(z, ends[(k + 1) % len(ends)][1]) for k, (_, _, z) in enumerate(ends)]
-    kind = ranged.schema["conv_id"].dataType.simpleString()
-    over = ranged.sparkSession.createDataFrame(over, f"conv_id {kind}, first {kind}")
-    within = ranged.select("conv_id", "last", F.lead("conv_id").over(Window.partitionBy("part").orderBy("conv_id")).alias("after"))
-    after = within.join(F.broadcast(over), "conv_id", "left").select("conv_id", "last", F.coalesce("after", "first").alias("after"))
-    other = ranged.select(F.col("conv_id").alias("after"), F.col("said").alias("text"))
-    answers = after.join(other, "after").select(F.col("conv_id").alias("pair_id"), F.col("last").alias("turn"), F.lit("assistant").alias("role"), "text")
-    shared = turns.join(ranged.select("conv_id", "last"), "conv_id", "left").where("last is null or turn <= last")
-    side = lambda df: df.select(F.col("conv_id").alias("pair_id"), "turn", "role", "text")
-    return format_preferences(side(shared), side(shared.where("last is null or turn < last")).unionByName(answers))
+    of = turns.where(F.col(conv_col).isNotNull()).groupBy(F.col(conv_col).alias("pair")).agg(F.array_sort(F.collect_list(_turn(turn_col, role_col, text_col))).alias("c"))
+    places = F.filter(F.transform("c", lambda t, i: F.when(t["role"] == "assistant", i)), lambda i: i.isNotNull())
+    of = of.withColumn("places", places)
+    branch = F.when(F.size("places") > 0, F.get("places", F.pmod(F.col("pair"), F.greatest(F.size("places"), F.lit(1))).cast("int")))
+    of = of.withColumn("branch", branch).withColumn("said", F.get("c", F.col("branch"))["text"])
+    of = materialise(of.select("pair", "c", "branch", F.sha2("said", 256).alias("digest"), "said"))
+
+    ring = materialise(of.where("digest is not null").groupBy("digest").agg(F.first("said").alias("said")).repartitionByRange("digest").withColumn("part", F.spark_partition_id()))
+    ends = sorted((r.part, r.a, r.z) for r in ring.groupBy("part").agg(F.min("digest").alias("a"), F.max("digest").alias("z")).collect())
+    over = ring.sparkSession.createDataFrame([(z, ends[(k + 1) % len(ends)][1]) for k, (_, _, z) in enumerate(ends)], "digest string, first string")
+    within = ring.select("digest", F.lead("digest").over(Window.partitionBy("part").orderBy("digest")).alias("after"))
+    after = within.join(F.broadcast(over), "digest", "left").select("digest", F.coalesce("after", "first").alias("after"))
+    other = after.join(ring.select(F.col("digest").alias("after"), F.col("said").alias("other")), "after").select("digest", "other")
+    both = of.join(other, "digest", "left")
+    answer = F.array(F.struct(F.get("c", F.col("branch"))["turn"].alias("turn"), F.lit("assistant").alias("role"), F.col("other").alias("text")))
+    both = both.select("pair", "c", F.when(F.col("other").isNull(), F.col("c")).otherwise(F.concat(F.slice("c", F.lit(1), F.coalesce("branch", F.lit(0))), answer)).alias("r"))
+    return _formatted(both).withColumn("paired", (F.col("chosen") != "") & (F.col("rejected") != "")).withColumnRenamed("pair", conv_col)

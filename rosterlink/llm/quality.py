@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterlink.llm.calibrate import fit_logistic
-from rosterlink.llm.common import text_chunks
+from rosterlink.llm.common import text_batches, text_chunks
 
 BLOCK = 1024
 
@@ -85,6 +85,7 @@ def fit_quality(sample: DataFrame, max_blocks: int = 4000, dictionary_bytes: int
     dictionary that holds it. Without rows of both classes the score is the smoothed rate of the label.
     """
     spark = sample.sparkSession
+    text_batches(spark)
     rows = sample.select("text", "label", F.col("row").bitwiseAND(F.lit(2**63 - 1)).alias("o")).where("length(text) > 0")
 
     def blocks(y: int, half: int) -> list[bytes]:
@@ -111,8 +112,10 @@ def score_quality(docs: DataFrame, model: QualityModel, id_col: str = "doc_id",
     """Rows ``(id_col, score, predicted)`` for every row of ``docs``: score 0 to 1, predicted 1 if it is ``threshold`` or more.
 
     Whole texts are scored; a null or empty text has difference 0 and so the calibration's score of no evidence.
-    Repeated rows give repeated results. Null ids stay. Other columns are not read.
+    Repeated rows give repeated results. Null ids stay. Other columns are not read. A very long text is scored block by
+    block; a worker holds it twice.
     """
+    text_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((model.bad, model.good))
     weights = [float(w) for w in model.weights]
     kind = docs.schema[id_col].dataType.simpleString()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,11 +13,11 @@ from rosterlink.llm.fingerprint import fingerprints_with_edits
 from rosterlink.llm.license_scan import COPYRIGHT_LINE, KNOWN, SPELLINGS, license_hits
 from rosterlink.llm.ngram_join import ngram_jaccard_components
 from rosterlink.llm.packing import pack, token_pieces
-from rosterlink.llm.preferences import BEGIN, BREAK, END, format_preferences
+from rosterlink.llm.preferences import BEGIN, BREAK, END, other_answer_preferences
 from rosterlink.llm.quality import fit_quality, score_quality
 from rosterlink.llm.secrets import scan_secrets
 from rosterlink.llm.toxicity import fit_lexicon, score_toxicity
-from rosterlink.llm.url_filter import RULES, judge_urls
+from rosterlink.llm.url_filter import AMPERSANDS, HIDDEN, PATTERNS, RULES, judge_urls
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -28,6 +30,7 @@ def query(f):
 
 @query
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the size of its shingle set and its component."""
     return ngram_jaccard_components(table(spark, sf_dir, "documents"))
 
 
@@ -58,6 +61,7 @@ def _teaching(spark: SparkSession, sf_dir: str, label: str, modulus: int, remain
 
 @query
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; taught by labelled rows outside the held-out fifth."""
     docs = table(spark, sf_dir, "documents")
     model = fit_quality(_teaching(spark, sf_dir, "quality", 5, 0))
     return score_quality(docs, model).select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted")
@@ -65,6 +69,7 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; taught by labelled rows outside the held-out third."""
     docs = table(spark, sf_dir, "documents")
     lexicon = fit_lexicon(_teaching(spark, sf_dir, "toxic", 3, 1))
     scored = score_toxicity(docs, lexicon)
@@ -73,6 +78,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text; ``common_prefix`` is what both share from the start."""
     return fingerprints_with_edits(table(spark, sf_dir, "documents"))
 
 
@@ -85,11 +91,13 @@ def vocabulary() -> str:
 
 @query
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its sequence and its place there."""
     return pack(token_pieces(table(spark, sf_dir, "documents"), vocabulary()))
 
 
 @query
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page with its rule and verdict; ``component_blocked``: an alias is blocked."""
     return judge_urls(table(spark, sf_dir, "pages"), RULES)
 
 
@@ -97,6 +105,8 @@ _HOST = "translate(coalesce(regexp_extract({0}, '(?s)^.*?://([^/?#]*)', 1), ''),
 _PATH = "coalesce(regexp_extract({0}, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '')"
 _QUERY = "coalesce(regexp_extract({0}, '(?s)^[^#]*?([?][^#]*)', 1), '')"
 _KEY = f"CASE WHEN {_HOST} <> '' THEN {_HOST} || {_PATH} || {_QUERY} END"
+_FOUND = ", ".join("regexp_extract_all(h, '" + p.replace("'", "''") + "', 1)" for p in PATTERNS)
+_SPELLED = functools.reduce(lambda out, a: f"replace({out}, '{a}', '&')", AMPERSANDS, "t")
 _RULES_SQL = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in RULES)
 ORACLE["op6_url_filter"] = rf"""
 WITH RECURSIVE rules(verdict, h, p) AS (VALUES {_RULES_SQL}),
@@ -115,6 +125,7 @@ FROM pg LEFT JOIN hit USING (page_id) LEFT JOIN bad ON bad.k = pg.k
 
 @query
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line, paragraph, run of either and document that is a known licence text."""
     return license_hits(table(spark, sf_dir, "documents"))
 
 
@@ -140,39 +151,37 @@ FROM (SELECT doc_id, unit, position, {_canonical_sql('part')} AS c FROM units) J
 
 @query
 def op10_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chosen: a conversation up to its last assistant turn. Rejected: the same with that turn of the next conversation."""
-    turns = table(spark, sf_dir, "conversations")
-    last = turns.where("role = 'assistant'").groupBy("conv_id").agg(F.max("turn").alias("last"), F.max_by("text", "turn").alias("said"))
-    shared = turns.join(last, "conv_id").where("turn <= last")
-    chosen = shared.select(F.col("conv_id").alias("pair_id"), "turn", "role", "text")
-    other = last.select((F.col("conv_id") - 1).alias("pair_id"), F.col("said").alias("other"))
-    ends = last.select(F.col("conv_id").alias("pair_id"), F.col("last").alias("turn")).join(other, "pair_id").select("pair_id", "turn", F.lit("assistant").alias("role"), F.col("other").alias("text"))
-    rejected = shared.where("turn < last").select(F.col("conv_id").alias("pair_id"), "turn", "role", "text").unionByName(ends)
-    return format_preferences(chosen, rejected)
+    """Every conversation: chosen as it is, rejected with another conversation's answer in the place of one of its own."""
+    return other_answer_preferences(table(spark, sf_dir, "conversations"))
 
 
 def _turn_sql(role: str, text: str) -> str:
     q = lambda x: "'" + x.replace("\n", "' || chr(10) || '") + "'"
-    return f"({q(BEGIN)} || {role} || {q(BREAK)} || coalesce({text}, '') || {q(END)})"
+    return f"({q(BEGIN)} || {role} || {q(BREAK)} || {text} || {q(END)})"
 
 
 _HEAD = len(BEGIN) + len(BREAK)
 ORACLE["op10_preference_format"] = f"""
-WITH last AS (SELECT conv_id, max(turn) AS l, arg_max(text, turn) AS said FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
-p AS (SELECT a.conv_id, a.l, a.said, b.said AS other, b.conv_id IS NOT NULL AND coalesce(a.said, '') = coalesce(b.said, '') AS same, b.conv_id IS NOT NULL AS has
-  FROM last a LEFT JOIN last b ON b.conv_id = a.conv_id + 1),
-pre AS (SELECT p.conv_id, count(c.turn) AS n, coalesce(string_agg({_turn_sql('c.role', 'c.text')}, '' ORDER BY c.turn), '') AS t
-  FROM p LEFT JOIN conversations c ON c.conv_id = p.conv_id AND c.turn < p.l GROUP BY p.conv_id),
-x AS (SELECT p.conv_id, pre.n, pre.t, same, {_turn_sql("'assistant'", 'said')} AS c, CASE WHEN has THEN {_turn_sql("'assistant'", 'other')} ELSE '' END AS r FROM p JOIN pre USING (conv_id))
-SELECT conv_id AS pair_id, CAST(n + CASE WHEN same THEN 1 ELSE 0 END AS INTEGER) AS n_prompt_turns, t || CASE WHEN same THEN c ELSE '' END AS prompt,
-  CASE WHEN same THEN '' ELSE c END AS chosen, CASE WHEN same THEN '' ELSE '{_HEAD + 9}-' || length(c) END AS chosen_mask,
-  CASE WHEN same THEN '' ELSE r END AS rejected, CASE WHEN same OR r = '' THEN '' ELSE '{_HEAD + 9}-' || length(r) END AS rejected_mask
-FROM x
+WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, coalesce(role, ''), coalesce(text, '')) AS i, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+a AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY i) - 1 AS k, count(*) OVER (PARTITION BY conv_id) AS n FROM t WHERE role = 'assistant'),
+branch AS (SELECT conv_id, i AS place, text AS said, sha256(text) AS h FROM a WHERE k = conv_id % n),
+ring AS (SELECT h, said, coalesce(lead(h) OVER (ORDER BY h), min(h) OVER ()) AS after FROM (SELECT h, any_value(said) AS said FROM branch GROUP BY h)),
+other AS (SELECT x.h, y.said AS other FROM ring x JOIN ring y ON y.h = x.after),
+p AS (SELECT c.conv_id, place, said, other, (SELECT max(i) FROM t WHERE t.conv_id = c.conv_id) AS n FROM (SELECT DISTINCT conv_id FROM t) c LEFT JOIN branch USING (conv_id) LEFT JOIN other USING (h)),
+cut AS (SELECT *, CASE WHEN place IS NULL THEN n WHEN said = other THEN place ELSE place - 1 END AS k FROM p),
+r AS (SELECT t.conv_id, i, k, {_turn_sql('role', 'text')} AS x, role, {_HEAD} + length(role) AS head FROM t JOIN cut USING (conv_id)),
+s AS (SELECT *, sum(CASE WHEN i > k THEN length(x) ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY i) AS upto FROM r),
+g AS (SELECT conv_id, coalesce(string_agg(x, '' ORDER BY i) FILTER (i <= k), '') AS prompt, coalesce(string_agg(x, '' ORDER BY i) FILTER (i > k), '') AS chosen,
+  coalesce(string_agg(CAST(upto - length(x) + head AS BIGINT) || '-' || CAST(upto AS BIGINT), ',' ORDER BY i) FILTER (i > k AND role = 'assistant'), '') AS chosen_mask FROM s GROUP BY conv_id),
+f AS (SELECT cut.conv_id, k, prompt, chosen, chosen_mask, CASE WHEN place IS NULL OR said = other THEN '' ELSE {_turn_sql("'assistant'", 'other')} END AS rejected FROM cut JOIN g USING (conv_id))
+SELECT conv_id, CAST(k AS INTEGER) AS n_prompt_turns, prompt, chosen, chosen_mask, rejected, CASE WHEN rejected = '' THEN '' ELSE '{_HEAD + 9}-' || length(rejected) END AS rejected_mask, chosen <> '' AND rejected <> '' AS paired
+FROM f
 """
 
 
 @query
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item or a passage of one, by item."""
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
@@ -185,14 +194,15 @@ WITH d AS MATERIALIZED (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '
 b AS MATERIALIZED (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{{L}}\p{{N}}]+') AS w FROM benchmark),
 ds AS ({_SEED_SQL.format('doc_id', 'd')}),
 bs AS ({_SEED_SQL.format('item_id', 'b')}),
-hits AS (SELECT DISTINCT doc_id, item_id, ds.i - bs.i AS s FROM ds JOIN bs USING (key)),
-laid AS (SELECT doc_id, item_id, s, len(b.w) AS n_words,
-    len([k FOR k IN range(1, len(b.w) + 1) IF (s + k - 1 >= 1 AND d.w[greatest(s + k - 1, 1)] = b.w[k]) OR (s + k >= 1 AND d.w[greatest(s + k, 1)] = b.w[k]) OR (s + k + 1 >= 1 AND d.w[greatest(s + k + 1, 1)] = b.w[k])]) AS matched
+hits AS (SELECT DISTINCT doc_id, item_id, greatest(0, least(bs.i + 3 - 12, len(b.w) - 25)) AS o, ds.i - bs.i + greatest(0, least(bs.i + 3 - 12, len(b.w) - 25)) AS s FROM ds JOIN bs USING (key) JOIN b USING (item_id)),
+laid AS (SELECT doc_id, item_id, len(b.w) AS n_words, least(25, len(b.w)) AS n_window,
+    len([k FOR k IN range(1, least(25, len(b.w)) + 1) IF (s + k - 1 >= 1 AND d.w[greatest(s + k - 1, 1)] = b.w[o + k]) OR (s + k >= 1 AND d.w[greatest(s + k, 1)] = b.w[o + k]) OR (s + k + 1 >= 1 AND d.w[greatest(s + k + 1, 1)] = b.w[o + k])]) AS matched
   FROM hits JOIN d USING (doc_id) JOIN b USING (item_id))
-SELECT doc_id, item_id, CAST(max(matched) AS INTEGER) AS matched, CAST(any_value(n_words) AS INTEGER) AS n_words FROM laid WHERE matched >= n_words * 0.7 OR matched >= 25 GROUP BY doc_id, item_id
+SELECT doc_id, item_id, CAST(max(matched) AS INTEGER) AS matched, CAST(any_value(n_window) AS INTEGER) AS n_window, CAST(any_value(n_words) AS INTEGER) AS n_words FROM laid WHERE matched >= n_window * 0.7 GROUP BY doc_id, item_id
 """.replace("\\\\", "\\")
 
 
 @query
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_secrets(table(spark, sf_dir, "documents"))
+    """Every candidate with the forest's score; whether it is a secret."""
+    return scan_secrets(table(spark, sf_dir, "documents")).select("doc_id", "position", "value", "score", "secret")

@@ -3,16 +3,18 @@
 A candidate is a value in a known format, a value that an announcing name and an assignment precede (of any length, with
 or without digits; without quotes it ends at white space, commas, brackets or '&'), the value of ``user:value@host``, or
 a run of at least 12 characters that tokens are made of, one a digit. What the forest sees of it: its
-length, its character classes and transitions, how much of it dictionary words cover, its path, and the neighbouring
-words. It is trained from labelled findings. Everything is DataFrame expressions and the JVM's forest.
+length, the shares and transitions of its character classes, how much of it words of the corpus cover, and the hashed
+words of its path and beside it. It is trained from labelled findings; formats, quotes and the lists of announcing and
+dummy words, which serve to find candidates and to label findings where a table has no labels, are no features.
+Everything is DataFrame expressions and the JVM's forest.
 """
 
 from __future__ import annotations
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import HashingTF, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosterlink.llm.common import materialise
@@ -30,14 +32,19 @@ _CREDENTIAL = rf"(://[^\s/?#:@{_QUOTE}]*+:)([^\s/?#@{_QUOTE}]++)(?=@)|((?<![A-Za
 _RUN = rf"(?:\G|(?<![{_SET}]))(?=[A-Za-z+/_\-.@]*+[0-9])(?![{_SET}]*+(?<=(?i:{_NAMES})(?:[_-]?[0-9]{{1,4}})?)[{_QUOTE}]?\s{{0,9}}[=:])[{_SET}]{{11,}}[A-Za-z0-9+/_\-@](?:={{1,2}}(?![{_SET}=]))?+"
 MARK, KEEP = "\u0001", "\u0002"
 # Well-known public formats of credentials, words that announce one, words that announce a dummy.
-FORMATS = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\..*|sk-[A-Za-z0-9]{20,})$"
+_KEY_BLOCK = r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----[A-Za-z0-9+/=\s]++-----END (?:[A-Z]+ )*PRIVATE KEY-----"
+FORMATS = rf"^({_KEY_BLOCK}|AKIA[0-9A-Z]{{16}}|gh[pousr]_[A-Za-z0-9]{{36,}}|xox[abprs]-[A-Za-z0-9-]{{10,}}|eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\..*|sk-[A-Za-z0-9]{{20,}})$"
 #: The same formats wherever they stand in a run, at its end or before a full stop.
-_FORMAT_WITHIN = r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}(?![A-Za-z0-9])|gh[pousr]_[A-Za-z0-9]{36,}+|xox[abprs]-[A-Za-z0-9-]{10,}+|eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++\.[A-Za-z0-9_.-]*+(?<!\.)|sk-[A-Za-z0-9]{20,}+)"
+_FORMAT_WITHIN = _KEY_BLOCK + r"|(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}(?![A-Za-z0-9])|gh[pousr]_[A-Za-z0-9]{36,}+|xox[abprs]-[A-Za-z0-9-]{10,}+|eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++\.[A-Za-z0-9_.-]*+(?<!\.)|sk-[A-Za-z0-9]{20,}+)"
 _NAME = rf"(?i)(?:(?<![A-Za-z])|(?-i:(?<=[a-z])(?=[A-Z])))(?:{_NAMES})(?![A-Za-z])"
 ANNOUNCE = _NAME
-CANDIDATE = rf"(?:((?:{_NAME}){_ASSIGN})({_ASSIGNED_VALUE})|{_CREDENTIAL}|({KEEP}[^{KEEP}]*+{KEEP}|{_RUN}))"
+CANDIDATE = rf"(?:((?:{_NAME}){_ASSIGN})(?!{KEEP})({_ASSIGNED_VALUE})|{_CREDENTIAL}|({KEEP}[^{KEEP}]*+{KEEP}|{_RUN}))"
 DUMMY = r"(?i)\b(example|sample|dummy|fake|test|placeholder|mock|xxx+)\b"
-FEATURES = ["length", "digits", "upper", "lower", "signs", "hex", "transitions", "vowel_pairs", "covered", "path_test", "path_data", "announced", "assigned", "quoted", "dummy", "format", "at_sign", "dots"]
+#: Character classes (digit, lower case, upper case, '@', '.', any other) and what the forest sees of a value.
+_CLASSES = "0aA@._"
+NUMBERS = ["length", "covered", *(f"share_{c}" for c in range(len(_CLASSES))), *(f"from_{a}_to_{b}" for a in range(len(_CLASSES)) for b in range(len(_CLASSES)))]
+#: Buckets of the hashed words, and words on either side.
+BUCKETS, NEIGHBOURS = 128, 4
 
 
 def _parts(text: Column) -> Column:
@@ -49,40 +56,58 @@ def _parts(text: Column) -> Column:
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source", context: int = 40) -> DataFrame:
-    """Rows ``(id, path, value, before, after, position)``: every candidate with ``context`` characters on either side.
+    """Rows ``(id, path, value, before, after, position, candidate, text_hash)``: every candidate with ``context`` characters on either side.
 
-    ``position`` is the candidate's first character, from 0. Null and empty texts have no candidates.
+    ``position`` is the candidate's first character and ``candidate`` its number in the text, both from 0. Null and empty
+    texts have no candidates. Each text is cut once; what moves is a small row a candidate, so a text's work grows with
+    its length alone.
     """
     path = F.col(path_col).cast("string") if path_col else F.lit(None).cast("string")
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(path, F.lit("")).alias("path"), F.col(text_col).alias("text"))
-    rows = rows.select("id", "path", _parts(F.col("text")).alias("parts")).where(F.size("parts") > 1)
-    found = rows.select("id", "path", F.col("parts"), F.explode(F.sequence(F.lit(1), F.size("parts") - 2, F.lit(2))).alias("i"))
-    part = lambda k: F.get("parts", F.col("i") + k)
-    position = F.length(F.array_join(F.slice("parts", F.lit(1), F.col("i")), ""))
-    return found.select("id", "path", part(0).alias("value"), F.right(part(-1), F.lit(context)).alias("before"), F.left(part(1), F.lit(context)).alias("after"), position.cast("long").alias("position"))
+    rows = rows.select("id", "path", F.xxhash64("text").alias("text_hash"), F.monotonically_increasing_id().alias("row"), _parts(F.col("text")).alias("parts"))
 
+    def one(i: Column) -> Column:
+        part = lambda k: F.get("parts", i + k)
+        return F.struct(part(0).alias("value"), F.right(part(-1), F.lit(context)).alias("before"), F.left(part(1), F.lit(context)).alias("after"), F.length(part(-1)).alias("gap"))
 
-def _share(pattern: str) -> Column:
-    return F.length(F.regexp_replace("value", pattern, "")) / F.length("value")
+    none = F.array().cast("array<int>")
+    odd = F.when(F.size("parts") > 1, F.sequence(F.lit(1), F.greatest(F.size("parts") - 2, F.lit(1)), F.lit(2))).otherwise(none)
+    found = rows.select("id", "path", "text_hash", "row", F.posexplode_outer(F.transform(odd, one)).alias("candidate", "c")).where("candidate is not null")
+    found = found.select("id", "path", "text_hash", "row", "candidate", "c.*")
+    so_far = Window.partitionBy("row").orderBy("candidate")
+    position = F.sum(F.col("gap") + F.length("value")).over(so_far) - F.length("value")
+    return found.select("id", "path", "value", "before", "after", position.cast("long").alias("position"), "candidate", "text_hash")
+
+
+def corpus_dictionary(docs: DataFrame, text_col: str = "text", words: int = 5000) -> list[str]:
+    """The ``words`` most frequent words of at least three letters a-z, counted over all texts."""
+    each = docs.select(F.explode(F.split(F.lower(F.col(text_col)), "[^a-z]+")).alias("w")).where("length(w) >= 3")
+    return sorted(r.w for r in each.groupBy("w").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").limit(words).collect())
 
 
 def with_features(found: DataFrame, dictionary: list[str]) -> DataFrame:
-    """``found`` plus the columns of ``FEATURES``."""
-    kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace("value", "[0-9]", "0"), "[a-z]", "a"), "[A-Z]", "A"), "[^0aA]", "-")
-    runs = F.regexp_extract_all(F.lower("value"), F.lit("([a-z]{3,})"), F.lit(1))
-    known = F.array(*(F.lit(w) for w in dictionary)) if dictionary else F.array().cast("array<string>")
-    covered = F.aggregate(F.filter(runs, lambda r: F.array_contains(known, r)), F.lit(0), lambda s, r: s + F.length(r)) / F.length("value")
-    pairs = F.size(F.regexp_extract_all(F.lower("value"), F.lit("([aeiou][b-df-hj-np-tv-z])"), F.lit(1))) / F.length("value")
-    yes = lambda c: c.cast("double")
-    near = F.concat_ws(" ", "before", "after")
-    return found.withColumns({
-        "length": F.length("value").cast("double"), "digits": _share("[^0-9]"), "upper": _share("[^A-Z]"), "lower": _share("[^a-z]"), "signs": _share("[A-Za-z0-9]"),
-        "hex": yes(F.col("value").rlike("^([0-9a-f]+|[0-9A-F]+)$") & F.col("value").rlike("[A-Fa-f]")),
-        "transitions": F.length(F.regexp_replace(kinds, r"(.)\1+", "$1")) / F.length("value"), "vowel_pairs": pairs.cast("double"), "covered": covered.cast("double"),
-        "path_test": yes(F.col("path").rlike(r"(?i)test|example|sample|mock|fixture|docs?/")), "path_data": yes(F.col("path").rlike(r"(?i)\.(csv|lock|svg|min\.js|map)$")),
-        "announced": yes(F.col("before").rlike(ANNOUNCE)), "assigned": yes(F.col("before").rlike(r"[=:]\s*[\"'`]?$")), "quoted": yes(F.col("before").rlike(r"[\"'`]$") & F.col("after").rlike(r"^[\"'`]")),
-        "dummy": yes(near.rlike(DUMMY)), "format": yes(F.col("value").rlike(FORMATS)), "at_sign": yes(F.col("value").contains("@")), "dots": (F.length("value") - F.length(F.replace("value", F.lit("."), F.lit("")))).cast("double"),
+    """``found`` plus ``features``: the columns of ``NUMBERS`` and the hashed words of path and neighbourhood."""
+    kinds = F.col("value")
+    for pattern, c in (("[^0-9a-zA-Z@.]", "_"), ("[0-9]", "0"), ("[a-z]", "a"), ("[A-Z]", "A")):
+        kinds = F.regexp_replace(kinds, pattern, c)
+    # at most ``corpus_dictionary(words)`` words
+    known = ", ".join(f"'{w}'" for w in dictionary) or "''"
+    covered = F.expr(f"aggregate(filter(regexp_extract_all(lower(value), '([a-z]{{3,}})', 1), w -> w IN ({known})), 0, (s, w) -> s + length(w))")
+    split = lambda c: F.filter(F.split(F.lower(c), "[^a-z]+"), lambda w: w != "")
+    marked = lambda words, mark: F.transform(words, lambda w: F.concat(F.lit(mark), w))
+    left, right = split("before"), split("after")
+    words = F.concat(
+        marked(F.slice(F.reverse(left), F.lit(1), F.lit(NEIGHBOURS)), "<"), marked(F.slice(right, F.lit(1), F.lit(NEIGHBOURS)), ">"), marked(split("path"), "/")
+    )
+    out = found.withColumns({"kinds": kinds, "words": words, "length": F.greatest(F.length("value"), F.lit(1)).cast("double")})
+    q = lambda c: f"[{c}]"
+    share = lambda pattern: (F.regexp_count("kinds", F.lit(pattern)) / F.col("length")).cast("double")
+    out = out.withColumns({
+        "covered": (covered / F.col("length")).cast("double"), **{f"share_{k}": share(q(c)) for k, c in enumerate(_CLASSES)},
+        **{f"from_{i}_to_{k}": share(f"{q(a)}(?={q(b)})") for i, a in enumerate(_CLASSES) for k, b in enumerate(_CLASSES)},
     })
+    hashed = HashingTF(numFeatures=BUCKETS, binary=True, inputCol="words", outputCol="near").transform(out)
+    return VectorAssembler(inputCols=[*NUMBERS, "near"], outputCol="features").transform(hashed)
 
 
 def _rule() -> tuple[Column, Column, Column]:
@@ -116,53 +141,50 @@ class SecretModel:
         if self.forest is None:
             no, yes, assigned = _rule()
             return found.withColumn("score", F.when(no, 0.0).when(yes | assigned, 1.0).otherwise(0.0)).withColumn("secret", F.col("score") >= threshold)
-        vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(with_features(found, self.dictionary))
-        out = self.forest.transform(vectors).select(*found.columns, F.round(vector_to_array("probability")[1], 6).alias("score"))
+        out = self.forest.transform(with_features(found, self.dictionary)).select(*found.columns, F.round(vector_to_array("probability")[1], 6).alias("score"))
         return out.withColumn("secret", F.col("score") >= threshold)
 
 
-def fit_secrets(labelled: DataFrame, max_findings: int = 4000, dictionary_words: int = 500, trees: int = 20, depth: int = 6, seed: int = 7) -> SecretModel:
-    """Train on labelled findings (columns of ``candidates`` and ``label`` 0.0 or 1.0).
+def fit_secrets(labelled: DataFrame, dictionary: list[str] = (), max_findings: int = 4000, trees: int = 30, depth: int = 8, seed: int = 7) -> SecretModel:
+    """Train on labelled findings (columns of ``candidates`` and ``label`` 0.0 or 1.0), with the words of ``dictionary``.
 
-    At most ``max_findings`` of each class are used, in hash order. The dictionary is the ``dictionary_words`` most
-    frequent words of their neighbourhoods.
+    At most ``max_findings`` of each class are used, in hash order.
     """
     order = [F.xxhash64("value", "before", "after"), F.col("value"), F.col("before"), F.col("after"), F.col("path"), F.col("id")]
     part = [labelled.where(F.col("label") == y).orderBy(*order).limit(max_findings) for y in (0.0, 1.0)]
     sample = materialise(part[0].unionByName(part[1]))
-    near = F.filter(F.split(F.lower(F.concat_ws(" ", "before", "after")), "[^a-z]+"), lambda w: F.length(w) >= 3)
-    words = sample.select(F.explode(near).alias("w")).groupBy("w").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").limit(dictionary_words)
-    dictionary = sorted(r.w for r in words.collect())
     if sample.select("label").distinct().count() < 2:
-        return SecretModel(None, dictionary)
-    data = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(with_features(sample, dictionary))
+        return SecretModel(None, list(dictionary))
+    data = materialise(with_features(sample, list(dictionary)).select("features", "label"))
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt", subsamplingRate=0.8)
-    return SecretModel(forest.fit(data.select("features", "label")), dictionary)
+    return SecretModel(forest.fit(data), list(dictionary))
 
 
 def scan_secrets(docs: DataFrame, model: SecretModel | None = None, labelled: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
-    """Rows ``(id_col, position, value, score, secret)`` for every candidate of every row of ``docs``.
+    """Rows ``(id_col, position, value, score, secret, candidate, text_hash)`` for every candidate of every row of ``docs``.
 
     Without a ``model`` one is trained from ``labelled`` findings, without those from the candidates that
     ``labelled_by_rule`` can label. Null and empty texts have no candidates, repeated rows repeat theirs, null ids are
-    kept, other columns are not read. Without labels of both classes the rule decides: certain and
-    announced, assigned values are secrets, all others are not.
+    kept, other columns are not read; a very long text is cut in one pass. Without labels of both classes the rule
+    decides: certain and announced, assigned values are secrets, all others are not. Empty tables give no rows.
     """
     found = materialise(candidates(docs, id_col, text_col, path_col))
     if model is None:
-        model = fit_secrets(labelled if labelled is not None else labelled_by_rule(found))
-    return model.score(found).select(F.col("id").alias(id_col), "position", "value", "score", "secret")
+        model = fit_secrets(labelled if labelled is not None else labelled_by_rule(found), corpus_dictionary(docs, text_col))
+    return model.score(found).select(F.col("id").alias(id_col), "position", "value", "score", "secret", "candidate", "text_hash")
 
 
-def redact(docs: DataFrame, findings: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask: str = "[REDACTED]", broadcast_rows: int = 500_000) -> DataFrame:
-    """``docs`` with the secrets of ``findings`` replaced by ``mask`` in the text; all rows and columns stay.
+def redact(docs: DataFrame, findings: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask: str = "[REDACTED]", broadcast_rows: int = 200_000) -> DataFrame:
+    """``docs`` with the secrets of ``findings`` (of ``scan_secrets``) replaced by ``mask``; all rows and columns stay.
 
-    Secrets are joined by id: broadcast if there are at most ``broadcast_rows`` documents with one, else by a shuffle.
+    A finding belongs to the rows of its id and text, so rows that share an id keep their own secrets. Decisions are
+    joined by a broadcast if at most ``broadcast_rows`` candidates stand in texts with a secret, else by a shuffle.
     """
-    of = findings.where("secret").groupBy(F.col(id_col).alias("__id")).agg(F.collect_set("value").alias("__values"))
-    of = materialise(of)
-    small = of.count() <= broadcast_rows
-    rows = docs.join(F.broadcast(of) if small else of, docs[id_col].eqNullSafe(of["__id"]), "left")
-    parts = F.transform(_parts(F.col(text_col)), lambda p, i: F.when((i % 2 == 1) & F.array_contains("__values", p), F.lit(mask)).otherwise(p))
-    text = F.when(F.col("__values").isNotNull(), F.array_join(parts, "")).otherwise(F.col(text_col))
-    return rows.withColumn(text_col, text).drop("__id", "__values")
+    by = findings.groupBy(F.col(id_col).alias("__id"), F.col("text_hash").alias("__hash"))
+    of = by.agg(F.array_sort(F.collect_set(F.struct("candidate", "secret"))).alias("__found"), F.max("secret").alias("__any")).where("__any")
+    of = materialise(of.select("__id", "__hash", F.transform("__found", lambda x: x["secret"]).alias("__secret")))
+    small = (of.agg(F.sum(F.size("__secret"))).first()[0] or 0) <= broadcast_rows
+    rows = docs.join(F.broadcast(of) if small else of, docs[id_col].eqNullSafe(of["__id"]) & (F.xxhash64(docs[text_col]) == of["__hash"]), "left")
+    parts = F.transform(_parts(F.col(text_col)), lambda p, i: F.when((i % 2 == 1) & F.get("__secret", F.floor(i / 2).cast("int")), F.lit(mask)).otherwise(p))
+    text = F.when(F.col("__secret").isNotNull(), F.array_join(parts, "")).otherwise(F.col(text_col))
+    return rows.withColumn(text_col, text).select(*docs.columns)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterlink.llm.calibrate import fit_logistic
-from rosterlink.llm.common import materialise
+from rosterlink.llm.common import materialise, text_batches
 
 # Letters of other scripts that look like Latin ones, and what digits and signs inside words stand for.
 LOOK_ALIKE = {
@@ -133,9 +133,10 @@ def fit_lexicon(sample: DataFrame, exceptions: list[str] | None = None, max_entr
     Entries are whole words and word beginnings of 4 to 12 letters in at least ``support`` toxic texts whose weight, the
     smoothed log odds, is 2 or more; the ``max_entries`` with the largest z-score stay. A word that is as common in
     clean texts as in toxic ones becomes an exception phrase where an entry begins it. ``exceptions`` adds phrases of
-    the caller.
+    the caller. Every exception that an entry needs is kept: they are words of the sample, of at least ten of its rows.
     """
     spark = sample.sparkSession
+    text_batches(spark)
     words = materialise(sample.select("row", "label", "text").mapInArrow(_words, "row long, label int, word string"))
     size = {y: n for y, n in sample.groupBy("label").count().collect()}
     pos, neg = size.get(1, 0), size.get(0, 0)
@@ -162,7 +163,7 @@ def fit_lexicon(sample: DataFrame, exceptions: list[str] | None = None, max_entr
     if starts:
         starts = spark.createDataFrame(starts, "e string")  # max_entries rows at most
         padded = common.where("length(word) >= 4").select("word", head.alias("e"))
-        safe |= {f" {r.word} " for r in padded.join(F.broadcast(starts), "e", "left_semi").select("word").distinct().orderBy("word").limit(max_entries).collect()}
+        safe |= {f" {r.word} " for r in padded.join(F.broadcast(starts), "e", "left_semi").select("word").distinct().collect()}
     lexicon = Lexicon(kept, sorted(safe))
     shared = spark.sparkContext.broadcast(lexicon)
     got = sample.select("label", "text").mapInArrow(_features(shared), "label int, x double, n long").collect()
@@ -175,10 +176,11 @@ def fit_lexicon(sample: DataFrame, exceptions: list[str] | None = None, max_entr
 def score_toxicity(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7) -> DataFrame:
     """Rows ``(id_col, toxic_weight, n_words, score, predicted)`` for every row of ``docs``.
 
-    Whole texts are matched. A null, empty or wordless text has weight 0 and the calibration's score of no match; so
+    Whole texts are matched; a worker holds one text and its folded form at a time. A null, empty or wordless text has weight 0 and the calibration's score of no match; so
     has any text where the lexicon is empty. Repeated rows give repeated results; null ids stay; other columns are not
     read.
     """
+    text_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
     kind = docs.schema[id_col].dataType.simpleString()
     x = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_features(shared), f"id {kind}, x double, n long")
@@ -192,7 +194,11 @@ def _score(lexicon: Lexicon) -> Column:
 
 
 def without_toxic(docs: DataFrame, lexicon: Lexicon, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
-    """The rows of ``docs``, all columns, whose score is below ``threshold``; no join, so no text moves."""
+    """The rows of ``docs``, all columns, whose score is below ``threshold``; no join, so no text moves.
+
+    Rows with null, empty or wordless texts stay, as do repeated rows and rows without an id; no column's name matters.
+    """
+    text_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
     names = [f"c{i}" for i in range(len(docs.columns))]
     at = docs.columns.index(text_col)

@@ -22,6 +22,9 @@ PATTERNS = (
     rf"(?is)<meta\b[^>]*\bhttp-equiv{_VALUE}refresh\b[^>]*\bcontent{_VALUE}[^\"'>]*?url\s*=\s*([^\"'\s>]+)",
     rf"(?is)<meta\b[^>]*\bcontent{_VALUE}[^\"'>]*?url\s*=\s*([^\"'\s>]+)[^>]*\bhttp-equiv{_VALUE}refresh\b",
 )
+#: What a page doesn't show, and how an address spells '&'.
+HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<template\b.*?</template\s*>"
+AMPERSANDS = ("&amp;", "&#38;", "&#x26;")
 
 
 def url_host(url: Column) -> Column:
@@ -54,12 +57,18 @@ def fitting_rule(host: Column, path: Column, rules: list[tuple[str, str, str]])
 
 
 def declared_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Edges ``(src, dst)`` between urls that pages declare: canonical links and refresh redirects, also relative ones."""
+    """Edges ``(src, dst)`` between urls that pages declare: canonical links and refresh redirects, also relative ones.
+
+    Comments, scripts, styles and templates declare nothing; '&' in an address may be spelled as an entity.
+    """
     html, url = F.coalesce(html_col, F.lit("")), F.col(url_col)
+    shown = F.regexp_replace(html, HIDDEN, " ")
     none = F.array().cast("array<string>")
-    all_of = F.concat(*(F.regexp_extract_all(html, F.lit(p), F.lit(1)) for p in PATTERNS))
+    all_of = F.concat(*(F.regexp_extract_all(shown, F.lit(p), F.lit(1)) for p in PATTERNS))
     found = F.when(html.rlike("(?i)canonical|http-equiv"), F.array_distinct(all_of)).otherwise(none)
     to = pages.select(url.alias("src"), F.explode(found).alias("to")).where("to <> ''")
+    for a in AMPERSANDS:
+        to = to.withColumn("to", F.replace("to", F.lit(a), F.lit("&")))
     root = F.regexp_extract("src", r"(?s)^(.*?://[^/?#]*)", 1)
     folder = F.regexp_extract("src", r"(?s)^(.*?://[^?#]*/)[^/]*$", 1)
     scheme = F.regexp_extract("src", r"(?s)^(.*?:)//", 1)
@@ -76,7 +85,8 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], redirects: D
     ``redirects`` (src, dst) adds edges to those that the pages declare. A page with a rule has that rule's verdict. One
     without has ``block`` if its component holds a page with a block rule, else ``default``. Urls without ``://`` and
     null urls have an empty host and path, no rule and no aliases. Repeated rows give repeated results; an empty table
-    gives none; other columns are not read.
+    gives none; other columns are not read. A very long page is searched whole; only its few addresses move. A component
+    of any size is one row a url, in the rounds of ``connected_components``.
     """
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"))
     rows = rows.select("id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"), url_node(F.col("url")).alias("node"))
