@@ -115,16 +115,29 @@ def _features(lexicon, keep_text: bool = False):
     return run
 
 
-def _words(batches):
-    """The distinct folded words of each labelled text."""
-    for batch in batches:
-        row, label, word = [], [], []
-        for r, y, t in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            ws = set(fold(t or "").split())
-            row += [r] * len(ws)
-            label += [y] * len(ws)
-            word += ws
-        yield pa.RecordBatch.from_arrays([pa.array(row, pa.int64()), pa.array(label, pa.int32()), pa.array(word, pa.string())], ["row", "label", "word"])
+_COUNTS = "e string, a long, b long"
+
+
+def _counted(pieces):
+    """For each piece of the folded texts, in how many toxic (a) and clean (b) texts of the task it is."""
+
+    def run(batches):
+        counts: dict[str, list[int]] = {}
+        for batch in batches:
+            for y, t in zip(batch.column(0).to_pylist(), batch.column(1)):
+                for piece in pieces(set(fold(t.as_py() or "").split())):
+                    counts.setdefault(piece, [0, 0])[1 - y] += 1
+        names, pairs = list(counts), list(counts.values())
+        for k in range(0, len(names), 50_000):
+            part = pairs[k : k + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array(names[k : k + 50_000], pa.string()), pa.array([x[0] for x in part], pa.int64()), pa.array([x[1] for x in part], pa.int64())], ["e", "a", "b"])
+
+    return run
+
+
+def _beginnings(words) -> set[str]:
+    """Beginnings of 4 to 12 letters, with a space before."""
+    return {f" {w[:k]}" for w in words for k in range(4, min(len(w), 12) + 1)}
 
 
 def fit_lexicon(sample: DataFrame, exceptions: list[str] | None = None, max_entries: int = 2000, support: int = 4) -> Lexicon:
@@ -137,20 +150,21 @@ def fit_lexicon(sample: DataFrame, exceptions: list[str] | None = None, max_entr
     """
     spark = sample.sparkSession
     text_batches(spark)
-    words = materialise(sample.select("row", "label", "text").mapInArrow(_words, "row long, label int, word string"))
     size = {y: n for y, n in sample.groupBy("label").count().collect()}
     pos, neg = size.get(1, 0), size.get(0, 0)
     weight = F.log((F.col("a") + 0.5) / (pos + 1.0)) - F.log((F.col("b") + 0.5) / (neg + 1.0))
     z = weight / F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
-    counts = words.groupBy("word").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
-    common = materialise(counts.where((F.col("a") + F.col("b") >= 10) & (weight < 1.5)).select("word"))
-    rare = words.join(common, "word", "left_anti")
-    head = F.explode(F.transform(F.sequence(F.lit(4), F.greatest(F.lit(4), F.least(F.length("word"), F.lit(12)))), lambda k: F.concat(F.lit(" "), F.substring("word", F.lit(1), k))))
-    begins = rare.where("label = 1 and length(word) >= 4").select("row", head.alias("e")).distinct().groupBy("e").agg(F.count("*").alias("a")).where(F.col("a") >= support)
-    begins = materialise(begins)
-    against = rare.where("label = 0 and length(word) >= 4").select("row", head.alias("e")).join(begins, "e", "left_semi").distinct().groupBy("e").agg(F.count("*").alias("b"))
-    begins = begins.join(against, "e", "left").select("e", "a", F.coalesce("b", F.lit(0)).alias("b"))
-    whole = counts.select(F.concat(F.lit(" "), "word", F.lit(" ")).alias("e"), "a", "b")
+
+    def counted(pieces) -> DataFrame:
+        rows = sample.select("label", "text").mapInArrow(_counted(pieces), _COUNTS)
+        return rows.groupBy("e").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+
+    counts = materialise(counted(lambda words: words))
+    # words of at least ten rows of the sample that say little: no beginning is learned from them
+    common = [r.e for r in counts.where((F.col("a") + F.col("b") >= 10) & (weight < 1.5)).select("e").collect()]
+    plain = spark.sparkContext.broadcast(frozenset(common))
+    begins = counted(lambda words: _beginnings(words - plain.value)).where(F.col("a") >= support)
+    whole = counts.select(F.concat(F.lit(" "), "e", F.lit(" ")).alias("e"), "a", "b")
     entries = begins.unionByName(whole).withColumn("w", weight).withColumn("z", z)
     entries = entries.where((F.col("a") >= support) & (F.col("w") >= 2.0)).orderBy(F.desc("z"), "e").limit(max_entries).collect()
     kept: dict[str, float] = {}
@@ -159,11 +173,8 @@ def fit_lexicon(sample: DataFrame, exceptions: list[str] | None = None, max_entr
         if not shorter or r.w > max(shorter) + 0.5:
             kept[r.e] = float(r.w)
     safe = set(map(fold, exceptions or ()))
-    starts = [(e,) for e in kept if not e.endswith(" ")]
-    if starts:
-        starts = spark.createDataFrame(starts, "e string")  # max_entries rows at most
-        padded = common.where("length(word) >= 4").select("word", head.alias("e"))
-        safe |= {f" {r.word} " for r in padded.join(F.broadcast(starts), "e", "left_semi").select("word").distinct().collect()}
+    starts = {e for e in kept if not e.endswith(" ")}
+    safe |= {f" {w} " for w in common if not starts.isdisjoint(_beginnings([w]))}
     lexicon = Lexicon(kept, sorted(safe))
     shared = spark.sparkContext.broadcast(lexicon)
     got = sample.select("label", "text").mapInArrow(_features(shared), "label int, x double, n long").collect()
@@ -176,9 +187,9 @@ def fit_lexicon(sample: DataFrame, exceptions: list[str] | None = None, max_entr
 def score_toxicity(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7) -> DataFrame:
     """Rows ``(id_col, toxic_weight, n_words, score, predicted)`` for every row of ``docs``.
 
-    Whole texts are matched; a worker holds one text and its folded form at a time. A null, empty or wordless text has weight 0 and the calibration's score of no match; so
-    has any text where the lexicon is empty. Repeated rows give repeated results; null ids stay; other columns are not
-    read.
+    Whole texts are matched; a worker holds one text and its folded form at a time. A null, empty or wordless text has
+    weight 0 and the calibration's score of no match; so has any text where the lexicon is empty. Repeated rows give
+    repeated results; null ids stay; other columns are not read.
     """
     text_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
