@@ -1,6 +1,10 @@
 import glob
 import hashlib
 import json
+import os
+import pathlib
+import subprocess
+import sys
 import uuid
 
 import pytest
@@ -183,12 +187,8 @@ def test_latest_pages_and_nodes(spark):
 
 
 def test_shared_folder(spark):
-    class Conf(dict):
-        def set(self, k, v):
-            self[k] = v
-
     class Session:
-        conf = Conf({"spark.master": "spark://host:7077"})
+        conf = {"spark.master": "spark://host:7077"}
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         written.shared_dir(Session)
@@ -199,6 +199,35 @@ def test_shared_folder(spark):
     assert not glob.glob(f"{df._written_to.removeprefix('file:')}/*")
 
 
+UNSET = """
+import glob, os
+from pyspark.sql import SparkSession
+from rosterlink.queries import all_queries
+from rosterlink.sources import written
+
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+spark.sparkContext.setLogLevel("OFF")
+assert not spark.conf.get("spark.checkpoint.dir", None)
+top = written.shared_dir(spark)
+with written.job(spark) as folder:
+    inner, kept = written.materialise(spark.range(3)), written.materialise(spark.range(4), keep=True)
+    assert inner.count() == 3 and os.path.dirname(inner._written_to) == folder
+assert not os.path.exists(folder) and kept.count() == 4
+assert all_queries()[0]["party_counts"](spark, "/root/testdata/sf0.001").count() > 0
+assert written.shared_dir(spark) == top and not spark.conf.get("spark.checkpoint.dir", None)
+print("done")
+"""
+
+
+def test_a_session_without_a_shared_folder(tmp_path):
+    """A real session of one process that names no folder: it gets one, and no setting changes."""
+    (tmp_path / "conf").mkdir()
+    root = pathlib.Path(__file__).resolve().parent.parent
+    env = os.environ | {"PYTHONPATH": str(root), "SPARK_CONF_DIR": str(tmp_path / "conf")}
+    done = subprocess.run([sys.executable, "-c", UNSET], env=env, capture_output=True, text=True, timeout=300)
+    assert done.stdout.strip().endswith("done"), done.stderr[-2000:]
+
+
 def test_markdown(spark):
     ref = (1, "table_row", 0, 4, "data", "Liste", ("Ada_B", 'A "B"'))
     docs = [("e1", ref, "membership_row"), ("e2", None, None)]
