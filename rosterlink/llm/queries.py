@@ -11,6 +11,7 @@ from rosterlink.llm.common import held_out, labelled_sample, table
 from rosterlink.llm.decontamination import MASKS, contaminated
 from rosterlink.llm.fingerprint import fingerprints_with_edits
 from rosterlink.llm.license_scan import COPYRIGHT_LINE, KNOWN, SPELLINGS, license_hits
+from rosterlink.llm.merkle import FAN, LEAF, LOWER, UPPER, fold, lower_case_tampered, merkle_manifest
 from rosterlink.llm.ngram_join import ngram_jaccard_components
 from rosterlink.llm.packing import pack, token_pieces
 from rosterlink.llm.preferences import BEGIN, BREAK, END, other_answer_preferences
@@ -206,3 +207,41 @@ SELECT doc_id, item_id, CAST(max(matched) AS INTEGER) AS matched, CAST(any_value
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate with the forest's score; whether it is a secret."""
     return scan_secrets(table(spark, sf_dir, "documents")).select("doc_id", "position", "value", "score", "secret")
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf and proof; every fifth (by a hash of its id) is tampered with before its proof is folded."""
+    rows = merkle_manifest(table(spark, sf_dir, "documents"), changed={"text": lower_case_tampered()})
+    siblings = F.array_join(F.transform("path", lambda s: F.concat(s["left"], s["right"])), "")
+    rows = rows.withColumns({"proof_sha256": F.sha2(siblings, 256), "folded_root": fold(F.col("candidate"), F.col("path"))})
+    return rows.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def _framed_sql(values: tuple[str, ...]) -> str:
+    return " || ".join(f"coalesce(strlen(CAST({v} AS VARCHAR)) || ':' || CAST({v} AS VARCHAR), '-')" for v in values)
+
+
+# the checksum goes bit by bit: an entry of the list is a byte to mix in, or -1 for one step
+_CRC32_SQL = "xor(list_reduce(flatten([[ascii(c), -1, -1, -1, -1, -1, -1, -1, -1] FOR c IN string_split(CAST(doc_id AS VARCHAR), '')]), lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END, CAST(4294967295 AS BIGINT)), 4294967295)"
+_TAMPERED = tuple(f"translate(text, '{UPPER}', '{LOWER}')" if c == "text" else c for c in LEAF)
+ORACLE["op11_merkle_manifest"] = f"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT doc_id, source, sha256({_framed_sql(LEAF)}) AS leaf, CASE WHEN {_CRC32_SQL} % 5 = 0 THEN sha256({_framed_sql(_TAMPERED)}) ELSE sha256({_framed_sql(LEAF)}) END AS candidate FROM documents),
+p AS MATERIALIZED (SELECT *, row_number() OVER () AS id, dense_rank() OVER (ORDER BY source NULLS FIRST) AS g,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n FROM d),
+up AS (SELECT 0 AS level, g, pos, n, leaf AS h FROM p
+  UNION ALL SELECT level + 1, g, pos // {FAN}, CAST(ceil(n / {FAN}) AS BIGINT), sha256(string_agg(h, '' ORDER BY pos)) FROM up WHERE n > 1 GROUP BY level, g, pos // {FAN}, n),
+tops AS MATERIALIZED (SELECT g, h AS subroot, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1),
+over AS (SELECT 0 AS level, pos, n, subroot AS h FROM tops
+  UNION ALL SELECT level + 1, pos // {FAN}, CAST(ceil(n / {FAN}) AS BIGINT), sha256(string_agg(h, '' ORDER BY pos)) FROM over WHERE n > 1 GROUP BY level, pos // {FAN}, n),
+low AS MATERIALIZED (SELECT id, level, coalesce(string_agg(h, '' ORDER BY up.pos) FILTER (up.pos < p.pos // CAST({FAN} ** level AS BIGINT)), '') AS l, coalesce(string_agg(h, '' ORDER BY up.pos) FILTER (up.pos > p.pos // CAST({FAN} ** level AS BIGINT)), '') AS r
+  FROM p JOIN up ON up.g = p.g AND up.n > 1 AND up.pos // {FAN} = p.pos // CAST({FAN} ** (level + 1) AS BIGINT) GROUP BY id, level),
+high AS MATERIALIZED (SELECT g, 1000 + level AS level, coalesce(string_agg(h, '' ORDER BY over.pos) FILTER (over.pos < tops.pos // CAST({FAN} ** level AS BIGINT)), '') AS l, coalesce(string_agg(h, '' ORDER BY over.pos) FILTER (over.pos > tops.pos // CAST({FAN} ** level AS BIGINT)), '') AS r
+  FROM tops JOIN over ON over.n > 1 AND over.pos // {FAN} = tops.pos // CAST({FAN} ** (level + 1) AS BIGINT) GROUP BY g, level),
+steps AS MATERIALIZED (SELECT id, row_number() OVER (PARTITION BY id ORDER BY level) AS k, l, r FROM (SELECT * FROM low UNION ALL SELECT id, level, l, r FROM p JOIN high USING (g))),
+folded AS (SELECT id, 0 AS k, candidate AS h FROM p UNION ALL SELECT id, steps.k, sha256(l || h || r) FROM folded JOIN steps USING (id) WHERE steps.k = folded.k + 1),
+proof AS (SELECT id, string_agg(l || r, '' ORDER BY k) AS s FROM steps GROUP BY id)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(s, '')) AS proof_sha256, h AS folded_root, h = root AS verified
+FROM p JOIN tops USING (g) LEFT JOIN proof USING (id) JOIN (SELECT id, arg_max(h, k) AS h FROM folded GROUP BY id) USING (id), (SELECT h AS root FROM over WHERE n = 1)
+"""
