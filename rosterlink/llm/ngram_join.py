@@ -11,11 +11,8 @@ when ``100 * |intersection| >= threshold * |union|``. The steps:
    node alone are dropped.
 4. Candidates that pass the length, positional and suffix filters are verified once with their whole sets.
 
-Large groups of near copies do not give all their pairs: in each *star round* every prefix n-gram offers only the
-pairs with one leader, linked nodes become one component, and n-grams whose nodes are all in one component are done.
-When the pairs left between different components are few, or no longer shrink, all of them are verified: in blocks by
-their smaller node, each of about twice as many pairs as there are prefix n-grams, so that n-grams of many texts that
-never link take time but no space. So the components are those of all links, and nothing is capped, sampled or dropped.
+Large groups of near copies do not give all their pairs: ``star_links`` looks for links by rounds of leaders and then
+by one round over all pairs that are left.
 """
 
 from __future__ import annotations
@@ -23,26 +20,18 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterlink.llm.common import discard, materialise, text_batches, text_chunks
-from rosterlink.llm.components import connected_components
 from rosterlink.llm.shingles import ngram_sets, word_hashes
+from rosterlink.llm.star_links import WholeSets, component_rows, node_of, signature, star_links
 
 #: Counters of the n-gram sketch and of one stored slice of it; bins of the suffix histogram.
 SKETCH, SLICE, BINS = 1 << 21, 1 << 14, 64
 #: N-grams that a task gathers before it counts them: 8 bytes each, a few times over.
 FLUSH = 1 << 18
-#: Candidate sets are looked up by a broadcast of node ids up to this many (8 bytes each), else by a shuffle.
-BROADCAST_IDS = 1_000_000
-
-
-def _node(words: np.ndarray) -> tuple[int, int]:
-    h = xxhash.xxh3_128_intdigest(words.tobytes())
-    return (h & (2**64 - 1)) - 2**63, (h >> 64) - 2**63
 
 
 def _profile(size: int, seed: int):
@@ -59,13 +48,14 @@ def _profile(size: int, seed: int):
             ids = batch.column(0)
             for row, data, offsets in text_chunks(batch, "text"):
                 words, first = word_hashes(data, offsets, seed)
-                node, check, sizes, bins = [], [], [], []
+                node, check, sizes, bins, sigs = [], [], [], [], []
                 for i, s in enumerate(ngram_sets(words, first, size)):
-                    a, b = _node(words[first[i] : first[i + 1]])
+                    a, b = node_of(words[first[i] : first[i + 1]])
                     node.append(a if len(s) else None)
                     check.append(b if len(s) else None)
                     sizes.append(len(s))
                     bins.append(np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=BINS).tolist() if len(s) else None)
+                    sigs.append(signature(s) if len(s) else None)
                     waiting.append(s)
                     held += len(s)
                 if held > FLUSH:
@@ -75,8 +65,8 @@ def _profile(size: int, seed: int):
                 k = len(node)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(row, k), pa.array(node, pa.int64()), pa.array(check, pa.int64()), pa.array(sizes, pa.int32()),
-                     pa.array(bins, pa.list_(pa.int32())), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())],
-                    ["doc_id", "node", "chk", "n", "bins", "slot", "counts"])
+                     pa.array(bins, pa.list_(pa.int32())), pa.array(sigs, pa.list_(pa.int64())), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())],
+                    ["doc_id", "node", "chk", "n", "bins", "sig", "slot", "counts"])
         if waiting:
             count()
         if sketch.any():
@@ -85,9 +75,9 @@ def _profile(size: int, seed: int):
             counts = [pack(sketch[k * SLICE : (k + 1) * SLICE].astype(np.int64).tobytes()) for k in slots]
             k = len(counts)
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(k, ids.type), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.list_(pa.int32())),
+                [pa.nulls(k, ids.type), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.list_(pa.int32())), pa.nulls(k, pa.list_(pa.int64())),
                  pa.array(slots, pa.int32()), pa.array(counts, pa.binary())],
-                ["doc_id", "node", "chk", "n", "bins", "slot", "counts"])
+                ["doc_id", "node", "chk", "n", "bins", "sig", "slot", "counts"])
 
     return run
 
@@ -123,7 +113,7 @@ def _prefixes(size: int, threshold: int, seed: int, levels):
                         p = k - -(-threshold * k // 100) + 1
                         rare = np.argsort(level[s & np.uint64(SKETCH - 1)], kind="stable")[:p]
                         token.append(s[rare].view(np.int64))
-                        node.append(np.full(p, _node(words[first[i] : first[i + 1]])[0]))
+                        node.append(np.full(p, node_of(words[first[i] : first[i + 1]])[0]))
                         pos.append(np.arange(p, dtype=np.int32))
                         n.append(np.full(p, k, np.int32))
                 if token:
@@ -132,75 +122,16 @@ def _prefixes(size: int, threshold: int, seed: int, levels):
     return run
 
 
-def _sets(size: int, seed: int):
-    """The whole set of each text, by node."""
-
-    def run(batches):
-        for batch in batches:
-            for _, data, offsets in text_chunks(batch, "text"):
-                words, first = word_hashes(data, offsets, seed)
-                sets = [(_node(words[first[i] : first[i + 1]])[0], s) for i, s in enumerate(ngram_sets(words, first, size)) if len(s)]
-                if sets:
-                    ends = np.cumsum([0] + [len(s) for _, s in sets]).astype(np.int32)
-                    arrays = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([s.view(np.int64) for _, s in sets])))
-                    yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in sets], pa.int64()), arrays], ["node", "tokens"])
-
-    return run
-
-
-def _possible(threshold: int) -> Column:
-    """Length and positional filter for a shared prefix n-gram at positions i and j of sets of sizes ni and nj."""
-    most = F.least(F.col("ni") - F.col("i"), F.col("nj") - F.col("j"))
-    return (
-        (F.least("ni", "nj") * 100 >= F.greatest("ni", "nj") * threshold)
-        & (most * (100 + threshold) >= (F.col("ni") + F.col("nj")) * threshold)
-    )
-
-
-class _Sets:
-    """The whole sets of nodes, worked out when a pair that passed all filters first needs them."""
-
-    def __init__(self, docs: DataFrame, nodes: DataFrame, size: int, seed: int):
-        self.docs, self.nodes, self.run, self.have = docs.where("text is not null"), nodes, _sets(size, seed), None
-
-    def of(self, need: DataFrame) -> DataFrame:
-        if self.have is not None:
-            need = need.join(self.have.select("node"), "node", "left_anti")
-        need = materialise(need.join(self.nodes.select("node", "doc_id"), "node"))
-        source, n = self.docs, need.count()
-        if n and need.where("doc_id is null").isEmpty():
-            ids = need.select("doc_id")
-            source = source.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, "doc_id", "left_semi")
-        if n:
-            got = source.select("text").mapInArrow(self.run, "node long, tokens array<long>").join(need.select("node"), "node", "left_semi")
-            got = materialise(got.dropDuplicates(["node"]))
-            self.have = got if self.have is None else self.have.unionByName(got)
-        return self.have
-
-
-def _verify(pairs: DataFrame, nodes: DataFrame, sets: _Sets, threshold: int) -> DataFrame | None:
+def _verify(pairs: DataFrame, nodes: DataFrame, sets: WholeSets, threshold: int) -> DataFrame | None:
     """Of distinct pairs (a, b) those that link: the suffix filter on histograms, then the whole sets, once a pair."""
     h = nodes.select("node", "n", "bins")
-    need = (F.col("na") + F.col("nb")) * threshold
-    near = materialise(
+    near = (
         pairs.join(h.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bins").alias("ba")), "a")
         .join(h.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bins").alias("bb")), "b")
-        .where(F.aggregate(F.zip_with("ba", "bb", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x) * (100 + threshold) >= need)
+        .where(F.aggregate(F.zip_with("ba", "bb", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x) * (100 + threshold) >= (F.col("na") + F.col("nb")) * threshold)
         .select("a", "b", "na", "nb")
     )
-    if near.isEmpty():
-        discard(near)
-        return None
-    whole = sets.of(near.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-    common = F.size(F.array_intersect("ta", "tb"))
-    found = materialise(
-        near.join(whole.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a")
-        .join(whole.select(F.col("node").alias("b"), F.col("tokens").alias("tb")), "b")
-        .where(common * (100 + threshold) >= need)
-        .select("a", "b")
-    )
-    discard(near)
-    return found
+    return sets.linked(materialise(near), threshold)
 
 
 def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, threshold: int = 80) -> DataFrame:
@@ -219,11 +150,11 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     kind = docs.schema["doc_id"].dataType.simpleString()
     while True:
         out = materialise(
-            docs.mapInArrow(_profile(size, seed), f"doc_id {kind}, node long, chk long, n int, bins array<int>, slot int, counts binary")
+            docs.mapInArrow(_profile(size, seed), f"doc_id {kind}, node long, chk long, n int, bins array<int>, sig array<long>, slot int, counts binary")
             .withColumn("lane", F.spark_partition_id() % 64)
         )
         rows = out.where("slot is null")
-        nodes = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("chk").alias("c"), F.max("chk").alias("d"), F.first("n").alias("n"), F.first("bins").alias("bins"))
+        nodes = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("chk").alias("c"), F.max("chk").alias("d"), F.first("n").alias("n"), F.first("bins").alias("bins"), F.first("sig").alias("sig"))
         nodes = materialise(nodes)
         if nodes.where("c <> d").isEmpty():  # no two word sequences share a node
             break
@@ -236,65 +167,6 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     every, posted = posted, materialise(posted.join(shared, "token").distinct())
     discard(every)
 
-    links = _links(posted, nodes, _Sets(docs, nodes, size, seed), threshold)
-    comp = connected_components(links, "a", "b") if links is not None else spark.createDataFrame([], "node long, component long")
-    best = (
-        nodes.select("node", "doc_id").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    )
-    least = best.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    of_node = best.join(least, "component").select("node", "component_id")
-    return rows.join(of_node, "node", "left").select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
-
-
-def _links(posted: DataFrame, nodes: DataFrame, sets: _Sets, threshold: int) -> DataFrame | None:
-    """Links that connect all components: star rounds, then every pair left between different components."""
-    total = posted.count()
-    links, open_, last, turn = None, posted.withColumn("c", F.col("node")), None, 0
-    # the sizes a partner may have, from the row's own size and position and from the sizes that share its n-gram
-    low = F.greatest(F.col("n") * threshold / 100, F.col("least"))
-    high = F.least(F.col("n") * 100 / threshold, (F.col("n") - F.col("pos")) * (100 + threshold) / threshold - F.col("n"), F.col("most"))
-    while total:
-        # rows of each n-gram outside its largest component, times all its rows: the pairs that are left to look at
-        sizes = open_.groupBy("token").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-        some = open_.join(sizes, "token").where(low <= high + 1e-6).drop("least", "most")
-        by = some.groupBy("token", "c").agg(F.count("*").alias("k")).groupBy("token").agg(F.sum("k").alias("k"), F.max("k").alias("m"), F.max_by("c", "k").alias("main"))
-        before, open_ = open_, materialise(some.join(by.where("k > m"), "token"))
-        discard(before)
-        left = open_.agg(F.sum(F.when(F.col("c") != F.col("main"), F.col("k")))).first()[0] or 0
-        if not left:
-            break
-        full = last is not None and (left <= 2 * total or left > 0.9 * last)
-        last, turn = left, turn + 1
-        one = open_.select("token", F.col("node").alias("x"), F.col("c").alias("cx"), F.col("pos").alias("i"), F.col("n").alias("ni"), (F.col("c") == F.col("main")).alias("in_main"))
-        two = open_.select("token", F.col("node").alias("y"), F.col("c").alias("cy"), F.col("pos").alias("j"), F.col("n").alias("nj"), (F.col("c") == F.col("main")).alias("main_too"))
-
-        def pairs_of(one: DataFrame, two: DataFrame, once: Column) -> DataFrame:
-            met = one.join(two, (one["token"] == two["token"]) & (F.col("cx") != F.col("cy")) & once & _possible(threshold))
-            return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-
-        def verified(pairs: DataFrame) -> None:
-            nonlocal links
-            pairs = materialise(pairs.distinct())
-            found = _verify(pairs, nodes, sets, threshold)
-            discard(pairs)
-            if found is not None:
-                links = found if links is None else links.unionByName(found)
-
-        if full:
-            # every pair is looked at from its smaller node, in the block of that node; two of the main component never meet
-            blocks = 1 + left // (2 * total)
-            for b in range(blocks):
-                mine = one.where(F.pmod(F.xxhash64("x"), F.lit(blocks)) == b) if blocks > 1 else one
-                outside = pairs_of(mine.where(~F.col("in_main")), two, F.col("x") < F.col("y"))
-                verified(outside.unionByName(pairs_of(mine.where("in_main"), two.where(~F.col("main_too")), F.col("x") < F.col("y"))))
-            break
-        # the node with the fewest rarer n-grams leads, as it has least of its own; in later rounds one in another order
-        order = F.when(F.lit(turn == 1), -F.col("j")).otherwise(0)
-        lead = F.struct(order.alias("o"), F.xxhash64("y", F.lit(turn)).alias("q"), "y", "cy", "j", "nj")
-        verified(pairs_of(one, two.groupBy("token").agg(F.max(lead).alias("l")).select("token", "l.*"), F.lit(True)))
-        before, open_ = open_, open_.drop("k", "m", "main")
-        if links is not None:
-            comp = connected_components(links, "a", "b")
-            open_ = materialise(open_.drop("c").join(comp, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component"))
-            discard(before)
-    return links
+    sets = WholeSets(docs, nodes, size, seed)
+    links = star_links(posted, nodes.select("node", "sig"), lambda pairs: _verify(pairs, nodes, sets, threshold), threshold)
+    return component_rows(rows, nodes, links, id_col)

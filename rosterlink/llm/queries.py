@@ -7,6 +7,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rosterlink.llm.bottom_k import near_duplicates
 from rosterlink.llm.common import held_out, labelled_sample, table
 from rosterlink.llm.decontamination import MASKS, contaminated
 from rosterlink.llm.fingerprint import fingerprints_with_edits
@@ -35,13 +36,13 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_components(table(spark, sf_dir, "documents"))
 
 
-ORACLE["op9_ngram_jaccard"] = r"""
+_LINKED_SQL = r"""
 WITH RECURSIVE w AS MATERIALIZED (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
   FROM documents),
 s AS MATERIALIZED (
-  SELECT DISTINCT doc_id, hash(array_to_string(ws[i:i+4], ' ')) AS g
-  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+  SELECT DISTINCT doc_id, hash(array_to_string(ws[i:i+{last}], ' ')) AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - {last}, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
 n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 links AS MATERIALIZED (
   SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2)
@@ -49,9 +50,19 @@ links AS MATERIALIZED (
 reach AS (
   SELECT doc_id, doc_id AS r FROM documents
   UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.r)
-SELECT d.doc_id, CAST(coalesce(n.n, 0) AS INTEGER) AS n_shingles, c.component_id
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id{more}
 FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id)
 """
+ORACLE["op9_ngram_jaccard"] = _LINKED_SQL.format(last=4, more="")
+
+
+@query
+def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the size of its set of four-word shingles, its component and whether it stays."""
+    return near_duplicates(table(spark, sf_dir, "documents"), size=4)
+
+
+ORACLE["op12_minhash_dedup"] = _LINKED_SQL.format(last=3, more=", d.doc_id = c.component_id AS kept")
 
 
 def _teaching(spark: SparkSession, sf_dir: str, label: str, modulus: int, remainder: int) -> DataFrame:

@@ -11,17 +11,19 @@ _LOWER[65:91] += 32
 _LOWER += 1
 _BASE = 0x9E3779B97F4A7C15 | 5
 _INVERSE = pow(_BASE, -1, 1 << 64)
+#: Powers that a worker keeps; longer tables live as long as the text that needs them.
+_KEPT = 1 << 22
 _powers: dict[int, np.ndarray] = {}
 
 
 def _power(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64, kept and grown by doubling."""
+    """base**0 .. base**(n-1) modulo 2**64, grown by doubling and kept up to a bound."""
     have = _powers.get(base)
     if have is None:
         have = np.array([1], np.uint64)
     while len(have) < n:
         have = np.concatenate([have, have * np.uint64(pow(base, len(have), 1 << 64))])
-    _powers[base] = have
+    _powers[base] = have[:_KEPT].copy() if len(have) > _KEPT else have
     return have[:n]
 
 
