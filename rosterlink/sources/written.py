@@ -54,16 +54,17 @@ def job(spark: SparkSession) -> Iterator[str]:
         _delete(spark, path)
 
 
-def materialise(df: DataFrame, keep: bool = False) -> DataFrame:
+def materialise(df: DataFrame, keep: bool = False, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it again.
 
     This cuts lineage: what follows survives the loss of any executor without running what came before again, and a
     table that several results read is worked out once. Inside a ``job`` the table goes with it, unless ``keep`` is set.
+    With ``partition_by``, readers of some values of that column read only their files.
     """
     at = _job.get()
     at = at.rpartition("/job-")[0] if at and keep else at
     path = f"{at or shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=partition_by)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._written_to = path
     return out
