@@ -11,6 +11,7 @@ from rosterlink.llm.bottom_k import near_duplicates
 from rosterlink.llm.common import held_out, labelled_sample, table
 from rosterlink.llm.decontamination import MASKS, contaminated
 from rosterlink.llm.fingerprint import fingerprints_with_edits
+from rosterlink.llm.lexical_search import search
 from rosterlink.llm.license_scan import COPYRIGHT_LINE, KNOWN, SPELLINGS, license_hits
 from rosterlink.llm.merkle import FAN, LEAF, LOWER, UPPER, fold, lower_case_tampered, merkle_manifest
 from rosterlink.llm.ngram_join import ngram_jaccard_components
@@ -256,3 +257,23 @@ proof AS (SELECT id, string_agg(l || r, '' ORDER BY k) AS s FROM steps GROUP BY
 SELECT doc_id, leaf, subroot, root, sha256(coalesce(s, '')) AS proof_sha256, h AS folded_root, h = root AS verified
 FROM p JOIN tops USING (g) LEFT JOIN proof USING (id) JOIN (SELECT id, arg_max(h, k) AS h FROM folded GROUP BY id) USING (id), (SELECT h AS root FROM over WHERE n = 1)
 """
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 documents that score highest for each benchmark item."""
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_TERMS_SQL = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+ORACLE["op13_lexical_search"] = f"""
+WITH t AS MATERIALIZED (SELECT doc_id, {_TERMS_SQL} AS ts FROM documents),
+l AS MATERIALIZED (SELECT doc_id, len(ts) AS n FROM t WHERE len(ts) > 0),
+g AS (SELECT count(*) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM l),
+q AS MATERIALIZED (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_TERMS_SQL}) AS term FROM benchmark) GROUP BY ALL),
+p AS MATERIALIZED (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(ts) AS term FROM t) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * big_n + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, g GROUP BY term, big_n),
+m AS (SELECT doc_id, 75 + (25 * n * big_n) // big_l AS m FROM l, g),
+s AS (SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score FROM q JOIN p USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= 20
+"""

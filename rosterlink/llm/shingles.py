@@ -37,13 +37,21 @@ def mix(x: np.ndarray) -> np.ndarray:
 def word_hashes(data: np.ndarray, offsets: np.ndarray, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts, and for each text the index of its first word (one more at the end).
 
-    A word is a run of bytes other than space and 0x09-0x0D; A-Z count as a-z. Span hashes come from prefix sums of
-    a polynomial modulo 2**64.
+    A word is a run of bytes other than space and 0x09-0x0D; A-Z count as a-z.
+    """
+    return word_spans(data, offsets, seed)[:2]
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray, seed: int = 0, breaks: np.ndarray = _SEP) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``word_hashes`` and each word's first byte and the byte after its last; ``breaks`` says which bytes are in no word.
+
+    Span hashes come from prefix sums of a polynomial modulo 2**64.
     """
     n = len(data)
     if not n:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    sep = _SEP[data]
+        none = np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), none, none
+    sep = breaks[data]
     before = np.empty(n, bool)
     before[0], before[1:] = True, sep[:-1]
     firsts = offsets[:-1]
@@ -57,7 +65,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, seed: int = 0) -> tuple[n
     prefix = np.zeros(n + 1, np.uint64)
     np.cumsum(_LOWER[data] * _power(_BASE, n), out=prefix[1:])
     h = (prefix[end] - prefix[start]) * _power(_INVERSE, n)[start]
-    return mix(h + np.uint64(seed)), np.searchsorted(start, offsets)
+    return mix(h + np.uint64(seed)), np.searchsorted(start, offsets), start, end
 
 
 def ngram_sets(words: np.ndarray, first: np.ndarray, size: int):
