@@ -90,8 +90,11 @@ def bottom_k_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             break
         seed += 1
     lists = nodes.select(F.posexplode(F.slice("sketch", 1, listed)).alias("pos", "token"), "node", "n")
-    shared = lists.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token")
-    posted = materialise(lists.join(shared, "token").select("token", "node", "pos", "n"))
+    shared = lists.groupBy("token").agg(F.count("*").alias("k")).where("k > 1")
+    # the text whose values are in the longest lists leads, as it has most in common with others
+    common = lists.join(shared, "token")
+    lead = common.groupBy("node").agg(F.avg("k").alias("lead"))
+    posted = materialise(common.join(lead, "node").select("token", "node", "pos", "n", "lead"))
     sets = WholeSets(docs, nodes, size, seed)
     links = star_links(posted, nodes.select("node", "sig"), lambda pairs: _verify(pairs, nodes, sets, threshold, retained, least), threshold)
     return component_rows(rows.select("doc_id", "node", "n"), nodes, links, id_col)

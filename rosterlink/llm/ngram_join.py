@@ -164,7 +164,8 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     posted = materialise(text.mapInArrow(_prefixes(size, threshold, seed, levels), "token long, node long, pos int, n int"))
     levels.unpersist()
     shared = posted.groupBy("token").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select("token")
-    every, posted = posted, materialise(posted.join(shared, "token").distinct())
+    # the text with the fewest rarer n-grams leads, as it has least of its own
+    every, posted = posted, materialise(posted.join(shared, "token").distinct().withColumn("lead", -F.col("pos").cast("double")))
     discard(every)
 
     sets = WholeSets(docs, nodes, size, seed)

@@ -1,11 +1,12 @@
 """Links between sets that share a token, without all pairs of a token's sets.
 
 What the joins of near duplicates have in common: sets (*nodes*) are posted under tokens, two sets that link share a
-token, and the components of all links are wanted. In each *star round* every token offers only the pairs with one
-leader; linked nodes become one component, and tokens whose nodes are all in one component are done. When the pairs left
-between different components are few, or no longer shrink, one job looks at all of them: large tokens are dealt over many
-tasks, and a pair is dropped where it is made unless its sizes, positions and signatures allow a link. Only what is left
-is written and verified on the whole sets, once a pair. So the components are those of all links; nothing is capped,
+token, and the components of all links are wanted. In each *star round* every row of a token is paired with one leader:
+in the first round the same for the whole token, later one of several, so that a node meets another one under each of
+its tokens. Linked nodes become one component, and tokens whose nodes are all in one component are done. When the pairs
+left between different components are few, or no longer shrink, one job looks at all of them: large tokens are dealt over
+many tasks, and a pair is dropped where it is made unless its sizes, positions and signatures allow a link. Only what is
+left is written and verified on the whole sets, once a pair. So the components are those of all links; nothing is capped,
 sampled or dropped, and tokens of many sets that never link take time but no space.
 """
 
@@ -24,6 +25,8 @@ from rosterlink.llm.common import discard, materialise, text_chunks
 from rosterlink.llm.components import connected_components
 from rosterlink.llm.shingles import ngram_sets, word_hashes
 
+#: Leaders of a token after the first round; rounds of leaders before all pairs are looked at, unless those are FEW.
+LEADERS, ROUNDS, FEW = 32, 3, 200_000
 #: Bits of a signature; rows of a token that one task looks at in the last round, and tasks that share a token at most.
 BITS, TASK_ROWS, TASKS = 1024, 1 << 11, 256
 #: Whole sets are looked up by a broadcast of node ids up to this many (8 bytes each), else by a shuffle.
@@ -79,8 +82,9 @@ def _every_pair(open_: DataFrame, signatures: DataFrame, threshold: int) -> Data
 def star_links(posted: DataFrame, signatures: DataFrame, verify: Callable[[DataFrame], DataFrame | None], threshold: int) -> DataFrame | None:
     """Links (a, b) that connect all components, or None.
 
-    ``posted`` has a row (token, node, pos, n) for each token of a node: its place in the node's order of tokens and the
-    node's size, such that linked sets share a token before which they share nothing. ``signatures`` has (node, sig).
+    ``posted`` has a row (token, node, pos, n, lead) for each token of a node: its place in the node's order of tokens and
+    the node's size, such that linked sets share a token before which they share nothing, and how well the node would lead
+    (larger is better). ``signatures`` has (node, sig).
     ``verify`` takes distinct pairs (a, b) and returns those that link, or None.
     """
     total = posted.count()
@@ -107,19 +111,20 @@ def star_links(posted: DataFrame, signatures: DataFrame, verify: Callable[[DataF
         left = open_.agg(F.sum(F.when(F.col("c") != F.col("main"), F.col("k")))).first()[0] or 0
         if not left:
             break
-        full = last is not None and (left <= 2 * total or left > 0.9 * last)
+        full = left <= FEW or turn >= ROUNDS and (left <= 2 * total or left > 0.9 * last)
         last, turn = left, turn + 1
         if full:
             verified(_every_pair(open_, signatures, threshold))
             discard(open_)
             break
-        one = open_.select("token", F.col("node").alias("x"), F.col("c").alias("cx"), F.col("pos").alias("i"), F.col("n").alias("ni"))
-        two = open_.select("token", F.col("node").alias("y"), F.col("c").alias("cy"), F.col("pos").alias("j"), F.col("n").alias("nj"))
-        # the node with the fewest tokens before leads, as it has least of its own; in later rounds one in another order
-        order = F.when(F.lit(turn == 1), -F.col("j")).otherwise(0)
-        lead = F.struct(order.alias("o"), F.xxhash64("y", F.lit(turn)).alias("q"), "y", "cy", "j", "nj")
-        leaders = two.groupBy("token").agg(F.max(lead).alias("l")).select("token", "l.*")
-        met = one.join(leaders, (one["token"] == leaders["token"]) & (F.col("cx") != F.col("cy")) & _possible(threshold))
+        # odd rounds are led by the nodes that lead best, even ones by any; nodes are dealt to the leaders anew each time
+        leaders_of = F.least(F.lit(LEADERS), F.greatest(F.lit(1), F.floor(F.col("k") / 2))) if turn > 1 else F.lit(1)
+        lane = lambda *by: F.pmod(F.xxhash64(*by, F.lit(turn)), leaders_of).alias("lane")
+        one = open_.select("token", lane("node", "token"), F.col("node").alias("x"), F.col("c").alias("cx"), F.col("pos").alias("i"), F.col("n").alias("ni"))
+        two = open_.select("token", lane("node"), F.col("node").alias("y"), F.col("c").alias("cy"), F.col("pos").alias("j"), F.col("n").alias("nj"), "lead")
+        best = F.struct((F.col("lead") if turn % 2 else F.lit(0)).alias("o"), F.xxhash64("y", F.lit(turn)).alias("q"), "y", "cy", "j", "nj")
+        leaders = two.groupBy("token", "lane").agg(F.max(best).alias("l")).select("token", "lane", "l.*")
+        met = one.join(leaders, (one["token"] == leaders["token"]) & (one["lane"] == leaders["lane"]) & (F.col("cx") != F.col("cy")) & _possible(threshold))
         verified(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
         before, open_ = open_, open_.drop("k", "m", "main")
         if links is not None:
