@@ -12,12 +12,13 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("u", "v") % 1_000_003)).first())
 
 
-def connected_components(edges: DataFrame, src: str, dst: str) -> DataFrame:
+def connected_components(edges: DataFrame, src: str, dst: str, rounds: int | None = None) -> DataFrame:
     """Rows ``(node, component)`` for every node of ``edges``; the component is its smallest node.
 
     Minima are pre-aggregated before they move and the joins are plain equi-joins, so a hub that holds a large
     part of all edges is split by the adaptive skew join. Links, nodes and components never reach the driver:
-    it only sees one checksum a round. Null ends and loops add nothing but the node itself.
+    it only sees one checksum a round. Null ends and loops add nothing but the node itself. After a number of ``rounds``
+    that is too small, nodes of one component may still have different values, each of them a node of that component.
     """
     ends = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where("a is not null and b is not null")
     e = materialise(ends.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
@@ -34,7 +35,8 @@ def connected_components(edges: DataFrame, src: str, dst: str) -> DataFrame:
         before, e = e, materialise(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         discard(large, before)
         last, mark = mark, _mark(e)
-        if mark == last:
+        rounds = rounds and rounds - 1
+        if mark == last or rounds == 0:
             break
     roots = e.select(F.col("v").alias("u"), "v")
     return (

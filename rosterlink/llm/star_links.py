@@ -1,9 +1,8 @@
 """Links between sets that share a token, without all pairs of a token's sets.
 
 What the joins of near duplicates have in common: sets (*nodes*) are posted under tokens, two sets that link share a
-token, and the components of all links are wanted. In each *star round* every row of a token is paired with one leader:
-in the first round the same for the whole token, later one of several, so that a node meets another one under each of
-its tokens. Linked nodes become one component, and tokens whose nodes are all in one component are done. When the pairs
+token, and the components of all links are wanted. In each *star round* every row of a token is paired with one of the
+token's leaders, so that a node meets another one under each of its tokens. Linked nodes become one component, and tokens whose nodes are all in one component are done. When the pairs
 left between different components are few, or no longer shrink, one job looks at all of them: large tokens are dealt over
 many tasks, and a pair is dropped where it is made unless its sizes, positions and signatures allow a link. Only what is
 left is written and verified on the whole sets, once a pair. So the components are those of all links; nothing is capped,
@@ -25,8 +24,11 @@ from rosterlink.llm.common import discard, materialise, text_chunks
 from rosterlink.llm.components import connected_components
 from rosterlink.llm.shingles import ngram_sets, word_hashes
 
-#: Leaders of a token after the first round; rounds of leaders before all pairs are looked at, unless those are FEW.
-LEADERS, ROUNDS, FEW = 32, 3, 200_000
+#: Leaders of a token in the first round (the nodes that lead best) and in later ones (any nodes).
+BEST, ANY = 8, 32
+#: Rounds of leaders before all pairs are looked at, unless those are FEW; later rounds come only while there are MANY pairs
+#: a row and they halve.
+ROUNDS, FEW, MANY = 2, 200_000, 200
 #: Bits of a signature; rows of a token that one task looks at in the last round, and tasks that share a token at most.
 BITS, TASK_ROWS, TASKS = 1024, 1 << 11, 256
 #: Whole sets are looked up by a broadcast of node ids up to this many (8 bytes each), else by a shuffle.
@@ -70,13 +72,17 @@ def _every_pair(open_: DataFrame, signatures: DataFrame, threshold: int) -> Data
     A pair is looked at from its smaller node. The rows of a large token are dealt over up to ``TASKS`` lanes, and the
     other side is repeated in each; two nodes of a token's main component never meet.
     """
+    once = "tokens" in signatures.columns
     rows = open_.join(signatures, "node").withColumn("lanes", F.least(F.lit(TASKS), F.ceil(F.col("k") / TASK_ROWS)).cast("int"))
     part = lambda x, c, p, n, s, main: (F.col("node").alias(x), F.col("c").alias(c), F.col("pos").alias(p), F.col("n").alias(n), F.col("sig").alias(s), (F.col("c") == F.col("main")).alias(main))
-    one = rows.select("token", F.pmod(F.xxhash64("node"), "lanes").cast("int").alias("lane"), *part("x", "cx", "i", "ni", "sx", "in_main"))
-    two = rows.select("token", F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)).alias("lane"), *part("y", "cy", "j", "nj", "sy", "main_too"))
+    one = rows.select("token", F.pmod(F.xxhash64("node"), "lanes").cast("int").alias("lane"), *part("x", "cx", "i", "ni", "sx", "in_main"), *([F.col("tokens").alias("tx")] if once else []))
+    two = rows.select("token", F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)).alias("lane"), *part("y", "cy", "j", "nj", "sy", "main_too"), *([F.col("tokens").alias("ty")] if once else []))
     same = (one["token"] == two["token"]) & (one["lane"] == two["lane"])
     apart = (F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy")) & ~(F.col("in_main") & F.col("main_too"))
-    return one.join(two, same & apart & _possible(threshold) & _alike(threshold)).select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+    like = _possible(threshold) & _alike(threshold)
+    if once:  # each pair under the smallest token that both have
+        return one.join(two, same & apart & like & (F.array_min(F.array_intersect("tx", "ty")) == one["token"])).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    return one.join(two, same & apart & like).select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
 
 
 def star_links(posted: DataFrame, signatures: DataFrame, verify: Callable[[DataFrame], DataFrame | None], threshold: int) -> DataFrame | None:
@@ -84,7 +90,8 @@ def star_links(posted: DataFrame, signatures: DataFrame, verify: Callable[[DataF
 
     ``posted`` has a row (token, node, pos, n, lead) for each token of a node: its place in the node's order of tokens and
     the node's size, such that linked sets share a token before which they share nothing, and how well the node would lead
-    (larger is better). ``signatures`` has (node, sig).
+    (larger is better). ``signatures`` has (node, sig) and, where nodes have a bounded number of tokens, all ``tokens`` that
+    they are posted under.
     ``verify`` takes distinct pairs (a, b) and returns those that link, or None.
     """
     total = posted.count()
@@ -103,32 +110,31 @@ def star_links(posted: DataFrame, signatures: DataFrame, verify: Callable[[DataF
 
     while total:
         # rows of each token outside its largest component, times all its rows: the pairs that are left to look at
-        sizes = open_.groupBy("token").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-        some = open_.join(sizes, "token").where(low <= high + 1e-6).drop("least", "most")
-        by = some.groupBy("token", "c").agg(F.count("*").alias("k")).groupBy("token").agg(F.sum("k").alias("k"), F.max("k").alias("m"), F.max_by("c", "k").alias("main"))
-        before, open_ = open_, materialise(some.join(by.where("k > m"), "token"))
+        by = open_.groupBy("token", "c").agg(F.count("*").alias("k"), F.min("n").alias("least"), F.max("n").alias("most"))
+        by = by.groupBy("token").agg(F.sum("k").alias("k"), F.max("k").alias("m"), F.max_by("c", "k").alias("main"), F.min("least").alias("least"), F.max("most").alias("most"))
+        before, open_ = open_, materialise(open_.join(by.where("k > m"), "token").where(low <= high + 1e-6).drop("least", "most"))
         discard(before)
         left = open_.agg(F.sum(F.when(F.col("c") != F.col("main"), F.col("k")))).first()[0] or 0
         if not left:
             break
-        full = left <= FEW or turn >= ROUNDS and (left <= 2 * total or left > 0.9 * last)
+        full = left <= FEW or turn >= ROUNDS and (left <= MANY * total or left > last / 2)
         last, turn = left, turn + 1
         if full:
             verified(_every_pair(open_, signatures, threshold))
             discard(open_)
             break
-        # odd rounds are led by the nodes that lead best, even ones by any; nodes are dealt to the leaders anew each time
-        leaders_of = F.least(F.lit(LEADERS), F.greatest(F.lit(1), F.floor(F.col("k") / 2))) if turn > 1 else F.lit(1)
+        # nodes are dealt to the leaders anew under each token and in each round
+        leaders_of = F.least(F.lit(BEST if turn == 1 else ANY), F.greatest(F.lit(1), F.floor(F.col("k") / 2)))
         lane = lambda *by: F.pmod(F.xxhash64(*by, F.lit(turn)), leaders_of).alias("lane")
         one = open_.select("token", lane("node", "token"), F.col("node").alias("x"), F.col("c").alias("cx"), F.col("pos").alias("i"), F.col("n").alias("ni"))
         two = open_.select("token", lane("node"), F.col("node").alias("y"), F.col("c").alias("cy"), F.col("pos").alias("j"), F.col("n").alias("nj"), "lead")
-        best = F.struct((F.col("lead") if turn % 2 else F.lit(0)).alias("o"), F.xxhash64("y", F.lit(turn)).alias("q"), "y", "cy", "j", "nj")
+        best = F.struct((F.col("lead") if turn == 1 else F.lit(0)).alias("o"), F.xxhash64("y", F.lit(turn)).alias("q"), "y", "cy", "j", "nj")
         leaders = two.groupBy("token", "lane").agg(F.max(best).alias("l")).select("token", "lane", "l.*")
         met = one.join(leaders, (one["token"] == leaders["token"]) & (one["lane"] == leaders["lane"]) & (F.col("cx") != F.col("cy")) & _possible(threshold))
         verified(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
         before, open_ = open_, open_.drop("k", "m", "main")
         if links is not None:
-            comp = connected_components(links, "a", "b")
+            comp = connected_components(links, "a", "b", rounds=2)
             open_ = materialise(open_.drop("c").join(comp, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component"))
             discard(before)
     return links
