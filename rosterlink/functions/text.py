@@ -12,7 +12,9 @@ from pyspark.sql import types as T
 
 from rosterlink.functions.ids import strip
 
+#: Where pages, and revisions of pages, are served.
 BASE_URL = "https://de.wikipedia.org/wiki/"
+REVISION_URL = "https://de.wikipedia.org/w/index.php?title="
 #: German month names and abbreviations.
 MONTHS = ["januar", "februar", "märz", "april", "mai", "juni", "juli", "august", "september", "oktober", "november", "dezember"]
 
@@ -77,11 +79,17 @@ def quote(text: Column) -> Column:
 
 
 def page_url(title: Column, revision: Column) -> Column:
-    """The canonical URL of a page revision; without a revision the plain page URL."""
-    url = F.concat(F.lit(BASE_URL), quote(underscored(title)))
+    """The URL of a page revision as provenance has it; without a revision that of the page."""
+    url = F.concat(F.lit(BASE_URL), quote(F.replace(title, F.lit("_"), F.lit(" "))))
     return F.when(revision > 0, F.concat(url, F.lit("?oldid="), revision.cast("string"))).otherwise(url)
 
 
+def revision_url(title: Column, revision: Column) -> Column:
+    """The canonical URL of a page revision, by its title and number as parameters; without a revision that of the page."""
+    name = quote(F.replace(title, F.lit("_"), F.lit(" ")))
+    return F.when(revision > 0, F.concat(F.lit(REVISION_URL), name, F.lit("&oldid="), revision.cast("string"))).otherwise(F.concat(F.lit(BASE_URL), name))
+
+
 def form_encode(text: Column) -> Column:
     """Percent-encoding of a form value: like ``quote``, a space is ``+``."""
     return F.replace(F.replace(F.url_encode(text), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
@@ -154,5 +162,18 @@ def canonical_json_sha256(texts: pd.Series) -> pd.Series:
     return texts.map(one)
 
 
+@F.pandas_udf(T.StructType([T.StructField("raw", T.StringType()), T.StructField("parse", T.StringType())]))
+def response_sha256(texts: pd.Series) -> pd.DataFrame:
+    """SHA-256 of a stored response and of its ``parse`` object, as ``canonical_json_sha256``; null for null or invalid JSON."""
+    def one(t):
+        try:
+            whole = json.loads(t)
+            return [hashlib.sha256(json.dumps(x, sort_keys=True, ensure_ascii=False).encode()).hexdigest() for x in (whole, whole.get("parse", {}))]
+        except (AttributeError, TypeError, ValueError):
+            return [None, None]
+
+    return pd.DataFrame([one(t) for t in texts], columns=["raw", "parse"], index=texts.index, dtype=object)
+
+
 def params_hash(texts: Column) -> Column:
     return F.substring(canonical_json_sha256(texts), 1, 16)

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from rosterlink.functions.dom import parsed_pages
 from rosterlink.functions.ids import evidence_id
-from rosterlink.functions.text import canonical_json_sha256, clean_snippet, page_url, registry_url, truncate, underscored
+from rosterlink.functions.text import clean_snippet, registry_url, response_sha256, revision_url, truncate, underscored
+from rosterlink.operators.members import SNIPPET_REF
+from rosterlink.sources.page_store import ORDER, PageStore, pages_of, whole_pages
 from rosterlink.sources.readers import latest
 from rosterlink.sources.written import materialise
 
@@ -24,9 +26,11 @@ def upsert_index(existing: DataFrame, updates: DataFrame) -> DataFrame:
 
 
 def rebuild_index(raw_pages: DataFrame, raw_json_col: str = "raw_json") -> DataFrame:
-    """Index entries of all stored pages in one job: the stored sha, else that of the raw JSON."""
-    sha = F.coalesce("sha256", canonical_json_sha256(raw_json_col))
-    rows = raw_pages.withColumn("sha256", sha).withColumn("page_title", underscored(F.col("page_title")))
+    """Index entries of all stored pages in one job: the stored sha, else that of the whole response (``raw_json_col``)."""
+    rows = raw_pages
+    if raw_json_col in rows.columns:
+        rows = rows.withColumn("sha256", F.coalesce("sha256", response_sha256(F.when(F.col("sha256").isNull(), F.col(raw_json_col)))["raw"]))
+    rows = rows.withColumn("page_title", underscored(F.col("page_title")))
     return rows.select(
         evidence_id(F.col("page_id"), F.col("revision_id"), F.lit("parse"), F.col("sha256")).alias("evidence_id"), F.lit("mediawiki").alias("source_kind"),
         "page_title", "page_id", "revision_id", "sha256", F.lit("parse").alias("endpoint"),
@@ -55,12 +59,12 @@ def _citable_rows(dom: Column, size: int) -> Column:
     return F.flatten(F.transform(tables, rows))
 
 
-def page_snippets(doms: DataFrame, size: int = 500) -> DataFrame:
-    """``(evidence_id, table_index, row_index, row_text)``: data rows of every citable table (a table's only row is its row 0),
+def page_snippets(doms: DataFrame, key: str = "evidence_id", size: int = 500) -> DataFrame:
+    """``(key, table_index, row_index, row_text)``: data rows of every citable table (a table's only row is its row 0),
     and each page's lead paragraph as row -1 of table -1, from one pass over the pages."""
     lead = F.struct(F.lit(-1).alias("table_index"), F.lit(-1).alias("row_index"), lead_paragraph(F.col("dom"), size).alias("row_text"))
     every = F.concat(_citable_rows(F.col("dom"), size), F.array(lead))
-    return doms.select("evidence_id", F.explode(every).alias("r")).select("evidence_id", "r.*")
+    return doms.select(key, F.explode(every).alias("r")).select(key, "r.*")
 
 
 def legacy_ref(text: Column) -> Column:
@@ -88,17 +92,44 @@ def _ref_text(ref: Column) -> Column:
     return F.when(ref.isNotNull(), F.concat(F.lit("{\n"), text, F.lit("\n}")))
 
 
+#: What a reference is: there is none, it names a table row, or it is one that nothing can be found by.
+NONE, PLACE, UNREADABLE = 0, 1, 2
+
+
+def _struct_ref(kind: Column, table: Column, row: Column) -> Column:
+    """A structured reference that says no more than its type and place."""
+    none = F.lit(None)
+    fields = {"version": none, "type": kind, "table_index": table, "row_index": row, "row_kind": none, "title_hint": none, "match": none}
+    return F.struct(*(v.alias(k) for k, v in fields.items())).cast(SNIPPET_REF)
+
+
+def text_ref(text: Column) -> Column:
+    """``struct(state, structured, ref)`` of an older textual reference; one that can't be read keeps its text as ``type``."""
+    at = legacy_ref(text)
+    state = F.when(F.coalesce(text, F.lit("")) == "", NONE).when(at.isNotNull(), PLACE).otherwise(UNREADABLE)
+    ref = F.when(state == PLACE, _struct_ref(F.lit("table_row"), at["table_index"], at["row_index"])).when(state == UNREADABLE, _struct_ref(text, F.lit(None), F.lit(None)))
+    return F.struct(state.alias("state"), F.lit(False).alias("structured"), ref.alias("ref"))
+
+
+def structured_ref(ref: Column) -> Column:
+    """The same of a structured reference: one without any value is none, one of another type than ``table_row`` unreadable."""
+    ref = ref.cast(SNIPPET_REF)
+    state = F.when(ref.isNull() | (F.to_json(ref) == "{}"), NONE).when(ref["type"] == "table_row", PLACE).otherwise(UNREADABLE)
+    return F.struct(state.alias("state"), F.lit(True).alias("structured"), F.when(state != NONE, ref).alias("ref"))
+
+
 def _placed(refs: DataFrame) -> DataFrame:
-    """``(evidence_id, table_index, row_index, purpose, ref_text)`` of references in any of their forms."""
+    """``(evidence_id, purpose, given)`` of references in any of their forms."""
     purpose = F.col("purpose") if "purpose" in refs.columns else F.lit(None).cast("string")
     if "snippet_ref" not in refs.columns:
-        return refs.select("evidence_id", "table_index", "row_index", purpose.alias("purpose"), F.lit(None).cast("string").alias("ref_text"))
-    ref = F.col("snippet_ref")
-    if refs.schema["snippet_ref"].dataType.typeName() == "string":
-        at, text = legacy_ref(ref), ref
+        there = F.col("table_index").isNotNull()
+        ref = F.when(there, _struct_ref(F.lit("table_row"), F.col("table_index"), F.col("row_index")))
+        given = F.struct(F.when(there, PLACE).otherwise(NONE).alias("state"), F.lit(True).alias("structured"), ref.alias("ref"))
+    elif refs.schema["snippet_ref"].dataType.typeName() == "string":
+        given = text_ref(F.col("snippet_ref"))
     else:
-        at, text = F.when(ref["type"] == "table_row", F.struct(ref["table_index"].alias("table_index"), ref["row_index"].alias("row_index"))), _ref_text(ref)
-    return refs.select("evidence_id", at["table_index"].alias("table_index"), at["row_index"].alias("row_index"), purpose.alias("purpose"), text.alias("ref_text"))
+        given = structured_ref(F.col("snippet_ref"))
+    return refs.select("evidence_id", purpose.alias("purpose"), given.alias("given"))
 
 
 def _lists(params: Column) -> Column:
@@ -107,71 +138,107 @@ def _lists(params: Column) -> Column:
     return F.transform_values(params, lambda _, v: one(v))
 
 
-def resolve_evidence_refs(refs: DataFrame, index: DataFrame, pages: DataFrame, prefer: str = "table_row", size: int = 500, registry: str = REGISTRY_URL) -> DataFrame:
+def _stored_responses(e: DataFrame, pages: DataFrame | PageStore) -> DataFrame:
+    """Index entries ``e`` joined with what is stored of their response, but for the HTML; ``page`` numbers the response.
+
+    Entries name their response by path where both sides have one, else by title and revision. Of several stored copies the
+    last fetched counts. Only keys and metadata are read and moved.
+    """
+    titled = e.where("page_title is not null").select("page_title")
+    by_path = e.schema["at"].dataType.typeName() != "void" and "metadata_path" in pages_of(pages).columns
+    table = pages_of(pages) if by_path else pages_of(pages, titled)
+    has = lambda c, kind: F.col(c) if c in table.columns else F.lit(None).cast(kind)
+    order = [c for c in ORDER if c in table.columns]
+    meta = F.struct(
+        F.col("page_title").alias("title"), has("page_id", "bigint").alias("page_id"), F.col("revision_id").alias("revision_id"), has("sha256", "string").alias("sha256"), F.col("retrieved_at").alias("retrieved_at"), F.col("url").alias("url"),
+        has("endpoint", "string").alias("endpoint"), has("request_params", "map<string,string>").alias("params"), has("metadata_path", "string").alias("metadata_path"), has("raw_path", "string").alias("raw_path"),
+    )
+    title = underscored(F.col("page_title"))
+    key = {"k_at": F.col("metadata_path")} if by_path else {"k_title": title, "k_revision": F.col("revision_id")}
+    mine = [F.col("at")] if by_path else [F.col("page_title"), F.col("revision_id")]
+    wanted = e.select(*(c.alias(k) for k, c in zip(key, mine))).distinct()
+    met = table.select(title.alias("page_title"), *(c.alias(k) for k, c in key.items()), F.struct(*order).alias("order"), meta.alias("m")).join(wanted, list(key), "left_semi")
+    best = met.groupBy(*key).agg(F.max_by(F.struct("page_title", "order", "m"), "order").alias("b"))
+    # equal copies are counted over the whole page, as the HTML is fetched by its title and order
+    copies = met.groupBy("page_title", "order").agg(F.count("*").alias("copies"))
+    best = materialise(best.select(*key, "b.*").join(copies, ["page_title", "order"]).withColumn("page", F.xxhash64("page_title", "order")))
+    return e.join(best.select(*(F.col(k).alias(f"_{k}") for k in key), "m", "page", F.col("page_title").alias("s_title"), "order", "copies"), _all_equal([(F.col(f"_{k}"), c) for k, c in zip(key, mine)]))
+
+
+def _all_equal(pairs: list[tuple[Column, Column]]) -> Column:
+    out = F.lit(True)
+    for a, b in pairs:
+        out = out & (a == b)
+    return out
+
+
+def resolve_evidence_refs(refs: DataFrame, index: DataFrame, pages: DataFrame | PageStore, prefer: str = "table_row", size: int = 500, registry: str = REGISTRY_URL) -> DataFrame:
     """References to revisions and snippets.
 
     A reference is ``(evidence_id, table_index, row_index, purpose)`` (null places: none), or ``(evidence_id, snippet_ref,
     purpose)`` with a structured or an older textual reference; an index entry's own older ``snippet_ref`` serves where
-    the reference has none. ``pages`` are stored responses with their metadata; entries name theirs by
-    ``cache_metadata_path`` (pages: ``metadata_path``) where both have it, else by title and revision. Ids without an
-    entry, and entries without a stored response, are dropped. The entry's fields count first, the metadata's where it
-    lacks them. The URL is that of the page revision, of the registry's request, or the stored one, by source.
-
-    Only wanted pages are parsed, each once; rows and leads are joined back by key.
+    the reference has none. ``pages`` are stored responses with their metadata, or a store of them; entries name theirs by
+    ``cache_metadata_path`` (pages: ``metadata_path``) where both have it, else by title and revision, and of several
+    stored copies the last fetched counts. Ids without an entry, and entries without a stored response, are dropped. The
+    entry's fields count first, the metadata's where it lacks them. The URL is that of the page revision, of the registry's
+    request, or the stored one, by source.
+
+    ``prefer`` says when the page's lead paragraph serves. ``table_row``: only where there is no reference at all; one that
+    can't be read, or whose row is not there, gives no snippet. ``lead_paragraph``: wherever no row is found.
+    ``by_reference``: wherever no row is found, unless the reference is a structured one to a table row.
+
+    Responses are chosen on keys; then only wanted pages are read whole, and each is parsed once, whatever the number of
+    its references. HTML is never shuffled; rows and leads are joined back by key.
     """
     has = lambda df, c, kind: F.col(c) if c in df.columns else F.lit(None).cast(kind)
-    refs = _placed(refs)
+    refs = materialise(_placed(refs))
     e = index.join(refs.select("evidence_id").distinct(), "evidence_id", "left_semi")
-    params = "map<string,string>"
-    e = e.select(
+    at = F.col("cache_metadata_path") if "cache_metadata_path" in index.columns else F.lit(None)
+    e = materialise(e.select(
         "evidence_id", "source_kind", has(e, "page_title", "string").alias("page_title"), has(e, "page_id", "bigint").alias("page_id"), has(e, "revision_id", "bigint").alias("revision_id"), has(e, "sha256", "string").alias("sha256"),
-        has(e, "endpoint", "string").alias("endpoint"), has(e, "params", params).alias("params"), has(e, "cache_metadata_path", "string").alias("at"), legacy_ref(has(e, "snippet_ref", "string")).alias("own"), has(e, "snippet_ref", "string").alias("own_text"),
-    )
-    stored = pages.select(
-        underscored(F.col("page_title")).alias("m_title"), has(pages, "page_id", "bigint").alias("m_page"), "revision_id", "html", "retrieved_at", "url", has(pages, "sha256", "string").alias("m_sha"),
-        has(pages, "endpoint", "string").alias("m_endpoint"), has(pages, "request_params", params).alias("m_params"), has(pages, "metadata_path", "string").alias("m_at"),
-    ).withColumnRenamed("revision_id", "m_revision")
-    by_path = "cache_metadata_path" in index.columns and "metadata_path" in pages.columns
-    key = ["m_at"] if by_path else ["m_title", "m_revision"]
-    met = e.join(stored.dropDuplicates(key), F.col("at") == F.col("m_at") if by_path else (F.col("page_title") == F.col("m_title")) & (F.col("revision_id") == F.col("m_revision")))
+        has(e, "endpoint", "string").alias("endpoint"), has(e, "params", "map<string,string>").alias("params"), at.cast("string").alias("at"), has(e, "cache_raw_path", "string").alias("raw_at"), text_ref(has(e, "snippet_ref", "string")).alias("own"),
+    ))
+    if "cache_metadata_path" not in index.columns:
+        e = e.withColumn("at", F.lit(None))
     first = lambda a, b, empty: F.coalesce(F.nullif(F.col(a), F.lit(empty)), F.col(b))
-    found = met.select(
-        "evidence_id", "source_kind", first("page_title", "m_title", "").alias("page_title"), first("page_id", "m_page", 0).alias("page_id"), first("revision_id", "m_revision", 0).alias("revision_id"),
-        first("sha256", "m_sha", "").alias("sha256"), first("endpoint", "m_endpoint", "").alias("endpoint"), F.when(F.size("params") > 0, F.col("params")).otherwise(F.col("m_params")).alias("params"),
-        F.col("retrieved_at").alias("retrieved_at_utc"), F.col("url").alias("source_url"), "own", "own_text", "html",
-    )
-    doms = parsed_pages(found.where("source_kind = 'mediawiki' and html is not null").select("evidence_id", "html"))
-    snippets = materialise(page_snippets(doms, size))
-    found = found.drop("html")
+    found = materialise(_stored_responses(e, pages).select(
+        "evidence_id", "source_kind", first("page_title", "m.title", "").alias("page_title"), first("page_id", "m.page_id", 0).alias("page_id"), first("revision_id", "m.revision_id", 0).alias("revision_id"),
+        first("sha256", "m.sha256", "").alias("sha256"), first("endpoint", "m.endpoint", "").alias("endpoint"), F.when(F.size("params") > 0, F.col("params")).otherwise(F.col("m.params")).alias("params"),
+        F.col("m.retrieved_at").alias("retrieved_at_utc"), F.col("m.url").alias("source_url"), F.coalesce(F.col("at").cast("string"), "m.metadata_path").alias("cache_metadata_path"), F.coalesce("raw_at", "m.raw_path").alias("cache_raw_path"),
+        "own", "page", "s_title", "order", "copies",
+    ))
+    wanted = found.where("source_kind = 'mediawiki'").select(F.col("s_title").alias("page_title"), "order", "copies", "page").distinct()
+    snippets = materialise(page_snippets(parsed_pages(whole_pages(pages, wanted, ["html"]).where("html is not null").drop("page_title")), "page", size))
     # a reference without a place is one to the lead, row -1 of table -1: one join gives both
-    keyed = refs.join(found, "evidence_id").withColumns({
-        "table_index": F.coalesce("table_index", "own.table_index"), "row_index": F.coalesce("row_index", "own.row_index"), "ref_text": F.coalesce("ref_text", "own_text"),
-    })
-    place = {"_t": F.coalesce("table_index", F.lit(-1)), "_r": F.coalesce("row_index", F.lit(-1))}
-    snippets = snippets.select("evidence_id", F.col("table_index").alias("_t"), F.col("row_index").alias("_r"), "row_text")
-    rows = keyed.withColumns(place).join(snippets, ["evidence_id", "_t", "_r"], "left").drop("_t", "_r")
-    text = F.col("row_text")
-    if prefer == "lead_paragraph":
-        rows = rows.join(snippets.where("_t = -1").select("evidence_id", F.col("row_text").alias("lead")), "evidence_id", "left")
-        text = F.coalesce("row_text", "lead")
-    rows = rows.withColumn("snippet", text)
-    source = F.when(F.col("row_text").isNotNull() & F.col("table_index").isNotNull(), "table_row").when(F.col("snippet").isNotNull(), "lead_paragraph")
+    found = found.drop("s_title", "order", "copies")
+    keyed = refs.join(found, "evidence_id").withColumn("used", F.when(F.col("given.state") == NONE, F.col("own")).otherwise(F.col("given"))).drop("given", "own")
+    placed = F.col("used.state") == PLACE
+    place = {"_t": F.when(placed, F.coalesce("used.ref.table_index", F.lit(0))).otherwise(-1), "_r": F.when(placed, F.coalesce("used.ref.row_index", F.lit(0))).otherwise(-1)}
+    snippets = snippets.select("page", F.col("table_index").alias("_t"), F.col("row_index").alias("_r"), "row_text")
+    rows = keyed.withColumns(place).join(snippets, ["page", "_t", "_r"], "left")
+    falls = {"table_row": F.col("used.state") == NONE, "lead_paragraph": F.lit(True), "by_reference": ~(placed & F.col("used.structured"))}[prefer]
+    lead = F.when(~placed, F.col("row_text"))
+    if prefer != "table_row":
+        rows = rows.join(snippets.where("_t = -1").select("page", F.col("row_text").alias("lead")), "page", "left")
+        lead = F.col("lead")
+    row = F.when(placed, F.col("row_text"))
+    rows = rows.withColumns({"snippet": F.coalesce(row, F.when(falls, lead)), "snippet_source": F.when(row.isNotNull(), "table_row").when(falls & lead.isNotNull(), "lead_paragraph")})
     url = (
-        F.when(F.col("source_kind") == "mediawiki", page_url(F.coalesce("page_title", F.lit("")), F.col("revision_id")))
+        F.when(F.col("source_kind") == "mediawiki", revision_url(F.coalesce("page_title", F.lit("")), F.col("revision_id")))
         .when(F.col("source_kind") == "dip", registry_url(F.lit(registry), F.coalesce("endpoint", F.lit("")), _lists(F.coalesce("params", F.create_map().cast("map<string,string>")))))
         .otherwise(F.coalesce("source_url", F.lit("")))
     )
     return rows.select(
-        "evidence_id", "source_kind", "page_title", "page_id", "revision_id", "retrieved_at_utc", "sha256", "source_url", url.alias("canonical_url"), "snippet", source.alias("snippet_source"),
-        "table_index", "row_index", "purpose", F.col("ref_text").alias("snippet_ref"),
+        "evidence_id", "source_kind", "page_title", "page_id", "revision_id", "retrieved_at_utc", "sha256", "source_url", url.alias("canonical_url"), "cache_metadata_path", "cache_raw_path", "snippet", "snippet_source",
+        F.when(placed, F.col("_t")).alias("table_index"), F.when(placed, F.col("_r")).alias("row_index"), "purpose", F.col("used.ref").alias("snippet_ref"),
     )
 
 
-def resolve_evidence_ids(ids: DataFrame, index: DataFrame, pages: DataFrame, size: int = 500) -> DataFrame:
-    """Distinct ids, each with its page's lead paragraph."""
+def resolve_evidence_ids(ids: DataFrame, index: DataFrame, pages: DataFrame | PageStore, size: int = 500, prefer: str = "lead_paragraph") -> DataFrame:
+    """Distinct ids, each with its page's lead paragraph, or the row that its index entry's own reference names."""
     none = F.lit(None)
     refs = ids.select("evidence_id").distinct().select("evidence_id", none.cast("int").alias("table_index"), none.cast("int").alias("row_index"), none.cast("string").alias("purpose"))
-    return resolve_evidence_refs(refs, index, pages, "lead_paragraph", size)
+    return resolve_evidence_refs(refs, index, pages, prefer, size)
 
 
 def find_persons(docs: DataFrame, query: str, limit: int = 5) -> DataFrame:
@@ -183,30 +250,40 @@ def find_persons(docs: DataFrame, query: str, limit: int = 5) -> DataFrame:
 
 
 def refs_of_documents(docs: DataFrame) -> DataFrame:
-    """References of search documents: ``evidence_refs``, else the older map ``evidence_snippet_refs`` from id to reference
-    where documents have one, else their bare ids, those only where no document has references."""
+    """References ``(person_id, evidence_id, snippet_ref, purpose)`` of search documents: ``evidence_refs``, else the older map
+    ``evidence_snippet_refs`` from id to reference where documents have one, else their bare ids, those only where no
+    document has references."""
     one = docs.select("person_id", "evidence_refs", "evidence_ids", *(["evidence_snippet_refs"] if "evidence_snippet_refs" in docs.columns else []))
-    refs = one.select("person_id", F.explode("evidence_refs").alias("r")).select("person_id", F.col("r.evidence_id").alias("evidence_id"), F.when(F.col("r.snippet_ref.type") == "table_row", F.col("r.snippet_ref.table_index")).alias("table_index"), F.when(F.col("r.snippet_ref.type") == "table_row", F.col("r.snippet_ref.row_index")).alias("row_index"), F.col("r.purpose").alias("purpose"))
+    refs = one.select("person_id", F.explode("evidence_refs").alias("r")).select("person_id", "r.evidence_id", F.col("r.snippet_ref").cast(SNIPPET_REF).alias("snippet_ref"), "r.purpose")
     has = F.coalesce(F.size("evidence_refs"), F.lit(0)) > 0
     if "evidence_snippet_refs" in docs.columns:
         older = one.where(~has).select("person_id", F.explode(F.map_entries("evidence_snippet_refs")).alias("e")).where("e.value is not null")
-        refs = refs.unionByName(older.select("person_id", F.col("e.key").alias("evidence_id"), F.col("e.value.table_index").alias("table_index"), F.col("e.value.row_index").alias("row_index"), F.when(F.col("e.value.type") == "table_row", "membership_row").alias("purpose")))
+        fields = docs.schema["evidence_snippet_refs"].dataType.valueType.names
+        known = lambda c: F.col(f"e.value.{c}") if c in fields else F.lit(None)
+        names = ("version", "type", "table_index", "row_index", "row_kind", "title_hint", "match")
+        refs = refs.unionByName(older.select("person_id", F.col("e.key").alias("evidence_id"), F.struct(*(known(c).alias(c) for c in names)).cast(SNIPPET_REF).alias("snippet_ref"), F.when(F.col("e.value.type") == "table_row", "membership_row").alias("purpose")))
         has = has | (F.coalesce(F.size("evidence_snippet_refs"), F.lit(0)) > 0)
     any_refs = F.broadcast(one.agg(F.coalesce(F.max(has), F.lit(False)).alias("any_refs")))  # one row
     bare = one.select("person_id", F.explode("evidence_ids").alias("evidence_id")).withColumn("k", F.lit(1)).join(any_refs.withColumn("k", F.lit(1)), "k").where("not any_refs")
-    bare = bare.select("person_id", "evidence_id", F.lit(None).cast("int").alias("table_index"), F.lit(None).cast("int").alias("row_index"), F.lit(None).cast("string").alias("purpose"))
+    bare = bare.select("person_id", "evidence_id", F.lit(None).cast(SNIPPET_REF).alias("snippet_ref"), F.lit(None).cast("string").alias("purpose"))
     return refs.unionByName(bare)
 
 
-def resolve_from_search(docs: DataFrame, query: str, index: DataFrame, pages: DataFrame, limit: int = 5) -> DataFrame:
+def resolve_from_search(docs: DataFrame, query: str, index: DataFrame, pages: DataFrame | PageStore, limit: int = 5) -> DataFrame:
     """The evidence that the persons found cite, their list rows too."""
-    refs = materialise(refs_of_documents(materialise(find_persons(docs, query, limit))).drop("person_id").distinct())
-    return resolve_evidence_refs(refs, index, pages)
+    return resolve_found(find_persons(docs, query, limit), index, pages)
+
+
+def resolve_found(found: DataFrame, index: DataFrame, pages: DataFrame | PageStore) -> DataFrame:
+    """The evidence that some search documents cite."""
+    refs = materialise(refs_of_documents(materialise(found)).drop("person_id").distinct())
+    return resolve_evidence_refs(refs, index, pages, "by_reference")
 
 
 def as_json(resolved: DataFrame) -> DataFrame:
-    """One JSON text a row, nulls left out."""
-    return resolved.select("evidence_id", F.to_json(F.struct(*resolved.columns)).alias("json"))
+    """One JSON text a row, nulls left out; the reference is an object in it."""
+    fields = [c for c in resolved.columns if c not in ("table_index", "row_index")]
+    return resolved.select("evidence_id", F.to_json(F.struct(*fields)).alias("json"))
 
 
 def as_markdown(resolved: DataFrame) -> DataFrame:
@@ -215,9 +292,9 @@ def as_markdown(resolved: DataFrame) -> DataFrame:
         return F.when(F.col(c).isNotNull() & (F.col(c).cast("string") != ""), F.concat(F.lit(f"  - **{label}**: "), F.col(c).cast("string") if text is None else text))
 
     quoted = lambda c, mark, end: F.concat(F.lit(mark), c, F.lit(end))
-    rows = resolved.withColumn("revision_id", F.nullif("revision_id", F.lit(0)))
+    rows = resolved.withColumns({"revision_id": F.nullif("revision_id", F.lit(0)), "ref_text": _ref_text(F.col("snippet_ref"))})
     return rows.select("evidence_id", F.concat_ws(
         "\n", F.concat(F.lit("- Evidence `"), "evidence_id", F.lit("`")), line("Source", "source_kind"), line("Page", "page_title"), line("Revision", "revision_id"), line("URL", "canonical_url"), line("Retrieved", "retrieved_at_utc"),
         line("SHA256", "sha256", quoted(F.substring("sha256", 1, 16), "`", "...`")), line("Snippet", "snippet", quoted(F.col("snippet"), '"', '"')), line("Snippet Source", "snippet_source"), line("Purpose", "purpose"),
-        line("Snippet Ref", "snippet_ref", quoted(F.col("snippet_ref"), "```json\n", "\n```")),
+        line("Snippet Ref", "ref_text", quoted(F.col("ref_text"), "```json\n", "\n```")),
     ).alias("markdown"))

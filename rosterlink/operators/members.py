@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from rosterlink.functions.dom import parsed_pages
 from rosterlink.functions.ids import evidence_id, legislature_id, mandate_id, person_id, strip
 from rosterlink.functions.text import BASE_URL, normalize_header, parse_date, underscored
+from rosterlink.sources.page_store import PageStore, latest_of, pages_of
+from rosterlink.sources.readers import page_sha256
 from rosterlink.sources.written import materialise
 
 #: Words of a heading above a members table; events that notes can name.
@@ -56,16 +58,22 @@ def events_from_notes(notes: Column, evidence: Column) -> Column:
     return F.array_compact(F.array(*map(one, EVENTS)))
 
 
-def member_pages(pages: DataFrame, seeds: DataFrame) -> DataFrame:
-    """Seeds with the chosen table of their page; ``error`` where there is none.
+def page_columns(pages: DataFrame | PageStore) -> list[str]:
+    """What the parsers read of a page, but for its title."""
+    have = pages_of(pages).columns
+    return [c for c in ("page_id", "revision_id", "sha256", "parse_sha256", "html") if c in have]
 
-    Each page that a seed names is parsed once, whatever the number of its seeds; the result is written, so every job
-    that starts from it reads narrow rows.
+
+def member_pages(pages: DataFrame | PageStore, seeds: DataFrame) -> DataFrame:
+    """Seeds with the chosen table of their page, the last fetched of its title; ``error`` where there is none.
+
+    Each page that a seed names is read whole and parsed once, whatever the number of its seeds; the result is written, so
+    every job that starts from it reads narrow rows. Ids hold the page's stored hash, else that of its ``parse`` object.
     """
     s = seeds.select("seed_pos", F.col("key").alias("seed_key"), underscored(F.col("page_title")).alias("page_title"), "expected_start", "expected_end", "parliament", "state", "legislature_number", "section_keywords")
-    pages = pages.withColumn("page_title", underscored(F.col("page_title")))
-    doms = parsed_pages(pages.select("page_title", "page_id", "revision_id", "sha256", "html").join(s.select("page_title").distinct(), "page_title", "left_semi"))
-    ids = doms.select("page_title", "page_id", "revision_id", "sha256", evidence_id(F.col("page_id"), F.col("revision_id"), F.lit("parse"), F.col("sha256")).alias("evidence_id"), "dom")
+    doms = parsed_pages(latest_of(pages, s, page_columns(pages)))
+    ids = doms.select("page_title", "page_id", "revision_id", page_sha256(doms).alias("sha256"), "dom")
+    ids = ids.withColumn("evidence_id", evidence_id(F.col("page_id"), F.col("revision_id"), F.lit("parse"), F.col("sha256")))
     chosen = F.transform(F.array(choose_table(F.col("dom"), F.col("section_keywords"))), lambda t: F.struct(t.alias("table"), header_roles(t["header"]).alias("roles")))
     rows = materialise(ids.join(s, "page_title").withColumn("chosen", F.get(chosen, F.lit(0))).select("*", "chosen.table", "chosen.roles").drop("dom", "chosen"))
     found = F.greatest(*(F.col(f"roles.{r}").isNotNull() for r, _ in ROLES))

@@ -19,34 +19,42 @@ def _last(*cols: str):
     return F.max_by(F.struct(*cols), F.struct("seed_pos", "row_index")).alias("v")
 
 
-def distinct_refs(refs: Column) -> Column:
-    """The references of an array, distinct but for their time; the first of each stays."""
-    key = lambda r: F.struct(r["evidence_id"], r["purpose"], r["snippet_ref"])
-    one = lambda all_: F.filter(all_, lambda r, i: F.array_position(F.transform(all_, key), key(r)) == i + 1)
-    return F.get(F.transform(F.array(refs), one), F.lit(0))
+def distinct_refs(refs: DataFrame, place: str = "place") -> DataFrame:
+    """``(person_id, evidence_refs)`` of rows (person_id, r, place): references distinct but for their time, in order of place.
+
+    The first of equal ones stays; they meet before they move.
+    """
+    ref = F.col("r")
+    one = refs.groupBy("person_id", ref["evidence_id"].alias("e"), ref["purpose"].alias("p"), ref["snippet_ref"].alias("s")).agg(F.min(F.struct(F.col(place).alias("place"), ref.alias("r"))).alias("m"))
+    return one.groupBy("person_id").agg(F.transform(F.array_sort(F.collect_list("m")), lambda m: m["r"]).alias("evidence_refs"))
 
 
 def merge_persons(members: DataFrame) -> DataFrame:
     """One row a person: values of the last row, the evidence ids and row references of all rows."""
-    rows = members.groupBy("person_id").agg(
-        _last("name", "wikipedia_title", "wikipedia_url"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("evidence_ids")))).alias("evidence_ids"),
-        F.array_sort(F.flatten(F.collect_set("evidence_refs"))).alias("refs"),
-    )
-    return rows.select("person_id", "v.*", "evidence_ids", distinct_refs(F.col("refs")).alias("evidence_refs"))
+    rows = members.groupBy("person_id").agg(_last("name", "wikipedia_title", "wikipedia_url"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("evidence_ids")))).alias("evidence_ids"))
+    refs = distinct_refs(members.select("person_id", F.explode("evidence_refs").alias("r"), F.lit(0).alias("place")))
+    rows = rows.join(refs, "person_id", "left")
+    return rows.select("person_id", "v.*", "evidence_ids", F.coalesce("evidence_refs", F.array().cast(REFS)).alias("evidence_refs"))
 
 
 def enrich_persons(persons: DataFrame, person_pages: DataFrame) -> DataFrame:
     """Persons with what their page says, written once; a missing page keeps the person and the references of its rows.
 
-    References are those of the page, then those of the list rows that name the person.
+    References are those of the page, then those of the list rows that name the person. A person is ``enriched`` if the
+    page gives a date or an intro; a page that says nothing, or only that there is no birth date, enriches nobody.
     """
     p = person_pages.select(F.col("wikipedia_title").alias("t"), F.col("evidence_id").alias("page_evidence_id"), "birth_date", "birth_date_status", "death_date", "intro", F.col("evidence_refs").alias("page_refs"), "unstructured_evidence", "data_quality_flags")
     rows = persons.withColumnRenamed("evidence_refs", "row_refs")
     rows = rows.join(p, rows["wikipedia_title"] == p["t"], "left").drop("t")
     none, no_refs = F.array().cast("array<string>"), F.array().cast(REFS)
-    rows = rows.withColumn("evidence_refs", distinct_refs(F.concat(F.coalesce("page_refs", no_refs), F.coalesce("row_refs", no_refs))))
+    # a page has one reference and rows have theirs distinct, so only equal ones of both are left to drop
+    key = lambda r: F.struct(r["evidence_id"], r["purpose"], r["snippet_ref"])
+    of_page = F.coalesce("page_refs", no_refs)
+    others = F.filter(F.coalesce("row_refs", no_refs), lambda r: ~F.array_contains(F.transform(of_page, key), key(r)))
+    rows = rows.withColumn("evidence_refs", F.concat(of_page, others))
+    said = [F.col(c).isNotNull() for c in ("birth_date", "death_date", "intro")]
     return materialise(rows.withColumns({
-        "enriched": F.col("page_evidence_id").isNotNull(), "birth_date_status": F.coalesce("birth_date_status", F.lit("unknown")),
+        "page_found": F.col("page_evidence_id").isNotNull(), "enriched": said[0] | said[1] | said[2], "birth_date_status": F.coalesce("birth_date_status", F.lit("unknown")),
         "evidence_ids": F.array_sort(F.array_union("evidence_ids", F.transform("evidence_refs", lambda r: r["evidence_id"]))),
         "data_quality_flags": F.array_sort(F.array_distinct(F.coalesce("data_quality_flags", none))),
     }).drop("page_evidence_id", "page_refs", "row_refs"))
@@ -84,12 +92,13 @@ def quality_warnings(persons: DataFrame) -> DataFrame:
 
 
 def enrichment_stats(persons: DataFrame) -> DataFrame:
-    return persons.agg(F.count("*").alias("total"), F.count_if("enriched").alias("enriched"), F.count_if(~F.col("enriched")).alias("failed"))
+    """All persons, those that their page enriched, and those whose page is missing."""
+    return persons.agg(F.count("*").alias("total"), F.count_if("enriched").alias("enriched"), F.count_if(~F.col("page_found")).alias("failed"))
 
 
 def wiki_records(persons: DataFrame, metadata: DataFrame) -> DataFrame:
     """Person records for linking, with the provenance of their page; unknown page and revision ids are 0."""
-    m = latest(metadata, ["page_title"], ["retrieved_at", "revision_id"]).select(F.col("page_title").alias("t"), "page_id", "revision_id", "retrieved_at", "sha256", F.col("url").alias("source_url"))
+    m = latest(metadata, ["page_title"], ["retrieved_at", "revision_id"]).select(F.col("page_title").alias("t"), "page_id", "revision_id", "retrieved_at", "sha256", page_url(F.col("page_title"), F.col("revision_id")).alias("source_url"))
     rows = persons.join(m, persons["wikipedia_title"] == m["t"], "left").drop("t")
     return rows.select(
         F.col("person_id").alias("id"), "wikipedia_title", "wikipedia_url", F.coalesce("page_id", F.lit(0)).alias("page_id"), F.coalesce("revision_id", F.lit(0)).alias("revision_id"), strip(F.col("name")).alias("name"),

@@ -9,6 +9,7 @@ from rosterlink.functions.dom import parsed_pages
 from rosterlink.functions.ids import evidence_id, person_id, strip
 from rosterlink.functions.text import BASE_URL, parse_date, underscored
 from rosterlink.operators.members import EVIDENCE_REF
+from rosterlink.sources.readers import page_sha256
 from rosterlink.sources.written import materialise
 
 
@@ -32,8 +33,11 @@ def key_facts(dom: Column) -> Column:
 
 
 def parse_person_pages(pages: DataFrame, run_ts: str = "") -> DataFrame:
-    """One person record a page (``page_title, page_id, revision_id, sha256, html``), parsed and written once."""
-    doms = parsed_pages(pages.select(underscored(F.col("page_title")).alias("wikipedia_title"), "page_id", "revision_id", "sha256", "html"))
+    """One person record a page (``page_title, page_id, revision_id, sha256, html``), parsed and written once.
+
+    Ids hold the page's stored hash, else that of its ``parse`` object (``parse_sha256``).
+    """
+    doms = parsed_pages(pages.select(underscored(F.col("page_title")).alias("wikipedia_title"), "page_id", "revision_id", page_sha256(pages).alias("sha256"), "html"))
     rows = materialise(doms.select("wikipedia_title", evidence_id(F.col("page_id"), F.col("revision_id"), F.lit("parse"), F.col("sha256")).alias("evidence_id"), intro(F.col("dom")).alias("intro"), key_facts(F.col("dom")).alias("facts")))
     has = F.col("intro") != ""
     note = F.struct(F.lit("intro").alias("type"), F.substring("intro", 1, 500).alias("text"), F.col("evidence_id"))

@@ -5,26 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rosterlink.functions.text import underscored
 from rosterlink.operators import linking, members, normalize, persons, registry
 from rosterlink.sinks import export, graph, search
 from rosterlink.sources import readers
-from rosterlink.sources.readers import complete_metadata, latest_pages
+from rosterlink.sources.page_store import ORDER, PageStore, latest_of, pages_of
+from rosterlink.sources.readers import complete_metadata, latest
 from rosterlink.sources.written import materialise
 
 
-def run_pipeline(raw_pages: DataFrame, seeds: DataFrame, dip_persons: DataFrame, overrides: DataFrame | None = None, run_ts: str = "", run_id: str = "run") -> dict[str, DataFrame]:
+def run_pipeline(raw_pages: DataFrame | PageStore, seeds: DataFrame, dip_persons: DataFrame, overrides: DataFrame | None = None, run_ts: str = "", run_id: str = "run") -> dict[str, DataFrame]:
     """All entity tables from stored pages (lists and person pages), seeds and registry persons.
 
     Each page is parsed once, each name normalised once and each pair scored once: what several tables read is written
     in between. Registry rows are deduplicated, so that a person of several terms does not count as ambiguous.
     """
-    pages = latest_pages(raw_pages)
-    parsed = members.member_pages(pages, seeds)
+    parsed = members.member_pages(raw_pages, seeds)
     rows = members.parse_member_lists(parsed, run_ts)
     merged = materialise(normalize.merge_persons(rows))
-    wanted = pages.join(merged.select(F.col("wikipedia_title").alias("page_title")), "page_title", "left_semi")
-    people = normalize.enrich_persons(merged, persons.parse_person_pages(wanted, run_ts))
-    metadata = complete_metadata(pages.select("page_title", "page_id", "revision_id", "retrieved_at", "sha256", "url"))
+    people = enrich_from(merged, raw_pages, run_ts)
+    table = pages_of(raw_pages)
+    metadata = complete_metadata(latest(table.select(underscored(F.col("page_title")).alias("page_title"), "page_id", "revision_id", "retrieved_at", "sha256", "url"), ["page_title"], list(ORDER)))
     wiki = materialise(normalize.wiki_records(people, metadata))
     dip = materialise(registry.dip_records(registry.dedup_dip(dip_persons)))
     assertions, canonical = linking.reconcile(wiki, dip, overrides, run_ts)
@@ -41,6 +42,12 @@ def run_pipeline(raw_pages: DataFrame, seeds: DataFrame, dip_persons: DataFrame,
     return out
 
 
+def enrich_from(merged: DataFrame, pages: DataFrame | PageStore, run_ts: str = "") -> DataFrame:
+    """Persons (written) with what the last fetched page of their title says; only those pages are read whole and parsed."""
+    wanted = latest_of(pages, merged.select(F.col("wikipedia_title").alias("page_title")), members.page_columns(pages))
+    return normalize.enrich_persons(merged, persons.parse_person_pages(wanted, run_ts))
+
+
 def run_manifest(tables: dict[str, DataFrame], run_id: str, run_ts: str) -> DataFrame:
     """One row a run: its counts of links, enriched persons and errors, and the rows of every entity."""
     links = linking.link_summary(tables["assertions"], tables["canonical_persons"])

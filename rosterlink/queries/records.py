@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from rosterlink.functions import ids, text
 from rosterlink.functions.dom import with_dom
 from rosterlink.operators import discovery, evidence, linking, members, normalize, persons, registry
+from rosterlink.plans import jobs
 from rosterlink.queries import render as R
 from rosterlink.queries.render import u5_sql as u5
 from rosterlink.queries.roster import BASE, PEOPLE, _members, _parsed, _people, _sorted_text
 from rosterlink.sinks import graph, search
 from rosterlink.sources import readers
+from rosterlink.sources.written import materialise
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -157,12 +159,14 @@ SELECT src_label, type, dst_label, count(*) AS n, count(DISTINCT t) AS targets F
 @query
 def search_canonical_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, c, wiki, _ = _linked(spark, sf_dir)
-    meta = wiki.where("page_id % 2 = 0").select(F.col("wikipedia_title").alias("page_title"), "page_id", (F.col("page_id") * 2).alias("revision_id"), F.lit("t").alias("retrieved_at"), F.lit("s").alias("sha256"), F.lit(None).cast("string").alias("url"))
+    meta = wiki.where("page_id % 2 = 0").select(F.col("wikipedia_title").alias("page_title"), "page_id", (F.col("page_id") * 2 + 1).alias("revision_id"), F.lit("t").alias("retrieved_at"), F.lit("s").alias("sha256"), F.lit(None).cast("string").alias("url"))
     docs = search.canonical_documents(c, readers.complete_metadata(meta))
-    return docs.select("_id", "display_name", "match_status", "provenance.revision_id", "provenance.source_url")
+    return docs.select("_id", "display_name", "match_status", F.to_json("sources").alias("sources"), "provenance.revision_id", "provenance.source_url", F.array_join("evidence_ids", ",").alias("evidence_ids"))
 
 
-ORACLE["search_canonical_documents"] = f"WITH {_link_sql(ONE)} SELECT {u5(ids.PERSON, "'wikipedia:' || lower(title)")} AS _id, name AS display_name, 'accepted' AS match_status, CASE WHEN k % 2 = 0 THEN k * 2 END AS revision_id, CASE WHEN k % 2 = 0 THEN 'https://de.wikipedia.org/wiki/' || title END AS source_url FROM a WHERE status = 'accepted'"
+_SOURCES = """'{"wikipedia_title":"' || title || '","dip_person_id":"' || ref || '"}'"""
+ORACLE["search_canonical_documents"] = f"""WITH {_link_sql(ONE)} SELECT {u5(ids.PERSON, "'wikipedia:' || lower(title)")} AS _id, name AS display_name, 'accepted' AS match_status, {_SOURCES} AS sources, CASE WHEN k % 2 = 0 THEN k * 2 + 1 END AS revision_id,
+CASE WHEN k % 2 = 0 THEN 'https://de.wikipedia.org/wiki/' || replace(title, '_', '%20') || '?oldid=' || (k * 2 + 1) END AS source_url, 'e' || k || ',d' || ref AS evidence_ids FROM a WHERE status = 'accepted'"""
 
 
 @query
@@ -190,7 +194,7 @@ SELECT label, n FROM n"""
 
 def _index(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = R.list_pages(spark, sf_dir).unionByName(R.person_pages(spark, sf_dir)).drop("html")
-    return evidence.rebuild_index(pages.withColumn("raw_json", F.lit(None).cast("string")))
+    return evidence.rebuild_index(pages)
 
 
 def _all_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,7 +211,7 @@ def evidence_row_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["evidence_row_snippets"] = f"""WITH {BASE} SELECT evidence_id, row_index, CASE WHEN nk % 3 = 1 THEN party || ' | ' || c_name ELSE c_name || ' | ' || party END || ' | ' || n_name || ' ' || (k % 10) || CASE WHEN notes <> '' THEN ' | ' || notes ELSE '' END AS snippet,
-'table_row' AS snippet_source, 'https://de.wikipedia.org/wiki/' || page_title || '?oldid=' || ((CAST(nk AS BIGINT) * 100000 + block + 1) * 10) AS canonical_url, 'membership_row' AS purpose FROM m"""
+'table_row' AS snippet_source, 'https://de.wikipedia.org/w/index.php?title=' || replace(page_title, '_', '%20') || '&oldid=' || ((CAST(nk AS BIGINT) * 100000 + block + 1) * 10) AS canonical_url, 'membership_row' AS purpose FROM m"""
 
 
 @query
@@ -224,8 +228,10 @@ SELECT pe AS evidence_id, title AS page_title, s AS snippet, 'lead_paragraph' AS
 
 @query
 def evidence_from_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Persons found by name (a top-k report of 20), the list rows and the intros that they cite."""
-    out = evidence.resolve_from_search(_people(spark, sf_dir), "customer 0000001", _index(spark, sf_dir), _all_pages(spark, sf_dir), 20)
+    """Persons found by name (a top-k report of 20), the list rows and the intros that they cite; only their pages are parsed."""
+    found = evidence.find_persons(normalize.merge_persons(_members(spark, sf_dir)), "customer 0000001", 20)
+    people = jobs.enrich_from(materialise(found), R.person_pages(spark, sf_dir))
+    out = evidence.resolve_found(people, _index(spark, sf_dir), _all_pages(spark, sf_dir))
     return out.select("evidence_id", "page_title", "purpose", "snippet_source", "row_index", "snippet")
 
 
@@ -237,20 +243,58 @@ UNION ALL SELECT pe, pp.title, 'person_page_intro', 'lead_paragraph', NULL, 'Koo
 
 @query
 def evidence_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Older textual references to list rows, held by the index or by the reference; where there is none, or no number, the lead."""
+    """Older textual references to list rows, held by the index or by the reference; those that can't be read find nothing."""
     lists = R.list_pages(spark, sf_dir)
-    ref = lambda k: F.concat(F.lit(f"table_row:{k}:"), F.col("k").cast("string"))
-    index = evidence.rebuild_index(lists.drop("html").withColumn("raw_json", F.lit(None).cast("string"))).withColumn("snippet_ref", F.lit("table_row:0"))
-    ids = index.select("evidence_id", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("k"))
-    refs = ids.select("evidence_id", F.when(F.col("k") == 2, F.lit(None)).otherwise(ref(0)).alias("snippet_ref"), F.lit("older").alias("purpose"))
+    index = evidence.rebuild_index(lists.drop("html")).withColumn("snippet_ref", F.lit("table_row:0"))
+    given = F.array(F.lit("table_row:0:0"), F.lit("table_row:0:1"), F.lit(None), F.lit(""), F.lit("garbage"), F.lit("table_row:x"))
+    refs = index.select("evidence_id", F.explode(given).alias("snippet_ref"), F.lit("older").alias("purpose"))
     out = evidence.resolve_evidence_refs(refs, index, lists)
-    return out.select("evidence_id", "row_index", F.coalesce("snippet", F.lit("")).alias("snippet"), "snippet_ref")
+    return out.select("evidence_id", "row_index", F.coalesce("snippet", F.lit("")).alias("snippet"), "snippet_source", F.to_json("snippet_ref").alias("ref"))
 
 
-_FIRST = "CASE nk % 3 WHEN 0 THEN {0} WHEN 1 THEN CASE WHEN r = 0 THEN '1 | 2' ELSE '' END ELSE CASE WHEN r = 0 THEN 'Jahr' ELSE '' END END"
 ORACLE["evidence_legacy"] = f"""WITH {BASE}, all_rows AS (SELECT c.*, ev.evidence_id FROM c JOIN ev USING (page_title)),
-q AS (SELECT evidence_id, nk, u.r, u.t FROM ev, (VALUES (0, 'table_row:0:0'), (1, 'table_row:0:1'), (0, 'table_row:0')) u(r, t))
-SELECT q.evidence_id, CAST(q.r AS INTEGER) AS row_index, CASE q.nk % 3 WHEN 0 THEN (SELECT {_ROW} FROM all_rows x WHERE x.evidence_id = q.evidence_id AND x.row_index = q.r) WHEN 1 THEN CASE WHEN q.r = 0 THEN '1 | 2' ELSE '' END ELSE CASE WHEN q.r = 0 THEN 'Jahr' ELSE '' END END AS snippet, q.t AS snippet_ref FROM q"""
+q AS (SELECT evidence_id, nk, CAST(u.r AS INTEGER) AS r, u.j FROM ev, (VALUES (0, '{{"type":"table_row","table_index":0,"row_index":0}}'), (1, '{{"type":"table_row","table_index":0,"row_index":1}}'), (0, '{{"type":"table_row","table_index":0,"row_index":0}}'),
+  (0, '{{"type":"table_row","table_index":0,"row_index":0}}'), (NULL, '{{"type":"garbage"}}'), (NULL, '{{"type":"table_row:x"}}')) u(r, j)),
+t AS (SELECT q.*, CASE WHEN q.nk % 3 = 0 THEN (SELECT {_ROW} FROM all_rows x WHERE x.evidence_id = q.evidence_id AND x.row_index = q.r) WHEN q.nk % 3 = 1 AND q.r = 0 THEN '1 | 2' WHEN q.nk % 3 = 2 AND q.r = 0 THEN 'Jahr' END AS s FROM q)
+SELECT evidence_id, r AS row_index, coalesce(s, '') AS snippet, CASE WHEN s IS NOT NULL THEN 'table_row' END AS snippet_source, j AS ref FROM t"""
+
+
+@query
+def evidence_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structured references to every person page under each preference: none, a row that is not there, another type."""
+    pages = R.person_pages(spark, sf_dir)
+    index = materialise(evidence.rebuild_index(pages.drop("html")))
+    ref = lambda kind, row: F.struct(F.lit(1).alias("version"), F.lit(kind).alias("type"), F.lit(0).alias("table_index"), F.lit(row).alias("row_index"), F.lit("data").alias("row_kind"), F.lit(None).alias("title_hint"), F.lit(None).alias("match")).cast(members.SNIPPET_REF)
+    given = F.array(ref("table_row", 99), ref("section", 0), F.lit(None).cast(members.SNIPPET_REF), ref("table_row", 0))
+    refs = materialise(index.select("evidence_id", F.posexplode(given).alias("k", "snippet_ref")).select("evidence_id", "snippet_ref", F.col("k").cast("string").alias("purpose")))
+    out = None
+    for prefer in ("table_row", "lead_paragraph", "by_reference"):
+        one = evidence.resolve_evidence_refs(refs, index, pages, prefer).withColumn("prefer", F.lit(prefer))
+        out = one if out is None else out.unionByName(one)
+    return out.select("evidence_id", "prefer", "purpose", "snippet", "snippet_source")
+
+
+_BOX = "CASE k % 4 WHEN 0 THEN 'Geboren | am' WHEN 1 THEN 'Geboren | ' || d ELSE 'Geboren | unbekannt' END"
+_BOX_ROW = f"CASE WHEN k % 5 = 0 THEN 'Gestorben | ' || (k % 28 + 1) || '. März 2010' ELSE {_BOX} END"
+ORACLE["evidence_references"] = f"""WITH {PEOPLE}, x AS (SELECT pe, CASE WHEN k % 11 = 0 THEN 'Danach' ELSE 'Koordinaten: 1 2' END AS lead, {_BOX_ROW} AS box FROM pp),
+w AS (SELECT * FROM (VALUES ('table_row'), ('lead_paragraph'), ('by_reference')) a(prefer), (VALUES ('0'), ('1'), ('2'), ('3')) b(purpose))
+SELECT pe AS evidence_id, prefer, purpose, CASE WHEN purpose = '3' THEN box WHEN purpose = '2' OR prefer = 'lead_paragraph' OR (prefer = 'by_reference' AND purpose = '1') THEN lead END AS snippet,
+CASE WHEN purpose = '3' THEN 'table_row' WHEN purpose = '2' OR prefer = 'lead_paragraph' OR (prefer = 'by_reference' AND purpose = '1') THEN 'lead_paragraph' END AS snippet_source FROM x, w"""
+
+
+@query
+def evidence_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every member's citation as JSON: the reference an object in it, the places of the stored files, and no nulls."""
+    r = _members(spark, sf_dir).select(F.get("evidence_refs", F.lit(0)).alias("r")).select("r.evidence_id", "r.snippet_ref", "r.purpose")
+    lists = R.list_pages(spark, sf_dir).withColumn("raw_path", F.concat(F.lit("cache/"), "page_title", F.lit("/raw.json"))).withColumn("metadata_path", F.concat(F.lit("cache/"), "page_title", F.lit("/metadata.json")))
+    index = evidence.rebuild_index(lists.drop("html")).join(lists.select("page_title", F.col("metadata_path").alias("cache_metadata_path")), "page_title")
+    j = evidence.as_json(evidence.resolve_evidence_refs(r, index, lists))
+    of = lambda path: F.get_json_object("json", f"$.{path}")
+    return j.select("evidence_id", *(of(p).alias(n) for p, n in (("snippet_ref.match.person_title", "person_title"), ("snippet_ref.row_index", "row_index"), ("cache_metadata_path", "cache_metadata_path"), ("cache_raw_path", "cache_raw_path"))), F.col("json").contains("null").alias("nulls"), F.json_object_keys("json").alias("k")).withColumn("keys", F.array_join("k", ",")).drop("k")
+
+
+ORACLE["evidence_json"] = f"""WITH {BASE} SELECT evidence_id, title AS person_title, CAST(row_index AS VARCHAR) AS row_index, 'cache/' || page_title || '/metadata.json' AS cache_metadata_path, 'cache/' || page_title || '/raw.json' AS cache_raw_path, false AS nulls,
+'evidence_id,source_kind,page_title,page_id,revision_id,retrieved_at_utc,sha256,source_url,canonical_url,cache_metadata_path,cache_raw_path,snippet,snippet_source,purpose,snippet_ref' AS keys FROM m"""
 
 
 @query
@@ -268,13 +312,13 @@ def evidence_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     lost = index.select(F.concat(F.lit("lost"), "evidence_id").alias("evidence_id"), "source_kind", "sha256", "endpoint", "params", F.lit("nowhere").alias("cache_metadata_path"))
     index = index.unionByName(lost)
     out = evidence.resolve_evidence_ids(index.select("evidence_id"), index, stored)
-    return out.select("evidence_id", "source_kind", "sha256", "canonical_url", "source_url", "retrieved_at_utc", "snippet")
+    return out.select("evidence_id", "source_kind", "sha256", "canonical_url", "source_url", "retrieved_at_utc", "snippet", "cache_metadata_path")
 
 
 ORACLE["evidence_registry"] = f"""WITH {REG}, g AS (SELECT DISTINCT wp, page FROM reg)
 SELECT 'cache/' || wp || '/' || page AS evidence_id, CASE WHEN wp = 1 THEN 'dip' ELSE 'other' END AS source_kind, CASE WHEN page % 2 = 0 THEN 'own' ELSE 'stored' END AS sha256,
 CASE WHEN wp <> 1 THEN 'https://registry.example/stored' WHEN page % 2 = 0 THEN '{evidence.REGISTRY_URL}/person?q=a+b' || page ELSE '{evidence.REGISTRY_URL}/person?f.wahlperiode=' || wp || '&f.wahlperiode=99&limit=100' END AS canonical_url,
-'https://registry.example/stored' AS source_url, '2024-03-03' AS retrieved_at_utc, CAST(NULL AS VARCHAR) AS snippet FROM g"""
+'https://registry.example/stored' AS source_url, '2024-03-03' AS retrieved_at_utc, CAST(NULL AS VARCHAR) AS snippet, 'cache/' || wp || '/' || page AS cache_metadata_path FROM g"""
 
 
 @query
@@ -284,7 +328,7 @@ def evidence_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evidence.as_markdown(out).join(evidence.as_json(out).select("evidence_id", F.get_json_object("json", "$.purpose").alias("purpose"), F.get_json_object("json", "$.page_title").alias("page_title")), "evidence_id")
 
 
-ORACLE["evidence_formats"] = f"""WITH {PEOPLE} SELECT pe AS evidence_id, concat_ws(chr(10), '- Evidence `' || pe || '`', '  - **Source**: mediawiki', '  - **Page**: ' || title, '  - **Revision**: ' || (k + 20000000), '  - **URL**: https://de.wikipedia.org/wiki/' || title || '?oldid=' || (k + 20000000), '  - **Retrieved**: 2024-02-02T00:00:00Z',
+ORACLE["evidence_formats"] = f"""WITH {PEOPLE} SELECT pe AS evidence_id, concat_ws(chr(10), '- Evidence `' || pe || '`', '  - **Source**: mediawiki', '  - **Page**: ' || title, '  - **Revision**: ' || (k + 20000000), '  - **URL**: https://de.wikipedia.org/w/index.php?title=' || replace(title, '_', '%20') || '&oldid=' || (k + 20000000), '  - **Retrieved**: 2024-02-02T00:00:00Z',
   '  - **SHA256**: `' || substr(sha256(c_name), 1, 16) || '...`', '  - **Snippet**: "' || CASE WHEN k % 11 = 0 THEN 'Danach' ELSE 'Koordinaten: 1 2' END || '"', '  - **Snippet Source**: lead_paragraph') AS markdown, CAST(NULL AS VARCHAR) AS purpose, title AS page_title FROM pp"""
 
 
@@ -476,11 +520,13 @@ SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 3 < 2 AND o_orderkey % 20 <> 0 TH
 
 @query
 def canonical_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = R.table(spark, sf_dir, "documents")
-    return d.select("doc_id", text.page_url(F.col("text"), F.when(F.col("doc_id") % 3 != 0, F.col("doc_id"))).alias("url"))
+    d, revision = R.table(spark, sf_dir, "documents"), F.when(F.col("doc_id") % 3 != 0, F.col("doc_id"))
+    return d.select("doc_id", text.revision_url(F.col("text"), revision).alias("url"), text.page_url(F.col("text"), revision).alias("provenance_url"))
 
 
-ORACLE["canonical_urls"] = "SELECT doc_id, 'https://de.wikipedia.org/wiki/' || url_encode(replace(text, ' ', '_')) || CASE WHEN doc_id % 3 <> 0 THEN '?oldid=' || doc_id ELSE '' END AS url FROM documents"
+_NAME = "url_encode(replace(text, '_', ' '))"
+ORACLE["canonical_urls"] = f"""SELECT doc_id, CASE WHEN doc_id % 3 <> 0 THEN 'https://de.wikipedia.org/w/index.php?title=' || {_NAME} || '&oldid=' || doc_id ELSE 'https://de.wikipedia.org/wiki/' || {_NAME} END AS url,
+'https://de.wikipedia.org/wiki/' || {_NAME} || CASE WHEN doc_id % 3 <> 0 THEN '?oldid=' || doc_id ELSE '' END AS provenance_url FROM documents"""
 
 
 @query

@@ -189,7 +189,7 @@ def persons_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _people(spark, sf_dir).select("person_id", "name", "birth_date", "birth_date_status", "death_date", "intro", "enriched", _sorted_text(F.col("evidence_ids")).alias("evidence_ids"), _sorted_text(F.col("data_quality_flags")).alias("flags"))
 
 
-ORACLE["persons_enriched"] = f"""WITH {BASE}, {PEOPLE} SELECT m.person_id, m.c_name AS name, CASE WHEN dated THEN d END AS birth_date, CASE WHEN pp.k IS NULL THEN 'unknown' WHEN dated THEN 'extracted' ELSE 'not_present' END AS birth_date_status, death_date, intro, pp.k IS NOT NULL AS enriched,
+ORACLE["persons_enriched"] = f"""WITH {BASE}, {PEOPLE} SELECT m.person_id, m.c_name AS name, CASE WHEN dated THEN d END AS birth_date, CASE WHEN pp.k IS NULL THEN 'unknown' WHEN dated THEN 'extracted' ELSE 'not_present' END AS birth_date_status, death_date, intro, pp.k IS NOT NULL AND (dated OR death_date IS NOT NULL OR intro IS NOT NULL) AS enriched,
 CASE WHEN intro IS NULL THEN m.evidence_id WHEN pe < m.evidence_id THEN pe || ',' || m.evidence_id ELSE m.evidence_id || ',' || pe END AS evidence_ids, CASE WHEN NOT dated THEN 'missing_birth_date' ELSE '' END AS flags FROM m LEFT JOIN pp ON pp.person_id = m.person_id"""
 
 
@@ -198,7 +198,7 @@ def enrichment_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.enrichment_stats(_people(spark, sf_dir))
 
 
-ORACLE["enrichment_stats"] = "SELECT count(*) AS total, count(*) FILTER (c_acctbal >= 0) AS enriched, count(*) FILTER (c_acctbal < 0) AS failed FROM customer WHERE c_custkey % 7 <> 0"
+ORACLE["enrichment_stats"] = "SELECT count(*) AS total, count(*) FILTER (c_acctbal >= 0 AND (c_custkey % 4 < 2 OR c_custkey % 5 = 0 OR c_custkey % 11 <> 0)) AS enriched, count(*) FILTER (c_acctbal < 0) AS failed FROM customer WHERE c_custkey % 7 <> 0"
 
 
 @query
@@ -233,7 +233,7 @@ def wiki_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["wiki_records"] = f"""WITH {BASE}, {PEOPLE} SELECT m.person_id AS id, m.title AS wikipedia_title, CASE WHEN pp.k IS NULL THEN 0 ELSE pp.k + 10000000 END AS page_id, CASE WHEN pp.k IS NULL THEN 0 ELSE pp.k + 20000000 END AS revision_id, m.c_name AS name, CASE WHEN dated THEN d END AS birth_date,
-CASE WHEN pp.k IS NOT NULL THEN 'https://de.wikipedia.org/wiki/' || pp.title END AS source_url FROM m LEFT JOIN pp ON pp.person_id = m.person_id"""
+CASE WHEN pp.k IS NOT NULL THEN 'https://de.wikipedia.org/wiki/' || replace(pp.title, '_', '%20') || '?oldid=' || (pp.k + 20000000) END AS source_url FROM m LEFT JOIN pp ON pp.person_id = m.person_id"""
 
 
 def _entities(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -243,13 +243,16 @@ def _entities(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 @query
 def graph_mandate_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every mandate is written twice, first with other dates: its edges are there once, with the dates of the last row."""
     e = _entities(spark, sf_dir)
-    return graph.mandate_edges(e["mandates"], e["persons"], e["parties"], e["legislatures"]).select("src_label", "src", "type", "dst_label", "dst")
+    first = e["mandates"].withColumns({"start_date": F.lit("1900-01-01"), "end_date": F.lit(None).cast("string"), "written": F.lit(0)})
+    rows = e["mandates"].withColumn("written", F.lit(1)).unionByName(first)
+    return graph.mandate_edges(rows, e["persons"], e["parties"], e["legislatures"], ["written"]).select("src_label", "src", "type", "dst_label", "dst", "start_date", "end_date")
 
 
-ORACLE["graph_mandate_edges"] = f"""WITH {BASE} SELECT 'Person' AS src_label, person_id AS src, 'HELD' AS type, 'Mandate' AS dst_label, mandate_id AS dst FROM m
-UNION ALL SELECT 'Mandate', mandate_id, 'IN', 'Legislature', legislature_id FROM m WHERE legislature_id IS NOT NULL
-UNION ALL SELECT 'Mandate', mandate_id, 'AFFILIATED_WITH', 'Party', {u5(ids.PARTY, 'lower(party)')} FROM m"""
+ORACLE["graph_mandate_edges"] = f"""WITH {BASE} SELECT 'Person' AS src_label, person_id AS src, 'HELD' AS type, 'Mandate' AS dst_label, mandate_id AS dst, NULL AS start_date, NULL AS end_date FROM m
+UNION ALL SELECT 'Mandate', mandate_id, 'IN', 'Legislature', legislature_id, NULL, NULL FROM m WHERE legislature_id IS NOT NULL
+UNION ALL SELECT 'Mandate', mandate_id, 'AFFILIATED_WITH', 'Party', {u5(ids.PARTY, 'lower(party)')}, '2001-05-01', '2005-04-30' FROM m"""
 
 
 @query

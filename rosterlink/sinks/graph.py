@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterlink.functions.ids import party_id
@@ -43,6 +43,7 @@ def supported_by(df: DataFrame, key: str, label: str) -> DataFrame:
     """Edges from persons or mandates to evidence, distinct by (source, evidence, purpose, reference)."""
     rows = df.select(F.col(key).alias("src"), F.explode("evidence_refs").alias("r"))
     rows = rows.select(F.lit(label).alias("src_label"), "src", F.lit("SUPPORTED_BY").alias("type"), F.lit("Evidence").alias("dst_label"), F.col("r.evidence_id").alias("dst"), F.coalesce("r.purpose", F.lit("")).alias("purpose"), F.coalesce(F.to_json("r.snippet_ref"), F.lit("")).alias("snippet_ref_json"))
+    rows = rows.withColumns({"start_date": F.lit(None).cast("string"), "end_date": F.lit(None).cast("string")})
     return rows.dropDuplicates(["src", "dst", "purpose", "snippet_ref_json"])
 
 
@@ -51,15 +52,26 @@ def evidence_stubs(edges: DataFrame, evidence: DataFrame) -> DataFrame:
     return edges.where("type = 'SUPPORTED_BY'").select(F.col("dst").alias("evidence_id")).distinct().join(evidence.select("evidence_id"), "evidence_id", "left_anti")
 
 
-def _edge(rows: DataFrame, src_label: str, src: str, kind: str, dst_label: str, dst) -> DataFrame:
-    return rows.select(F.lit(src_label).alias("src_label"), F.col(src).alias("src"), F.lit(kind).alias("type"), F.lit(dst_label).alias("dst_label"), dst.alias("dst"), F.lit("").alias("purpose"), F.lit("").alias("snippet_ref_json")).distinct()
+def _edge(rows: DataFrame, src_label: str, src: str, kind: str, dst_label: str, dst: Column, properties: tuple[str, ...] = (), order: list[str] | None = None) -> DataFrame:
+    """One edge for each (source, target), with the ``properties`` of the row written last: by ``order``, then by their values."""
+    ends = [F.col(src).alias("src"), dst.alias("dst")]
+    last = F.max(F.struct(*(F.col(c).alias(f"o{k}") for k, c in enumerate(order or [])), *(properties or (F.lit(0).alias("none"),)))).alias("m")
+    edges = rows.groupBy(*ends).agg(last)
+    value = lambda c: (F.col(f"m.{c}") if c in properties else F.lit(None).cast("string")).alias(c)
+    return edges.select(F.lit(src_label).alias("src_label"), "src", F.lit(kind).alias("type"), F.lit(dst_label).alias("dst_label"), "dst", F.lit("").alias("purpose"), F.lit("").alias("snippet_ref_json"), value("start_date"), value("end_date"))
 
 
-def mandate_edges(mandates: DataFrame, persons: DataFrame, parties: DataFrame, legislatures: DataFrame) -> DataFrame:
-    """HELD, IN and AFFILIATED_WITH, between nodes that are there."""
+def mandate_edges(mandates: DataFrame, persons: DataFrame, parties: DataFrame, legislatures: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """HELD, IN and AFFILIATED_WITH (with start and end dates), between nodes that are there.
+
+    An edge is one for its source, type and target: a mandate that comes several times writes its edges again, and the dates
+    of its last row stay, by the columns ``order`` (else ``updated_at`` or ``created_at`` where the table has them).
+    """
+    order = [c for c in ("updated_at", "created_at") if c in mandates.columns] if order is None else order
     held = _edge(mandates, "Person", "person_id", "HELD", "Mandate", F.col("mandate_id")).join(persons.select(F.col("person_id").alias("src")), "src", "left_semi")
     inside = _edge(mandates.where("legislature_id is not null"), "Mandate", "mandate_id", "IN", "Legislature", F.col("legislature_id")).join(legislatures.select(F.col("legislature_id").alias("dst")), "dst", "left_semi")
-    with_party = _edge(mandates.where("party_name <> ''"), "Mandate", "mandate_id", "AFFILIATED_WITH", "Party", party_id(F.col("party_name"))).join(parties.select(F.col("party_id").alias("dst")), "dst", "left_semi")
+    with_party = _edge(mandates.where("party_name <> ''"), "Mandate", "mandate_id", "AFFILIATED_WITH", "Party", party_id(F.col("party_name")), ("start_date", "end_date"), order)
+    with_party = with_party.join(parties.select(F.col("party_id").alias("dst")), "dst", "left_semi")
     return held.unionByName(inside).unionByName(with_party)
 
 

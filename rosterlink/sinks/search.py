@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rosterlink.functions.text import page_url
 from rosterlink.sources.readers import latest
 
 
@@ -17,11 +18,17 @@ def mandate_documents(mandates: DataFrame) -> DataFrame:
 
 
 def canonical_documents(canonical: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Canonical persons with their sources and the provenance of their page."""
+    """Canonical persons with their sources and provenance: their own where the table has it, else that of their page.
+
+    A page's provenance names the revision that was read; persons without a stored page have none.
+    """
     m = latest(metadata, ["page_title"], ["retrieved_at", "revision_id"])
-    m = m.select(F.col("page_title").alias("t"), F.struct("revision_id", "page_id", "retrieved_at", "sha256", F.col("url").alias("source_url")).alias("provenance"))
-    rows = canonical.join(m, F.col("identifiers.wikipedia_title") == F.col("t"), "left").drop("t")
-    return rows.select("*", F.col("identifiers").alias("sources"), F.lit("accepted").alias("match_status"), F.col("id").alias("_id"))
+    url = page_url(F.col("page_title"), F.col("revision_id")).alias("source_url")
+    m = m.select(F.col("page_title").alias("t"), F.struct("revision_id", "page_id", "retrieved_at", "sha256", url).alias("of_page"))
+    rows = canonical.join(m, F.col("identifiers.wikipedia_title") == F.col("t"), "left")
+    sources = F.struct("identifiers.wikipedia_title", "identifiers.dip_person_id")
+    provenance = F.coalesce("provenance", "of_page") if "provenance" in canonical.columns else F.col("of_page")
+    return rows.select(F.col("id").alias("_id"), "display_name", sources.alias("sources"), F.lit("accepted").alias("match_status"), "evidence_ids", provenance.alias("provenance"))
 
 
 #: What mandate documents are filtered by.

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rosterlink.functions.text import BASE_URL, quote, underscored
-from rosterlink.sources.written import materialise
+from rosterlink.functions.text import page_url, response_sha256, underscored
+from rosterlink.sources.page_store import latest_keys, whole_pages
 
 PARSE = "parse struct<title:string,pageid:bigint,revid:bigint,displaytitle:string,text:struct<`*`:string>>"
 QUERY = "query struct<pages:map<string,struct<pageid:bigint,title:string,revisions:array<struct<revid:bigint,timestamp:string>>>>>"
@@ -24,50 +24,70 @@ def parse_responses(raw: DataFrame) -> DataFrame:
     return raw.select(*rest, underscored(F.coalesce(p["title"], F.lit(""))).alias("page_title"), F.coalesce(p["pageid"], F.lit(0)).alias("page_id"), F.coalesce(p["revid"], F.lit(0)).alias("revision_id"), F.coalesce(p["text"]["*"], F.lit("")).alias("html"))
 
 
+def _json_files(spark: SparkSession, path: str, schema: str, name: str) -> DataFrame:
+    """``(path, directory, value, json)`` of files of one JSON document each; ``json`` is null where a file holds none."""
+    text = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=name)
+    at = F.col("_metadata.file_path")
+    parsed = F.from_json("value", f"{schema}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"})
+    rows = text.select(at.alias("path"), F.regexp_replace(at, "/[^/]*$", "").alias("directory"), "value", parsed.alias("json"))
+    return rows.withColumn("json", F.when(F.col("json._corrupt").isNull() & F.trim("value").startswith("{"), F.col("json").dropFields("_corrupt")))
+
+
+def read_errors(spark: SparkSession, path: str, name: str = "*.json") -> DataFrame:
+    """``(path, error)`` of the stored responses and metadata under ``path`` that can't be read. A file of no bytes counts as missing."""
+    return _json_files(spark, path, "_any string", name).where("json is null").select("path", F.lit("No readable JSON").alias("error"))
+
+
 def read_parse_responses(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON document a file; ``directory`` says where it lies, for the join with its metadata."""
-    raw = spark.read.schema(PARSE).json(path, multiLine=True, recursiveFileLookup=True, pathGlobFilter="raw.json")
-    return parse_responses(raw.withColumn("directory", F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")).withColumn("raw_path", F.col("_metadata.file_path")))
+    """One response a file; ``directory`` says where it lies, for the join with its metadata, ``raw_json`` is its text.
+
+    Files that can't be read give no page; ``read_errors`` has them.
+    """
+    raw = _json_files(spark, path, PARSE, "raw.json").where("json is not null")
+    return parse_responses(raw.select("json.parse", "directory", F.col("path").alias("raw_path"), F.col("value").alias("raw_json")))
 
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """Response metadata; a missing url is made from the title."""
-    raw = spark.read.schema(METADATA).json(path, multiLine=True, recursiveFileLookup=True, pathGlobFilter="metadata.json")
-    path_of = F.col("_metadata.file_path")
-    return complete_metadata(raw.withColumn("directory", F.regexp_replace(path_of, "/[^/]*$", "")).withColumn("metadata_path", path_of))
+    """Response metadata; a missing url is made from the title. Files that can't be read count as missing."""
+    raw = _json_files(spark, path, METADATA, "metadata.json").where("json is not null")
+    return complete_metadata(raw.select("json.*", "directory", F.col("path").alias("metadata_path")))
 
 
 def complete_metadata(meta: DataFrame) -> DataFrame:
-    return meta.withColumn("url", F.coalesce(F.nullif("url", F.lit("")), F.concat(F.lit(BASE_URL), quote(underscored(F.col("page_title"))))))
+    return meta.withColumn("url", F.coalesce(F.nullif("url", F.lit("")), page_url(F.col("page_title"), F.lit(None).cast("bigint"))))
 
 
 def read_raw_pages(spark: SparkSession, path: str) -> DataFrame:
     """Stored pages from files: every parse response under ``path`` with the metadata of its directory.
 
     Values of the response come first, those of its metadata where the response lacks them; a response without metadata
-    keeps its row with null provenance. Both sides are one file a row, and only the metadata's few columns are joined.
+    keeps its row with null provenance. ``parse_sha256`` and ``raw_sha256`` are worked out for responses whose metadata has
+    no hash, and only for those: the hashes of their ``parse`` object, which ids of parsed pages then hold, and of the whole.
+    Both sides are one file a row, and only the metadata's few columns are joined.
     """
     m = read_metadata(spark, path)
-    m = m.select("directory", F.col("page_title").alias("m_title"), F.col("page_id").alias("m_page"), F.col("revision_id").alias("m_revision"), "sha256", "retrieved_at", "url", F.col("metadata_path"), "endpoint_kind", "request_params")
+    m = m.select("directory", F.col("page_title").alias("m_title"), F.col("page_id").alias("m_page"), F.col("revision_id").alias("m_revision"), F.nullif("sha256", F.lit("")).alias("sha256"), "retrieved_at", "url", F.col("metadata_path"), "endpoint_kind", "request_params")
     rows = read_parse_responses(spark, path).join(m, "directory", "left")
     known = lambda c, other, empty: F.coalesce(F.nullif(c, F.lit(empty)), other, F.lit(empty))
     title = known("page_title", underscored(F.col("m_title")), "")
-    return rows.withColumns({"page_title": title, "page_id": known("page_id", F.col("m_page"), 0), "revision_id": known("revision_id", F.col("m_revision"), 0)}).drop("m_title", "m_page", "m_revision")
+    rows = rows.withColumns({"page_title": title, "page_id": known("page_id", F.col("m_page"), 0), "revision_id": known("revision_id", F.col("m_revision"), 0)}).drop("m_title", "m_page", "m_revision")
+    own = rows.withColumn("own", response_sha256(F.when(F.col("sha256").isNull(), F.col("raw_json"))))
+    return own.withColumns({"raw_sha256": F.col("own.raw"), "parse_sha256": F.col("own.parse")}).drop("own", "raw_json")
 
 
-def _json_files(spark: SparkSession, path: str, schema: str, name: str) -> DataFrame:
-    raw = spark.read.schema(schema).json(path, multiLine=True, recursiveFileLookup=True, pathGlobFilter=name)
-    return raw.withColumn("directory", F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", ""))
+def page_sha256(pages: DataFrame) -> Column:
+    """The hash that ids of parsed pages hold: the stored one, else that of the ``parse`` object where pages have it."""
+    return F.coalesce("sha256", "parse_sha256") if "parse_sha256" in pages.columns else F.col("sha256")
 
 
 def read_query_responses(spark: SparkSession, path: str, name: str = "*.json") -> DataFrame:
     """``page_revisions`` of stored query responses, one a file, with their ``directory``."""
-    return page_revisions(_json_files(spark, path, QUERY, name))
+    return page_revisions(_json_files(spark, path, QUERY, name).where("json is not null").select("json.query", "directory"))
 
 
 def read_search_responses(spark: SparkSession, path: str, name: str = "*.json") -> DataFrame:
     """``search_hits`` of stored search responses, one a file, with their ``directory``."""
-    return search_hits(_json_files(spark, path, SEARCH, name))
+    return search_hits(_json_files(spark, path, SEARCH, name).where("json is not null").select("json.query", "directory"))
 
 
 def page_revisions(responses: DataFrame) -> DataFrame:
@@ -116,10 +136,12 @@ def per_wp(persons: DataFrame, first: int, last: int) -> DataFrame:
 
 
 def read_evidence_index(spark: SparkSession, path: str) -> DataFrame:
-    """JSON lines; blank and corrupt lines are left out and the last line of an id wins."""
+    """JSON lines; blank and corrupt lines are left out and the last line of an id wins, by file and place in the file."""
     raw = spark.read.schema(f"{INDEX}, _corrupt string").option("columnNameOfCorruptRecord", "_corrupt").json(path)
-    placed = raw.withColumn("_file", F.col("_metadata.file_path")).withColumn("_line", F.monotonically_increasing_id())
-    return latest(placed.where("_corrupt is null and evidence_id is not null"), ["evidence_id"], ["_file", "_line"]).drop("_corrupt", "_file", "_line")
+    # a task reads a block of a file from its first line to its last, so lines stand in order of their block and this id
+    placed = raw.withColumns({"_file": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start"), "_line": F.monotonically_increasing_id()})
+    order = ["_file", "_block", "_line"]
+    return latest(placed.where("_corrupt is null and evidence_id is not null"), ["evidence_id"], order).drop("_corrupt", *order)
 
 
 def latest(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -134,14 +156,7 @@ def latest_pages(raw_pages: DataFrame) -> DataFrame:
     The order is found on keys alone and only the pages that win are read whole; they are never shuffled. Only where a
     winner is stored several times (equal in all of these) its copies meet in one more shuffle, and one stays.
     """
-    order = [c for c in ("retrieved_at", "revision_id", "sha256") if c in raw_pages.columns]
-    counted = raw_pages.select("page_title", F.struct(*order).alias("o")).groupBy("page_title", "o").agg(F.count("*").alias("n"))
-    best = materialise(counted.groupBy("page_title").agg(F.max(F.struct("o", "n")).alias("m")).select(F.col("page_title").alias("_t"), F.col("m.o").alias("_o"), F.col("m.n").alias("_n")))
-    rows = raw_pages.join(best, (F.col("page_title") == F.col("_t")) & F.struct(*order).eqNullSafe(F.col("_o")))
-    cols = raw_pages.columns
-    if best.where("_n > 1").isEmpty():
-        return rows.select(*cols)
-    return rows.where("_n = 1").select(*cols).unionByName(rows.where("_n > 1").select(*cols).dropDuplicates(["page_title"]))
+    return whole_pages(raw_pages, latest_keys(raw_pages), raw_pages.columns).select(*raw_pages.columns)
 
 
 def pages_to_refresh(current: DataFrame, stored: DataFrame, force: bool = False) -> DataFrame:

@@ -125,7 +125,7 @@ def test_readers(spark, tmp_path):
     (d / "metadata.json").write_text(json.dumps({"page_title": "Ada Beispiel", "sha256": "s"}))
     r = readers.read_parse_responses(spark, str(tmp_path / "cache")).first()
     assert (r.page_title, r.page_id, r.revision_id, r.html) == ("Ada_Beispiel", 5, 0, "<p>x</p>")
-    assert readers.read_metadata(spark, str(tmp_path / "cache")).first().url == "https://de.wikipedia.org/wiki/Ada_Beispiel"
+    assert readers.read_metadata(spark, str(tmp_path / "cache")).first().url == "https://de.wikipedia.org/wiki/Ada%20Beispiel"
     (tmp_path / "i.jsonl").write_text('{"evidence_id": "a", "endpoint": "1"}\n\n{bad\n{"evidence_id": "a", "endpoint": "2"}\n')
     assert [(x.evidence_id, x.endpoint) for x in readers.read_evidence_index(spark, str(tmp_path / "i.jsonl")).collect()] == [("a", "2")]
     (tmp_path / "d1.json").write_text(json.dumps({"numFound": 2, "cursor": None, "documents": [{"id": 1, "fraktion": "X"}, {"id": 2, "fraktion": ["Y", "Z"]}]}))
@@ -238,7 +238,7 @@ def test_markdown(spark):
     got = {r.evidence_id: r.markdown for r in evidence.as_markdown(out).collect()}
     assert got["e2"] == "- Evidence `e2`\n  - **Source**: other\n  - **Page**: X\n  - **URL**: http://x"
     lines = got["e1"].split("\n")
-    assert lines[3:7] == ["  - **Revision**: 2", "  - **URL**: https://de.wikipedia.org/wiki/Liste?oldid=2", "  - **Retrieved**: t", "  - **SHA256**: `aaaaaaaaaaaaaaaa...`"] and lines[7] == "  - **Purpose**: membership_row"
+    assert lines[3:7] == ["  - **Revision**: 2", "  - **URL**: https://de.wikipedia.org/w/index.php?title=Liste&oldid=2", "  - **Retrieved**: t", "  - **SHA256**: `aaaaaaaaaaaaaaaa...`"] and lines[7] == "  - **Purpose**: membership_row"
     want = dict(zip(("version", "type", "table_index", "row_index", "row_kind", "title_hint"), ref)) | {"match": {"person_title": "Ada_B", "name_cell": 'A "B"'}}
     assert got["e1"].split("  - **Snippet Ref**: ")[1] == "```json\n" + json.dumps(want, ensure_ascii=False, indent=4) + "\n```"
 
@@ -268,5 +268,5 @@ def test_normalize_url(spark, url):
 def test_references_of_search_documents(spark):
     ref = "struct<version:int,type:string,table_index:int,row_index:int>"
     docs = spark.createDataFrame([("p", None, {"e1": (1, "table_row", 0, 4), "e2": None}, ["e1"]), ("q", None, None, ["e3"])], f"person_id string, evidence_refs array<{members.EVIDENCE_REF}>, evidence_snippet_refs map<string,{ref}>, evidence_ids array<string>")
-    assert [tuple(r) for r in evidence.refs_of_documents(docs).collect()] == [("p", "e1", 0, 4, "membership_row")]
+    assert [(r.person_id, r.evidence_id, r.snippet_ref.table_index, r.snippet_ref.row_index, r.purpose) for r in evidence.refs_of_documents(docs).collect()] == [("p", "e1", 0, 4, "membership_row")]
     assert [r.evidence_id for r in evidence.refs_of_documents(docs.where("person_id = 'q'")).collect()] == ["e3"]
