@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosterlink.functions.ids import canonical_id, link_assertion_id
@@ -51,23 +53,53 @@ def candidates(wiki: DataFrame, dip: DataFrame) -> DataFrame:
     return pairs.select("wiki_id", "dip_person_id", "dip_pos", "score")
 
 
-def best_candidates(pairs: DataFrame) -> DataFrame:
-    """The best three a record, with the best and second-best score (0 if alone); ties keep the registry's order.
+#: Parts the text of a name key; normalised names have word characters and spaces only.
+_BAR = "|"
+
+
+def _name_keys(first: str, last: str, middle: str) -> Column:
+    """Every set of name parts that a score of 0.5 or more can rest on, as texts: surname as it is or folded, with or without
+    first name (as it is or folded) and middle part, or first name and middle part alone. Empty parts make no key."""
+    f, l, m = F.col(first), F.col(last), F.col(middle)
+    lasts, firsts, middles = {"L": l, "l": fold_umlauts(l)}, {"": None, "F": f, "f": fold_umlauts(f)}, {"": None, "M": m}
+    sets = [(kl + kf + km, [vl, vf, vm]) for kl, vl in lasts.items() for kf, vf in firsts.items() for km, vm in middles.items()] + [("FM", [f, m])]
+
+    def key(kind: str, parts: list) -> Column:
+        parts = [p for p in parts if p is not None]
+        there = reduce(lambda x, p: x & (F.length(p) > 0), parts, F.lit(True))
+        return F.when(there, F.concat_ws(_BAR, F.lit(kind), *parts))
+
+    return F.array_compact(F.array(*(key(kind, parts) for kind, parts in sets)))
+
+
+def _first_three(rows: DataFrame, *by: str) -> DataFrame:
+    """The first three rows of each group in the registry's order; a task sends on no more than three a group."""
+    return rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*by).orderBy("dip_pos"))).where("_rn <= 3").drop("_rn")
+
+
+def best_candidates(wiki: DataFrame, dip: DataFrame) -> DataFrame:
+    """``(wiki_id, dip_person_id, dip_pos, score, rn, best, second)``: the best three a record, with the best and second-best
+    score (0 if alone); ties keep the registry's order. Scores below 0.5 are no candidates.
 
-    Each task first cuts its own pairs to three, so a common surname never moves all its pairs.
+    Pairs of namesakes are never formed. A score depends on names alone, so equal names are one class on either side. A
+    registry row that is among a name's best three shares a set of name parts with it, and no three earlier rows share that
+    set, as they would score as much and come first. So the first three rows under each set of parts are enough: each name
+    meets at most 39 rows, whatever the number of namesakes. Only the best three are expanded to the records of a class.
     """
-    pairs = pairs.withColumn("lane", F.spark_partition_id())
-    order = [F.col("score").desc(), F.col("dip_pos")]
-    local = Window.partitionBy("wiki_id", "lane").orderBy(*order)
-    top = pairs.withColumn("rn", F.row_number().over(local)).where("rn <= 3")
-    w = Window.partitionBy("wiki_id").orderBy(*order)
-    every = Window.partitionBy("wiki_id")
-    top = top.withColumn("rn", F.row_number().over(w)).withColumn("best", F.max("score").over(every)).withColumn("second", F.coalesce(F.max(F.when(F.col("rn") == 2, F.col("score"))).over(every), F.lit(0.0)))
-    return top.where("rn <= 3").drop("lane")
+    names = ["wf", "wl", "wm"]
+    rows = _first_three(dip_keys(dip), "df", "dl", "dm")
+    listed = _first_three(rows.withColumn("key", F.explode(_name_keys("df", "dl", "dm"))), "key")
+    records = materialise(wiki_keys(wiki))
+    met = records.select(*names).distinct().withColumn("key", F.explode(_name_keys("wf", "wl", "wm"))).join(listed, "key").drop("key")
+    met = met.dropDuplicates([*names, "dip_pos"]).withColumn("score", score()).where("score >= 0.5")
+    of_name, every = Window.partitionBy(*names).orderBy(F.col("score").desc(), "dip_pos"), Window.partitionBy(*names)
+    top = met.withColumn("rn", F.row_number().over(of_name)).where("rn <= 3")
+    top = top.withColumns({"best": F.max("score").over(every), "second": F.coalesce(F.max(F.when(F.col("rn") == 2, F.col("score"))).over(every), F.lit(0.0))})
+    return records.join(top, names).select("wiki_id", "dip_person_id", "dip_pos", "score", "rn", "best", "second")
 
 
 def reconcile(wiki: DataFrame, dip: DataFrame, overrides: DataFrame | None = None, run_ts: str = "") -> tuple[DataFrame, DataFrame]:
-    """``(assertions, canonical persons)``, from pairs that are scored once; assertions are written.
+    """``(assertions, canonical persons)``, from names that are scored once; assertions are written.
 
     A manual override decides for its title, if it names a person of the registry; one that names nobody of the
     registry gives no assertion at all. Others are accepted with a best score of 0.95 that leads by 0.05, else their
@@ -84,14 +116,14 @@ def reconcile(wiki: DataFrame, dip: DataFrame, overrides: DataFrame | None = Non
         overrides = wiki.sparkSession.createDataFrame([], "wikipedia_title string, dip_person_id bigint, status string, reason string")
     o = overrides.where("dip_person_id is not null").select("wikipedia_title", F.col("dip_person_id").alias("dip_person_id"), F.col("status").alias("o_status"), F.col("reason").alias("o_reason"))
     whole = wiki.select(F.col("id").alias("wiki_id"), "wikipedia_title", "name", "page_id", F.col("evidence_ids").alias("we"))
-    of_dip = dip.groupBy("dip_person_id").agg(F.min_by("evidence_ids", "dip_pos").alias("de"))
+    of_dip = materialise(dip.groupBy("dip_person_id").agg(F.min_by("evidence_ids", "dip_pos").alias("de")))
     forced = whole.join(o, "wikipedia_title").join(of_dip, "dip_person_id")
     forced = forced.select(
         "*", F.col("dip_person_id").cast("string").alias("dip_person_ref"), F.lit("override").alias("method"), F.lit(1.0).alias("score"), F.when(F.col("o_status") == "rejected", "rejected").otherwise("accepted").alias("status"),
         F.coalesce("o_reason", F.lit("Manual override")).alias("reason"), F.concat("we", "de").alias("evidence_ids"),
     )
     free = whole.join(o, "wikipedia_title", "left_anti")
-    top = best_candidates(candidates(free.select(F.col("wiki_id").alias("id"), "name"), dip))
+    top = best_candidates(free.select(F.col("wiki_id").alias("id"), "name"), dip)
     accepted = (F.col("best") >= 0.95) & (F.col("best") - F.col("second") >= 0.05)
     rows = free.join(top, "wiki_id", "left").where(F.col("rn").isNull() | ~accepted | (F.col("rn") == 1))
     rows = rows.join(of_dip, "dip_person_id", "left")
