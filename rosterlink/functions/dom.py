@@ -8,6 +8,7 @@ and what scripts, styles and templates hold.
 
 from __future__ import annotations
 
+import hashlib
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -60,17 +61,31 @@ class _Node:
     def classes(self):
         return (self.attrs.get("class") or "").split()
 
-    def key(self):
-        """Equal for elements of equal content."""
-        out, stack = [], [(0, self)]
-        while stack:
-            depth, node = stack.pop()
-            if isinstance(node, str):
-                out.append((depth, node))
-            else:
-                out.append((depth, node.tag, tuple(sorted(node.attrs.items(), key=str))))
-                stack.extend((depth + 1, c) for c in reversed(node.children))
-        return tuple(out)
+
+def _digests(root: _Node) -> dict[int, bytes]:
+    """A digest of every element's content by ``id``, each made once from those of its children; equal for equal content."""
+    out: dict[int, bytes] = {}
+    for node in reversed([root, *root.walk()]):  # children come before their parents
+        h = hashlib.blake2b(repr((node.tag, sorted(node.attrs.items(), key=str))).encode("utf-8", "surrogatepass"), digest_size=16)
+        for c in node.children:
+            part = c.encode("utf-8", "surrogatepass") if isinstance(c, str) else out[id(c)]
+            h.update(b"%d%c" % (len(part), b"se"[not isinstance(c, str)]) + part)
+        out[id(node)] = h.digest()
+    return out
+
+
+def _next_tables(root: _Node) -> dict[int, _Node]:
+    """For every heading the next table beside it, if there is one: one pass over each element's children from the last."""
+    out: dict[int, _Node] = {}
+    for parent in [root, *root.walk()]:
+        table = None
+        for c in reversed(parent.children):
+            if isinstance(c, _Node):
+                if c.tag == "table":
+                    table = c
+                elif table is not None and c.tag in ("h2", "h3", "h4"):
+                    out[id(c)] = table
+    return out
 
 
 class _Builder(HTMLParser):
@@ -116,19 +131,17 @@ def parse(html: str | None, content: tuple[str, str | None] = ("div", "mw-parser
     tables = list(root.all("table"))
     place = {id(t): k for k, t in enumerate(tables)}
     wiki = [t for t in tables if "wikitable" in t.classes()] or tables
-    keys = [t.key() for t in wiki]
+    digest = _digests(root) if tables else {}
+    first: dict[bytes, int] = {}
+    for k, t in enumerate(wiki):
+        first.setdefault(digest[id(t)], k)
     out = []
     for k, t in enumerate(tables):
-        key = t.key()
         rows = [[_cell(c) for c in r.all("td", "th")] for r in t.all("tr")]
         header = [" ".join(c["text"].lower().split()) for c in rows[0]] if rows else []
-        out.append({"pos": k, "is_wikitable": "wikitable" in t.classes(), "cls": " ".join(t.classes()), "index": keys.index(key) if key in keys else 0, "header": header, "rows": rows})
-    headings = []
-    for h in root.all("h2", "h3", "h4"):
-        after = h.parent.children[next(i for i, c in enumerate(h.parent.children) if c is h) + 1 :]
-        nxt = next((c for c in after if isinstance(c, _Node) and c.tag == "table"), None)
-        if nxt is not None:
-            headings.append({"heading_text": h.text(), "table_pos": place[id(nxt)]})
+        out.append({"pos": k, "is_wikitable": "wikitable" in t.classes(), "cls": " ".join(t.classes()), "index": first.get(digest[id(t)], 0), "header": header, "rows": rows})
+    after = _next_tables(root)
+    headings = [{"heading_text": h.text(), "table_pos": place[id(after[id(h)])]} for h in root.all("h2", "h3", "h4") if id(h) in after]
     box = next((n for n in root.all(content[0]) if content[1] is None or content[1] in n.classes()), None)
     paragraphs, intro = [], []
     if box is not None:

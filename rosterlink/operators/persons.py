@@ -32,13 +32,23 @@ def key_facts(dom: Column) -> Column:
     return F.struct(F.get(known, F.size(known) - 1).alias("birth_date"), status.alias("birth_date_status"), F.get(F.array_compact(ended), F.size(F.array_compact(ended)) - 1).alias("death_date"))
 
 
-def parse_person_pages(pages: DataFrame, run_ts: str = "") -> DataFrame:
-    """One person record a page (``page_title, page_id, revision_id, sha256, html``), parsed and written once.
+def person_facts(pages: DataFrame) -> DataFrame:
+    """``(wikipedia_title, evidence_id, intro, facts)`` of pages (``page_title, page_id, revision_id, sha256, html``), parsed and
+    written once.
 
     Ids hold the page's stored hash, else that of its ``parse`` object (``parse_sha256``).
     """
     doms = parsed_pages(pages.select(underscored(F.col("page_title")).alias("wikipedia_title"), "page_id", "revision_id", page_sha256(pages).alias("sha256"), "html"))
-    rows = materialise(doms.select("wikipedia_title", evidence_id(F.col("page_id"), F.col("revision_id"), F.lit("parse"), F.col("sha256")).alias("evidence_id"), intro(F.col("dom")).alias("intro"), key_facts(F.col("dom")).alias("facts")))
+    return materialise(doms.select("wikipedia_title", evidence_id(F.col("page_id"), F.col("revision_id"), F.lit("parse"), F.col("sha256")).alias("evidence_id"), intro(F.col("dom")).alias("intro"), key_facts(F.col("dom")).alias("facts")))
+
+
+def parse_person_pages(pages: DataFrame, run_ts: str = "") -> DataFrame:
+    """One person record a page, from its ``person_facts``."""
+    return person_records(person_facts(pages), run_ts)
+
+
+def person_records(rows: DataFrame, run_ts: str = "") -> DataFrame:
+    """Person records of ``person_facts``."""
     has = F.col("intro") != ""
     note = F.struct(F.lit("intro").alias("type"), F.substring("intro", 1, 500).alias("text"), F.col("evidence_id"))
     ref = F.struct(F.col("evidence_id"), F.lit(None).alias("snippet_ref"), F.lit("person_page_intro").alias("purpose"), F.lit(None).alias("confidence"), F.lit(run_ts).alias("created_at")).cast(EVIDENCE_REF)

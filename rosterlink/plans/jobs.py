@@ -9,7 +9,8 @@ from rosterlink.functions.text import underscored
 from rosterlink.operators import linking, members, normalize, persons, registry
 from rosterlink.sinks import export, graph, search
 from rosterlink.sources import readers
-from rosterlink.sources.page_store import ORDER, PageStore, latest_of, pages_of
+from rosterlink.sources.keyed_table import KeyedTable
+from rosterlink.sources.page_store import ORDER, PageStore, latest_keys, latest_of, pages_of
 from rosterlink.sources.readers import complete_metadata, latest
 from rosterlink.sources.written import materialise
 
@@ -17,13 +18,68 @@ from rosterlink.sources.written import materialise
 def run_pipeline(raw_pages: DataFrame | PageStore, seeds: DataFrame, dip_persons: DataFrame, overrides: DataFrame | None = None, run_ts: str = "", run_id: str = "run") -> dict[str, DataFrame]:
     """All entity tables from stored pages (lists and person pages), seeds and registry persons.
 
-    Each page is parsed once, each name normalised once and each pair scored once: what several tables read is written
-    in between. Registry rows are deduplicated, so that a person of several terms does not count as ambiguous.
+    Each page is parsed once, each name normalised and scored once: what several tables read is written in between.
+    Registry rows are deduplicated, so that a person of several terms does not count as ambiguous.
     """
     parsed = members.member_pages(raw_pages, seeds)
     rows = members.parse_member_lists(parsed, run_ts)
     merged = materialise(normalize.merge_persons(rows))
-    people = enrich_from(merged, raw_pages, run_ts)
+    return _tables(raw_pages, seeds, parsed, rows, enrich_from(merged, raw_pages, run_ts), dip_persons, overrides, run_ts, run_id)
+
+
+def run_changed(raw_pages: DataFrame | PageStore, state: str, seeds: DataFrame, dip_persons: DataFrame, overrides: DataFrame | None = None, run_ts: str = "", run_id: str = "run", buckets: int = 64) -> dict[str, DataFrame]:
+    """The tables of ``run_pipeline``, from the parse results that an earlier run left in the folder ``state`` and new pages.
+
+    ``state`` keeps which response of each title was parsed, and its result: the member table of each seed, the facts of
+    each person page. A page is read whole and parsed only if its last response is another one than was parsed before, or
+    if a seed or person asks for it for the first time; a changed result replaces the old one where it is stored and leaves
+    other folders alone. ``parsed_titles`` names what this run has parsed. The first run creates the state.
+    """
+    spark = seeds.sparkSession
+    keys = latest_keys(raw_pages).select("page_title", F.to_json("order").alias("version"))
+    of_seed = F.sha2(F.to_json(F.struct(*[c for c in seeds.columns if c not in ("page_id", "revision_id")])), 256)
+    wanted = seeds.withColumns({"title": underscored(F.col("page_title")), "seed": of_seed})
+    wanted = materialise(wanted.join(keys.withColumnRenamed("page_title", "title"), "title"))
+
+    lists = _parsed_before(spark, f"{state}/lists")
+    todo = wanted if lists is None else wanted.join(lists.rows().select(F.col("seed_key").alias("key"), "version", "seed"), ["key", "version", "seed"], "left_anti")
+    todo = materialise(todo)
+    fresh = members.member_pages(raw_pages, todo.select(*seeds.columns)).join(todo.select(F.col("key").alias("seed_key"), "version", "seed"), "seed_key")
+    lists = _keep(lists, fresh, f"{state}/lists", "seed_key", buckets)
+    current = wanted.select(F.col("key").alias("seed_key"), "version", "seed")
+    parsed = materialise(lists.rows().join(current, ["seed_key", "version", "seed"], "left_semi").drop("version", "seed"))
+    rows = members.parse_member_lists(parsed, run_ts)
+    merged = materialise(normalize.merge_persons(rows))
+
+    people = _parsed_before(spark, f"{state}/people")
+    asked = materialise(merged.select("wikipedia_title").join(keys.withColumnRenamed("page_title", "wikipedia_title"), "wikipedia_title"))
+    missing = materialise(asked if people is None else asked.join(people.rows().select("wikipedia_title", "version"), ["wikipedia_title", "version"], "left_anti"))
+    fresh = persons.person_facts(latest_of(raw_pages, missing.select(F.col("wikipedia_title").alias("page_title")), members.page_columns(raw_pages)))
+    people = _keep(people, fresh.join(missing, "wikipedia_title"), f"{state}/people", "wikipedia_title", buckets)
+    facts = people.rows().join(asked, ["wikipedia_title", "version"], "left_semi").drop("version")
+    enriched = normalize.enrich_persons(merged, persons.person_records(facts, run_ts))
+
+    out = _tables(raw_pages, seeds, parsed, rows, enriched, dip_persons, overrides, run_ts, run_id)
+    out["parsed_titles"] = todo.select(F.col("title").alias("page_title")).union(missing.select("wikipedia_title")).distinct()
+    return out
+
+
+def _parsed_before(spark: SparkSession, path: str) -> KeyedTable | None:
+    about = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/about")
+    there = about.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(about)
+    return KeyedTable.open(spark, path) if there else None
+
+
+def _keep(table: KeyedTable | None, fresh: DataFrame, path: str, key: str, buckets: int) -> KeyedTable:
+    """The stored table with ``fresh`` results in it; created if there is none."""
+    if table is None:
+        return KeyedTable.write(fresh, path, key, buckets)
+    table.upsert(fresh)
+    return table
+
+
+def _tables(raw_pages: DataFrame | PageStore, seeds: DataFrame, parsed: DataFrame, rows: DataFrame, people: DataFrame, dip_persons: DataFrame, overrides: DataFrame | None, run_ts: str, run_id: str) -> dict[str, DataFrame]:
+    """All tables of a run from parsed lists, their members, and enriched persons."""
     table = pages_of(raw_pages)
     metadata = complete_metadata(latest(table.select(underscored(F.col("page_title")).alias("page_title"), "page_id", "revision_id", "retrieved_at", "sha256", "url"), ["page_title"], list(ORDER)))
     wiki = materialise(normalize.wiki_records(people, metadata))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,8 +15,10 @@ from rosterlink.queries import render as R
 from rosterlink.queries.render import u5_sql as u5
 from rosterlink.queries.roster import BASE, PEOPLE, _members, _parsed, _people, _sorted_text
 from rosterlink.sinks import graph, search
+from rosterlink.sinks.term_index import MANDATE_FIELDS, PERSON_FIELDS, TermIndex
 from rosterlink.sources import readers
-from rosterlink.sources.written import materialise
+from rosterlink.sources.keyed_table import KeyedTable
+from rosterlink.sources.written import materialise, shared_dir
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -344,6 +348,23 @@ def evidence_index_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["evidence_index_upsert"] = "WITH n AS (SELECT CAST(user_id AS VARCHAR) AS evidence_id, arg_max(event_type, event_id) AS source_kind, max(event_id) AS revision_id FROM events GROUP BY 1) SELECT * FROM n UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'old', 0 FROM customer WHERE CAST(c_custkey AS VARCHAR) NOT IN (SELECT evidence_id FROM n)"
 
 
+@query
+def evidence_index_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same index as a stored table that takes the events in three batches, the last of them twice."""
+    e = R.table(spark, sf_dir, "events")
+    old = R.table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("evidence_id"), F.lit("old").alias("source_kind"), F.lit(0).cast("bigint").alias("revision_id"))
+    index = KeyedTable.write(old, f"{shared_dir(spark)}/index-{uuid.uuid4().hex}", "evidence_id", 32)
+    new = e.select(F.col("user_id").cast("string").alias("evidence_id"), F.col("event_type").alias("source_kind"), F.col("event_id").alias("revision_id"))
+    last = e.agg(F.max("event_id")).first()[0]
+    for batch in (0, 1, 2, 2):
+        mine = new.where(F.floor(F.col("revision_id") * 3 / (last + 1)) == batch)
+        index.upsert(mine.withColumn("batch_pos", F.col("revision_id")), ["batch_pos"])
+    return index.rows()
+
+
+ORACLE["evidence_index_batches"] = ORACLE["evidence_index_upsert"]
+
+
 def _fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = R.table(spark, sf_dir, "events")
     return e.select(F.concat(F.lit("U_"), F.col("user_id").cast("string")).alias("page_title"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("retrieved_at"), F.col("event_id").alias("revision_id"), F.col("props").alias("html"), F.col("event_type").alias("kind"))
@@ -383,6 +404,40 @@ ORACLE["page_revisions"] = """SELECT o_orderkey, CASE WHEN o_orderkey % 10 <> 0
 CASE WHEN o_orderkey % 10 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS revision_timestamp, CASE WHEN o_orderkey % 10 = 0 THEN 'No pages in response' END AS error FROM orders"""
 
 
+# search
+
+
+def _asked(spark: SparkSession, queries: list[str]) -> DataFrame:
+    """The stated queries as a table."""
+    return spark.createDataFrame([(q,) for q in queries], "query string")
+
+
+@query
+def search_person_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Persons whose name or title holds every term of a query, for queries of one to four terms, by an inverted index."""
+    people = normalize.merge_persons(_members(spark, sf_dir))
+    index = TermIndex.write(people, f"{shared_dir(spark)}/terms-{uuid.uuid4().hex}", "person_id", PERSON_FIELDS, "name")
+    return index.matches(_asked(spark, PERSON_QUERIES)).select("query", F.col("id").alias("person_id"), F.col("rank").alias("name"))
+
+
+PERSON_QUERIES = ["1", "CUSTOMER 7", "customer 00 3", "Customer#0 2 4 customer", "nobody", " "]
+_HAS = "len([x FOR x IN string_split(lower(q), ' ') IF NOT contains(lower(c_name || ' ' || replace(title, '_', ' ')), x)]) = 0"
+ORACLE["search_person_terms"] = f"WITH {BASE}, q AS (SELECT unnest({PERSON_QUERIES!r}) AS q) SELECT q AS query, person_id, c_name AS name FROM m, q WHERE trim(q) <> '' AND {_HAS}"
+
+
+@query
+def search_mandate_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mandates whose party, district or role holds every term of a query."""
+    rows = normalize.mandates(_members(spark, sf_dir))
+    index = TermIndex.write(rows, f"{shared_dir(spark)}/terms-{uuid.uuid4().hex}", "mandate_id", MANDATE_FIELDS, "wahlkreis")
+    return index.matches(_asked(spark, MANDATE_QUERIES)).select("query", F.col("id").alias("mandate_id"))
+
+
+MANDATE_QUERIES = ["building", "united 7", "member an 3 mach", "nobody"]
+_WITHIN = "len([x FOR x IN string_split(lower(q), ' ') IF NOT contains(lower(party || ' ' || n_name || ' ' || (k % 10) || ' member'), x)]) = 0"
+ORACLE["search_mandate_terms"] = f"WITH {BASE}, q AS (SELECT unnest({MANDATE_QUERIES!r}) AS q) SELECT q AS query, mandate_id FROM m, q WHERE {_WITHIN}"
+
+
 # discovery
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from rosterlink.sources.written import delete
+
 
 def manifest(tables: dict[str, DataFrame], run_id: str, exported_at: str) -> DataFrame:
     """``(entity, n, run_id, exported_at)``; empty tables count 0."""
@@ -16,15 +18,28 @@ def manifest(tables: dict[str, DataFrame], run_id: str, exported_at: str) -> Dat
 
 
 def export(tables: dict[str, DataFrame], path: str, run_id: str, exported_at: str, form: str = "json") -> DataFrame:
-    """Write each table that has rows under ``path`` and the manifest beside them; returns the manifest."""
+    """Write each table that has rows under ``path`` and the manifest beside them; returns the manifest.
+
+    Rows are counted while they are written, so every table is worked out once; a folder that got no rows goes again.
+    """
+    rows = []
     for name, df in tables.items():
-        if not df.isEmpty():
-            df.write.mode("overwrite").format(form).save(f"{path}/{name}")
-    out = manifest(tables, run_id, exported_at)
+        n = counted_write(df, f"{path}/{name}", form)
+        rows.append((name, n, run_id, exported_at))
+        if not n:
+            delete(df.sparkSession, f"{path}/{name}")
+    out = next(iter(tables.values())).sparkSession.createDataFrame(rows, "entity string, n bigint, run_id string, exported_at string")
     out.write.mode("overwrite").json(f"{path}/manifest")
     return out
 
 
+def counted_write(df: DataFrame, path: str, form: str = "json") -> int:
+    """Write a table and return the number of its rows, as the one pass that writes them has counted it."""
+    seen = Observation()
+    df.observe(seen, F.count("*").alias("n")).write.mode("overwrite").format(form).save(path)
+    return seen.get["n"]
+
+
 def write_seeds(seeds: DataFrame, path: str) -> None:
     """Seeds sorted by key."""
     seeds.orderBy("key").write.mode("overwrite").json(path)

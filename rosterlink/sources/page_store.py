@@ -8,11 +8,13 @@ only the folders that hold wanted titles are read at all.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rosterlink.functions.text import underscored
 from rosterlink.sources.written import materialise
@@ -34,6 +36,7 @@ class PageStore:
     spark: SparkSession
     path: str
     buckets: int
+    schema: T.StructType
 
     @staticmethod
     def write(pages: DataFrame, path: str, buckets: int = 256) -> PageStore:
@@ -41,16 +44,17 @@ class PageStore:
         spark = pages.sparkSession
         placed = pages.withColumn("bucket", bucket_of(F.col("page_title"), buckets))
         placed.repartition("bucket").sortWithinPartitions("bucket", "page_title").write.partitionBy("bucket").parquet(f"{path}/pages")
-        spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.json(f"{path}/about")
-        return PageStore(spark, path, buckets)
+        spark.createDataFrame([(buckets, placed.schema.json())], "buckets int, schema string").coalesce(1).write.json(f"{path}/about")
+        return PageStore(spark, path, buckets, placed.schema)
 
     @staticmethod
     def open(spark: SparkSession, path: str) -> PageStore:
-        return PageStore(spark, path, spark.read.schema("buckets int").json(f"{path}/about").first()[0])
+        about = spark.read.schema("buckets int, schema string").json(f"{path}/about").first()
+        return PageStore(spark, path, about.buckets, T.StructType.fromJson(json.loads(about.schema)))
 
     def pages(self, titles: DataFrame | None = None) -> DataFrame:
         """All pages, or those in the folders of some titles (column ``page_title``); a page's columns and ``bucket``."""
-        rows = self.spark.read.parquet(f"{self.path}/pages")
+        rows = self.spark.read.schema(self.schema).parquet(f"{self.path}/pages")
         if titles is None:
             return rows
         held = [r[0] for r in titles.select(bucket_of(F.col("page_title"), self.buckets)).distinct().collect()]  # as many as folders at most

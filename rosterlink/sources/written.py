@@ -51,7 +51,7 @@ def job(spark: SparkSession) -> Iterator[str]:
         yield path
     finally:
         _job.reset(token)
-        _delete(spark, path)
+        delete(spark, path)
 
 
 def materialise(df: DataFrame, keep: bool = False, partition_by: str | None = None) -> DataFrame:
@@ -70,7 +70,8 @@ def materialise(df: DataFrame, keep: bool = False, partition_by: str | None = No
     return out
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, wherever Spark can write."""
     jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
     at = jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(conf).delete(at, True)
@@ -81,4 +82,4 @@ def discard(*tables: DataFrame | None) -> None:
     for df in tables:
         path = getattr(df, "_written_to", None)
         if path:
-            _delete(df.sparkSession, path)
+            delete(df.sparkSession, path)

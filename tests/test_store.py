@@ -57,22 +57,10 @@ def test_a_store_reads_only_the_folders_of_wanted_titles(spark, stored, tmp_path
     assert len(kept) < 25
     store = PageStore.open(spark, str(broken))
     spark.conf.set("spark.sql.files.ignoreCorruptFiles", "false")
-    out = evidence.resolve_evidence_refs(refs_to(spark, want), index_of(spark, range(300)), _with_schema(store, stored))
+    out = evidence.resolve_evidence_refs(refs_to(spark, want), index_of(spark, range(300)), store)
     assert {r.evidence_id: r.snippet for r in out.collect()} == {f"e{k}": f"P {k}-1 | X{k}-1" for k in want}
 
 
-def _with_schema(store, like):
-    """A store whose footers can't be sampled for a schema."""
-    schema = like.spark.read.parquet(f"{like.path}/pages").schema
-
-    class Store(PageStore):
-        def pages(self, titles=None):
-            rows = self.spark.read.schema(schema).parquet(f"{self.path}/pages")
-            return rows if titles is None else rows.where(F.col("bucket").isin([r[0] for r in titles.select(page_store.bucket_of(F.col("page_title"), self.buckets)).distinct().collect()]))
-
-    return Store(store.spark, store.path, store.buckets)
-
-
 def exchanges(df):
     """What the plan's shuffles move, as lines of its tree that stand below an exchange up to the next join."""
     return [line for line in df._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange hashpartitioning" in line]
