@@ -25,10 +25,10 @@ from rosterlink.llm.components import connected_components
 from rosterlink.llm.shingles import ngram_sets, word_hashes
 
 #: Leaders of a token in the first round (the nodes that lead best) and in later ones (any nodes).
-BEST, ANY = 8, 32
-#: Rounds of leaders before all pairs are looked at, unless those are FEW; later rounds come only while there are MANY pairs
-#: a row and they halve.
-ROUNDS, FEW, MANY = 2, 200_000, 200
+BEST, ANY = 4, 32
+#: All pairs are looked at when there are no more than FEW, or NEAR a posted row after the first round, or MANY a row after
+#: two; with more, rounds of leaders go on while the pairs halve.
+FEW, NEAR, MANY = 20_000, 2, 200
 #: Bits of a signature; rows of a token that one task looks at in the last round, and tasks that share a token at most.
 BITS, TASK_ROWS, TASKS = 1024, 1 << 11, 256
 #: Whole sets are looked up by a broadcast of node ids up to this many (8 bytes each), else by a shuffle.
@@ -117,7 +117,7 @@ def star_links(posted: DataFrame, signatures: DataFrame, verify: Callable[[DataF
         left = open_.agg(F.sum(F.when(F.col("c") != F.col("main"), F.col("k")))).first()[0] or 0
         if not left:
             break
-        full = left <= FEW or turn >= ROUNDS and (left <= MANY * total or left > last / 2)
+        full = left <= FEW or turn >= 1 and left <= NEAR * total or turn >= 2 and (left <= MANY * total or left > last / 2)
         last, turn = left, turn + 1
         if full:
             verified(_every_pair(open_, signatures, threshold))
