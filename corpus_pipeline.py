@@ -40,11 +40,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     texts) stay, each of them. A row counts by itself, so different texts under one id are judged by themselves.
     """
     rows = keyed(docs)
-    groups = ngram_jaccard_components(rows, id_col="__row").where("n_shingles > 0")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "__row")
-    of = materialise(groups.join(rows.select("__row", "doc_id"), "__row").select("__row", "component_id", order.alias("place")))
-    first = of.groupBy("component_id").agg(F.min("place").alias("first"))
-    return without(rows, of.join(first, "component_id").where("place <> first"), "__row").select(*docs.columns)
+    # the key orders rows as they are kept, so a component is named by the row of it that stays
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__row")
+    groups = ngram_jaccard_components(rows.withColumn("__key", key), id_col="__key").where("n_shingles > 0")
+    gone = groups.where("component_id.__row <> __key.__row").select(F.col("__key.__row").alias("__row"))
+    return without(rows, gone, "__row").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
