@@ -3,7 +3,7 @@
 Test items and training texts are cut into words (runs of letters and digits, lower-cased). A mask is laid at every
 position and hashes only the words under its ones, so a substituted word under a zero does not matter, and of several
 different masks one still hits between substitutions. Training hashes are joined with the test hashes: by a broadcast of
-these while they are few, else in one shuffled join. Around each hit a window of the item is laid along the text and the
+these while they are few, else in one shuffled join of those whose bit is set in a bitmap of all test hashes. Around each hit a window of the item is laid along the text and the
 words that agree there, one step of slack for an inserted or missing word, are counted.
 """
 
@@ -19,8 +19,8 @@ MASKS = ("1110111", "110100111", "1100101011")
 #: Test hashes (28 bytes each), windows of items (30 bytes and 8 for each word) and hit ids that are broadcast; more of
 #: them meet the documents in a shuffle.
 BROADCAST_SEEDS, BROADCAST_WINDOWS, BROADCAST_IDS = 1_000_000, 50_000, 1_000_000
-#: Words of one block of a text.
-BLOCK = 256
+#: Words of one block of a text; 64-bit words of the bitmap of test hashes (8 MB).
+BLOCK, WORDS = 256, 1 << 20
 
 
 def word_hashes(text: Column) -> Column:
@@ -55,6 +55,25 @@ def _seeds(df: DataFrame, *keep: str) -> DataFrame:
     return each.select(*keep, (F.col("k") * BLOCK + F.col("j")).alias("i"), F.explode_outer(_keys(F.col("w"), F.col("j"))).alias("key"))
 
 
+def _bitmap(seeds: DataFrame) -> DataFrame:
+    """One row with ``bits``: for every seed the bit is set that its key points at; WORDS * 8 bytes, whatever their number."""
+    word, bit = F.pmod(F.shiftright("key", 6), F.lit(WORDS)), F.expr("shiftleft(1L, cast(key & 63 as int))")
+    some = seeds.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("b"))
+    every = seeds.sparkSession.range(WORDS).withColumnRenamed("id", "word").join(some, "word", "left").select("word", F.coalesce("b", F.lit(0)).alias("b"))
+    return every.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "b"))), lambda x: x["b"]).alias("bits")).withColumn("one", F.lit(1))
+
+
+def _met(of_docs: DataFrame, seeds: DataFrame) -> DataFrame:
+    """Seeds of documents joined with those of items. Where these are too many to broadcast, a bitmap of their keys goes to the
+    documents first, so that only what may meet one is shuffled."""
+    if seeds.count() <= BROADCAST_SEEDS:
+        return of_docs.join(F.broadcast(seeds), "key")
+    bits = F.broadcast(materialise(_bitmap(seeds)))  # one row of bounded size
+    is_set = F.expr(f"shiftrightunsigned(get(bits, cast(pmod(shiftright(key, 6), {WORDS}) as int)), cast(key & 63 as int)) & 1L = 1L")
+    passing = of_docs.where("key is not null").withColumn("one", F.lit(1)).join(bits, "one").where(is_set).select(*of_docs.columns)
+    return passing.join(seeds, "key")
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", share: float = 0.7, window: int = 25) -> DataFrame:
     """Rows ``(id_col, item_col, matched, n_window, n_words)`` of documents that hold a test item or a passage of one.
 
@@ -77,8 +96,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     windows = materialise(windows.select("item", "n_words", "x.*").distinct())
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    few = F.broadcast(seeds) if seeds.count() <= BROADCAST_SEEDS else seeds
-    hits = _seeds(rows.select("id", word_hashes(F.col("text")).alias("h")), "id").join(few, "key")
+    hits = _met(_seeds(rows.select("id", word_hashes(F.col("text")).alias("h")), "id"), seeds)
     hits = materialise(hits.select("id", "item", "begin", (F.col("i") - F.col("lead")).alias("at")).distinct())
     ids = materialise(hits.select("id").distinct())
     held = rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, rows["id"].eqNullSafe(ids["id"]), "left_semi")
