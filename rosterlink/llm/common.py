@@ -39,11 +39,11 @@ def held_out(doc_id: str | Column, modulus: int, remainder: int) -> Column:
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "label", max_rows: int = 12_000) -> DataFrame:
     """Rows ``(label, text, row)`` to fit a classifier on: at most ``max_rows`` labelled ids in hash order, with their texts.
 
-    Ids are drawn from ``labels`` alone (labels other than 0 and 1 are ignored), so the documents are read once and never
-    shuffled; the ids that are broadcast are ``max_rows`` at most.
+    Ids are drawn from ``labels`` alone (labels other than 0 and 1 are ignored, of contradicting ones the smaller counts),
+    so the documents are read once and never shuffled; the ids that are broadcast are ``max_rows`` at most.
     """
     drawn = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("label in (0, 1) and id is not null")
-    drawn = drawn.dropDuplicates(["id"]).orderBy(F.xxhash64("id"), "id").limit(max_rows)
+    drawn = drawn.groupBy("id").agg(F.min("label").alias("label")).orderBy(F.xxhash64("id"), "id").limit(max_rows)
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     return materialise(texts.join(F.broadcast(drawn), "id").select("label", "text", F.xxhash64("id", "text").alias("row")))
 

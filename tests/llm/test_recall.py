@@ -55,3 +55,13 @@ def test_the_bitmap_drops_what_meets_nothing(spark, planted, monkeypatch):
     met = D._met(every, seeds)
     plan = met._jdf.queryExecution().optimizedPlan().toString()
     assert "shiftrightunsigned" in plan and met.select("doc_id").distinct().count() <= 300
+
+
+def test_contradicting_labels_count_as_the_smaller(spark):
+    from rosterlink.llm.common import labelled_sample
+
+    docs = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "d")], DOCS)
+    rows = [(1, 1), (1, 0), (2, 1), (2, 1), (3, None), (3, 1), (4, 7)]
+    for order in (rows, rows[::-1]):
+        labels = spark.createDataFrame(order, "doc_id long, label int").repartition(3)
+        assert sorted((r.text, r.label) for r in labelled_sample(docs, labels).collect()) == [("a", 0), ("b", 1), ("c", 1)]
