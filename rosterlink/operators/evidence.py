@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rosterlink.functions.dom import parsed_pages
 from rosterlink.functions.ids import evidence_id
-from rosterlink.functions.text import clean_snippet, registry_url, response_sha256, revision_url, truncate, underscored
+from rosterlink.functions.text import clean_snippet, registry_url, revision_url, truncate, underscored
 from rosterlink.operators.members import SNIPPET_REF
 from rosterlink.sources.page_store import ORDER, PageStore, pages_of, whole_pages
 from rosterlink.sources.readers import latest
@@ -25,11 +25,11 @@ def upsert_index(existing: DataFrame, updates: DataFrame) -> DataFrame:
     return latest(rows, ["evidence_id"], ["_order"]).drop("_order")
 
 
-def rebuild_index(raw_pages: DataFrame, raw_json_col: str = "raw_json") -> DataFrame:
-    """Index entries of all stored pages in one job: the stored sha, else that of the whole response (``raw_json_col``)."""
+def rebuild_index(raw_pages: DataFrame) -> DataFrame:
+    """Index entries of all stored pages in one job: the stored hash, else that of the whole response (``raw_sha256``)."""
     rows = raw_pages
-    if raw_json_col in rows.columns:
-        rows = rows.withColumn("sha256", F.coalesce("sha256", response_sha256(F.when(F.col("sha256").isNull(), F.col(raw_json_col)))["raw"]))
+    if "raw_sha256" in rows.columns:
+        rows = rows.withColumn("sha256", F.coalesce("sha256", "raw_sha256"))
     rows = rows.withColumn("page_title", underscored(F.col("page_title")))
     return rows.select(
         evidence_id(F.col("page_id"), F.col("revision_id"), F.lit("parse"), F.col("sha256")).alias("evidence_id"), F.lit("mediawiki").alias("source_kind"),

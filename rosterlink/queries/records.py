@@ -325,6 +325,24 @@ CASE WHEN wp <> 1 THEN 'https://registry.example/stored' WHEN page % 2 = 0 THEN
 'https://registry.example/stored' AS source_url, '2024-03-03' AS retrieved_at_utc, CAST(NULL AS VARCHAR) AS snippet, 'cache/' || wp || '/' || page AS cache_metadata_path FROM g"""
 
 
+@query
+def evidence_hash_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses of which two in three have no stored hash: ids of parsed pages and of index entries, each with its own hash."""
+    c, k = R.table(spark, sf_dir, "customer"), F.col("c_custkey")
+    text = F.create_map(F.lit("*"), F.concat(F.lit("<p>"), "c_mktsegment", F.lit("</p>")))
+    whole = F.to_json(F.struct(F.struct(F.col("c_name").alias("title"), k.alias("pageid"), (k * 10).alias("revid"), text.alias("text")).alias("parse")))
+    raw = c.select(whole.alias("raw_json"), F.when(k % 3 == 0, F.sha2("c_name", 256)).alias("sha256"))
+    pages = materialise(readers.with_own_hashes(readers.parse_responses(raw.withColumn("parse", F.from_json("raw_json", readers.PARSE)["parse"]))))
+    parsed = persons.person_facts(pages).select(F.col("wikipedia_title").alias("title"), F.col("evidence_id").alias("parsed_id"))
+    return parsed.join(evidence.rebuild_index(pages).select(F.col("page_title").alias("title"), F.col("evidence_id").alias("index_id"), "sha256"), "title")
+
+
+_PARSE_JSON = """'{"pageid": ' || k || ', "revid": ' || (k * 10) || ', "text": {"*": "<p>' || c_mktsegment || '</p>"}, "title": "' || c_name || '"}'"""
+ORACLE["evidence_hash_fallback"] = f"""WITH r AS (SELECT c_custkey AS k, c_name, {_PARSE_JSON.replace("' || k ||", "' || c_custkey ||").replace("(k * 10)", "(c_custkey * 10)")} AS j FROM customer),
+h AS (SELECT *, CASE WHEN k % 3 = 0 THEN sha256(c_name) ELSE sha256(j) END AS parsed, CASE WHEN k % 3 = 0 THEN sha256(c_name) ELSE sha256('{{"parse": ' || j || '}}') END AS whole FROM r)
+SELECT c_name AS title, {u5(ids.EVIDENCE, "k || '|' || (k * 10) || '|parse|' || parsed")} AS parsed_id, {u5(ids.EVIDENCE, "k || '|' || (k * 10) || '|parse|' || whole")} AS index_id, whole AS sha256 FROM h"""
+
+
 @query
 def evidence_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = persons.parse_person_pages(R.person_pages(spark, sf_dir)).select("evidence_id")

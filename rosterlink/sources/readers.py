@@ -71,7 +71,12 @@ def read_raw_pages(spark: SparkSession, path: str) -> DataFrame:
     known = lambda c, other, empty: F.coalesce(F.nullif(c, F.lit(empty)), other, F.lit(empty))
     title = known("page_title", underscored(F.col("m_title")), "")
     rows = rows.withColumns({"page_title": title, "page_id": known("page_id", F.col("m_page"), 0), "revision_id": known("revision_id", F.col("m_revision"), 0)}).drop("m_title", "m_page", "m_revision")
-    own = rows.withColumn("own", response_sha256(F.when(F.col("sha256").isNull(), F.col("raw_json"))))
+    return with_own_hashes(rows)
+
+
+def with_own_hashes(responses: DataFrame) -> DataFrame:
+    """``raw_sha256`` and ``parse_sha256`` in the place of ``raw_json``, for responses without a stored hash; others have none."""
+    own = responses.withColumn("own", response_sha256(F.when(F.col("sha256").isNull(), F.col("raw_json"))))
     return own.withColumns({"raw_sha256": F.col("own.raw"), "parse_sha256": F.col("own.parse")}).drop("own", "raw_json")
 
 

@@ -144,8 +144,8 @@ def test_files_that_cannot_be_read_and_pages_without_a_hash(spark, tmp_path):
     want = {k: "stored" if k == 1 else sha(whole[k]["parse"]) for k in (1, 2, 3)}
     expected = spark.createDataFrame([(k, 10 * k, want[k]) for k in want], "p long, r long, s string").select("p", ids.evidence_id(F.col("p"), F.col("r"), F.lit("parse"), F.col("s")).alias("id"))
     assert rows == {f"Liste_Ü{r.p}": r.id for r in expected.collect()}
-    index = {r.page_title: r.sha256 for r in evidence.rebuild_index(pages.withColumnRenamed("raw_sha256", "full")).collect()}
-    assert index["Liste_Ü1"] == "stored"
+    index = {r.page_title: r.sha256 for r in evidence.rebuild_index(pages).collect()}
+    assert index == {"Liste_Ü1": "stored", "Liste_Ü2": sha(whole[2]), "Liste_Ü3": sha(whole[3]), "Liste_6": sha(response("Liste 6", 6, 60, html(6)))}
 
 
 def test_the_last_line_of_an_id_wins_in_a_file_of_many_blocks(spark, tmp_path):
