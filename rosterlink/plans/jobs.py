@@ -119,7 +119,13 @@ def run_manifest(tables: dict[str, DataFrame], run_id: str, run_ts: str) -> Data
 
 
 def run_from_files(spark: SparkSession, cache: str, registry_pages: str, seeds_file: str, overrides_file: str | None = None, run_ts: str = "", run_id: str = "run") -> dict[str, DataFrame]:
-    """``run_pipeline`` on stored files: page responses with metadata, registry pages, seeds and overrides."""
+    """``run_pipeline`` on stored files: page responses with metadata, registry pages, seeds and overrides.
+
+    The files are read once and kept as columns, so that what chooses pages reads keys alone; ``unreadable`` has the files
+    that hold no JSON.
+    """
     overrides = readers.load_overrides(spark, overrides_file) if overrides_file else None
     dip = readers.dip_persons(readers.read_dip_pages(spark, registry_pages))
-    return run_pipeline(readers.read_raw_pages(spark, cache), readers.load_seeds(spark, seeds_file), dip, overrides, run_ts, run_id)
+    pages = materialise(readers.read_raw_pages(spark, cache))
+    out = run_pipeline(pages, readers.load_seeds(spark, seeds_file), dip, overrides, run_ts, run_id)
+    return out | {"unreadable": readers.read_errors(spark, cache)}

@@ -1,16 +1,19 @@
 """Stored tables by key: upserts, runs over what changed, term lookups, exports counted while they are written, linear parsing."""
 
 import glob
+import hashlib
 import json
 import os
 import random
 import time
+from html.parser import HTMLParser
 
 from pyspark.sql import functions as F
 
 from rosterlink.functions.dom import parse
 from rosterlink.operators import evidence
 from rosterlink.plans import jobs
+from rosterlink.queries import all_queries
 from rosterlink.sinks.export import export, write_seeds
 from rosterlink.sources.keyed_table import KeyedTable
 from rosterlink.sinks.term_index import TermIndex
@@ -130,3 +133,51 @@ def test_equal_tables_have_the_index_of_the_first():
     a, b = '<table class="wikitable"><tr><td a="1" b="2">x</td></tr></table>', '<table class="wikitable"><tr><td>x</td></tr></table>'
     same = a.replace('a="1" b="2"', 'b="2" a="1"')
     assert [t["index"] for t in parse(b + a + b + same + "<table><tr><td>x</td></tr></table>")["tables"]] == [0, 1, 0, 1, 0]
+
+
+class Paragraphs(HTMLParser):
+    """Texts of the paragraphs within the first article, by open elements alone: no tree."""
+
+    VOID = set("area base br col embed hr img input link meta param source track wbr".split())
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.open, self.found, self.article = [], [], None
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "article" and self.article is None:
+            self.article = len(self.open)
+        elif tag == "p" and self.article is not None and self.inside():
+            self.found.append(["", len(self.open) == self.article + 1])
+        if tag not in self.VOID:
+            self.open.append((tag, len(self.found) - 1 if tag == "p" and self.inside() else None))
+
+    def inside(self):
+        return self.article is not None and self.article >= 0 and any(t == "article" for t, _ in self.open[self.article : self.article + 1])
+
+    def handle_endtag(self, tag):
+        tags = [t for t, _ in self.open]
+        if tag in tags:
+            at = len(tags) - 1 - tags[::-1].index(tag)
+            if self.article is not None and at <= self.article:
+                self.article = -1  # the first article is over
+            del self.open[at:]
+
+    def handle_data(self, data):
+        last = max((k for k, (t, _) in enumerate(self.open) if t in ("script", "style", "template")), default=-1)
+        for k, (t, p) in enumerate(self.open):
+            if p is not None and k > last:
+                self.found[p][0] += data
+
+
+def test_paragraphs_of_raw_pages(spark):
+    """``page_paragraphs`` against a parser that keeps no tree."""
+    want = {}
+    for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "html").collect():
+        parser = Paragraphs()
+        parser.feed(r.html or "")
+        parser.close()
+        for pos, (text, direct) in enumerate(parser.found):
+            want[(r.page_id, pos)] = (direct, len(text), hashlib.sha256(text.encode()).hexdigest())
+    got = {(r.page_id, r.pos): (r.is_direct_child, r.n_chars, r.sha256) for r in all_queries()[0]["page_paragraphs"](spark, "/root/testdata/sf0.001").collect()}
+    assert got == want and len(got) > 50
