@@ -26,15 +26,19 @@ def upsert_index(existing: DataFrame, updates: DataFrame) -> DataFrame:
 
 
 def rebuild_index(raw_pages: DataFrame) -> DataFrame:
-    """Index entries of all stored pages in one job: the stored hash, else that of the whole response (``raw_sha256``)."""
+    """Index entries of all stored pages in one job: the stored hash, else that of the whole response (``raw_sha256``), and
+    where the response and its metadata lie, if pages say so; of equal responses the first place counts."""
     rows = raw_pages
     if "raw_sha256" in rows.columns:
         rows = rows.withColumn("sha256", F.coalesce("sha256", "raw_sha256"))
     rows = rows.withColumn("page_title", underscored(F.col("page_title")))
-    return rows.select(
-        evidence_id(F.col("page_id"), F.col("revision_id"), F.lit("parse"), F.col("sha256")).alias("evidence_id"), F.lit("mediawiki").alias("source_kind"),
-        "page_title", "page_id", "revision_id", "sha256", F.lit("parse").alias("endpoint"),
-    ).dropDuplicates(["evidence_id"])
+    places = {"metadata_path": "cache_metadata_path", "raw_path": "cache_raw_path"}
+    entry = F.struct(
+        F.lit("mediawiki").alias("source_kind"), "page_title", "page_id", "revision_id", "sha256", F.lit("parse").alias("endpoint"),
+        *(F.col(c).alias(name) for c, name in places.items() if c in rows.columns),
+    )
+    ids = evidence_id(F.col("page_id"), F.col("revision_id"), F.lit("parse"), F.col("sha256"))
+    return rows.groupBy(ids.alias("evidence_id")).agg(F.min(entry).alias("e")).select("evidence_id", "e.*")
 
 
 def lead_paragraph(dom: Column, size: int = 500) -> Column:

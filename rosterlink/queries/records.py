@@ -291,8 +291,7 @@ def evidence_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every member's citation as JSON: the reference an object in it, the places of the stored files, and no nulls."""
     r = _members(spark, sf_dir).select(F.get("evidence_refs", F.lit(0)).alias("r")).select("r.evidence_id", "r.snippet_ref", "r.purpose")
     lists = R.list_pages(spark, sf_dir).withColumn("raw_path", F.concat(F.lit("cache/"), "page_title", F.lit("/raw.json"))).withColumn("metadata_path", F.concat(F.lit("cache/"), "page_title", F.lit("/metadata.json")))
-    index = evidence.rebuild_index(lists.drop("html")).join(lists.select("page_title", F.col("metadata_path").alias("cache_metadata_path")), "page_title")
-    j = evidence.as_json(evidence.resolve_evidence_refs(r, index, lists))
+    j = evidence.as_json(evidence.resolve_evidence_refs(r, evidence.rebuild_index(lists.drop("html")), lists))
     of = lambda path: F.get_json_object("json", f"$.{path}")
     return j.select("evidence_id", *(of(p).alias(n) for p, n in (("snippet_ref.match.person_title", "person_title"), ("snippet_ref.row_index", "row_index"), ("cache_metadata_path", "cache_metadata_path"), ("cache_raw_path", "cache_raw_path"))), F.col("json").contains("null").alias("nulls"), F.json_object_keys("json").alias("k")).withColumn("keys", F.array_join("k", ",")).drop("k")
 
