@@ -112,7 +112,8 @@ def bottom_k_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     discard(common)
     sets = WholeSets(docs, nodes, size, seed)
     signatures = nodes.select("node", "sig").join(of_node.select("node", F.col("v.token").alias("tokens")), "node")
-    links = star_links(posted, signatures, lambda pairs: _verify(pairs, nodes, sets, threshold, retained, shared), threshold)
+    # a pair of the last round is made once here, so it may come early
+    links = star_links(posted, signatures, lambda pairs: _verify(pairs, nodes, sets, threshold, retained, shared), threshold, best=8, few=200_000, near=0)
     return component_rows(rows.select("doc_id", "node", "n"), nodes, links, id_col)
 
 

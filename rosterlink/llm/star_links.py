@@ -24,11 +24,8 @@ from rosterlink.llm.common import discard, materialise, text_chunks
 from rosterlink.llm.components import connected_components
 from rosterlink.llm.shingles import ngram_sets, word_hashes
 
-#: Leaders of a token in the first round (the nodes that lead best) and in later ones (any nodes).
-BEST, ANY = 4, 32
-#: All pairs are looked at when there are no more than FEW, or NEAR a posted row after the first round, or MANY a row after
-#: two; with more, rounds of leaders go on while the pairs halve.
-FEW, NEAR, MANY = 20_000, 2, 200
+#: Leaders of a token after the first round; pairs a posted row that two rounds of leaders may leave for the round over all.
+ANY, MANY = 32, 200
 #: Bits of a signature; rows of a token that one task looks at in the last round, and tasks that share a token at most.
 BITS, TASK_ROWS, TASKS = 1024, 1 << 11, 256
 #: Whole sets are looked up by a broadcast of node ids up to this many (8 bytes each), else by a shuffle.
@@ -85,7 +82,7 @@ def _every_pair(open_: DataFrame, signatures: DataFrame, threshold: int) -> Data
     return one.join(two, same & apart & like).select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
 
 
-def star_links(posted: DataFrame, signatures: DataFrame, verify: Callable[[DataFrame], DataFrame | None], threshold: int) -> DataFrame | None:
+def star_links(posted: DataFrame, signatures: DataFrame, verify: Callable[[DataFrame], DataFrame | None], threshold: int, best: int = 4, few: int = 20_000, near: int = 2) -> DataFrame | None:
     """Links (a, b) that connect all components, or None.
 
     ``posted`` has a row (token, node, pos, n, lead) for each token of a node: its place in the node's order of tokens and
@@ -93,6 +90,10 @@ def star_links(posted: DataFrame, signatures: DataFrame, verify: Callable[[DataF
     (larger is better). ``signatures`` has (node, sig) and, where nodes have a bounded number of tokens, all ``tokens`` that
     they are posted under.
     ``verify`` takes distinct pairs (a, b) and returns those that link, or None.
+
+    ``best`` nodes that lead best are a token's leaders in the first round. All pairs are looked at when there are no more than
+    ``few``, or ``near`` a posted row after the first round, or ``MANY`` a row after two; with more, rounds of leaders go on
+    while the pairs halve. None of these changes the components.
     """
     total = posted.count()
     links, open_, last, turn = None, posted.withColumn("c", F.col("node")), None, 0
@@ -117,19 +118,19 @@ def star_links(posted: DataFrame, signatures: DataFrame, verify: Callable[[DataF
         left = open_.agg(F.sum(F.when(F.col("c") != F.col("main"), F.col("k")))).first()[0] or 0
         if not left:
             break
-        full = left <= FEW or turn >= 1 and left <= NEAR * total or turn >= 2 and (left <= MANY * total or left > last / 2)
+        full = left <= few or turn >= 1 and left <= near * total or turn >= 2 and (left <= MANY * total or left > last / 2)
         last, turn = left, turn + 1
         if full:
             verified(_every_pair(open_, signatures, threshold))
             discard(open_)
             break
         # nodes are dealt to the leaders anew under each token and in each round
-        leaders_of = F.least(F.lit(BEST if turn == 1 else ANY), F.greatest(F.lit(1), F.floor(F.col("k") / 2)))
+        leaders_of = F.least(F.lit(best if turn == 1 else ANY), F.greatest(F.lit(1), F.floor(F.col("k") / 2)))
         lane = lambda *by: F.pmod(F.xxhash64(*by, F.lit(turn)), leaders_of).alias("lane")
         one = open_.select("token", lane("node", "token"), F.col("node").alias("x"), F.col("c").alias("cx"), F.col("pos").alias("i"), F.col("n").alias("ni"))
         two = open_.select("token", lane("node"), F.col("node").alias("y"), F.col("c").alias("cy"), F.col("pos").alias("j"), F.col("n").alias("nj"), "lead")
-        best = F.struct((F.col("lead") if turn == 1 else F.lit(0)).alias("o"), F.xxhash64("y", F.lit(turn)).alias("q"), "y", "cy", "j", "nj")
-        leaders = two.groupBy("token", "lane").agg(F.max(best).alias("l")).select("token", "lane", "l.*")
+        order = F.struct((F.col("lead") if turn == 1 else F.lit(0)).alias("o"), F.xxhash64("y", F.lit(turn)).alias("q"), "y", "cy", "j", "nj")
+        leaders = two.groupBy("token", "lane").agg(F.max(order).alias("l")).select("token", "lane", "l.*")
         met = one.join(leaders, (one["token"] == leaders["token"]) & (one["lane"] == leaders["lane"]) & (F.col("cx") != F.col("cy")) & _possible(threshold))
         verified(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
         before, open_ = open_, open_.drop("k", "m", "main")
