@@ -13,7 +13,7 @@ from rosterlink.operators import discovery, evidence, linking, members, normaliz
 from rosterlink.plans import jobs
 from rosterlink.queries import render as R
 from rosterlink.queries.render import u5_sql as u5
-from rosterlink.queries.roster import BASE, PEOPLE, _members, _parsed, _people, _sorted_text
+from rosterlink.queries.roster import BASE, PEOPLE, _members, _parsed
 from rosterlink.sinks import graph, search
 from rosterlink.sinks.term_index import MANDATE_FIELDS, PERSON_FIELDS, TermIndex
 from rosterlink.sources import readers
