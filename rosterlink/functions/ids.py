@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,6 +15,11 @@ MANDATE = "6ba7b813-9dad-11d1-80b4-00c04fd430c8"
 EVIDENCE = "6ba7b814-9dad-11d1-80b4-00c04fd430c8"
 
 
+def bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that it uses several times: a lambda binds it, so that it is worked out once."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def uuid5(namespace: str, key: Column) -> Column:
     digest = F.sha1(F.concat(F.unhex(F.lit(namespace.replace("-", ""))), F.encode(key, "UTF-8")))
 
@@ -20,8 +27,7 @@ def uuid5(namespace: str, key: Column) -> Column:
         variant = F.translate(F.substring(h, 17, 1), "0123456789abcdef", "89ab" * 4)
         return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)), F.concat(variant, F.substring(h, 18, 3)), F.substring(h, 21, 12))
 
-    # bound by a lambda, so that the plan holds the digest once
-    return F.get(F.transform(F.array(digest), shaped), F.lit(0))
+    return bound(digest, shaped)
 
 
 def strip(text: Column) -> Column:

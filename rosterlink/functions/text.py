@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rosterlink.functions.ids import strip
+from rosterlink.functions.ids import bound, strip
 
 #: Where pages, and revisions of pages, are served.
 BASE_URL = "https://de.wikipedia.org/wiki/"
@@ -55,22 +55,29 @@ def clean_snippet(text: Column) -> Column:
 
 def truncate(text: Column, size: int) -> Column:
     """At the last space before ``size``, with an ellipsis; a hard cut where there is no space."""
-    cut = F.regexp_replace(F.substring(text, 1, size), r"(?s) [^ ]*$", "")
-    return F.when(F.length(text) > size, F.concat(cut, F.lit("..."))).otherwise(text)
+    cut = lambda t: F.concat(F.regexp_replace(F.substring(t, 1, size), r"(?s) [^ ]*$", ""), F.lit("..."))
+    return bound(text, lambda t: F.when(F.length(t) > size, cut(t)).otherwise(t))
 
 
 def parse_date(text: Column) -> Column:
     """ISO, ``d.M.yyyy`` or ``d. Monat yyyy`` to an ISO string, else null."""
-    t = strip(F.coalesce(text, F.lit("")))
-    named = F.regexp_extract(F.lower(t), r"^(\d{1,2})\.\s*(\p{L}+)\.?\s+(\d{4})$", 2)
-    month = F.lit(None).cast("int")
-    for k, name in enumerate(MONTHS, 1):
-        month = F.when((F.length(named) >= 3) & F.lit(name).startswith(named), k).otherwise(month)
-    day, year = (F.regexp_extract(F.lower(t), r"^(\d{1,2})\.\s*\p{L}+\.?\s+(\d{4})$", g) for g in (1, 2))
-    spelled = F.try_to_date(F.when(month.isNotNull(), F.concat_ws("-", year, month.cast("string"), day)), "yyyy-M-d")
-    plain = F.when(t.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.try_to_date(t, "yyyy-M-d"))
-    dotted = F.when(t.rlike(r"^\d{1,2}\.\s*\d{1,2}\.\s*\d{4}$"), F.try_to_date(F.regexp_replace(t, r"\s", ""), "d.M.yyyy"))
-    return F.date_format(F.coalesce(plain, dotted, spelled), "yyyy-MM-dd")
+    spelled = r"^(\d{1,2})\.\s*(\p{L}+)\.?\s+(\d{4})$"
+    months = F.array(*map(F.lit, MONTHS))
+
+    def of_name(t: Column) -> Column:
+        def date(named: Column) -> Column:
+            # of no name, or a short one, there is no month; names that begin like a month are that one
+            month = F.when(F.length(named) >= 3, F.nullif(F.array_position(F.transform(months, lambda m: m.startswith(named)), F.lit(True)), F.lit(0)))
+            return bound(month, lambda m: F.when(m.isNotNull(), F.try_to_date(F.concat_ws("-", F.regexp_extract(t, spelled, 3), m.cast("string"), F.regexp_extract(t, spelled, 1)), "yyyy-M-d")))
+
+        return bound(F.regexp_extract(t, spelled, 2), date)
+
+    def date(t: Column) -> Column:
+        plain = F.when(t.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.try_to_date(t, "yyyy-M-d"))
+        dotted = F.when(t.rlike(r"^\d{1,2}\.\s*\d{1,2}\.\s*\d{4}$"), F.try_to_date(F.regexp_replace(t, r"\s", ""), "d.M.yyyy"))
+        return F.when(t != "", F.date_format(F.coalesce(plain, dotted, of_name(F.lower(t))), "yyyy-MM-dd"))
+
+    return bound(strip(F.coalesce(text, F.lit(""))), date)
 
 
 def quote(text: Column) -> Column:

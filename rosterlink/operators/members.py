@@ -75,7 +75,9 @@ def member_pages(pages: DataFrame | PageStore, seeds: DataFrame) -> DataFrame:
     ids = doms.select("page_title", "page_id", "revision_id", page_sha256(doms).alias("sha256"), "dom")
     ids = ids.withColumn("evidence_id", evidence_id(F.col("page_id"), F.col("revision_id"), F.lit("parse"), F.col("sha256")))
     chosen = F.transform(F.array(choose_table(F.col("dom"), F.col("section_keywords"))), lambda t: F.struct(t.alias("table"), header_roles(t["header"]).alias("roles")))
-    rows = materialise(ids.join(s, "page_title").withColumn("chosen", F.get(chosen, F.lit(0))).select("*", "chosen.table", "chosen.roles").drop("dom", "chosen"))
+    # pages are few bytes and much work: they keep their partitions, by the hint, and what is written is read in as many parts
+    ids = ids.repartition(int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions")), "page_title")
+    rows = materialise(ids.join(s.hint("shuffle_hash"), "page_title").withColumn("chosen", F.get(chosen, F.lit(0))).select("*", "chosen.table", "chosen.roles").drop("dom", "chosen"))
     found = F.greatest(*(F.col(f"roles.{r}").isNotNull() for r, _ in ROLES))
     return rows.withColumn("error", F.when(F.col("table").isNull(), "No members table found").when(~found, "No headers found"))
 

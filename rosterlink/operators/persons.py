@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterlink.functions.dom import parsed_pages
-from rosterlink.functions.ids import evidence_id, person_id, strip
+from rosterlink.functions.dom import with_dom
+from rosterlink.functions.ids import bound, evidence_id, person_id, strip
 from rosterlink.functions.text import BASE_URL, parse_date, underscored
 from rosterlink.operators.members import EVIDENCE_REF
 from rosterlink.sources.readers import page_sha256
@@ -23,23 +23,41 @@ def key_facts(dom: Column) -> Column:
     cell = lambda row, tag: F.get(F.filter(row, lambda c: c["tag"] == tag), F.lit(0))
     facts = F.transform(box["rows"], lambda r: F.struct(cell(r, "th").alias("th"), cell(r, "td").alias("td")))
     facts = F.transform(F.filter(facts, lambda f: f["th"].isNotNull() & f["td"].isNotNull()), lambda f: F.struct(F.lower(strip(f["th"]["text"])).alias("label"), f["td"].alias("td")))
-    born = F.filter(facts, lambda f: f["label"].contains("geburt") | f["label"].contains("geboren"))
-    dates = F.transform(born, lambda f: F.coalesce(parse_date(f["td"]["bday"]), parse_date(f["td"]["time_datetime"])))
-    died = F.filter(facts, lambda f: ~(f["label"].contains("geburt") | f["label"].contains("geboren")) & (f["label"].contains("tod") | f["label"].contains("gestorben") | f["label"].contains("verstorben")))
-    ended = F.transform(died, lambda f: parse_date(F.coalesce(F.nullif(f["td"]["time_datetime"], F.lit("")), f["td"]["time_text"], f["td"]["text"])))
-    known = F.array_compact(dates)
-    status = F.when(F.size(F.coalesce(born, F.array())) == 0, "unknown").when(F.get(dates, F.size(dates) - 1).isNotNull(), "extracted").otherwise("not_present")
-    return F.struct(F.get(known, F.size(known) - 1).alias("birth_date"), status.alias("birth_date_status"), F.get(F.array_compact(ended), F.size(F.array_compact(ended)) - 1).alias("death_date"))
+
+    def found(facts: Column) -> Column:
+        of_birth = lambda f: f["label"].contains("geburt") | f["label"].contains("geboren")
+        born = F.filter(facts, of_birth)
+        dates = F.transform(born, lambda f: F.coalesce(parse_date(f["td"]["bday"]), parse_date(f["td"]["time_datetime"])))
+        died = F.filter(facts, lambda f: ~of_birth(f) & (f["label"].contains("tod") | f["label"].contains("gestorben") | f["label"].contains("verstorben")))
+        ended = F.transform(died, lambda f: parse_date(F.coalesce(F.nullif(f["td"]["time_datetime"], F.lit("")), f["td"]["time_text"], f["td"]["text"])))
+        return F.struct(dates.alias("dates"), ended.alias("ended"))
+
+    def last(at: Column) -> Column:
+        of = lambda c: F.get(c, F.size(c) - 1)
+        status = F.when(F.size(F.coalesce(at["dates"], F.array())) == 0, "unknown").when(of(at["dates"]).isNotNull(), "extracted").otherwise("not_present")
+        return F.struct(of(F.array_compact(at["dates"])).alias("birth_date"), status.alias("birth_date_status"), of(F.array_compact(at["ended"])).alias("death_date"))
+
+    return bound(bound(facts, found), last)
+
+
+def _keyed(pages: DataFrame, *more: str) -> DataFrame:
+    """``(wikipedia_title, evidence_id)`` of pages and ``more`` of their columns."""
+    return pages.select(underscored(F.col("page_title")).alias("wikipedia_title"), evidence_id(F.col("page_id"), F.col("revision_id"), F.lit("parse"), page_sha256(pages)).alias("evidence_id"), *more)
+
+
+def person_page_ids(pages: DataFrame) -> DataFrame:
+    """``(wikipedia_title, evidence_id)`` as ``person_facts`` has them, from the keys of pages alone: nothing is parsed."""
+    return _keyed(pages)
 
 
 def person_facts(pages: DataFrame) -> DataFrame:
-    """``(wikipedia_title, evidence_id, intro, facts)`` of pages (``page_title, page_id, revision_id, sha256, html``), parsed and
-    written once.
+    """``(wikipedia_title, evidence_id, intro, facts)`` of pages (``page_title, page_id, revision_id, sha256, html``), each parsed
+    once; only the facts are written.
 
     Ids hold the page's stored hash, else that of its ``parse`` object (``parse_sha256``).
     """
-    doms = parsed_pages(pages.select(underscored(F.col("page_title")).alias("wikipedia_title"), "page_id", "revision_id", page_sha256(pages).alias("sha256"), "html"))
-    return materialise(doms.select("wikipedia_title", evidence_id(F.col("page_id"), F.col("revision_id"), F.lit("parse"), F.col("sha256")).alias("evidence_id"), intro(F.col("dom")).alias("intro"), key_facts(F.col("dom")).alias("facts")))
+    doms = with_dom(_keyed(pages, "html"))
+    return materialise(doms.select("wikipedia_title", "evidence_id", intro(F.col("dom")).alias("intro"), key_facts(F.col("dom")).alias("facts")))
 
 
 def parse_person_pages(pages: DataFrame, run_ts: str = "") -> DataFrame:
