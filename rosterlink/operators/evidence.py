@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterlink.functions.dom import parsed_pages
-from rosterlink.functions.ids import evidence_id
+from rosterlink.functions.dom import with_dom
+from rosterlink.functions.ids import bound, evidence_id
 from rosterlink.functions.text import clean_snippet, registry_url, revision_url, truncate, underscored
 from rosterlink.operators.members import SNIPPET_REF
 from rosterlink.sources.page_store import ORDER, PageStore, pages_of, whole_pages
@@ -43,9 +43,8 @@ def rebuild_index(raw_pages: DataFrame) -> DataFrame:
 
 def lead_paragraph(dom: Column, size: int = 500) -> Column:
     """The first paragraph of at least 80 characters, else the first that is not empty; truncated."""
-    texts = F.transform(dom["paragraphs"], lambda p: clean_snippet(p["text"]))
-    best = F.coalesce(F.get(F.filter(texts, lambda t: F.length(t) >= 80), F.lit(0)), F.get(F.filter(texts, lambda t: F.length(t) > 0), F.lit(0)))
-    return truncate(best, size)
+    first = lambda texts, least: F.get(F.filter(texts, lambda t: F.length(t) >= least), F.lit(0))
+    return truncate(bound(F.transform(dom["paragraphs"], lambda p: clean_snippet(p["text"])), lambda texts: F.coalesce(first(texts, 80), first(texts, 1))), size)
 
 
 def _citable_rows(dom: Column, size: int) -> Column:
@@ -53,8 +52,8 @@ def _citable_rows(dom: Column, size: int) -> Column:
     tables = F.when(F.size(wiki) > 0, wiki).otherwise(dom["tables"])
 
     def row(cells: Column, t: Column, r: Column) -> Column:
-        texts = F.filter(F.transform(cells, lambda c: clean_snippet(c["text"])), lambda x: x != "")
-        return F.struct(t.alias("table_index"), r.alias("row_index"), F.when(F.size(texts) > 0, truncate(clean_snippet(F.array_join(texts, " | ")), size)).alias("row_text"))
+        joined = F.array_join(F.filter(F.transform(cells, lambda c: clean_snippet(c["text"])), lambda x: x != ""), " | ")
+        return F.struct(t.alias("table_index"), r.alias("row_index"), truncate(bound(joined, lambda x: F.when(x != "", clean_snippet(x))), size).alias("row_text"))
 
     def rows(table: Column, t: Column) -> Column:
         body = F.when(F.size(table["rows"]) > 1, F.slice(table["rows"], F.lit(2), F.greatest(F.size(table["rows"]) - 1, F.lit(0)))).otherwise(table["rows"])
@@ -176,7 +175,7 @@ def _all_equal(pairs: list[tuple[Column, Column]]) -> Column:
     return out
 
 
-def resolve_evidence_refs(refs: DataFrame, index: DataFrame, pages: DataFrame | PageStore, prefer: str = "table_row", size: int = 500, registry: str = REGISTRY_URL) -> DataFrame:
+def resolve_evidence_refs(refs: DataFrame, index: DataFrame, pages: DataFrame | PageStore, prefer: str | tuple[str, ...] = "table_row", size: int = 500, registry: str = REGISTRY_URL) -> DataFrame:
     """References to revisions and snippets.
 
     A reference is ``(evidence_id, table_index, row_index, purpose)`` (null places: none), or ``(evidence_id, snippet_ref,
@@ -189,7 +188,8 @@ def resolve_evidence_refs(refs: DataFrame, index: DataFrame, pages: DataFrame |
 
     ``prefer`` says when the page's lead paragraph serves. ``table_row``: only where there is no reference at all; one that
     can't be read, or whose row is not there, gives no snippet. ``lead_paragraph``: wherever no row is found.
-    ``by_reference``: wherever no row is found, unless the reference is a structured one to a table row.
+    ``by_reference``: wherever no row is found, unless the reference is a structured one to a table row. Of several, each gives
+    its rows, with its name in a column ``prefer``; pages are read and parsed once for all of them.
 
     Responses are chosen on keys; then only wanted pages are read whole, and each is parsed once, whatever the number of
     its references. HTML is never shuffled; rows and leads are joined back by key.
@@ -212,7 +212,7 @@ def resolve_evidence_refs(refs: DataFrame, index: DataFrame, pages: DataFrame |
         "own", "page", "s_title", "order", "copies",
     ))
     wanted = found.where("source_kind = 'mediawiki'").select(F.col("s_title").alias("page_title"), "order", "copies", "page").distinct()
-    snippets = materialise(page_snippets(parsed_pages(whole_pages(pages, wanted, ["html"]).where("html is not null").drop("page_title")), "page", size))
+    snippets = materialise(page_snippets(with_dom(whole_pages(pages, wanted, ["html"]).where("html is not null").drop("page_title")), "page", size))
     # a reference without a place is one to the lead, row -1 of table -1: one join gives both
     found = found.drop("s_title", "order", "copies")
     keyed = refs.join(found, "evidence_id").withColumn("used", F.when(F.col("given.state") == NONE, F.col("own")).otherwise(F.col("given"))).drop("given", "own")
@@ -220,13 +220,20 @@ def resolve_evidence_refs(refs: DataFrame, index: DataFrame, pages: DataFrame |
     place = {"_t": F.when(placed, F.coalesce("used.ref.table_index", F.lit(0))).otherwise(-1), "_r": F.when(placed, F.coalesce("used.ref.row_index", F.lit(0))).otherwise(-1)}
     snippets = snippets.select("page", F.col("table_index").alias("_t"), F.col("row_index").alias("_r"), "row_text")
     rows = keyed.withColumns(place).join(snippets, ["page", "_t", "_r"], "left")
-    falls = {"table_row": F.col("used.state") == NONE, "lead_paragraph": F.lit(True), "by_reference": ~(placed & F.col("used.structured"))}[prefer]
+    falls = {"table_row": F.col("used.state") == NONE, "lead_paragraph": F.lit(True), "by_reference": ~(placed & F.col("used.structured"))}
     lead = F.when(~placed, F.col("row_text"))
-    if prefer != "table_row":
+    prefers = [prefer] if isinstance(prefer, str) else list(prefer)
+    if set(prefers) != {"table_row"}:
         rows = rows.join(snippets.where("_t = -1").select("page", F.col("row_text").alias("lead")), "page", "left")
         lead = F.col("lead")
     row = F.when(placed, F.col("row_text"))
-    rows = rows.withColumns({"snippet": F.coalesce(row, F.when(falls, lead)), "snippet_source": F.when(row.isNotNull(), "table_row").when(falls & lead.isNotNull(), "lead_paragraph")})
+
+    def chosen(p: str) -> Column:
+        source = F.when(row.isNotNull(), "table_row").when(falls[p] & lead.isNotNull(), "lead_paragraph")
+        return F.struct(F.lit(p).alias("prefer"), F.coalesce(row, F.when(falls[p], lead)).alias("snippet"), source.alias("snippet_source"))
+
+    rows = rows.withColumn("_chosen", chosen(prefer) if isinstance(prefer, str) else F.explode(F.array(*map(chosen, prefers))))
+    rows = rows.withColumns({c: F.col(f"_chosen.{c}") for c in ("prefer", "snippet", "snippet_source")})
     url = (
         F.when(F.col("source_kind") == "mediawiki", revision_url(F.coalesce("page_title", F.lit("")), F.col("revision_id")))
         .when(F.col("source_kind") == "dip", registry_url(F.lit(registry), F.coalesce("endpoint", F.lit("")), _lists(F.coalesce("params", F.create_map().cast("map<string,string>")))))
@@ -234,7 +241,7 @@ def resolve_evidence_refs(refs: DataFrame, index: DataFrame, pages: DataFrame |
     )
     return rows.select(
         "evidence_id", "source_kind", "page_title", "page_id", "revision_id", "retrieved_at_utc", "sha256", "source_url", url.alias("canonical_url"), "cache_metadata_path", "cache_raw_path", "snippet", "snippet_source",
-        F.when(placed, F.col("_t")).alias("table_index"), F.when(placed, F.col("_r")).alias("row_index"), "purpose", F.col("used.ref").alias("snippet_ref"),
+        F.when(placed, F.col("_t")).alias("table_index"), F.when(placed, F.col("_r")).alias("row_index"), "purpose", F.col("used.ref").alias("snippet_ref"), *([] if isinstance(prefer, str) else ["prefer"]),
     )
 
 
@@ -284,14 +291,22 @@ def resolve_found(found: DataFrame, index: DataFrame, pages: DataFrame | PageSto
     return resolve_evidence_refs(refs, index, pages, "by_reference")
 
 
+def _json_of(resolved: DataFrame) -> Column:
+    return F.to_json(F.struct(*[c for c in resolved.columns if c not in ("table_index", "row_index")])).alias("json")
+
+
 def as_json(resolved: DataFrame) -> DataFrame:
     """One JSON text a row, nulls left out; the reference is an object in it."""
-    fields = [c for c in resolved.columns if c not in ("table_index", "row_index")]
-    return resolved.select("evidence_id", F.to_json(F.struct(*fields)).alias("json"))
+    return resolved.select("evidence_id", _json_of(resolved))
+
+
+def as_both(resolved: DataFrame) -> DataFrame:
+    """``(evidence_id, markdown, json)``: both forms of each row in one pass."""
+    return as_markdown(resolved.withColumn("json", _json_of(resolved)), "json")
 
 
-def as_markdown(resolved: DataFrame) -> DataFrame:
-    """A list entry for each row; what is missing, or a revision of 0, has no line. Entries are parted by an empty line."""
+def as_markdown(resolved: DataFrame, *keep: str) -> DataFrame:
+    """A list entry for each row, beside the columns ``keep``; what is missing, or a revision of 0, has no line. Entries are parted by an empty line."""
     def line(label: str, c: str, text: Column | None = None) -> Column:
         return F.when(F.col(c).isNotNull() & (F.col(c).cast("string") != ""), F.concat(F.lit(f"  - **{label}**: "), F.col(c).cast("string") if text is None else text))
 
@@ -301,4 +316,4 @@ def as_markdown(resolved: DataFrame) -> DataFrame:
         "\n", F.concat(F.lit("- Evidence `"), "evidence_id", F.lit("`")), line("Source", "source_kind"), line("Page", "page_title"), line("Revision", "revision_id"), line("URL", "canonical_url"), line("Retrieved", "retrieved_at_utc"),
         line("SHA256", "sha256", quoted(F.substring("sha256", 1, 16), "`", "...`")), line("Snippet", "snippet", quoted(F.col("snippet"), '"', '"')), line("Snippet Source", "snippet_source"), line("Purpose", "purpose"),
         line("Snippet Ref", "ref_text", quoted(F.col("ref_text"), "```json\n", "\n```")),
-    ).alias("markdown"))
+    ).alias("markdown"), *keep)
