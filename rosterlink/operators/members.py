@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterlink.functions.dom import parsed_pages
+from rosterlink.functions.dom import with_dom
 from rosterlink.functions.ids import evidence_id, legislature_id, mandate_id, person_id, strip
 from rosterlink.functions.text import BASE_URL, normalize_header, parse_date, underscored
 from rosterlink.sources.page_store import PageStore, latest_of, pages_of
@@ -71,11 +71,12 @@ def member_pages(pages: DataFrame | PageStore, seeds: DataFrame) -> DataFrame:
     every job that starts from it reads narrow rows. Ids hold the page's stored hash, else that of its ``parse`` object.
     """
     s = seeds.select("seed_pos", F.col("key").alias("seed_key"), underscored(F.col("page_title")).alias("page_title"), "expected_start", "expected_end", "parliament", "state", "legislature_number", "section_keywords")
-    doms = parsed_pages(latest_of(pages, s, page_columns(pages)))
+    doms = with_dom(latest_of(pages, s, page_columns(pages)))
     ids = doms.select("page_title", "page_id", "revision_id", page_sha256(doms).alias("sha256"), "dom")
     ids = ids.withColumn("evidence_id", evidence_id(F.col("page_id"), F.col("revision_id"), F.lit("parse"), F.col("sha256")))
     chosen = F.transform(F.array(choose_table(F.col("dom"), F.col("section_keywords"))), lambda t: F.struct(t.alias("table"), header_roles(t["header"]).alias("roles")))
-    # pages are few bytes and much work: they keep their partitions, by the hint, and what is written is read in as many parts
+    # pages are few bytes and much work: they keep their partitions, by the hint, and what is written is read in as many parts;
+    # parsed pages go from the parser to that one shuffle and are not written before it
     ids = ids.repartition(int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions")), "page_title")
     rows = materialise(ids.join(s.hint("shuffle_hash"), "page_title").withColumn("chosen", F.get(chosen, F.lit(0))).select("*", "chosen.table", "chosen.roles").drop("dom", "chosen"))
     found = F.greatest(*(F.col(f"roles.{r}").isNotNull() for r, _ in ROLES))
