@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterlink.functions.ids import legislature_id, party_id, strip
+from rosterlink.functions.ids import bound, legislature_id, party_id, strip
 from rosterlink.functions.text import page_url
 from rosterlink.operators.members import EVIDENCE_REF
 from rosterlink.sources.readers import latest
@@ -19,22 +19,25 @@ def _last(*cols: str):
     return F.max_by(F.struct(*cols), F.struct("seed_pos", "row_index")).alias("v")
 
 
-def distinct_refs(refs: DataFrame, place: str = "place") -> DataFrame:
-    """``(person_id, evidence_refs)`` of rows (person_id, r, place): references distinct but for their time, in order of place.
+def distinct_refs(refs: Column) -> Column:
+    """An array of references in order, distinct but for their time: the first of equal ones stays.
 
-    The first of equal ones stays; they meet before they move.
+    Sorted, equal ones are neighbours, as the time is a reference's last field.
     """
-    ref = F.col("r")
-    one = refs.groupBy("person_id", ref["evidence_id"].alias("e"), ref["purpose"].alias("p"), ref["snippet_ref"].alias("s")).agg(F.min(F.struct(F.col(place).alias("place"), ref.alias("r"))).alias("m"))
-    return one.groupBy("person_id").agg(F.transform(F.array_sort(F.collect_list("m")), lambda m: m["r"]).alias("evidence_refs"))
+    same = lambda a, b: a["evidence_id"].eqNullSafe(b["evidence_id"]) & a["snippet_ref"].eqNullSafe(b["snippet_ref"]) & a["purpose"].eqNullSafe(b["purpose"])
+    return bound(F.array_sort(refs), lambda s: F.filter(s, lambda r, i: (i == 0) | ~same(r, F.get(s, i - 1))))
 
 
 def merge_persons(members: DataFrame) -> DataFrame:
-    """One row a person: values of the last row, the evidence ids and row references of all rows."""
-    rows = members.groupBy("person_id").agg(_last("name", "wikipedia_title", "wikipedia_url"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("evidence_ids")))).alias("evidence_ids"))
-    refs = distinct_refs(members.select("person_id", F.explode("evidence_refs").alias("r"), F.lit(0).alias("place")))
-    rows = rows.join(refs, "person_id", "left")
-    return rows.select("person_id", "v.*", "evidence_ids", F.coalesce("evidence_refs", F.array().cast(REFS)).alias("evidence_refs"))
+    """One row a person: values of the last row, the evidence ids and row references of all rows.
+
+    Rows move once; references and ids that are equal meet before that.
+    """
+    rows = members.groupBy("person_id").agg(
+        _last("name", "wikipedia_title", "wikipedia_url"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("evidence_ids")))).alias("evidence_ids"),
+        F.flatten(F.collect_set("evidence_refs")).alias("refs"),
+    )
+    return rows.select("person_id", "v.*", "evidence_ids", distinct_refs(F.col("refs")).alias("evidence_refs"))
 
 
 def enrich_persons(persons: DataFrame, person_pages: DataFrame) -> DataFrame:

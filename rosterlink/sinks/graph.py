@@ -42,9 +42,9 @@ def node_counts(nodes: DataFrame) -> DataFrame:
 def supported_by(df: DataFrame, key: str, label: str) -> DataFrame:
     """Edges from persons or mandates to evidence, distinct by (source, evidence, purpose, reference)."""
     rows = df.select(F.col(key).alias("src"), F.explode("evidence_refs").alias("r"))
-    rows = rows.select(F.lit(label).alias("src_label"), "src", F.lit("SUPPORTED_BY").alias("type"), F.lit("Evidence").alias("dst_label"), F.col("r.evidence_id").alias("dst"), F.coalesce("r.purpose", F.lit("")).alias("purpose"), F.coalesce(F.to_json("r.snippet_ref"), F.lit("")).alias("snippet_ref_json"))
-    rows = rows.withColumns({"start_date": F.lit(None).cast("string"), "end_date": F.lit(None).cast("string")})
-    return rows.dropDuplicates(["src", "dst", "purpose", "snippet_ref_json"])
+    rows = rows.select("src", F.col("r.evidence_id").alias("dst"), F.coalesce("r.purpose", F.lit("")).alias("purpose"), F.coalesce(F.to_json("r.snippet_ref"), F.lit("")).alias("snippet_ref_json")).distinct()
+    none = F.lit(None).cast("string")
+    return rows.select(F.lit(label).alias("src_label"), "src", F.lit("SUPPORTED_BY").alias("type"), F.lit("Evidence").alias("dst_label"), "dst", "purpose", "snippet_ref_json", none.alias("start_date"), none.alias("end_date"))
 
 
 def evidence_stubs(edges: DataFrame, evidence: DataFrame) -> DataFrame:
