@@ -74,3 +74,11 @@ def test_edges_are_distinct_without_sorting(spark):
 def test_a_json_text_is_read_once_for_its_values(spark):
     plan = records.evidence_json(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("get_json_object(") == 0 and plan.count("from_json(StructField(snippet_ref") == 1 and plan.count("jsonObjectKeys(") == 1
+
+
+def test_stubs_move_ids_alone(spark):
+    """Edges need not be distinct before their targets are."""
+    index = spark.createDataFrame([("e2",)], "evidence_id string")
+    stubs = graph.evidence_stubs(graph.supported_by(_persons(spark), "person_id", "Person"), index)
+    assert stubs._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 1
+    assert [r.evidence_id for r in stubs.collect()] == ["e1"]
